@@ -46,5 +46,6 @@ def load_all() -> None:
     """Import every suite module so its queries register."""
     from lakeworks.suite import (  # noqa: F401
         evaluation,
+        io_tables,
         sql_surface,
     )
