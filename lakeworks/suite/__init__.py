@@ -47,5 +47,6 @@ def load_all() -> None:
     from lakeworks.suite import (  # noqa: F401
         evaluation,
         io_tables,
+        modeling,
         sql_surface,
     )
