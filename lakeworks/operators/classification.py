@@ -19,6 +19,8 @@ from lakeworks.operators.common import (
     exact_quantiles,
     join_keys,
     numpy_linspace,
+    count_below,
+    quantiles_from_running,
     running_totals,
     with_group_key,
 )
@@ -91,16 +93,25 @@ def brier(df: DataFrame, target: str, prob: str, keys: Sequence[str] = ()) -> Da
 # ---------------------------------------------------------------- E5, E6: curve areas
 
 
-def curve_areas(hist: DataFrame, keys: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def curve_areas(hist: DataFrame, keys: Sequence[str] = (), buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """E5 ROC AUC (ties 1/2) and E6 PR AUC (trapezoid over recall with the (0, 1) anchor).
 
     Input: ``score_histogram`` rows. Output: ``keys, n_pos, n_neg, roc_auc, pr_auc``.
     """
     hist, gkeys = with_group_key(hist, keys)
-    run = running_totals(hist, gkeys, "score", ["pos", "neg"], buckets=buckets)
-    totals = hist.groupBy(*gkeys).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    run = join_keys(run, totals, gkeys)
-    P, N = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")
+    run = histogram_run(hist, gkeys, buckets)
+    out = areas_from_run(run, gkeys)
+    return out if keys else out.drop(ALL_KEY)
+
+
+def histogram_run(hist: DataFrame, keys: Sequence[str], buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+    """One ascending running-total pass over a score histogram: ``cum_n/pos/neg`` and ``tot_*``.
+    Curve areas and quantile edges are both read from it."""
+    return running_totals(hist, keys, "score", ["n", "pos", "neg"], buckets=buckets, totals_prefix="tot_")
+
+
+def areas_from_run(run: DataFrame, keys: Sequence[str]) -> DataFrame:
+    P, N = F.col("tot_pos").cast("double"), F.col("tot_neg").cast("double")
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     below_neg = F.col("cum_neg").cast("double") - neg
     tp_prev = P - F.col("cum_pos").cast("double")
@@ -109,20 +120,20 @@ def curve_areas(hist: DataFrame, keys: Sequence[str] = (), buckets: int = DEFAUL
     prec = tp / (tp + fp)
     prec_prev = F.when(tp_prev + fp_prev == 0, F.lit(1.0)).otherwise(tp_prev / (tp_prev + fp_prev))
     parts = run.select(
-        *gkeys,
-        "n_pos",
-        "n_neg",
+        *keys,
+        F.col("tot_pos").alias("n_pos"),
+        F.col("tot_neg").alias("n_neg"),
         (pos * below_neg + 0.5 * pos * neg).alias("_roc"),
         F.when(pos > 0, pos * (prec + prec_prev) / 2).otherwise(F.lit(0.0)).alias("_pr"),
     )
-    out = parts.groupBy(*gkeys).agg(
+    out = parts.groupBy(*keys).agg(
         F.first("n_pos").alias("n_pos"),
         F.first("n_neg").alias("n_neg"),
         F.sum("_roc").alias("_roc"),
         F.sum("_pr").alias("_pr"),
     )
-    out = out.select(
-        *gkeys,
+    return out.select(
+        *keys,
         "n_pos",
         "n_neg",
         F.when(
@@ -131,7 +142,12 @@ def curve_areas(hist: DataFrame, keys: Sequence[str] = (), buckets: int = DEFAUL
         ).alias("roc_auc"),
         F.when(F.col("n_pos") > 0, F.col("_pr") / F.col("n_pos")).alias("pr_auc"),
     )
-    return out if keys else out.drop(ALL_KEY)
+
+
+def edges_from_run(run: DataFrame, keys: Sequence[str], q: int = 10) -> DataFrame:
+    """E10 edges (``keys, edges``) from a histogram run: distinct sorted linear quantiles."""
+    qs = quantiles_from_running(run, keys, "score", "n", "cum_n", "tot_n", numpy_linspace(q), out="_qs")
+    return qs.select(*keys, F.array_sort(F.array_distinct("_qs")).alias("edges"))
 
 
 # ---------------------------------------------------------------- E8: calibration
@@ -144,9 +160,8 @@ def ece(hist: DataFrame, keys: Sequence[str] = (), n_bins: int = 10) -> DataFram
     in the weights (the share of each bin is over all rows).
     """
     edges = numpy_linspace(n_bins)
-    lowers = F.array(*[F.lit(e) for e in edges[:-1]])
     s = F.col("score")
-    bin_ix = F.size(F.filter(lowers, lambda lo: lo < s)) - 1
+    bin_ix = count_below([F.lit(e) for e in edges[:-1]], s) - 1
     in_any = (s > F.lit(edges[0])) & (s <= F.lit(edges[-1]))
     hist, gkeys = with_group_key(hist, keys)
     per_bin = (
@@ -185,7 +200,7 @@ def classification_metrics(
     prob: str,
     keys: Sequence[str] = (),
     prefix: str | None = None,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Balanced accuracy, MCC, precision, recall, F1, PR AUC, ROC AUC, Brier, ECE per group."""
     keys = list(keys)
@@ -218,10 +233,10 @@ def decile_edges(df: DataFrame, score: str, keys: Sequence[str] = (), q: int = 1
     return qs.select(*keys, F.array_sort(F.array_distinct("_qs")).alias("edges"))
 
 
-def bin_of(score: Column, edges: Column) -> Column:
+def bin_of(score: Column, edges: Column, max_edges: int = 11) -> Column:
     """Right-closed bin with the lowest edge included; NULL with fewer than two distinct edges
     or outside the edges (pandas ``qcut(..., labels=False, duplicates="drop")``)."""
-    ix = F.greatest(F.lit(0), F.size(F.filter(edges, lambda e: e < score)) - 1)
+    ix = F.greatest(F.lit(0), count_below([F.get(edges, i) for i in range(max_edges)], score) - 1)
     inside = (score >= F.element_at(edges, 1)) & (score <= F.element_at(edges, -1))
     return F.when((F.size(edges) >= 2) & inside, ix)
 
@@ -231,7 +246,7 @@ def score_deciles(df: DataFrame, score: str, keys: Sequence[str] = (), q: int =
     keys = list(keys)
     df, gkeys = with_group_key(df, keys)
     edges = decile_edges(df, score, gkeys, q)
-    res = join_keys(df, edges, gkeys, "left").withColumn(out, bin_of(F.col(score).cast("double"), F.col("edges")))
+    res = join_keys(df, edges, gkeys, "left").withColumn(out, bin_of(F.col(score).cast("double"), F.col("edges"), q + 1))
     res = res.drop("edges")
     return res if keys else res.drop(ALL_KEY)
 
@@ -244,8 +259,8 @@ def decile_rates(df: DataFrame, target: str, score: str, keys: Sequence[str] = (
     keys = list(keys)
     df, gkeys = with_group_key(df, keys)
     hist = score_histogram(df, gkeys, target, score)
-    edges = decile_edges(df, score, gkeys, q)
-    binned = join_keys(hist, edges, gkeys).withColumn("bin", bin_of(F.col("score"), F.col("edges")))
+    edges = edges_from_run(histogram_run(hist, gkeys), gkeys, q)
+    binned = join_keys(hist, edges, gkeys).withColumn("bin", bin_of(F.col("score"), F.col("edges"), q + 1))
     res = (
         binned.where(F.col("bin").isNotNull())
         .groupBy(*gkeys, "bin")
@@ -350,7 +365,7 @@ def performance_report(
     *,
     round_digits: int | None = 3,
     keep_null_groups: bool = False,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """One row per group with more than ``test_size_minimum_per_group`` rows.
 
@@ -373,14 +388,13 @@ def performance_report(
         F.avg(F.pow(s - y, 2)).alias("_brier"),
         F.countDistinct(y).alias("_classes"),
     )
-    base = base.where(F.col("n_observations") > test_size_minimum_per_group)
-    kept = df.join(base.select(*keys), keys, "left_semi") if not keep_null_groups else join_keys(
-        df, base.select(*keys), keys, "left_semi"
-    )
-    hist = score_histogram(kept, keys, target_col, prob_col)
-    areas = curve_areas(hist, keys, buckets=buckets).select(*keys, "pr_auc", "roc_auc")
+    # every statistic is computed for all groups at once and small groups are dropped at the end:
+    # they are small by definition, and no extra pass over the rows is needed to find them
+    hist = score_histogram(df, keys, target_col, prob_col)
+    run = histogram_run(hist, keys, buckets)
+    areas = areas_from_run(run, keys).select(*keys, "pr_auc", "roc_auc")
     cal = ece(hist, keys)
-    edges = decile_edges(kept, prob_col, keys)
+    edges = edges_from_run(run, keys)
     binned = join_keys(hist, edges, keys).withColumn("bin", bin_of(F.col("score"), F.col("edges")))
     rates = (
         binned.where(F.col("bin").isNotNull())
@@ -388,6 +402,7 @@ def performance_report(
         .agg((F.sum("pos") / F.sum("n")).alias("target_rate"))
     )
     dec = decile_summary(rates, keys)
+    base = base.where(F.col("n_observations") > test_size_minimum_per_group)
     full = join_keys(join_keys(join_keys(base, areas, keys, "left"), cal, keys, "left"), dec, keys, "left")
     n = F.col("n_observations")
     two = F.col("_classes") > 1

@@ -14,10 +14,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: range buckets per group for running totals; windows run inside (group, bucket)
-DEFAULT_BUCKETS = 16
+#: explicit bucket count (None -> ``default_buckets``: from the session)
+DEFAULT_BUCKETS = None
 #: accuracy of the approximate quantile sketch that only *places* bucket bounds
-_SKETCH_ACCURACY = 10000
+_SKETCH_ACCURACY = 1000
 ALL_KEY = "_lw_all"
 
 
@@ -39,6 +39,37 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def sorted_position(bounds: Column, value: Column, size: int) -> Column:
+    """Number of elements of a sorted array (length ``size``) that are ``< value``, as a binary
+    CASE tree: log2(size) comparisons per row and fully code-generated (a ``filter`` lambda would
+    be interpreted row by row)."""
+
+    def search(lo: int, hi: int) -> Column:
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(F.get(bounds, mid) < value, search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, size)
+
+
+def count_below(values: Sequence[Column], x: Column) -> Column:
+    """How many of a few values are ``< x`` (NULLs never count): an unrolled, codegen'd sum."""
+    total = F.lit(0)
+    for v in values:
+        total = total + F.coalesce((v < x).cast("int"), F.lit(0))
+    return total
+
+
+def default_buckets(spark) -> int:
+    """Range buckets per group: ``spark.lakeworks.buckets`` if set, else the shuffle partition
+    count clamped to [4, 256] - enough that one hot group spreads over the cluster."""
+    conf = spark.conf.get("spark.lakeworks.buckets", None)
+    if conf:
+        return int(conf)
+    return max(4, min(256, int(spark.conf.get("spark.sql.shuffle.partitions", "16"))))
+
+
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
@@ -46,60 +77,78 @@ def running_totals(
     value_cols: Sequence[str],
     *,
     descending: bool = False,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
     bound_keys: Sequence[str] | None = None,
     prefix: str = "cum_",
+    totals_prefix: str | None = None,
 ) -> DataFrame:
-    """Add ``cum_<v>``: inclusive running sum of each ``v`` ordered by ``order_col`` within ``keys``.
-
-    Rows must be unique per (keys, order_col) - histogram rows. Bucket bounds come from an
-    approximate quantile sketch of ``order_col`` per ``bound_keys`` (default ``keys``); the window
-    runs inside (keys, bucket) and each bucket adds the totals of the buckets before it (a tiny
-    groups x buckets window). With ``buckets <= 1`` a plain per-group window is used.
+    """Add ``cum_<v>``: inclusive running sum of each ``v`` ordered by ``order_col`` within ``keys``
+    (and, with ``totals_prefix``, the group total ``<totals_prefix><v>``).
+
+    Rows should be unique per (keys, order_col) - histogram rows (ties are summed in an
+    arbitrary order). Bucket bounds come from an approximate quantile sketch of ``order_col`` per
+    ``bound_keys`` (default ``keys``); one window stage over (keys, bucket) yields the in-bucket
+    running sums and the bucket totals; a tiny (groups x buckets) table turns bucket totals into
+    offsets and group totals, joined back by key. ``buckets <= 1`` uses one window per group.
     """
     keys = list(keys)
     value_cols = list(value_cols)
     o = F.col(order_col)
     ordered = o.desc() if descending else o.asc()
-    if not keys:
+    drop_all = not keys
+    if drop_all:
         df, keys = with_group_key(df, keys)
-        drop_all = True
-    else:
-        drop_all = False
+    if buckets is None:
+        buckets = default_buckets(df.sparkSession)
+
+    def finish(out: DataFrame) -> DataFrame:
+        return out.drop(ALL_KEY) if drop_all else out
+
     if buckets <= 1:
         w = Window.partitionBy(*keys).orderBy(ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = df.select("*", *[F.sum(v).over(w).alias(prefix + v) for v in value_cols])
-        return out.drop(ALL_KEY) if drop_all else out
+        wall = Window.partitionBy(*keys)
+        cols = [F.sum(v).over(w).alias(prefix + v) for v in value_cols]
+        if totals_prefix:
+            cols += [F.sum(v).over(wall).alias(totals_prefix + v) for v in value_cols]
+        return finish(df.select("*", *cols))
 
     bkeys = keys if bound_keys is None else (list(bound_keys) or [ALL_KEY])
+    if bkeys == [ALL_KEY] and ALL_KEY not in df.columns:
+        df = df.withColumn(ALL_KEY, F.lit(1))
+        drop_all = True
     fracs = [i / buckets for i in range(1, buckets)]
+    accuracy = max(_SKETCH_ACCURACY, 4 * buckets)
     bounds = df.groupBy(*bkeys).agg(
-        F.percentile_approx(o, F.array(*[F.lit(f) for f in fracs]), _SKETCH_ACCURACY).alias("_lw_bounds")
+        F.percentile_approx(o, F.array(*[F.lit(f) for f in fracs]), accuracy).alias("_lw_bounds")
     )
-    idx = F.size(F.filter(F.col("_lw_bounds"), lambda b: b < o))
+    idx = sorted_position(F.col("_lw_bounds"), o, buckets - 1)
     if descending:
         idx = F.lit(buckets - 1) - idx
     tagged = join_keys(df, bounds, bkeys).withColumn("_lw_bucket", idx).drop("_lw_bounds")
 
-    w_in = (
-        Window.partitionBy(*keys, "_lw_bucket")
-        .orderBy(ordered)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    part = [*keys, "_lw_bucket"]
+    w_in = Window.partitionBy(*part).orderBy(ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w_b = Window.partitionBy(*part)
+    inner = tagged.select(
+        "*",
+        *[F.sum(v).over(w_in).alias(f"_lw_in_{v}") for v in value_cols],
+        *[F.sum(v).over(w_b).alias(f"_lw_bt_{v}") for v in value_cols],
     )
-    inner = tagged.select("*", *[F.sum(v).over(w_in).alias(f"_lw_in_{v}") for v in value_cols])
-    totals = tagged.groupBy(*keys, "_lw_bucket").agg(*[F.sum(v).alias(f"_lw_t_{v}") for v in value_cols])
+    per_bucket = inner.groupBy(*part).agg(*[F.max(f"_lw_bt_{v}").alias(f"_lw_bt_{v}") for v in value_cols])
     w_off = Window.partitionBy(*keys).orderBy("_lw_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys,
-        "_lw_bucket",
-        *[F.coalesce(F.sum(f"_lw_t_{v}").over(w_off), F.lit(0)).alias(f"_lw_off_{v}") for v in value_cols],
+    w_grp = Window.partitionBy(*keys)
+    offsets = per_bucket.select(
+        *part,
+        *[F.coalesce(F.sum(f"_lw_bt_{v}").over(w_off), F.lit(0)).alias(f"_lw_off_{v}") for v in value_cols],
+        *([F.sum(f"_lw_bt_{v}").over(w_grp).alias(f"_lw_gt_{v}") for v in value_cols] if totals_prefix else []),
     )
-    joined = join_keys(inner, offsets, [*keys, "_lw_bucket"])
+    joined = join_keys(inner, offsets, part)
     out = joined.select(
         *df.columns,
         *[(F.col(f"_lw_in_{v}") + F.col(f"_lw_off_{v}")).alias(prefix + v) for v in value_cols],
+        *([F.col(f"_lw_gt_{v}").alias(totals_prefix + v) for v in value_cols] if totals_prefix else []),
     )
-    return out.drop(ALL_KEY) if drop_all else out
+    return finish(out)
 
 
 def numpy_linspace(n_bins: int) -> list[float]:
@@ -114,61 +163,77 @@ def exact_quantiles(
     probs: Sequence[float],
     *,
     out: str = "quantiles",
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy/pandas default) per group: ``keys, n, <out>``.
 
     No value list is kept per group: the column is histogrammed, ranks come from running totals,
     and only the rows holding the needed ranks (two per probability) reach the final aggregate.
-    Interpolation follows numpy's two-sided lerp so edges equal pandas' to the last bit.
     """
     keys = list(keys)
     df, gkeys = with_group_key(df, keys)
-    hist = df.where(F.col(col).isNotNull()).groupBy(*gkeys, col).agg(F.count(F.lit(1)).alias("_lw_n"))
-    run = running_totals(hist, gkeys, col, ["_lw_n"], buckets=buckets)
-    sizes = hist.groupBy(*gkeys).agg(F.sum("_lw_n").alias("_lw_total"))
-    run = join_keys(run, sizes, gkeys)
-    plist = F.array(*[F.lit(float(p)) for p in probs])
-    pos = lambda p: (F.col("_lw_total") - 1).cast("double") * p
-    start = F.col("cum__lw_n") - F.col("_lw_n")
-    end = F.col("cum__lw_n") - 1
-    hits = run.select(
-        *gkeys,
-        F.col("_lw_total"),
-        F.col(col).cast("double").alias("_lw_v"),
+    hist = df.where(F.col(col).isNotNull()).groupBy(*gkeys, F.col(col).cast("double").alias("_lw_v")).agg(
+        F.count(F.lit(1)).alias("_lw_n")
+    )
+    run = running_totals(hist, gkeys, "_lw_v", ["_lw_n"], buckets=buckets, totals_prefix="tot_")
+    res = quantiles_from_running(run, gkeys, "_lw_v", "_lw_n", "cum__lw_n", "tot__lw_n", probs, out)
+    return res if keys else res.drop(ALL_KEY)
+
+
+def quantiles_from_running(
+    run: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    count: str,
+    cum: str,
+    total: str,
+    probs: Sequence[float],
+    out: str = "quantiles",
+) -> DataFrame:
+    """Quantiles from histogram rows that carry running and total counts: ``keys, n, <out>``.
+
+    Interpolation follows numpy's two-sided lerp, so the edges equal pandas' to the last bit.
+    """
+    keys = list(keys)
+    order = sorted(range(len(probs)), key=lambda i: probs[i])
+    sp = [float(probs[i]) for i in order]
+    n1 = (F.col(total) - 1).cast("double")
+    los = [F.floor(n1 * p) for p in sp]
+    his = [F.ceil(n1 * p) for p in sp]
+    start = F.col(cum) - F.col(count)
+    end = F.col(cum) - 1
+    # ranks grow with p, so the probabilities whose lo/hi rank falls in [start, end] form a range
+    kmin = count_below(his, start)
+    kmax = count_below(los, end + 1) - 1
+    cand = run.select(
+        *keys,
+        F.col(total).alias("_lw_total"),
+        F.col(value).cast("double").alias("_lw_qv"),
         start.alias("_lw_start"),
         end.alias("_lw_end"),
-        F.explode(
-            F.filter(
-                F.transform(
-                    F.sequence(F.lit(0), F.lit(len(probs) - 1)),
-                    lambda k: F.struct(
-                        k.alias("k"),
-                        F.floor(pos(plist[k])).alias("lo"),
-                        F.ceil(pos(plist[k])).alias("hi"),
-                        (pos(plist[k]) - F.floor(pos(plist[k]))).alias("frac"),
-                    ),
-                ),
-                lambda s: s["lo"].between(start, end) | s["hi"].between(start, end),
-            )
-        ).alias("_lw_hit"),
-    )
-    h = F.col("_lw_hit")
+        kmin.alias("_lw_kmin"),
+        kmax.alias("_lw_kmax"),
+    ).where(F.col("_lw_kmin") <= F.col("_lw_kmax"))
+    hits = cand.select("*", F.explode(F.sequence("_lw_kmin", "_lw_kmax")).alias("_lw_k"))
+    p_k = F.get(F.array(*[F.lit(p) for p in sp]), F.col("_lw_k"))
+    pos = (F.col("_lw_total") - 1).cast("double") * p_k
+    lo, hi = F.floor(pos), F.ceil(pos)
     in_range = lambda r: r.between(F.col("_lw_start"), F.col("_lw_end"))
-    per_k = hits.groupBy(*gkeys, h["k"].alias("_lw_k")).agg(
+    per_k = hits.groupBy(*keys, "_lw_k").agg(
         F.first("_lw_total").alias("_lw_total"),
-        F.first(h["frac"]).alias("_lw_frac"),
-        F.max(F.when(in_range(h["lo"]), F.col("_lw_v"))).alias("_lw_a"),
-        F.max(F.when(in_range(h["hi"]), F.col("_lw_v"))).alias("_lw_b"),
+        F.first(pos - lo).alias("_lw_frac"),
+        F.max(F.when(in_range(lo), F.col("_lw_qv"))).alias("_lw_a"),
+        F.max(F.when(in_range(hi), F.col("_lw_qv"))).alias("_lw_b"),
     )
     a, b, t = F.col("_lw_a"), F.col("_lw_b"), F.col("_lw_frac")
     d = b - a
-    value = F.when(t < 0.5, a + d * t).otherwise(b - d * (F.lit(1.0) - t))
-    res = per_k.groupBy(*gkeys).agg(
+    value_k = F.when(t < 0.5, a + d * t).otherwise(b - d * (F.lit(1.0) - t))
+    # back to the caller's order of probabilities
+    rank_of = F.get(F.array(*[F.lit(order[j]) for j in range(len(order))]), F.col("_lw_k"))
+    return per_k.groupBy(*keys).agg(
         F.first("_lw_total").alias("n"),
         F.transform(
-            F.array_sort(F.collect_list(F.struct(F.col("_lw_k").alias("k"), value.alias("v")))),
+            F.array_sort(F.collect_list(F.struct(rank_of.alias("k"), value_k.alias("v")))),
             lambda s: s["v"],
         ).alias(out),
     )
-    return res if keys else res.drop(ALL_KEY)

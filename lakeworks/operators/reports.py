@@ -15,7 +15,7 @@ def score_bin_table(df: DataFrame, prob: str, target: str, bins: int = 10) -> Da
     keyed, keys = with_group_key(df, [])
     edges = decile_edges(keyed, prob, keys, bins)
     s = F.col(prob).cast("double")
-    binned = join_keys(keyed, edges, keys).withColumn("_lw_bin", bin_of(s, F.col("edges")))
+    binned = join_keys(keyed, edges, keys).withColumn("_lw_bin", bin_of(s, F.col("edges"), bins + 1))
     per_bin = binned.where(F.col("_lw_bin").isNotNull()).groupBy("_lw_bin").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(F.col(target).cast("double")).alias("target_mean"),

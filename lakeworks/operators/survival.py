@@ -42,7 +42,7 @@ def survival_mae(df: DataFrame, time: str, event: str, pred: str, keys: Sequence
 
 
 def concordance(
-    df: DataFrame, time: str, event: str, pred: str, keys: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS
+    df: DataFrame, time: str, event: str, pred: str, keys: Sequence[str] = (), buckets: int | None = DEFAULT_BUCKETS
 ) -> DataFrame:
     """``keys, pairs, concordant, tied, c_index`` (c = (concordant + tied / 2) / pairs).
 
@@ -89,12 +89,12 @@ def concordance(
     )
     cells = cell.groupBy(*gkeys, "_lvl", "_blk", "_p").agg(F.sum("_d").alias("_d"), F.sum("_q").alias("_q"))
     cells = cells.where((F.col("_d") > 0) | (F.col("_q") > 0))
-    blocks = cells.groupBy(*gkeys, "_lvl", "_blk").agg(F.sum("_d").alias("_dtot"))
-    run = running_totals(cells, [*gkeys, "_lvl", "_blk"], "_p", ["_d"], buckets=buckets, bound_keys=gkeys)
-    run = join_keys(run, blocks, [*gkeys, "_lvl", "_blk"])
+    run = running_totals(
+        cells, [*gkeys, "_lvl", "_blk"], "_p", ["_d"], buckets=buckets, bound_keys=gkeys, totals_prefix="tot_"
+    )
     q = F.col("_q").cast(_DEC)
     counted = run.groupBy(*gkeys).agg(
-        F.sum(q * F.col("_dtot").cast(_DEC)).alias("pairs"),
+        F.sum(q * F.col("tot__d").cast(_DEC)).alias("pairs"),
         F.sum(q * (F.col("cum__d") - F.col("_d")).cast(_DEC)).alias("concordant"),
         F.sum(q * F.col("_d").cast(_DEC)).alias("tied"),
     )
@@ -113,7 +113,7 @@ def concordance(
     return out if keys else out.drop(ALL_KEY)
 
 
-def km_curve(df: DataFrame, time: str, event: str, keys: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def km_curve(df: DataFrame, time: str, event: str, keys: Sequence[str] = (), buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """E18 curve: ``keys, time, at_risk, deaths, removed, survival`` per distinct time.
 
     ``survival = exp(sum(log(at_risk - deaths) - log(at_risk)))`` accumulated in time order - the
@@ -127,10 +127,8 @@ def km_curve(df: DataFrame, time: str, event: str, keys: Sequence[str] = (), buc
         .groupBy(*gkeys, t.alias("time"))
         .agg(F.count(F.lit(1)).alias("removed"), F.sum(e).cast("long").alias("deaths"))
     )
-    run = running_totals(per_t, gkeys, "time", ["removed"], buckets=buckets)
-    sizes = per_t.groupBy(*gkeys).agg(F.sum("removed").alias("_N"))
-    run = join_keys(run, sizes, gkeys)
-    at_risk = F.col("_N") - F.col("cum_removed") + F.col("removed")
+    run = running_totals(per_t, gkeys, "time", ["removed"], buckets=buckets, totals_prefix="tot_")
+    at_risk = F.col("tot_removed") - F.col("cum_removed") + F.col("removed")
     with_risk = run.select(*gkeys, "time", "removed", "deaths", at_risk.alias("at_risk"))
     term = F.when(F.col("at_risk") == F.col("deaths"), F.lit(float("-inf"))).otherwise(
         F.log(F.col("at_risk") - F.col("deaths")) - F.log(F.col("at_risk"))
@@ -141,7 +139,7 @@ def km_curve(df: DataFrame, time: str, event: str, keys: Sequence[str] = (), buc
     return out if keys else out.drop(ALL_KEY)
 
 
-def km_median(df: DataFrame, time: str, event: str, keys: Sequence[str] = (), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def km_median(df: DataFrame, time: str, event: str, keys: Sequence[str] = (), buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """E18 median: smallest time with survival <= 0.5, else +infinity."""
     keys = list(keys)
     df, gkeys = with_group_key(df, keys)
@@ -164,7 +162,7 @@ def survival_report(
     *,
     round_digits: int | None = 3,
     keep_null_groups: bool = False,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Per group with more than the minimum rows: n, mean/median time, KM median, event rate,
     mean/median prediction, MAE and c-index; doubles rounded half-even."""
@@ -180,7 +178,7 @@ def survival_report(
         F.avg(p).alias("avg_predicted_months"),
         F.avg(err).alias("mae"),
     ).where(F.col("n_observations") > test_size_minimum_per_group)
-    kept = join_keys(df, base.select(*keys), keys, "left_semi")
+    kept = df  # statistics run on all groups; the join with ``base`` drops the small ones
     med_t = exact_quantiles(kept, keys, time_col, [0.5], out="_mt", buckets=buckets)
     med_p = exact_quantiles(kept, keys, pred_col, [0.5], out="_mp", buckets=buckets)
     km = km_median(kept, time_col, event_col, keys, buckets=buckets)
