@@ -22,6 +22,7 @@ from lakeworks.operators.common import (
     count_below,
     quantiles_from_running,
     running_totals,
+    safe_corr,
     with_group_key,
 )
 
@@ -289,8 +290,8 @@ def decile_summary(rates: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
     agg = ranked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("number_deciles"),
-        F.corr(F.col("bin").cast("double"), F.col("_rate_rank")).alias("_spearman"),
-        F.corr(F.col("bin").cast("double"), F.col("target_rate")).alias("_pearson"),
+        safe_corr(F.col("bin"), F.col("_rate_rank")).alias("_spearman"),
+        safe_corr(F.col("bin"), F.col("target_rate")).alias("_pearson"),
         F.max(F.when(F.col("_pos") == 1, F.col("target_rate"))).alias("first_decile_target_rate"),
         F.max(F.when(F.col("_pos") == 2, F.col("target_rate"))).alias("second_decile_target_rate"),
         F.max(F.when(F.col("_pos") == 3, F.col("target_rate"))).alias("third_decile_target_rate"),

@@ -61,6 +61,14 @@ def count_below(values: Sequence[Column], x: Column) -> Column:
     return total
 
 
+def safe_corr(x: Column, y: Column) -> Column:
+    """Pearson correlation over rows where both are non-NULL; NULL when a side is constant.
+    (``corr`` raises DIVIDE_BY_ZERO under ANSI mode for a constant side.)"""
+    xm = F.when(y.isNotNull(), x.cast("double"))
+    ym = F.when(x.isNotNull(), y.cast("double"))
+    return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
+
+
 def default_buckets(spark) -> int:
     """Range buckets per group: ``spark.lakeworks.buckets`` if set, else the shuffle partition
     count clamped to [4, 256] - enough that one hot group spreads over the cluster."""

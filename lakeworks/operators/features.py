@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeworks.functions.types import quote
+from lakeworks.operators.common import safe_corr
 
 log = logging.getLogger(__name__)
 
@@ -122,7 +123,7 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str], threshold: float =
     if not pairs:
         return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double, correlated boolean")
     stats = df.agg(
-        *[F.corr(F.col(quote(a)).cast("double"), F.col(quote(b)).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
+        *[safe_corr(F.col(quote(a)), F.col(quote(b))).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
     )
     stacked = stats.select(
         F.explode(
