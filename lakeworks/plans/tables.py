@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from lakeworks.functions import types as TY
 from lakeworks.functions.sqltext import resolve_query, returns_rows, split_statements, spark_dialect
 from lakeworks.session import scratch_path
-from lakeworks.sources.files import first_parquet_schema, list_files, list_partition_paths, normalize_path
+from lakeworks.sources.files import first_parquet_schema, has_files, list_partition_paths, normalize_path
 
 log = logging.getLogger(__name__)
 
@@ -487,7 +487,7 @@ def external_table(
 ):
     """External Parquet table over files with declared partition columns; an existing table
     is kept unless ``force``; no files -> error; partitions synced on creation by default."""
-    if list_files(spark, location, glob="*.parquet").isEmpty():
+    if not has_files(spark, location, glob="*.parquet"):
         raise FileNotFoundError(f"no Parquet files under {location}")
     schema = first_parquet_schema(spark, location)
     part_names = [p for p, _ in partitions]
@@ -515,7 +515,7 @@ def _partition_spec(values: Mapping[str, str]) -> str:
 
 def add_partition(spark: SparkSession, table: str, values: Mapping[str, str], location: str) -> None:
     """Register one partition; its directory must hold files."""
-    if list_files(spark, location).isEmpty():
+    if not has_files(spark, location):
         raise FileNotFoundError(f"partition directory {location} holds no files")
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({_partition_spec(values)}) LOCATION '{location}'")
 
@@ -529,8 +529,8 @@ def sync_partitions_from_files(
     added, skipped, failed = 0, 0, []
     specs = []
     for row in found:
-        vals = row["partition_values"]
-        keys = list(vals.keys())
+        vals = {kv["key"]: kv["value"] for kv in row["partition_values"]}
+        keys = [kv["key"] for kv in row["partition_values"]]
         if keys != list(partition_columns):
             skipped += 1
             continue

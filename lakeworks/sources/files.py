@@ -151,12 +151,9 @@ def load_csv(
         kept = lines.join(first, "_f", "left").where(
             F.col("_i0").isNull() | (F.col("_b") > 0) | (F.col("_i") >= F.col("_i0") + ignore_header)
         )
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-        parsed = kept.select(F.from_csv("value", ddl, {k: v for k, v in opts.items() if v is not None}).alias("r"), "value")
-        df = parsed.select(
-            *[F.col(f"r.{f.name}").alias(f.name) for f in fields],
-            F.when(F.col("r").isNull(), F.col("value")).alias(corrupt),
-        )
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{corrupt}` string"
+        parsed = kept.select(F.from_csv("value", ddl, {k: v for k, v in opts.items() if v is not None}).alias("r"))
+        df = parsed.select(*[F.col(f"r.{f.name}").alias(f.name) for f in fields], F.col(f"r.{corrupt}").alias(corrupt))
     if accept_invalid_chars is not None:
         df = df.select(
             *[
@@ -232,10 +229,20 @@ def list_files(spark: SparkSession, prefix: str, recursive: bool = True, glob: s
     return reader.load(prefix).select("path", "length", "modificationTime")
 
 
+def has_files(spark: SparkSession, prefix: str, glob: str | None = None) -> bool:
+    """True when at least one file lies under ``prefix`` (a missing path has none)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return not list_files(spark, prefix, glob=glob).isEmpty()
+    except AnalysisException:
+        return False
+
+
 def list_partition_paths(spark: SparkSession, prefix: str, depth: int = 1) -> DataFrame:
     """Distinct partition directories to ``depth`` levels; only ``k=v`` segments count.
 
-    Returns ``partition_path`` and ``partition_values`` (``map<key, value>``)."""
+    Returns ``partition_path`` and ``partition_values`` (ordered ``array<struct<key, value>>``)."""
     root = normalize_path(prefix).rstrip("/")
     files = list_files(spark, prefix)
     rel = F.regexp_replace(F.col("path"), r"^.*?" + re.escape(root.split("://")[-1]) + "/?", "")
@@ -246,8 +253,8 @@ def list_partition_paths(spark: SparkSession, prefix: str, depth: int = 1) -> Da
     out = files.select(picked.alias("segs")).where(F.size("segs") == depth).distinct()
     return out.select(
         F.concat(F.lit(root + "/"), F.array_join("segs", "/"), F.lit("/")).alias("partition_path"),
-        F.map_from_entries(
-            F.transform("segs", lambda s: F.struct(F.split(s, "=")[0].alias("k"), F.split(s, "=")[1].alias("v")))
+        F.transform(
+            "segs", lambda s: F.struct(F.split(s, "=")[0].alias("key"), F.split(s, "=")[1].alias("value"))
         ).alias("partition_values"),
     )
 

@@ -216,8 +216,8 @@ def q_format_display(spark: SparkSession, d: str) -> DataFrame:
     """SELECT o_orderkey, TRY_CAST(o_totalprice AS DOUBLE) AS o_totalprice,
               CAST(TRY_CAST(CASE WHEN o_orderkey % 11 = 0 THEN 'not a date' ELSE strftime(o_orderdate, '%Y-%m-%d') END
                 AS DATE) AS VARCHAR) AS o_orderdate,
-              TRY_CAST(CASE WHEN o_orderkey % 7 = 0 THEN 'x' || CAST(o_custkey AS VARCHAR) ELSE CAST(o_custkey AS VARCHAR) END
-                AS INTEGER) AS o_custkey,
+              CAST(TRY_CAST(CASE WHEN o_orderkey % 7 = 0 THEN 'x' || CAST(o_custkey AS VARCHAR) ELSE CAST(o_custkey AS VARCHAR) END
+                AS INTEGER) AS DOUBLE) AS o_custkey,
               CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS o_orderstatus,
               o_orderpriority
        FROM orders""",
@@ -243,16 +243,20 @@ def q_cast_declared(spark: SparkSession, d: str) -> DataFrame:
         "o_orderstatus": "VARCHAR(1)",
     }
     out = TY.cast_declared(text, declared)
-    return round6(out.withColumn("o_orderdate", F.col("o_orderdate").cast("string")))
+    # nullable INT and DATE leave as DOUBLE / text so both engines hand pandas the same dtypes
+    out = out.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
+    return round6(out.withColumn("o_custkey", F.col("o_custkey").cast("double")))
 
 
 @register(
     "null_columns",
-    """SELECT o_orderkey, CAST(NULL AS DATE) AS ship_note_date, CAST(NULL AS VARCHAR) AS remark FROM orders""",
+    """SELECT o_orderkey, CAST(CAST(NULL AS DATE) AS VARCHAR) AS ship_note_date, CAST(NULL AS VARCHAR) AS remark
+       FROM orders""",
 )
 def q_null_columns(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select("o_orderkey", F.lit(None).alias("ship_note_date"), F.lit(None).alias("remark"))
-    return TY.type_null_columns(o, {"ship_note_date": "DATE"})
+    typed = TY.type_null_columns(o, {"ship_note_date": "DATE"})
+    return typed.withColumn("ship_note_date", F.col("ship_note_date").cast("string"))
 
 
 @register("schema_as_rows")
@@ -290,7 +294,8 @@ def q_decimal_normalise(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "align_schema",
-    """SELECT c_custkey, c_name, CAST(NULL AS DATE) AS c_since, round(c_acctbal, 6) AS c_acctbal FROM customer""",
+    """SELECT c_custkey, c_name, CAST(CAST(NULL AS DATE) AS VARCHAR) AS c_since, round(c_acctbal, 6) AS c_acctbal
+       FROM customer""",
 )
 def q_align_schema(spark: SparkSession, d: str) -> DataFrame:
     target = T.StructType(
@@ -301,7 +306,8 @@ def q_align_schema(spark: SparkSession, d: str) -> DataFrame:
             T.StructField("c_acctbal", T.DoubleType()),
         ]
     )
-    return round6(TY.align_to(table(spark, d, "customer"), target))
+    out = TY.align_to(table(spark, d, "customer"), target)
+    return round6(out.withColumn("c_since", F.col("c_since").cast("string")))
 
 
 @register(
@@ -418,7 +424,7 @@ def q_load_files_to_table(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "create_table_from_frame",
-    """SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice, CAST(NULL AS DATE) AS delivered,
+    """SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice, CAST(CAST(NULL AS DATE) AS VARCHAR) AS delivered,
               CAST(NULL AS VARCHAR) AS note FROM orders""",
 )
 def q_create_table_from_frame(spark: SparkSession, d: str) -> DataFrame:
@@ -429,7 +435,8 @@ def q_create_table_from_frame(spark: SparkSession, d: str) -> DataFrame:
         F.lit(None).alias("note"),
     )
     t = scratch_table(spark, "frame")
-    return round6(TB.create_table_from_frame(o, t, column_types={"delivered": "DATE"}))
+    out = TB.create_table_from_frame(o, t, column_types={"delivered": "DATE"})
+    return round6(out.withColumn("delivered", F.col("delivered").cast("string")))
 
 
 # ----------------------------------------------------------------------------- B9-B12

@@ -66,7 +66,7 @@ def q_missing_profile(spark: SparkSession, d: str) -> DataFrame:
     "fill_categoricals",
     f"""WITH f AS ({_DOC_SQL})
 SELECT doc_id, lang, coalesce(CASE WHEN quality = 1 THEN 'good' WHEN quality = 0 THEN 'bad' END, 'None') AS quality_label,
-       n_chars, toxic FROM f""",
+       n_chars, CAST(toxic AS DOUBLE) AS toxic FROM f""",
 )
 def q_fill_categoricals(spark: SparkSession, d: str) -> DataFrame:
     f = _doc_features(spark, d).select(
@@ -76,7 +76,8 @@ def q_fill_categoricals(spark: SparkSession, d: str) -> DataFrame:
         "n_chars",
         "toxic",
     )
-    return FE.fill_categoricals(f, ["lang", "quality_label"])
+    out = FE.fill_categoricals(f, ["lang", "quality_label"])
+    return out.withColumn("toxic", F.col("toxic").cast("double"))
 
 
 @register("feature_matrix")

@@ -83,7 +83,8 @@ FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
 GROUP BY c.c_custkey"""
 sql_query("sql_join_outer", _JOIN_OUTER, _JOIN_OUTER, ("customer", "orders"))
 
-_JOIN_FULL = """SELECT coalesce(a.k, b.k) AS nationkey, a.n_customers, b.n_suppliers
+_JOIN_FULL = """SELECT coalesce(a.k, b.k) AS nationkey, CAST(a.n_customers AS DOUBLE) AS n_customers,
+       CAST(b.n_suppliers AS DOUBLE) AS n_suppliers
 FROM (SELECT c_nationkey AS k, count(*) AS n_customers FROM customer WHERE c_acctbal > 5000 GROUP BY c_nationkey) a
 FULL OUTER JOIN (SELECT s_nationkey AS k, count(*) AS n_suppliers FROM supplier WHERE s_acctbal > 5000 GROUP BY s_nationkey) b
 ON a.k = b.k"""
@@ -140,7 +141,7 @@ def q_sql_join_range(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-_ASOF_DUCK = """SELECT e.event_id, e.event_type, p.event_id AS last_purchase_id, round(p.value, 6) AS last_purchase_value
+_ASOF_DUCK = """SELECT e.event_id, e.event_type, CAST(p.event_id AS DOUBLE) AS last_purchase_id, round(p.value, 6) AS last_purchase_value
 FROM events e ASOF LEFT JOIN (SELECT user_id, ts, event_id, value FROM events WHERE event_type = 'purchase') p
   ON e.user_id = p.user_id AND e.ts >= p.ts"""
 
@@ -161,7 +162,11 @@ def q_sql_join_asof(spark: SparkSession, d: str) -> DataFrame:
         "p_ts",
         ["last_purchase_id", "last_purchase_value"],
     )
-    return round6(out.select("event_id", "event_type", "last_purchase_id", "last_purchase_value"))
+    return round6(
+        out.select(
+            "event_id", "event_type", F.col("last_purchase_id").cast("double").alias("last_purchase_id"), "last_purchase_value"
+        )
+    )
 
 
 # ----------------------------------------------------------------------------- S9-S11 aggregation
@@ -227,7 +232,7 @@ FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_or
 sql_query("sql_window_rank", _RANK, _RANK, ("orders",))
 
 _ANALYTIC = """SELECT o_orderkey, o_custkey,
-       lag(o_orderkey, 1) OVER w AS prev_order, lead(o_orderkey, 1) OVER w AS next_order,
+       CAST(lag(o_orderkey, 1) OVER w AS DOUBLE) AS prev_order, CAST(lead(o_orderkey, 1) OVER w AS DOUBLE) AS next_order,
        first_value(o_totalprice) OVER wf AS first_price, nth_value(o_totalprice, 2) OVER wf AS second_price,
        last_value(o_orderkey) OVER wf AS last_order
 FROM orders

@@ -22,7 +22,6 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
-        .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
