@@ -1,0 +1,7 @@
+"""Streaming.
+
+The toolkit this library re-expresses has no streaming layer (no watermarks, windows over event
+time or stateful operators): its closest behaviour is re-running an ordered SQL pipeline, which
+``lakeworks.plans.sql.pipeline_to_tables`` covers as batch jobs. Nothing is built here on
+purpose; the package exists so a later incremental variant has a home.
+"""

@@ -284,3 +284,17 @@ def q_query_with_frames(spark: SparkSession, d: str) -> DataFrame:
         frames={"big_orders": big},
         use_persistent=False,
     )
+
+
+@register("feature_elimination_survival")
+def q_feature_elimination_survival(spark: SparkSession, d: str) -> DataFrame:
+    """Survival task of F12 on orders: time in days (> 0), event = not open."""
+    from lakeworks.suite.evaluation import surv_frame
+
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_custkey", "o_orderpriority")
+    s = surv_frame(spark, d).select("o_orderkey", "t", "e").join(o, "o_orderkey").where(F.col("t") > 0)
+    s = s.withColumn("o_custkey", F.col("o_custkey").cast("double"))
+    _, curve = FE.feature_elimination(
+        s, "t", ["o_orderpriority"], ["o_totalprice", "o_custkey"], task="survival", event_col="e", steps=2
+    )
+    return curve

@@ -130,3 +130,43 @@ def test_range_join_against_brute_force(spark):
             if a.user == b.user and a.ts - pd.Timedelta(seconds=7200) <= b.ts < a.ts + pd.Timedelta(seconds=600):
                 exp.append((a.eid, b.eid))
     assert got == sorted(exp)
+
+
+def test_feature_elimination_tasks(spark):
+    rng = np.random.default_rng(12)
+    n = 600
+    x1, x2, noise = rng.normal(size=n), rng.normal(size=n), rng.normal(size=n)
+    cat = rng.choice(["a", "b"], n)
+    y = (x1 + 0.5 * x2 + rng.normal(scale=0.3, size=n) > 0).astype(int)
+    t = np.exp(1 + 0.8 * x1 + rng.normal(scale=0.2, size=n))
+    e = (rng.random(n) < 0.7).astype(int)
+    pdf = pd.DataFrame({"x1": x1, "x2": x2, "noise": noise, "cat": cat, "y": y, "t": t, "e": e})
+    df = spark.createDataFrame(pdf)
+    chosen, curve = FE.feature_elimination(df, "y", ["cat"], ["x1", "x2", "noise"], steps=2, max_iter=5, forced=["x1"])
+    assert "x1" in chosen and curve.count() == 2
+    chosen_s, curve_s = FE.feature_elimination(
+        df, "t", [], ["x1", "x2", "noise"], task="survival", event_col="e", steps=2, n_features=2
+    )
+    assert len(chosen_s) == 2 and "x1" in chosen_s
+    assert all(0 <= r["loss"] <= 1 for r in curve_s.collect())
+
+
+def test_remote_options_and_read(spark, tmp_dir):
+    from lakeworks.sources import remote as R
+
+    opts = R.source_options("myorg-acct", "me", database="db", token="tok", password="pw", extra={"sfRole": "r2", "x": None})
+    assert opts == {"sfUrl": "myorg-acct.snowflakecomputing.com", "sfUser": "me", "sfDatabase": "db",
+                    "sfAuthenticator": "oauth", "sfToken": "tok", "sfRole": "r2"}
+    assert R.source_options("https://h.example.com/", "me", password="pw")["sfPassword"] == "pw"
+    with pytest.raises(ValueError):
+        R.source_options("acct", "me", authenticator="externalbrowser")
+    with pytest.raises(ValueError):
+        R.source_options(None, "me")
+    # the read path (wrap, lower-case, decimals) checked with a file source that ignores "query"
+    import os
+
+    path = os.path.join(tmp_dir, "remote")
+    spark.sql("SELECT CAST(7 AS DECIMAL(38,0)) AS USER_ID, CAST(1.25 AS DECIMAL(10,2)) AS Score").write.parquet(path)
+    df = R.read_query(spark, "-- c\nSELECT 1;", "parquet", {"path": path})
+    assert df.columns == ["user_id", "score"] and df.first()["user_id"] == 7
+    assert dict(df.dtypes) == {"user_id": "bigint", "score": "double"}
