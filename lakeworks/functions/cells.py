@@ -26,11 +26,11 @@ NUMBER_DECIMALS = 2  # pattern #,##0.00
 def ragged_to_table(rows: DataFrame, order_col: str = "row_id", cells_col: str = "cells") -> DataFrame:
     """First row (lowest ``order_col``) is the header; shorter rows are padded with ``""``,
     longer rows truncated; NULL and null-like texts become ``""``. All columns are strings."""
-    header_row = rows.orderBy(order_col).select(cells_col).first()
-    if header_row is None:
+    head = rows.agg(F.min(order_col).alias("id"), F.min_by(cells_col, order_col).alias("cells")).first()
+    if head is None or head["id"] is None:
         return rows.sparkSession.createDataFrame([], T.StructType([]))
-    header = [h if h is not None else "" for h in header_row[0]]
-    first_id = rows.agg(F.min(order_col)).first()[0]
+    header = [h if h is not None else "" for h in head["cells"]]
+    first_id = head["id"]
     data = rows.where(F.col(order_col) != F.lit(first_id))
     cols = []
     for i, name in enumerate(header):

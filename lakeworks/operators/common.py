@@ -29,12 +29,21 @@ def with_group_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[
     return df.withColumn(ALL_KEY, F.lit(1)), [ALL_KEY]
 
 
-def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL; the right copies of the keys are dropped."""
+def join_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", small: bool = False
+) -> DataFrame:
+    """Equi-join on ``keys`` where NULL matches NULL; the right copies of the keys are dropped.
+
+    ``small=True`` broadcasts the right side - only for sides with a proven size bound (one row,
+    or one row per bucket of an ungrouped computation). Otherwise AQE decides from the measured
+    size, and its skew-join handling splits a hot key.
+    """
     keys = list(keys)
     renamed = right.select(
         *[F.col(k).alias(f"_r_{k}") for k in keys], *[F.col(c) for c in right.columns if c not in keys]
     )
+    if small:
+        renamed = F.broadcast(renamed)
     cond = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
@@ -132,7 +141,8 @@ def running_totals(
     idx = sorted_position(F.col("_lw_bounds"), o, buckets - 1)
     if descending:
         idx = F.lit(buckets - 1) - idx
-    tagged = join_keys(df, bounds, bkeys).withColumn("_lw_bucket", idx).drop("_lw_bounds")
+    ungrouped = bkeys == [ALL_KEY]
+    tagged = join_keys(df, bounds, bkeys, small=ungrouped).withColumn("_lw_bucket", idx).drop("_lw_bounds")
 
     part = [*keys, "_lw_bucket"]
     w_in = Window.partitionBy(*part).orderBy(ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -150,7 +160,7 @@ def running_totals(
         *[F.coalesce(F.sum(f"_lw_bt_{v}").over(w_off), F.lit(0)).alias(f"_lw_off_{v}") for v in value_cols],
         *([F.sum(f"_lw_bt_{v}").over(w_grp).alias(f"_lw_gt_{v}") for v in value_cols] if totals_prefix else []),
     )
-    joined = join_keys(inner, offsets, part)
+    joined = join_keys(inner, offsets, part, small=keys == [ALL_KEY])
     out = joined.select(
         *df.columns,
         *[(F.col(f"_lw_in_{v}") + F.col(f"_lw_off_{v}")).alias(prefix + v) for v in value_cols],

@@ -15,7 +15,7 @@ def score_bin_table(df: DataFrame, prob: str, target: str, bins: int = 10) -> Da
     keyed, keys = with_group_key(df, [])
     edges = decile_edges(keyed, prob, keys, bins)
     s = F.col(prob).cast("double")
-    binned = join_keys(keyed, edges, keys).withColumn("_lw_bin", bin_of(s, F.col("edges"), bins + 1))
+    binned = join_keys(keyed, edges, keys, small=True).withColumn("_lw_bin", bin_of(s, F.col("edges"), bins + 1))
     per_bin = binned.where(F.col("_lw_bin").isNotNull()).groupBy("_lw_bin").agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(F.col(target).cast("double")).alias("target_mean"),
@@ -23,10 +23,10 @@ def score_bin_table(df: DataFrame, prob: str, target: str, bins: int = 10) -> Da
     )
     overall = keyed.agg(F.avg(F.col(target).cast("double")).alias("overall_rate"), F.lit(1).alias(ALL_KEY))
     top = per_bin.agg(F.max_by("target_mean", "_lw_bin").alias("_lw_top"), F.lit(1).alias(ALL_KEY))
-    summary = join_keys(overall, top, [ALL_KEY]).select(
+    summary = join_keys(overall, top, [ALL_KEY], small=True).select(
         ALL_KEY, "overall_rate", improvement(F.col("_lw_top"), F.col("overall_rate")).alias("top_bin_improvement")
     )
-    out = join_keys(per_bin.withColumn(ALL_KEY, F.lit(1)), summary, [ALL_KEY])
+    out = join_keys(per_bin.withColumn(ALL_KEY, F.lit(1)), summary, [ALL_KEY], small=True)
     return out.select(
         (F.col("_lw_bin") + 1).alias("bin"), "n", "target_mean", "score_mean", "overall_rate", "top_bin_improvement"
     )

@@ -34,7 +34,7 @@ def time_split_labels(
         F.lit(1).alias(ALL_KEY), F.col("_lw_q")[0].alias("_lw_cut")
     )
     keyed, _ = with_group_key(with_us, [])
-    labelled = join_keys(keyed, cut, [ALL_KEY], "left")
+    labelled = join_keys(keyed, cut, [ALL_KEY], "left", small=True)  # one row
     return labelled.withColumn(
         out, F.when(F.col("_lw_us") < F.col("_lw_cut"), F.lit("train")).otherwise(F.lit("test"))
     ).drop("_lw_us", "_lw_cut", ALL_KEY)

@@ -74,14 +74,17 @@ def test_run_sql_and_scripts(spark, tmp_dir):
 def test_pipeline_to_tables_names(spark, tmp_dir):
     from lakeworks.session import scratch_database
 
+    import uuid
+
     d = _folder(tmp_dir)
     db = scratch_database(spark)
+    tag = uuid.uuid4().hex[:8]  # the scratch folder outlives sessions: never reuse a table location
     frames = P.pipeline_to_tables(
-        spark, d, schema=db, table_prefix="stg_", table_names={"gamma": "churn_daily_t"}, return_all=True
+        spark, d, schema=db, table_prefix=f"stg_{tag}_", table_names={"gamma": f"churn_daily_{tag}"}, return_all=True
     )
     assert set(frames) == {"alpha", "beta", "gamma"}
-    assert spark.catalog.tableExists(f"{db}.stg_alpha") and spark.catalog.tableExists(f"{db}.churn_daily_t")
-    assert spark.table(f"{db}.churn_daily_t").first()["step"] == "gamma"
+    assert spark.catalog.tableExists(f"{db}.stg_{tag}_alpha") and spark.catalog.tableExists(f"{db}.churn_daily_{tag}")
+    assert spark.table(f"{db}.churn_daily_{tag}").first()["step"] == "gamma"
 
 
 def test_frame_session_isolation(spark):
