@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from lakeworks.operators.common import (
     ALL_KEY,
     DEFAULT_BUCKETS,
-    exact_quantiles,
     join_keys,
+    quantiles_from_running,
     running_totals,
     with_group_key,
 )
@@ -41,40 +41,49 @@ def survival_mae(df: DataFrame, time: str, event: str, pred: str, keys: Sequence
     return df.groupBy(*keys).agg(F.avg(err).alias("mae"))
 
 
-def concordance(
-    df: DataFrame, time: str, event: str, pred: str, keys: Sequence[str] = (), buckets: int | None = DEFAULT_BUCKETS
-) -> DataFrame:
-    """``keys, pairs, concordant, tied, c_index`` (c = (concordant + tied / 2) / pairs).
-
-    A pair is comparable when the earlier time is an event, or the times tie and only one of the
-    two is an event (that one counts as earlier); it is concordant when the earlier subject has
-    the lower prediction. No comparable pair -> NULL c_index.
-    """
-    keys = list(keys)
-    df, gkeys = with_group_key(df, keys)
+def _compressed(df: DataFrame, time: str, event: str, pred: str, gkeys: list[str]) -> DataFrame:
+    """Distinct ``(keys, _t, _e, _p)`` with multiplicity ``_m`` (rows with a NULL are left out)."""
     t, e, p = F.col(time), _event(event), F.col(pred).cast("double")
     base = df.where(t.isNotNull() & e.isNotNull() & p.isNotNull()).select(
         *gkeys, t.alias("_t"), e.alias("_e"), p.alias("_p")
     )
-    comp = base.groupBy(*gkeys, "_t", "_e", "_p").agg(F.count(F.lit(1)).alias("_m"))
+    return base.groupBy(*gkeys, "_t", "_e", "_p").agg(F.count(F.lit(1)).alias("_m"))
+
+
+def _time_run(per_t: DataFrame, gkeys: list[str], buckets) -> DataFrame:
+    """One running-total pass over the per-time table: ``cum_/tot_`` of removed and slot kinds.
+
+    Feeds the time median, the Kaplan-Meier risk sets and the concordance slot index at once.
+    """
+    return running_totals(per_t, gkeys, "time", ["removed", "kinds"], buckets=buckets, totals_prefix="tot_")
+
 
-    # dense slot index over (time asc, event desc) from running totals of slot kinds per time
-    times = comp.groupBy(*gkeys, "_t").agg(F.countDistinct("_e").alias("_kinds"))
-    times = running_totals(times, gkeys, "_t", ["_kinds"], buckets=buckets)
-    slots = times.select(*gkeys, "_t", "_kinds", "cum__kinds")
+def _per_time_from_compressed(comp: DataFrame, gkeys: list[str]) -> DataFrame:
+    return comp.groupBy(*gkeys, F.col("_t").alias("time")).agg(
+        F.sum("_m").alias("removed"),
+        F.sum(F.when(F.col("_e") == 1, F.col("_m")).otherwise(F.lit(0))).cast("long").alias("deaths"),
+        F.countDistinct("_e").cast("long").alias("kinds"),
+    )
+
+
+def _concordance_from(comp: DataFrame, run: DataFrame, gkeys: list[str], buckets) -> DataFrame:
+    # dense slot index over (time asc, event desc): deaths take the first slot of their time
+    slots = run.select(
+        *gkeys, F.col("time").alias("_t"), F.col("kinds").alias("_kinds"), "cum_kinds", F.col("tot_kinds").alias("_nslots")
+    )
     placed = join_keys(comp, slots, [*gkeys, "_t"]).select(
         *gkeys,
         "_e",
         "_p",
         "_m",
-        F.when(F.col("_e") == 1, F.col("cum__kinds") - F.col("_kinds"))
-        .otherwise(F.col("cum__kinds") - 1)
+        "_nslots",
+        F.when(F.col("_e") == 1, F.col("cum_kinds") - F.col("_kinds"))
+        .otherwise(F.col("cum_kinds") - 1)
         .cast("long")
         .alias("_slot"),
     )
-    n_slots = slots.groupBy(*gkeys).agg(F.sum("_kinds").alias("_nslots"))
     levels = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.log2(F.col("_nslots"))).cast("int") - 1))
-    exploded = join_keys(placed, n_slots, gkeys).where(F.col("_nslots") > 1).select(
+    exploded = placed.where(F.col("_nslots") > 1).select(
         *gkeys, "_e", "_p", "_m", "_slot", F.explode(levels).alias("_lvl")
     )
     half = F.expr("shiftright(_slot, _lvl) & 1")
@@ -89,45 +98,47 @@ def concordance(
     )
     cells = cell.groupBy(*gkeys, "_lvl", "_blk", "_p").agg(F.sum("_d").alias("_d"), F.sum("_q").alias("_q"))
     cells = cells.where((F.col("_d") > 0) | (F.col("_q") > 0))
-    run = running_totals(
+    cum = running_totals(
         cells, [*gkeys, "_lvl", "_blk"], "_p", ["_d"], buckets=buckets, bound_keys=gkeys, totals_prefix="tot_"
     )
     q = F.col("_q").cast(_DEC)
-    counted = run.groupBy(*gkeys).agg(
+    counted = cum.groupBy(*gkeys).agg(
         F.sum(q * F.col("tot__d").cast(_DEC)).alias("pairs"),
         F.sum(q * (F.col("cum__d") - F.col("_d")).cast(_DEC)).alias("concordant"),
         F.sum(q * F.col("_d").cast(_DEC)).alias("tied"),
     )
-    present = base.select(*gkeys).distinct()
+    present = slots.select(*gkeys).distinct()
     out = join_keys(present, counted, gkeys, "left").select(
         *gkeys,
         *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("pairs", "concordant", "tied")],
     )
-    out = out.withColumn(
+    return out.withColumn(
         "c_index",
         F.when(
             F.col("pairs") > 0,
             (F.col("concordant").cast("double") + F.col("tied").cast("double") / 2) / F.col("pairs").cast("double"),
         ),
     )
-    return out if keys else out.drop(ALL_KEY)
 
 
-def km_curve(df: DataFrame, time: str, event: str, keys: Sequence[str] = (), buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """E18 curve: ``keys, time, at_risk, deaths, removed, survival`` per distinct time.
+def concordance(
+    df: DataFrame, time: str, event: str, pred: str, keys: Sequence[str] = (), buckets: int | None = DEFAULT_BUCKETS
+) -> DataFrame:
+    """``keys, pairs, concordant, tied, c_index`` (c = (concordant + tied / 2) / pairs).
 
-    ``survival = exp(sum(log(at_risk - deaths) - log(at_risk)))`` accumulated in time order - the
-    product-limit estimate in the same log form the usual estimator uses.
+    A pair is comparable when the earlier time is an event, or the times tie and only one of the
+    two is an event (that one counts as earlier); it is concordant when the earlier subject has
+    the lower prediction. No comparable pair -> NULL c_index.
     """
     keys = list(keys)
     df, gkeys = with_group_key(df, keys)
-    t, e = F.col(time), _event(event)
-    per_t = (
-        df.where(t.isNotNull() & e.isNotNull())
-        .groupBy(*gkeys, t.alias("time"))
-        .agg(F.count(F.lit(1)).alias("removed"), F.sum(e).cast("long").alias("deaths"))
-    )
-    run = running_totals(per_t, gkeys, "time", ["removed"], buckets=buckets, totals_prefix="tot_")
+    comp = _compressed(df, time, event, pred, gkeys)
+    run = _time_run(_per_time_from_compressed(comp, gkeys), gkeys, buckets)
+    out = _concordance_from(comp, run, gkeys, buckets)
+    return out if keys else out.drop(ALL_KEY)
+
+
+def _km_from_run(run: DataFrame, gkeys: list[str], buckets) -> DataFrame:
     at_risk = F.col("tot_removed") - F.col("cum_removed") + F.col("removed")
     with_risk = run.select(*gkeys, "time", "removed", "deaths", at_risk.alias("at_risk"))
     term = F.when(F.col("at_risk") == F.col("deaths"), F.lit(float("-inf"))).otherwise(
@@ -135,20 +146,51 @@ def km_curve(df: DataFrame, time: str, event: str, keys: Sequence[str] = (), buc
     )
     with_term = with_risk.withColumn("_lt", F.when(F.col("deaths") > 0, term).otherwise(F.lit(0.0)))
     curve = running_totals(with_term, gkeys, "time", ["_lt"], buckets=buckets)
-    out = curve.select(*gkeys, "time", "at_risk", "deaths", "removed", F.exp("cum__lt").alias("survival"))
-    return out if keys else out.drop(ALL_KEY)
+    return curve.select(*gkeys, "time", "at_risk", "deaths", "removed", F.exp("cum__lt").alias("survival"))
 
 
-def km_median(df: DataFrame, time: str, event: str, keys: Sequence[str] = (), buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """E18 median: smallest time with survival <= 0.5, else +infinity."""
+def _per_time(df: DataFrame, time: str, event: str, gkeys: list[str]) -> DataFrame:
+    t, e = F.col(time), _event(event)
+    return (
+        df.where(t.isNotNull() & e.isNotNull())
+        .groupBy(*gkeys, t.alias("time"))
+        .agg(
+            F.count(F.lit(1)).alias("removed"),
+            F.sum(e).cast("long").alias("deaths"),
+            F.countDistinct(e).cast("long").alias("kinds"),
+        )
+    )
+
+
+def km_curve(
+    df: DataFrame, time: str, event: str, keys: Sequence[str] = (), buckets: int | None = DEFAULT_BUCKETS
+) -> DataFrame:
+    """E18 curve: ``keys, time, at_risk, deaths, removed, survival`` per distinct time.
+
+    ``survival = exp(sum(log(at_risk - deaths) - log(at_risk)))`` accumulated in time order - the
+    product-limit estimate in the same log form the usual estimator uses.
+    """
     keys = list(keys)
     df, gkeys = with_group_key(df, keys)
-    curve = km_curve(df, time, event, gkeys, buckets=buckets)
-    out = curve.groupBy(*gkeys).agg(
+    out = _km_from_run(_time_run(_per_time(df, time, event, gkeys), gkeys, buckets), gkeys, buckets)
+    return out if keys else out.drop(ALL_KEY)
+
+
+def _median_of_curve(curve: DataFrame, gkeys: list[str]) -> DataFrame:
+    return curve.groupBy(*gkeys).agg(
         F.coalesce(
             F.min(F.when(F.col("survival") <= 0.5, F.col("time").cast("double"))), F.lit(float("inf"))
         ).alias("km_median")
     )
+
+
+def km_median(
+    df: DataFrame, time: str, event: str, keys: Sequence[str] = (), buckets: int | None = DEFAULT_BUCKETS
+) -> DataFrame:
+    """E18 median: smallest time with survival <= 0.5, else +infinity."""
+    keys = list(keys)
+    df, gkeys = with_group_key(df, keys)
+    out = _median_of_curve(km_curve(df, time, event, gkeys, buckets=buckets), gkeys)
     return out if keys else out.drop(ALL_KEY)
 
 
@@ -178,11 +220,16 @@ def survival_report(
         F.avg(p).alias("avg_predicted_months"),
         F.avg(err).alias("mae"),
     ).where(F.col("n_observations") > test_size_minimum_per_group)
-    kept = df  # statistics run on all groups; the join with ``base`` drops the small ones
-    med_t = exact_quantiles(kept, keys, time_col, [0.5], out="_mt", buckets=buckets)
-    med_p = exact_quantiles(kept, keys, pred_col, [0.5], out="_mp", buckets=buckets)
-    km = km_median(kept, time_col, event_col, keys, buckets=buckets)
-    ci = concordance(kept, time_col, event_col, pred_col, keys, buckets=buckets)
+    # statistics run on all groups (the join with ``base`` drops small ones); one compressed
+    # table and one per-time running pass feed the time median, Kaplan-Meier and concordance
+    comp = _compressed(df, time_col, event_col, pred_col, keys)
+    run = _time_run(_per_time_from_compressed(comp, keys), keys, buckets)
+    med_t = quantiles_from_running(run, keys, "time", "removed", "cum_removed", "tot_removed", [0.5], out="_mt")
+    km = _median_of_curve(_km_from_run(run, keys, buckets), keys)
+    ci = _concordance_from(comp, run, keys, buckets)
+    pred_hist = comp.groupBy(*keys, "_p").agg(F.sum("_m").alias("_pn"))
+    pred_run = running_totals(pred_hist, keys, "_p", ["_pn"], buckets=buckets, totals_prefix="tot_")
+    med_p = quantiles_from_running(pred_run, keys, "_p", "_pn", "cum__pn", "tot__pn", [0.5], out="_mp")
     full = join_keys(base, med_t.select(*keys, F.col("_mt")[0].alias("median_months")), keys, "left")
     full = join_keys(full, km.select(*keys, F.col("km_median").alias("km_median_surv_months")), keys, "left")
     full = join_keys(full, med_p.select(*keys, F.col("_mp")[0].alias("median_predicted_months")), keys, "left")
