@@ -19,10 +19,10 @@ from lakeworks.operators.common import (
     exact_quantiles,
     join_keys,
     numpy_linspace,
-    count_below,
     quantiles_from_running,
     running_totals,
     safe_corr,
+    sorted_position,
     with_group_key,
 )
 
@@ -162,7 +162,7 @@ def ece(hist: DataFrame, keys: Sequence[str] = (), n_bins: int = 10) -> DataFram
     """
     edges = numpy_linspace(n_bins)
     s = F.col("score")
-    bin_ix = count_below([F.lit(e) for e in edges[:-1]], s) - 1
+    bin_ix = sorted_position(F.array(*[F.lit(e) for e in edges[:-1]]), s, n_bins) - 1
     in_any = (s > F.lit(edges[0])) & (s <= F.lit(edges[-1]))
     hist, gkeys = with_group_key(hist, keys)
     per_bin = (
@@ -237,7 +237,8 @@ def decile_edges(df: DataFrame, score: str, keys: Sequence[str] = (), q: int = 1
 def bin_of(score: Column, edges: Column, max_edges: int = 11) -> Column:
     """Right-closed bin with the lowest edge included; NULL with fewer than two distinct edges
     or outside the edges (pandas ``qcut(..., labels=False, duplicates="drop")``)."""
-    ix = F.greatest(F.lit(0), count_below([F.get(edges, i) for i in range(max_edges)], score) - 1)
+    # edges are sorted; positions past the array's end read NULL and never count as below
+    ix = F.greatest(F.lit(0), sorted_position(edges, score, max_edges) - 1)
     inside = (score >= F.element_at(edges, 1)) & (score <= F.element_at(edges, -1))
     return F.when((F.size(edges) >= 2) & inside, ix)
 

@@ -62,14 +62,6 @@ def sorted_position(bounds: Column, value: Column, size: int) -> Column:
     return search(0, size)
 
 
-def count_below(values: Sequence[Column], x: Column) -> Column:
-    """How many of a few values are ``< x`` (NULLs never count): an unrolled, codegen'd sum."""
-    total = F.lit(0)
-    for v in values:
-        total = total + F.coalesce((v < x).cast("int"), F.lit(0))
-    return total
-
-
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson correlation over rows where both are non-NULL; NULL when a side is constant.
     (``corr`` raises DIVIDE_BY_ZERO under ANSI mode for a constant side.)"""
@@ -254,13 +246,14 @@ def quantiles_from_running(
     order = sorted(range(len(probs)), key=lambda i: probs[i])
     sp = [float(probs[i]) for i in order]
     n1 = (F.col(total) - 1).cast("double")
-    los = [F.floor(n1 * p) for p in sp]
-    his = [F.ceil(n1 * p) for p in sp]
     start = F.col(cum) - F.col(count)
     end = F.col(cum) - 1
-    # ranks grow with p, so the probabilities whose lo/hi rank falls in [start, end] form a range
-    kmin = count_below(his, start)
-    kmax = count_below(los, end + 1) - 1
+    # ranks grow with p, so the probabilities whose lo/hi rank falls in [start, end] form a range;
+    # find its ends by binary search over the (sorted) rank arrays - compact generated code
+    his = F.array(*[F.ceil(n1 * p) for p in sp])
+    los = F.array(*[F.floor(n1 * p) for p in sp])
+    kmin = sorted_position(his, start, len(sp))
+    kmax = sorted_position(los, end + 1, len(sp)) - 1
     cand = run.select(
         *keys,
         F.col(total).alias("_lw_total"),
