@@ -129,21 +129,31 @@ def q_read_table(spark: SparkSession, d: str) -> DataFrame:
 # ----------------------------------------------------------------------------- A10-A12 listings
 
 
+def _orders_export(spark: SparkSession, d: str, partition_cols=()) -> str:
+    """Orders written with a row cap per file, so the file count grows with the table."""
+    path = scratch_path(spark, "files")
+    o = table(spark, d, "orders").withColumn("o_month", F.date_format("o_orderdate", "yyyy-MM"))
+    w = o.write.option("maxRecordsPerFile", 1000)
+    if partition_cols:
+        w = w.partitionBy(*partition_cols)
+    w.parquet(path)
+    return path
+
+
 @register("file_inventory")
 def q_file_inventory(spark: SparkSession, d: str) -> DataFrame:
-    return FS.list_files(spark, d)
+    """Recursive listing (path, size, time) of a partitioned export; content is never read."""
+    return FS.list_files(spark, _orders_export(spark, d, ("o_orderpriority",)), glob="*.parquet")
 
 
 @register("file_inventory_flat")
 def q_file_inventory_flat(spark: SparkSession, d: str) -> DataFrame:
-    return FS.list_files(spark, d, recursive=False, glob="*.parquet")
+    return FS.list_files(spark, _orders_export(spark, d), recursive=False, glob="*.parquet")
 
 
 @register("partition_inventory")
 def q_partition_inventory(spark: SparkSession, d: str) -> DataFrame:
-    path = scratch_path(spark, "parts")
-    table(spark, d, "orders").write.partitionBy("o_orderstatus", "o_orderpriority").parquet(path)
-    return FS.list_partition_paths(spark, path, depth=2)
+    return FS.list_partition_paths(spark, _orders_export(spark, d, ("o_orderstatus", "o_month")), depth=2)
 
 
 # ----------------------------------------------------------------------------- A14, C12, C13
@@ -259,12 +269,36 @@ def q_null_columns(spark: SparkSession, d: str) -> DataFrame:
     return typed.withColumn("ship_note_date", F.col("ship_note_date").cast("string"))
 
 
-@register("schema_as_rows")
+@register(
+    "schema_as_rows",
+    """SELECT 0 AS position, 'l_orderkey' AS column_name, 'bigint' AS spark_type, 'BIGINT' AS declared_type, count(l_orderkey) AS n_non_null FROM lineitem
+       UNION ALL SELECT 1 AS position, 'l_partkey' AS column_name, 'bigint' AS spark_type, 'BIGINT' AS declared_type, count(l_partkey) AS n_non_null FROM lineitem
+       UNION ALL SELECT 2 AS position, 'l_suppkey' AS column_name, 'bigint' AS spark_type, 'BIGINT' AS declared_type, count(l_suppkey) AS n_non_null FROM lineitem
+       UNION ALL SELECT 3 AS position, 'l_linenumber' AS column_name, 'int' AS spark_type, 'INT' AS declared_type, count(l_linenumber) AS n_non_null FROM lineitem
+       UNION ALL SELECT 4 AS position, 'l_quantity' AS column_name, 'double' AS spark_type, 'DOUBLE PRECISION' AS declared_type, count(l_quantity) AS n_non_null FROM lineitem
+       UNION ALL SELECT 5 AS position, 'l_extendedprice' AS column_name, 'double' AS spark_type, 'DOUBLE PRECISION' AS declared_type, count(l_extendedprice) AS n_non_null FROM lineitem
+       UNION ALL SELECT 6 AS position, 'l_discount' AS column_name, 'double' AS spark_type, 'DOUBLE PRECISION' AS declared_type, count(l_discount) AS n_non_null FROM lineitem
+       UNION ALL SELECT 7 AS position, 'l_tax' AS column_name, 'double' AS spark_type, 'DOUBLE PRECISION' AS declared_type, count(l_tax) AS n_non_null FROM lineitem
+       UNION ALL SELECT 8 AS position, 'l_returnflag' AS column_name, 'string' AS spark_type, 'CHAR(1)' AS declared_type, count(l_returnflag) AS n_non_null FROM lineitem
+       UNION ALL SELECT 9 AS position, 'l_linestatus' AS column_name, 'string' AS spark_type, 'VARCHAR(65535)' AS declared_type, count(l_linestatus) AS n_non_null FROM lineitem
+       UNION ALL SELECT 10 AS position, 'l_shipdate' AS column_name, 'timestamp_ntz' AS spark_type, 'TIMESTAMP' AS declared_type, count(l_shipdate) AS n_non_null FROM lineitem""",
+)
 def q_schema_as_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Declared types inferred from the lineitem schema, as rows."""
+    """Declared types inferred from the lineitem schema, with each column's non-NULL count."""
     li = table(spark, d, "lineitem")
     rows = TY.schema_rows(li, overrides={"l_returnflag": "CHAR(1)"})
-    return spark.createDataFrame(rows, "position int, column_name string, spark_type string, declared_type string")
+    types = spark.createDataFrame(
+        rows, "position int, column_name string, spark_type string, declared_type string"
+    )
+    counts = li.agg(*[F.count(F.col(c)).alias(c) for c in li.columns])
+    stacked = counts.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_non_null")) for c in li.columns])
+        ).alias("s")
+    ).select("s.*")
+    return types.join(F.broadcast(stacked), "column_name").select(
+        "position", "column_name", "spark_type", "declared_type", "n_non_null"
+    )
 
 
 @register(
@@ -357,11 +391,16 @@ def q_save_table_append_merge(spark: SparkSession, d: str) -> DataFrame:
     return round6(out)
 
 
-@register("table_comment")
+@register(
+    "table_comment",
+    "SELECT 'customers, ''quoted'' text' AS comment, count(*) AS n_rows FROM customer",
+)
 def q_table_comment(spark: SparkSession, d: str) -> DataFrame:
     t = scratch_table(spark, "cmt")
-    TB.save_table(table(spark, d, "nation"), t, comment="nations, 'quoted' text")
-    return spark.sql(f"DESCRIBE TABLE EXTENDED {t}").where(F.col("col_name") == "Comment")
+    saved = TB.save_table(table(spark, d, "customer"), t, comment="customers, 'quoted' text")
+    return saved.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(TB.table_comment(spark, t)).alias("comment"), "n_rows"
+    )
 
 
 @register("optimize_table", f"SELECT {ORDERS_COLS} FROM orders")
@@ -515,16 +554,16 @@ def q_sheet_to_files(spark: SparkSession, d: str) -> DataFrame:
 
 @register(
     "cells_append",
-    """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation
+    """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey FROM supplier
        UNION ALL
-       SELECT CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR) FROM nation WHERE n_regionkey < 3""",
+       SELECT CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR) FROM supplier WHERE s_nationkey < 10""",
 )
 def q_cells_append(spark: SparkSession, d: str) -> DataFrame:
-    n = table(spark, d, "nation")
+    s = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     t = scratch_table(spark, "cells")
-    TB.write_cells(CE.to_cells(n.where(F.col("n_regionkey") > 100)), t, "overwrite")
-    TB.write_cells(CE.to_cells(n), t, "overwrite")
-    return TB.write_cells(CE.to_cells(n.where(F.col("n_regionkey") < 3)), t, "append")
+    TB.write_cells(CE.to_cells(s.where(F.col("s_nationkey") > 100)), t, "overwrite")
+    TB.write_cells(CE.to_cells(s), t, "overwrite")
+    return TB.write_cells(CE.to_cells(s.where(F.col("s_nationkey") < 10)), t, "append")
 
 
 @register(
