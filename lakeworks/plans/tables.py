@@ -567,6 +567,21 @@ def analyze_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
 
 
+def column_stats(spark: SparkSession, table: str, column: str) -> dict:
+    """Catalog statistics of one column (after ``analyze_table``): min, max, num_nulls, ..."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {TY.quote(column)}").collect()
+    return {r["info_name"]: r["info_value"] for r in rows}
+
+
+def table_row_count(spark: SparkSession, table: str) -> int | None:
+    """Row count recorded in the catalog statistics (None before ``analyze_table``)."""
+    import re
+
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Statistics").collect()
+    m = re.search(r"(\d+) rows", rows[0]["data_type"]) if rows else None
+    return int(m.group(1)) if m else None
+
+
 def upsert(target_df: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """B19 as a frame: source rows plus the target rows whose keys the source does not have."""
     keys = list(keys)

@@ -524,11 +524,20 @@ def q_copy_table(spark: SparkSession, d: str) -> DataFrame:
     return round6(TB.copy_table(spark, src, dst, replace=True))
 
 
-@register("table_stats")
+@register(
+    "table_stats",
+    """SELECT count(*) AS n_rows, round(min(c_acctbal), 6) AS min_acctbal, round(max(c_acctbal), 6) AS max_acctbal,
+              count(*) FILTER (WHERE c_acctbal IS NULL) AS null_acctbal FROM customer""",
+)
 def q_table_stats(spark: SparkSession, d: str) -> DataFrame:
+    """ANALYZE a table, then read row count and column min/max/NULLs from the catalog statistics."""
     t = scratch_table(spark, "stats")
     TB.save_table(table(spark, d, "customer"), t)
-    return TB.analyze_table(spark, t)
+    TB.analyze_table(spark, t)
+    st = TB.column_stats(spark, t, "c_acctbal")
+    row = (TB.table_row_count(spark, t), float(st["min"]), float(st["max"]), int(st["num_nulls"]))
+    out = spark.createDataFrame([row], "n_rows long, min_acctbal double, max_acctbal double, null_acctbal long")
+    return round6(out)
 
 
 # ----------------------------------------------------------------------------- B15, B17-B19
