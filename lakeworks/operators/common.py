@@ -62,6 +62,17 @@ def sorted_position(bounds: Column, value: Column, size: int) -> Column:
     return search(0, size)
 
 
+def epoch_micros(c: Column) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a timestamp's wall-clock fields.
+
+    Exact and monotonic for TIMESTAMP_NTZ in every session time zone (casting to TIMESTAMP would
+    go through the zone and fold at daylight-saving changes)."""
+    days = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    secs = F.hour(c).cast("long") * 3600 + F.minute(c).cast("long") * 60
+    micros = (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    return days * 86_400_000_000 + secs * 1_000_000 + micros
+
+
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson correlation over rows where both are non-NULL; NULL when a side is constant.
     (``corr`` raises DIVIDE_BY_ZERO under ANSI mode for a constant side.)"""

@@ -17,11 +17,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeworks.operators.common import join_keys
+from lakeworks.operators.common import epoch_micros, join_keys
 
 
 def _epoch_seconds(col: str):
-    return F.unix_micros(F.col(col).cast("timestamp")) / 1_000_000.0
+    return epoch_micros(F.col(col)) / 1_000_000.0
 
 
 def asof_join(

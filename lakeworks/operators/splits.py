@@ -12,7 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeworks.operators.common import ALL_KEY, exact_quantiles, join_keys, running_totals, with_group_key
+from lakeworks.operators.common import (
+    ALL_KEY,
+    epoch_micros,
+    exact_quantiles,
+    join_keys,
+    running_totals,
+    with_group_key,
+)
 
 
 def time_split_labels(
@@ -28,7 +35,7 @@ def time_split_labels(
     df = data
     if max_date is not None:
         df = df.where(F.col(date_column) < F.lit(max_date).cast(df.schema[date_column].dataType))
-    us = F.unix_micros(F.col(date_column).cast("timestamp")).cast("double")
+    us = epoch_micros(F.col(date_column)).cast("double")
     with_us = df.withColumn("_lw_us", us)
     cut = exact_quantiles(with_us, [], "_lw_us", [1 - test_ratio], out="_lw_q").select(
         F.lit(1).alias(ALL_KEY), F.col("_lw_q")[0].alias("_lw_cut")
