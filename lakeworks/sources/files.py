@@ -53,17 +53,57 @@ def split_bucket_path(path: str) -> tuple[str, str]:
 # ------------------------------------------------------------------------------ A1, A2, A3
 
 
-def read_parquet(spark: SparkSession, path: str | Sequence[str], partition_columns: bool = False) -> DataFrame:
+def read_parquet(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    partition_columns: bool = False,
+    periods: str | Mapping[str, str] | None = "auto",
+) -> DataFrame:
     """A1: one Parquet file, or every Parquet file under a directory (recursively).
 
     By default ``k=v`` directories do **not** become columns (each file is read as it is);
-    ``partition_columns=True`` uses Spark's normal partition discovery instead.
+    ``partition_columns=True`` uses Spark's normal partition discovery instead. A2: pandas
+    Period columns (stored as integer ordinals) come back as the period's start timestamp -
+    ``periods="auto"`` reads their frequencies from one file footer, a mapping names them.
     """
     paths = [path] if isinstance(path, str) else list(path)
     reader = spark.read
     if not partition_columns:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-    return reader.parquet(*paths)
+    df = reader.parquet(*paths)
+    if periods == "auto":
+        files = df.inputFiles()  # already listed by the scan; no extra job
+        periods = period_columns(files[0]) if files else {}
+    for name, freq in (periods or {}).items():
+        if name in df.columns:
+            try:
+                df = df.withColumn(name, period_start(name, freq))
+            except ValueError:
+                pass  # frequencies without a start rule stay ordinals
+    return df
+
+
+def period_columns(file_path: str) -> dict[str, str]:
+    """``{column: freq}`` of pandas Period columns, from one Parquet footer's pandas metadata.
+
+    Best effort through pyarrow on the driver (footer only); ``{}`` when the file system is not
+    reachable from Python or the file carries no such metadata."""
+    import json
+
+    try:
+        import pyarrow.parquet as pq
+
+        local = file_path[len("file:") :] if file_path.startswith("file:") else file_path
+        meta = pq.read_schema(local).metadata or {}
+        cols = json.loads(meta.get(b"pandas", b"{}")).get("columns", [])
+    except Exception:  # noqa: BLE001
+        return {}
+    out = {}
+    for c in cols:
+        t = str(c.get("numpy_type") or "")
+        if t.startswith("period[") and t.endswith("]"):
+            out[c["name"]] = t[len("period[") : -1]
+    return out
 
 
 def period_start(col: str, freq: str = "M"):

@@ -69,3 +69,19 @@ def test_sql_over_files_and_scan(spark, tmp_dir):
     n = FS.sql_over_files(spark, "SELECT count(*) AS n FROM lw_files_v", lw_files_v=path).first()["n"]
     assert n == 6
     assert FS.first_parquet_schema(spark, path).fieldNames() == ["id"]
+
+
+def test_pandas_period_columns_become_period_starts(spark, tmp_dir):
+    import datetime as dt
+
+    pdf = pd.DataFrame({"id": [1, 2, 3], "value": [10, 20, 30], "month": pd.period_range("2024-01", periods=3, freq="M")})
+    path = os.path.join(tmp_dir, "periods.parquet")
+    pdf.to_parquet(path)
+    out = FS.read_parquet(spark, path).orderBy("id").collect()
+    assert [r["month"] for r in out] == [dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1), dt.datetime(2024, 3, 1)]
+    raw = FS.read_parquet(spark, path, periods=None).orderBy("id").first()["month"]
+    assert raw == 648
+    years = pd.DataFrame({"y": pd.period_range("2020", periods=2, freq="Y")})
+    ypath = os.path.join(tmp_dir, "years.parquet")
+    years.to_parquet(ypath)
+    assert FS.read_parquet(spark, ypath).orderBy("y").first()["y"] == dt.datetime(2020, 1, 1)
