@@ -388,7 +388,8 @@ def performance_report(
         F.count_if((y == 0) & (p == 1)).alias("fp"),
         F.count_if((y == 1) & (p == 0)).alias("fn"),
         F.avg(F.pow(s - y, 2)).alias("_brier"),
-        F.countDistinct(y).alias("_classes"),
+        # two classes present <=> max != min (no distinct-aggregate expansion)
+        (F.max(y) > F.min(y)).cast("int").alias("_two"),
     )
     # every statistic is computed for all groups at once and small groups are dropped at the end:
     # they are small by definition, and no extra pass over the rows is needed to find them
@@ -407,7 +408,7 @@ def performance_report(
     base = base.where(F.col("n_observations") > test_size_minimum_per_group)
     full = join_keys(join_keys(join_keys(base, areas, keys, "left"), cal, keys, "left"), dec, keys, "left")
     n = F.col("n_observations")
-    two = F.col("_classes") > 1
+    two = F.col("_two") == 1
     m = confusion_metrics(F.col("tp"), F.col("tn"), F.col("fp"), F.col("fn"))
     cols = {
         "n_observations": n,

@@ -62,7 +62,7 @@ def _per_time_from_compressed(comp: DataFrame, gkeys: list[str]) -> DataFrame:
     return comp.groupBy(*gkeys, F.col("_t").alias("time")).agg(
         F.sum("_m").alias("removed"),
         F.sum(F.when(F.col("_e") == 1, F.col("_m")).otherwise(F.lit(0))).cast("long").alias("deaths"),
-        F.countDistinct("_e").cast("long").alias("kinds"),
+        (F.lit(1) + (F.max("_e") > F.min("_e")).cast("long")).alias("kinds"),
     )
 
 
@@ -157,7 +157,7 @@ def _per_time(df: DataFrame, time: str, event: str, gkeys: list[str]) -> DataFra
         .agg(
             F.count(F.lit(1)).alias("removed"),
             F.sum(e).cast("long").alias("deaths"),
-            F.countDistinct(e).cast("long").alias("kinds"),
+            (F.lit(1) + (F.max(e) > F.min(e)).cast("long")).alias("kinds"),
         )
     )
 
