@@ -10,17 +10,14 @@ staging table is written). All writes are Spark jobs; the driver only issues cat
 from __future__ import annotations
 
 import logging
-import math
 import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakeworks.functions import types as TY
 from lakeworks.functions.sqltext import resolve_query, returns_rows, split_statements, spark_dialect
-from lakeworks.session import scratch_path
 from lakeworks.sources.files import first_parquet_schema, has_files, list_partition_paths, normalize_path
 
 log = logging.getLogger(__name__)
