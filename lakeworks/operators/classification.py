@@ -174,20 +174,12 @@ def ece(hist: DataFrame, keys: Sequence[str] = (), n_bins: int = 10) -> DataFram
             F.sum(s * F.col("n")).alias("_conf"),
         )
     )
-    total = F.sum("_cnt").over(Window.partitionBy(*gkeys))
-    out = (
-        per_bin.select("*", total.alias("_all"))
-        .where(F.col("_bin").isNotNull())
-        .groupBy(*gkeys)
-        .agg(
-            F.sum(
-                F.abs(F.col("_conf") / F.col("_cnt") - F.col("_pos") / F.col("_cnt")) * (F.col("_cnt") / F.col("_all"))
-            ).alias("ece")
-        )
+    # the weight of a bin is its share of *all* rows of the group, bin-less ones included, so the
+    # group total is the sum over every per-bin row - one aggregate, no window and no join
+    gap = F.abs(F.col("_conf") / F.col("_cnt") - F.col("_pos") / F.col("_cnt")) * F.col("_cnt")
+    out = per_bin.groupBy(*gkeys).agg(
+        (F.coalesce(F.sum(F.when(F.col("_bin").isNotNull(), gap)), F.lit(0.0)) / F.sum("_cnt")).alias("ece")
     )
-    # groups whose every score is outside (0, 1] still get an ECE of 0
-    present = hist.select(*gkeys).distinct()
-    out = join_keys(present, out, gkeys, "left").select(*gkeys, F.coalesce("ece", F.lit(0.0)).alias("ece"))
     return out if keys else out.drop(ALL_KEY)
 
 
@@ -275,37 +267,52 @@ def decile_rates(df: DataFrame, target: str, score: str, keys: Sequence[str] = (
     return res if keys else res.drop(ALL_KEY)
 
 
+def _array_corr(arr: Column, fx, fy) -> Column:
+    """Pearson correlation over a small array of structs (two-pass, centred, so a constant side
+    gives exactly zero variance -> NULL)."""
+    n = F.size(arr).cast("double")
+    mx = F.aggregate(arr, F.lit(0.0), lambda acc, e: acc + fx(e)) / n
+    my = F.aggregate(arr, F.lit(0.0), lambda acc, e: acc + fy(e)) / n
+    sxy = F.aggregate(arr, F.lit(0.0), lambda acc, e: acc + (fx(e) - mx) * (fy(e) - my))
+    sxx = F.aggregate(arr, F.lit(0.0), lambda acc, e: acc + (fx(e) - mx) * (fx(e) - mx))
+    syy = F.aggregate(arr, F.lit(0.0), lambda acc, e: acc + (fy(e) - my) * (fy(e) - my))
+    return F.when((sxx > 0) & (syy > 0), sxy / F.sqrt(sxx * syy))
+
+
 def decile_summary(rates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """E11/E12 per group: top-3 bin rates (highest bin first), bin count, Spearman and Pearson
-    correlation of bin vs target rate (only with more than 4 bins, else NULL)."""
+    correlation of bin vs target rate (only with more than 4 bins, else NULL).
+
+    A group has at most ``q`` bins, so its bins are gathered into one small array and ranked
+    there (average ranks for tied rates) - one aggregate instead of window shuffles.
+    """
     keys = list(keys)
-    w_desc = Window.partitionBy(*keys).orderBy(F.col("bin").desc())
-    w_rate = Window.partitionBy(*keys).orderBy("target_rate")
-    w_tie = Window.partitionBy(*keys, "target_rate")
-    ranked = rates.select(
-        *keys,
-        "bin",
-        "target_rate",
-        F.row_number().over(w_desc).alias("_pos"),
-        (F.rank().over(w_rate) + (F.count(F.lit(1)).over(w_tie) - 1) / 2.0).alias("_rate_rank"),
+    per = rates.groupBy(*keys).agg(
+        F.sort_array(
+            F.collect_list(F.struct(F.col("bin").cast("double").alias("b"), F.col("target_rate").alias("r"))),
+            asc=False,
+        ).alias("_bins")
     )
-    agg = ranked.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("number_deciles"),
-        safe_corr(F.col("bin"), F.col("_rate_rank")).alias("_spearman"),
-        safe_corr(F.col("bin"), F.col("target_rate")).alias("_pearson"),
-        F.max(F.when(F.col("_pos") == 1, F.col("target_rate"))).alias("first_decile_target_rate"),
-        F.max(F.when(F.col("_pos") == 2, F.col("target_rate"))).alias("second_decile_target_rate"),
-        F.max(F.when(F.col("_pos") == 3, F.col("target_rate"))).alias("third_decile_target_rate"),
+    arr = F.col("_bins")
+    ranked = F.transform(
+        arr,
+        lambda x: F.struct(
+            (F.size(F.filter(arr, lambda y: y["b"] < x["b"])) + 1).cast("double").alias("rb"),
+            (
+                F.size(F.filter(arr, lambda y: y["r"] < x["r"]))
+                + (F.size(F.filter(arr, lambda y: y["r"] == x["r"])) + 1) / 2.0
+            ).alias("rr"),
+        ),
     )
-    many = F.col("number_deciles") > 4
-    return agg.select(
+    many = F.size(arr) > 4
+    return per.select(
         *keys,
-        "number_deciles",
-        F.when(many, F.col("_spearman")).alias("rank_correlation"),
-        F.when(many, F.col("_pearson")).alias("target_bin_correlation"),
-        "first_decile_target_rate",
-        "second_decile_target_rate",
-        "third_decile_target_rate",
+        F.size(arr).cast("long").alias("number_deciles"),
+        F.when(many, _array_corr(ranked, lambda e: e["rb"], lambda e: e["rr"])).alias("rank_correlation"),
+        F.when(many, _array_corr(arr, lambda e: e["b"], lambda e: e["r"])).alias("target_bin_correlation"),
+        F.get(arr, 0)["r"].alias("first_decile_target_rate"),
+        F.get(arr, 1)["r"].alias("second_decile_target_rate"),
+        F.get(arr, 2)["r"].alias("third_decile_target_rate"),
     )
 
 

@@ -160,3 +160,15 @@ def test_partition_count_does_not_change_results(spark, clf_df):
         out.append(sorted(map(tuple, C.performance_report(clf_df, "target", "prediction", "probability", ["group"], 3).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert out[0] == out[1]
+
+
+def test_decile_summary_matches_pandas_with_ties(spark):
+    rates = pd.DataFrame({"g": ["a"] * 7, "bin": range(7), "target_rate": [0.1, 0.3, 0.3, 0.2, 0.5, 0.5, 0.9]})
+    got = C.decile_summary(spark.createDataFrame(rates), ["g"]).first()
+    assert got["number_deciles"] == 7
+    assert got["rank_correlation"] == pytest.approx(rates[["bin", "target_rate"]].corr(method="spearman").iloc[0, 1])
+    assert got["target_bin_correlation"] == pytest.approx(rates[["bin", "target_rate"]].corr().iloc[0, 1])
+    top = [got["first_decile_target_rate"], got["second_decile_target_rate"], got["third_decile_target_rate"]]
+    assert top == [0.9, 0.5, 0.5]
+    few = C.decile_summary(spark.createDataFrame(rates.head(4)), ["g"]).first()
+    assert few["rank_correlation"] is None and few["number_deciles"] == 4
