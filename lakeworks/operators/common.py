@@ -279,21 +279,23 @@ def quantiles_from_running(
     pos = (F.col("_lw_total") - 1).cast("double") * p_k
     lo, hi = F.floor(pos), F.ceil(pos)
     in_range = lambda r: r.between(F.col("_lw_start"), F.col("_lw_end"))
-    per_k = hits.groupBy(*keys, "_lw_k").agg(
-        F.first("_lw_total").alias("_lw_total"),
-        F.first(pos - lo).alias("_lw_frac"),
-        F.max(F.when(in_range(lo), F.col("_lw_qv"))).alias("_lw_a"),
-        F.max(F.when(in_range(hi), F.col("_lw_qv"))).alias("_lw_b"),
+    entry = F.struct(
+        F.col("_lw_k").alias("k"),
+        F.when(in_range(lo), F.col("_lw_qv")).alias("a"),
+        F.when(in_range(hi), F.col("_lw_qv")).alias("b"),
+        (pos - lo).alias("f"),
     )
-    a, b, t = F.col("_lw_a"), F.col("_lw_b"), F.col("_lw_frac")
-    d = b - a
-    value_k = F.when(t < 0.5, a + d * t).otherwise(b - d * (F.lit(1.0) - t))
+    # at most two hit rows per probability per group: one aggregate gathers them all
+    per = hits.groupBy(*keys).agg(F.first("_lw_total").alias("n"), F.collect_list(entry).alias("_lw_e"))
+
+    def pick(j: int, field: str) -> Column:
+        return F.array_max(F.transform(F.filter(F.col("_lw_e"), lambda e: e["k"] == j), lambda e: e[field]))
+
+    def lerp(j: int) -> Column:
+        a, b, t = pick(j, "a"), pick(j, "b"), pick(j, "f")
+        d = b - a
+        return F.when(t < 0.5, a + d * t).otherwise(b - d * (F.lit(1.0) - t))
+
     # back to the caller's order of probabilities
-    rank_of = F.get(F.array(*[F.lit(order[j]) for j in range(len(order))]), F.col("_lw_k"))
-    return per_k.groupBy(*keys).agg(
-        F.first("_lw_total").alias("n"),
-        F.transform(
-            F.array_sort(F.collect_list(F.struct(rank_of.alias("k"), value_k.alias("v")))),
-            lambda s: s["v"],
-        ).alias(out),
-    )
+    sorted_pos = {orig: j for j, orig in enumerate(order)}
+    return per.select(*keys, "n", F.array(*[lerp(sorted_pos[i]) for i in range(len(sp))]).alias(out))
