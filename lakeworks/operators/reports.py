@@ -1,4 +1,4 @@
-"""Report tables behind the reference's charts: score-bin table and monthly trend series."""
+"""Report tables behind evaluation charts: the score-bin table and monthly trend series."""
 
 from __future__ import annotations
 
