@@ -83,6 +83,8 @@ def stratified_id_sample(
     The stratum of an id is its first target value (first by ``order_col`` when given, else the
     smallest); with ``survival_event_col`` it is whether that column is not -1.
     """
+    if not 0 < share < 1:
+        raise ValueError("share must be between 0 and 1")
     if survival_event_col is not None:
         strat = (F.col(survival_event_col) != -1).cast("int")
     else:

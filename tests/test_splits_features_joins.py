@@ -48,6 +48,8 @@ def test_stratified_sample_keeps_whole_ids(spark):
     assert (per == 3).all()
     ids = set(per.index)
     assert len(ids) == 100 and sum(1 for i in ids if i % 4 == 0) == 25
+    with pytest.raises(ValueError):
+        SP.stratified_id_sample(spark.createDataFrame(pdf), "uid", "y", 1.0)
 
 
 def test_feature_roles(spark):
