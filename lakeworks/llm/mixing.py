@@ -27,8 +27,9 @@ BINS = {
     "word_length": (3.0, 4.5, 6.0, 8.0),
     "length": (8.0, 64.0, 512.0, 4096.0),
 }
-#: words that the ``insults`` feature counts
-INSULTS = "idiot|moron|stupid|trash|scum|loser|clown|pathetic|worthless|disgusting"
+#: words whose distinct number the ``insults`` feature counts, and characters that count as symbols
+INSULTS = "idiot moron stupid trash scum loser clown pathetic worthless disgusting".split()
+SYMBOLS = "#$%&*+/<=>@[\\]^_`{|}~"
 #: weight of staying at rate 1, against the squared relative errors of the domains
 RIDGE = 1e-2
 ITERATIONS = 60
@@ -39,13 +40,15 @@ TOLERANCE = 1e-6
 def features(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns) plus ``n_tokens`` and one bin column ``b_<feature>`` each; null text counts as empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("*", F.explode(F.array(F.filter(F.split(text, r"\s+"), lambda w: w != ""))).alias("_words"))
-    n = F.size("_words")
-    chars = F.length(text)
+    # the generators keep the optimiser from computing words and distinct words anew for each feature
+    words = F.filter(F.split(F.lower(text), r"[\s.,;:!?]+"), lambda w: w != "")
+    rows = docs.select("*", F.explode(F.array(words)).alias("_words"))
+    rows = rows.select("*", F.explode(F.array(F.array_distinct("_words"))).alias("_distinct"))
+    n, chars = F.size("_words"), F.length(text)
     values = {
-        "symbols": F.try_divide(F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s.,]")), chars),
-        "distinct": F.try_divide(F.size(F.array_distinct("_words")), n),
-        "insults": F.regexp_count(F.lower(text), F.lit(rf"\b(?:{INSULTS})\b")),
+        "symbols": F.try_divide(chars - F.length(F.translate(text, SYMBOLS, "")), chars),
+        "distinct": F.try_divide(F.size("_distinct"), n),
+        "insults": F.size(F.array_intersect("_distinct", F.array(*map(F.lit, INSULTS)))),
         "word_length": F.try_divide(chars - n, n),
         "length": n,
     }
@@ -198,26 +201,45 @@ def label_domains(labels: DataFrame, toxic: bool = True) -> DataFrame:
     return labels.select("doc_id", domain.alias("domain")).where(F.col("domain").isNotNull())
 
 
-def mix(
+def fit_mix(featured: DataFrame, labels: DataFrame, weights: Mapping[str, float], upsample: bool = True) -> tuple[Column, Mix]:
+    """The posteriors' expression over the bin columns and the fitted :class:`Mix`, from ``featured(doc_id, n_tokens,
+    bins)`` (a stored table: it is read twice) and ``labels(doc_id, domain)``."""
+    domains = sorted(weights)
+    p = posteriors(log_likelihoods(featured, labels, domains), domains)
+    cells = featured.groupBy(*_bin_columns()).agg(F.sum("n_tokens").alias("tokens"))
+    return p, fit_rates(stored(cells.select("tokens", p.alias("p")), "mix-cells"), domains, weights, upsample)
+
+
+def apply_mix(featured: DataFrame, p: Column, fitted: Mix, seed: int = 0) -> DataFrame:
+    """``featured`` with ``posteriors, rate, copies`` in place of its bins."""
+    out = featured.withColumn("posteriors", p).withColumn("rate", fitted.rate(F.col("posteriors")))
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    whole = F.floor("rate")
+    copies = (whole + F.when(draw < F.col("rate") - whole, 1).otherwise(0)).cast("int")
+    return out.withColumn("copies", copies).drop(*_bin_columns())
+
+
+def mix_rates(
     docs: DataFrame, labels: DataFrame, weights: Mapping[str, float], upsample: bool = True, seed: int = 0
 ) -> tuple[DataFrame, Mix]:
-    """Documents with their mix: ``docs`` plus ``n_tokens, posteriors, rate, copies``, and the fitted :class:`Mix`.
+    """``doc_id, n_tokens, posteriors, rate, copies`` per row of ``docs(doc_id, text)``, and the fitted :class:`Mix`.
 
     ``labels(doc_id, domain)`` trains the classifier; ``weights`` are the target shares of the domains in tokens.
     ``copies`` rounds the rate by a fixed hash of the id (its expectation is the rate). A domain without labelled
     rows keeps a small prior. Null and empty texts have no tokens and the posteriors of an empty text; ids may be
-    null or repeat; columns of these names are replaced, others stay; with no rows or no tokens every rate is 1.
+    null or repeat; other columns are ignored; with no rows or no tokens every rate is 1. The texts are read once.
     """
-    domains = sorted(weights)
-    docs = docs.drop("n_tokens", "posteriors", "rate", "copies", "_words", *_bin_columns())
-    small = stored(features(docs.select("doc_id", "text")).drop("text"), "mix-features")
-    tables = log_likelihoods(small, labels, domains)
-    cells = small.groupBy(*_bin_columns()).agg(F.sum("n_tokens").alias("tokens"))
-    cells = stored(cells.select("tokens", posteriors(tables, domains).alias("p")), "mix-cells")
-    fitted = fit_rates(cells, domains, weights, upsample)
-    out = features(docs).withColumn("posteriors", posteriors(tables, domains))
-    out = out.withColumn("rate", fitted.rate(F.col("posteriors")))
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    whole = F.floor("rate")
-    copies = (whole + F.when(draw < F.col("rate") - whole, 1).otherwise(0)).cast("int")
-    return out.withColumn("copies", copies).drop(*_bin_columns()), fitted
+    featured = stored(features(docs.select("doc_id", "text")).drop("text"), "mix-features")
+    p, fitted = fit_mix(featured, labels, weights, upsample)
+    return apply_mix(featured, p, fitted, seed), fitted
+
+
+def mix(
+    docs: DataFrame, labels: DataFrame, weights: Mapping[str, float], upsample: bool = True, seed: int = 0
+) -> tuple[DataFrame, Mix]:
+    """As :func:`mix_rates`, but with all columns of ``docs`` (texts are read twice and never shuffled; columns named
+    like the results are replaced)."""
+    docs = docs.drop("n_tokens", "posteriors", "rate", "copies", "_words", "_distinct", *_bin_columns())
+    featured = stored(features(docs.select("doc_id", "text")).drop("text"), "mix-features")
+    p, fitted = fit_mix(featured, labels, weights, upsample)
+    return apply_mix(features(docs), p, fitted, seed), fitted

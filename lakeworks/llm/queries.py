@@ -149,5 +149,5 @@ MIX_WEIGHTS = {"good": 0.85, "poor": 0.1, "toxic": 0.05}
 @query("op10_mixing")
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = mixing.label_domains(table(spark, sf_dir, "labels"))
-    mixed, _ = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text"), labels, MIX_WEIGHTS)
-    return mixed.select("doc_id", "n_tokens", "posteriors", "rate", "copies")
+    mixed, _ = mixing.mix_rates(table(spark, sf_dir, "documents"), labels, MIX_WEIGHTS)
+    return mixed
