@@ -24,15 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.llm.graph import stored
+from lakeworks.llm.textops import limit_batches
 
 #: labelled rows that the fit may use at most: those with the smallest hash of their id
 FIT_ROWS = 20_000
 #: entries of the lexicon at most, by strength
 LEXICON_SIZE = 4_000
-#: documents of the toxic class that must hold an entry, and its least smoothed log-odds
-MIN_DOCS, MIN_ODDS = 3, 2.0
-#: documents from which an entry counts as strong
-STRONG_DOCS = 10
+#: an entry's least smoothed log-odds, and its least log-likelihood ratio (G). Chance yields a few weak entries
+#: among tens of thousands of candidates, which the trees weigh, as they learn on other rows; strong entries are beyond it
+MIN_ODDS, MIN_G, STRONG_G = 2.0, 14.0, 40.0
 STEMS = (4, 5, 6)
 #: words between a pronoun and a lexicon word that still count as close
 NEAR = 5
@@ -123,16 +123,20 @@ def learn_lexicon(sample: DataFrame) -> dict[str, int]:
         return {}
     counts = sample.select("text", "toxic").mapInArrow(_count_entries, "entry string, n0 long, n1 long")
     odds = F.ln((F.col("n1") + 0.5) / (sizes[1] + 1.0)) - F.ln((F.col("n0") + 0.5) / (sizes[0] + 1.0))
+    share = sizes[1] / (sizes[0] + sizes[1])
+    n = F.col("n0") + F.col("n1")
+    surprise = lambda k, p: F.when(k > 0, k * F.ln(k / (n * p))).otherwise(0.0)
+    g = 2 * (surprise(F.col("n1"), share) + surprise(F.col("n0"), 1 - share))
     top = (
         counts.groupBy("entry")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .where(F.col("n1") >= MIN_DOCS)
         .withColumn("odds", odds)
-        .where(F.col("odds") >= MIN_ODDS)
-        .orderBy(F.desc(F.col("odds") * F.ln(F.col("n1") + 1)), "entry")
+        .withColumn("g", g)
+        .where((F.col("odds") >= MIN_ODDS) & (F.col("g") >= MIN_G))
+        .orderBy(F.desc("g"), "entry")
         .limit(LEXICON_SIZE)
     )
-    return {r["entry"]: 2 if r["n1"] >= STRONG_DOCS and r["odds"] >= MIN_ODDS + 1 else 1 for r in top.collect()}
+    return {r["entry"]: 2 if r["g"] >= STRONG_G else 1 for r in top.collect()}
 
 
 def feature_column(text: Column, entries: dict[str, int]) -> Column:
@@ -175,6 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     ids, null labels and labels other than 0 and 1 are ignored; an id with both labels counts as toxic. A
     class that is missing from a part (small or empty tables) gives the sample's toxic share for every text.
     """
+    limit_batches(docs.sparkSession)
     ids = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
     ids = ids.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
@@ -192,10 +197,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         total = sum(n.values())
         return ToxicityModel(constant=sum(v for (_, t), v in n.items() if t == 1) / total if total else 0.0)
     rest = rest.select(F.col("toxic").cast("double").alias("toxic"), "part", array_to_vector("f").alias("_vector"))
-    trees = GBTClassifier(
-        featuresCol="_vector", labelCol="toxic", predictionCol="_class", probabilityCol="_probability",
-        rawPredictionCol="_margin", maxIter=TREES, maxDepth=DEPTH, minInstancesPerNode=2, stepSize=0.3, seed=7,
-    ).fit(rest.where("part < 8").coalesce(4))
+    booster = GBTClassifier(
+        featuresCol="_vector", labelCol="toxic", predictionCol="_class", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7
+    )
+    booster.setProbabilityCol("_probability").setRawPredictionCol("_margin")
+    trees = booster.fit(rest.where("part < 8").coalesce(4))
     model = ToxicityModel(entries, trees)
     model.isotonic = IsotonicRegression(featuresCol="_raw", labelCol="toxic", predictionCol="_rate").fit(
         model._raw(rest.where("part >= 8")).select("_raw", "toxic")
