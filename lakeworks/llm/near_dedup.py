@@ -8,9 +8,12 @@ probability ``(1 - (1 - s**ROWS)**BLOCKS)**2``: 0.99998 at 0.85.
 
 Scale: texts of one word sequence collapse first, so exact copies never pair up. Blocks that nobody else
 has cannot meet, so only shared blocks are combined to keys. In a table's bucket every text is compared
-with the bucket's smallest one only; buckets whose texts are then linked together are done. Within the
-others, texts of different components are compared, each pair in the first table that it shares, when
-their sketches (one byte of each minhash) agree often enough. Pairs, links and labels stay in tables.
+with the bucket's smallest one only; buckets whose texts are then linked together are done. In the others,
+texts of different components are compared with each other: the tables of one block A_i together, in
+groups of bounded size, each pair at its first shared block. A sketch of 256 bytes per text, an estimate of
+the similarity that errs by less than its margin, keeps the dissimilar from verification, so what is
+written are pairs near or above the threshold, never all pairs of a bucket. Pairs, links and labels stay in
+tables.
 """
 
 from __future__ import annotations
@@ -20,23 +23,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.llm.graph import components, stored
-from lakeworks.llm.textops import SPACE_BYTES, byte_tables, grams, mix, texts_of, word_blocks
+from lakeworks.llm.textops import SPACE_BYTES, byte_tables, grams, limit_batches, mix, texts_of, word_blocks
 
 SHINGLE = 5
 BLOCKS = 16
 ROWS = 4
 HASHES = 2 * BLOCKS * ROWS
-#: sketch bytes (of ``HASHES``) that must agree before a pair is verified; at similarity 0.85 the
-#: expected number is 109 with standard deviation 4, so fewer than 90 has probability 6e-6
-MIN_AGREE = 90
+#: bins of a text's sketch: the smallest shingle hash of each bin, a byte of it
+BINS = 256
+#: standard deviations of the sketch's estimate that it may fall short of the threshold
+MARGIN = 4.5
+#: texts of a bucket that are compared as one group
+GROUP = 512
 _rng = np.random.default_rng(20240607)
 _XOR = _rng.integers(0, 1 << 64, HASHES, np.uint64)
 _MUL = _rng.integers(0, 1 << 64, HASHES, np.uint64) | np.uint64(1)
-_WORDS = HASHES // 8
 
 
 def shingle_runs(texts: list[bytes], size: int = SHINGLE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -88,7 +93,34 @@ def _blocks(low: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-_SIGNATURE = "n_shingles long, seq binary, a array<long>, b array<long>, sketch array<long>"
+def _sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """Texts x BINS bytes, 0 for an empty bin. The sets are sorted, so a bin's first hash is its smallest."""
+    out = np.zeros((len(sets), BINS), np.uint8)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    if len(owner):
+        h = np.concatenate(sets)
+        place = owner * BINS + (h >> np.uint64(56)).astype(np.int64)
+        first = np.concatenate([[True], place[1:] != place[:-1]])
+        out.reshape(-1)[place[first]] = (h[first] % np.uint64(255)).astype(np.uint8) + 1
+    return out
+
+
+def _may_reach(one: np.ndarray, many: np.ndarray, n_one: int, n_many: np.ndarray, share: int) -> np.ndarray:
+    """Which of ``many`` sketches may belong to a set whose similarity to ``one`` is ``share`` percent or more.
+
+    Bins sample the union without replacement, so the estimate's variance shrinks as they cover it.
+    """
+    s = share / 100
+    used = (many | one) != 0
+    bins = np.maximum(1, used.sum(axis=1))
+    same = ((many == one) & used).sum(axis=1)
+    union = np.maximum(bins, (n_many + n_one) / (1 + s))
+    slack = MARGIN * np.sqrt(s * (1 - s) / bins * np.maximum(0.05, 1 - bins / union)) + 1 / bins
+    sizes = np.minimum(n_many, n_one) * 100 >= np.maximum(n_many, n_one) * share
+    return sizes & (same / bins >= s - slack)
+
+
+_SIGNATURE = "n_shingles long, seq binary, a array<long>, b array<long>, sketch binary"
 
 
 def _lists(rows: np.ndarray, full: np.ndarray, n: int) -> pa.Array:
@@ -109,17 +141,17 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = len(bounds) - 1
             full, low = _minhashes(bounds, run)
             blocks = _blocks(low)
-            sketch = np.ascontiguousarray((low & np.uint64(255)).astype(np.uint8)).view(np.int64)
-            sizes = [len(np.unique(run[p:q])) for p, q in zip(bounds[:-1], bounds[1:])]
+            sets = [np.unique(run[p:q]) for p, q in zip(bounds[:-1], bounds[1:])]
+            sketch = _sketches(sets)
             own = texts[first : first + n]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(first, n),
-                    pa.array(sizes, pa.int64()),
+                    pa.array([len(x) for x in sets], pa.int64()),
                     pa.array([hashlib.sha256(b" ".join(t.lower().split())).digest() for t in own], pa.binary()),
                     _lists(blocks[:, :BLOCKS].copy(), full, n),
                     _lists(blocks[:, BLOCKS:].copy(), full, n),
-                    _lists(sketch, full, n),
+                    pa.array([x.tobytes() for x in sketch], pa.binary()),
                 ],
                 names=["doc_id", "n_shingles", "seq", "a", "b", "sketch"],
             )
@@ -131,43 +163,11 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_sign, f"doc_id {kind}, {_SIGNATURE}")
 
 
-# ------------------------------------------------------------------- conditions on two sketches
-
-
-def _agreeing(x: str, y: str) -> Column:
-    """How many of the sketch bytes of two rows are equal."""
-    ones = F.lit(0x0101010101010101)
-    total = F.lit(HASHES)
-    for k in range(_WORDS):
-        d = F.get(F.col(f"{x}.sketch"), F.lit(k)).bitwiseXOR(F.get(F.col(f"{y}.sketch"), F.lit(k)))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 4))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 2))
-        d = d.bitwiseOR(F.shiftrightunsigned(d, 1))
-        total = total - F.bit_count(d.bitwiseAND(ones))
-    return total
-
-
-def _first_shared(x: str, y: str, side: int) -> Column:
-    """The first block of collection ``side`` (0: A, 1: B) whose sketch bytes (4 per block) agree."""
-    cases = None
-    for block in range(BLOCKS):
-        lane = side * BLOCKS + block
-        d = F.get(F.col(f"{x}.sketch"), F.lit(lane // 2)).bitwiseXOR(F.get(F.col(f"{y}.sketch"), F.lit(lane // 2)))
-        equal = (d.bitwiseAND(F.lit(0xFFFFFFFF)) == 0) if lane % 2 == 0 else (F.shiftrightunsigned(d, 32) == 0)
-        cases = F.when(equal, F.lit(block)) if cases is None else cases.when(equal, F.lit(block))
-    return cases
-
-
-def _sizes_fit(x: str, y: str, share: int) -> Column:
-    small = F.least(F.col(f"{x}.n"), F.col(f"{y}.n"))
-    return small * 100 >= F.greatest(F.col(f"{x}.n"), F.col(f"{y}.n")) * share
-
-
 # ------------------------------------------------------------------- candidates
 
 
 def table_rows(nodes: DataFrame) -> DataFrame:
-    """``key, i, j, node, n, sketch``: a row per table in which the node may meet another one."""
+    """``key, i, node``: a row per table in which the node may meet another one."""
     blocks = nodes.select("node", F.posexplode(F.concat("a", "b")).alias("lane", "block"))
     shared = blocks.groupBy(F.col("block").alias("_block")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     lanes = (
@@ -178,39 +178,86 @@ def table_rows(nodes: DataFrame) -> DataFrame:
     lanes = lanes.select(
         "_node",
         F.filter("lanes", lambda x: x < BLOCKS).alias("in_a"),
-        F.filter("lanes", lambda x: x >= BLOCKS).alias("in_b"),
+        F.transform(F.filter("lanes", lambda x: x >= BLOCKS), lambda x: x - BLOCKS).alias("in_b"),
     ).where((F.size("in_a") > 0) & (F.size("in_b") > 0))
     return (
         nodes.join(lanes, F.col("node") == F.col("_node"))
-        .select("node", "n", "sketch", "a", "b", "in_b", F.explode("in_a").alias("i"))
-        .select("node", "n", "sketch", "a", "b", "i", (F.explode("in_b") - BLOCKS).alias("j"))
-        .select(F.xxhash64(F.get("a", F.col("i")), F.get("b", F.col("j"))).alias("key"), "i", "j", "node", "n", "sketch")
+        .select("node", "a", "b", "in_b", F.explode("in_a").alias("i"))
+        .select("node", "a", "b", "i", F.explode("in_b").alias("j"))
+        .select(F.xxhash64(F.get("a", F.col("i")), F.get("b", F.col("j"))).alias("key"), "i", "node")
     )
 
 
-def _bucket_stars(rows: DataFrame, share: int) -> DataFrame:
-    """Each node of a bucket with the bucket's smallest node."""
-    hubs = rows.groupBy("key").agg(F.min(F.struct("node", "n", "sketch")).alias("hub"), F.count(F.lit(1)).alias("m"))
-    hubs = hubs.where("m > 1").select("key", "hub.*").alias("x")
-    y = rows.alias("y")
-    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-    close = _sizes_fit("x", "y", share) & (_agreeing("x", "y") >= MIN_AGREE)
-    return y.join(hubs, meet & close).select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct()
+def _bucket_stars(rows: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
+    """Each node of a bucket with the bucket's smallest node, where the sketches allow a link."""
+    hubs = rows.groupBy(F.col("key").alias("_key")).agg(F.min("node").alias("u"), F.count(F.lit(1)).alias("_m")).where("_m > 1")
+    pairs = rows.join(hubs, F.col("key") == F.col("_key")).where("u < node").select("u", F.col("node").alias("v")).distinct()
+    x = nodes.select(F.col("node").alias("_x"), F.col("n").alias("n_u"), F.col("sketch").alias("s_u"))
+    y = nodes.select(F.col("node").alias("_y"), F.col("n").alias("n_v"), F.col("sketch").alias("s_v"))
+    pairs = pairs.join(x, F.col("u") == F.col("_x")).join(y, F.col("v") == F.col("_y"))
+    kind = nodes.schema["node"].dataType.simpleString()
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            n_u, n_v = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            s_u, s_v = batch.column(3).to_pylist(), batch.column(5).to_pylist()
+            for k in range(batch.num_rows):
+                one, other = np.frombuffer(s_u[k], np.uint8), np.frombuffer(s_v[k], np.uint8)[None]
+                keep[k] = _may_reach(one, other, n_u[k], n_v[k : k + 1], share)[0]
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    return pairs.select("u", "v", "n_u", "s_u", "n_v", "s_v").mapInArrow(likely, f"u {kind}, v {kind}")
+
 
+def _bucket_rest(rows: DataFrame, nodes: DataFrame, labels: DataFrame, tried: DataFrame, share: int) -> DataFrame:
+    """Pairs that share a table, are in different components so far and have sketches that allow a link.
 
-def _bucket_rest(rows: DataFrame, labels: DataFrame, tried: DataFrame, share: int) -> DataFrame:
-    """Pairs of a bucket that are in different components so far, each in its first shared table."""
+    Two texts share a table when they share a block A_i and a block B_j. So the open tables of a block A_i
+    form one bucket; a bucket is dealt into parts of about ``GROUP`` texts and every two parts are a group.
+    """
     named = rows.join(labels, F.col("node") == F.col("_node"), "left").select(
-        "key", "i", "j", "node", "n", "sketch", F.coalesce("component", "node").alias("comp")
+        "key", "i", "node", F.coalesce("component", "node").alias("comp")
     )
     open_keys = named.groupBy(F.col("key").alias("_key")).agg(F.min("comp").alias("p"), F.max("comp").alias("q")).where("p != q")
-    left = stored(named.join(open_keys, F.col("key") == F.col("_key"), "left_semi"), "near-open")
-    x, y = left.alias("x"), left.alias("y")
-    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
-    once = (_first_shared("x", "y", 0) == F.col("x.i")) & (_first_shared("x", "y", 1) == F.col("x.j"))
-    close = _sizes_fit("x", "y", share) & (_agreeing("x", "y") >= MIN_AGREE)
-    pairs = x.join(y, meet & close & once).select(F.col("x.node").alias("u"), F.col("y.node").alias("v"))
-    return pairs.join(tried, ["u", "v"], "left_anti")
+    left = named.join(open_keys, F.col("key") == F.col("_key"), "left_semi").select("node", "i", "comp").distinct()
+    full = left.join(nodes.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"))
+    full = stored(full.select("node", "i", "comp", "n", "a", "b", "sketch", F.get("a", F.col("i")).alias("bucket")), "near-open")
+    sizes = full.groupBy(F.col("bucket").alias("_bucket")).agg(
+        F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("parts"), F.min("comp").alias("p"), F.max("comp").alias("q")
+    )
+    dealt = full.join(sizes.where("p != q"), F.col("bucket") == F.col("_bucket")).withColumn(
+        "part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    )
+    dealt = dealt.select(
+        "bucket", "part", "node", "i", "comp", "n", "a", "b", "sketch", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("_x")
+    ).select(
+        "bucket", F.least("part", "_x").alias("one"), F.greatest("part", "_x").alias("two"), "part", "node", "i", "comp", "n", "a", "b", "sketch"
+    )
+    kind = nodes.schema["node"].dataType.simpleString()
+
+    def meet(table: pa.Table) -> pa.Table:
+        col = {name: table.column(name) for name in table.column_names}
+        node, comp, n, part = (col[c].to_numpy() for c in ("node", "comp", "n", "part"))
+        i = int(col["i"][0].as_py())
+        a, b = (np.array(col[c].to_pylist(), np.int64).reshape(-1, BLOCKS) for c in ("a", "b"))
+        sketch = np.frombuffer(b"".join(col["sketch"].to_pylist()), np.uint8).reshape(-1, BINS)
+        one, two = col["one"][0].as_py(), col["two"][0].as_py()
+        order = np.arange(len(node))
+        us, vs = [], []
+        for k in order[part == one]:
+            other = (part == two) & (comp != comp[k]) if one != two else (order > k) & (comp != comp[k])
+            other &= ~(a[:, :i] == a[k, :i]).any(axis=1)  # a pair is met at its first shared block A_i
+            at = np.flatnonzero(other)
+            at = at[(b[at] == b[k]).any(axis=1)]  # and shares a table if it shares a block B_j, too
+            at = at[_may_reach(sketch[k], sketch[at], n[k], n[at], share)]
+            us.append(np.minimum(node[at], node[k]))
+            vs.append(np.maximum(node[at], node[k]))
+        none = [node[:0]]
+        return pa.table({"u": np.concatenate(us or none), "v": np.concatenate(vs or none)})
+
+    pairs = dealt.groupBy("bucket", "one", "two").applyInArrow(meet, f"u {kind}, v {kind}")
+    return pairs.where("u != v").join(tried, ["u", "v"], "left_anti")
 
 
 def _compare(share: int):
@@ -257,6 +304,7 @@ def near_duplicates(docs: DataFrame, share: int = 85, id_col: str = "doc_id", te
     """
     if not 80 <= share <= 100:
         raise ValueError("share must lie between 80 and 100")
+    limit_batches(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     signed = stored(signatures(docs), "near-signatures")
     nodes = stored(
@@ -272,10 +320,10 @@ def near_duplicates(docs: DataFrame, share: int = 85, id_col: str = "doc_id", te
         "near-nodes",
     )
     rows = stored(table_rows(nodes), "near-tables")
-    tried = stored(_bucket_stars(rows, share), "near-stars")
+    tried = stored(_bucket_stars(rows, nodes, share), "near-stars")
     links = verified_links(docs, tried, share)
     labels = components(links).select(F.col("node").alias("_node"), "component")
-    more = verified_links(docs, _bucket_rest(rows, labels, tried, share), share)
+    more = verified_links(docs, _bucket_rest(rows, nodes, labels, tried, share), share)
     found = components(links.unionByName(more)).select(F.col("node").alias("_node"), "component")
     groups = nodes.join(found, F.col("node") == F.col("_node"), "left").select(
         F.col("seq").alias("_seq"), F.coalesce("component", "node").alias("_component")
