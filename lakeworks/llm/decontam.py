@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.llm.graph import stored
-from lakeworks.llm.textops import NON_ALNUM_BYTES, byte_tables, grams, sliding, texts_of, word_blocks
+from lakeworks.llm.textops import NON_ALNUM_BYTES, byte_tables, grams, limit_batches, sliding, texts_of, word_blocks
 
 WINDOW = 13
 GRAM = 5
@@ -193,6 +193,7 @@ def contamination(
     Other columns are ignored; empty tables are allowed on both sides.
     """
     spark = docs.sparkSession
+    limit_batches(spark)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     windows = stored(item_windows(benchmark, window), "decontam-windows")
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())  # at most ``window`` values

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeworks.llm.textops import limit_batches
+
 #: characters of labelled text per language that an automaton is built from at most
 REFERENCE_CHARS = 16_000
 #: labelled rows per language that these characters are taken from (smallest hash of the id), and of each row
@@ -26,7 +28,7 @@ REFERENCE_ROWS, ROW_CHARS = 64, 400
 SYMBOLS = 64
 SEGMENT = 512
 #: characters parsed together
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 _BETWEEN = re.compile(r"[\W\d_]+")
 
 
@@ -205,5 +207,6 @@ def language_ids(docs: DataFrame) -> DataFrame:
     score is the runner-up's share of the phrases of the two best languages (0.5: a tie). Ids may be null
     (never learned from, not held out) or repeat; other columns are ignored; an empty table gives no rows.
     """
+    limit_batches(docs.sparkSession)
     own = docs.select("doc_id", "text", "lang").withColumn("held_out", held_out(F.col("doc_id")))
     return identify(own, CrossParser(references(own, ~F.col("held_out"))))

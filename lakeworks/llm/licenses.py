@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.llm.decontam import words_of
-from lakeworks.llm.textops import NON_ALNUM_BYTES, byte_tables, texts_of, word_blocks
+from lakeworks.llm.textops import NON_ALNUM_BYTES, byte_tables, limit_batches, texts_of, word_blocks
 
 #: base phrases and their labels
 PHRASES = {
@@ -162,6 +162,7 @@ def license_scan(
     phrase, else the best containment that reached the threshold, else 0. Null and empty texts have no words and
     no labels; ids may be null or repeat; other columns are ignored; an empty table gives no rows.
     """
+    limit_batches(docs.sparkSession)
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     index = TemplateIndex(templates, share, token_frequencies(own, templates))
     probe = _hash_filter([*index.prefix, *(p.split()[0].encode() for p in phrases)])

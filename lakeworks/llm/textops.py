@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: bytes of text hashed at a time
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: bytes that separate words: ASCII white space (shingles) or everything ASCII but letters and digits
 SPACE_BYTES = bytes([0x20, *range(0x09, 0x0E)])
 NON_ALNUM_BYTES = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
@@ -125,6 +125,19 @@ def sliding(x: np.ndarray, w: int, op) -> np.ndarray:
     return out
 
 
+#: bytes of an Arrow batch that a worker gets at a time
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def limit_batches(spark) -> None:
+    """Bound the Arrow batches of the session by bytes, where its setting allows larger ones: a number of
+    rows alone bounds nothing when texts are long."""
+    now = spark.conf.get(_BATCH_CONF, "67108864").rstrip("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """The values of a string column as UTF-8 bytes, null as empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]

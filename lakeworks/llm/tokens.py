@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeworks.llm.textops import texts_of
+from lakeworks.llm.textops import limit_batches, texts_of
 
 BATCH_BYTES = 256 * 1024
 #: lengths kept per worker; the table starts anew when it is full
@@ -92,6 +92,7 @@ def token_counts(
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
+    limit_batches(docs.sparkSession)
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = own.schema["doc_id"].dataType.simpleString()
     return own.mapInArrow(count, f"doc_id {id_type}, n_bytes long, n_tokens long, over_limit boolean")
