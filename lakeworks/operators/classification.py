@@ -25,6 +25,7 @@ from lakeworks.operators.common import (
     sorted_position,
     with_group_key,
 )
+from lakeworks.session import stored
 
 FAKE_GROUP = "fake_group"
 
@@ -208,7 +209,7 @@ def classification_metrics(
     )
     m = confusion_metrics(F.col("tp"), F.col("tn"), F.col("fp"), F.col("fn"))
     base = base.select(*gkeys, *[c.alias(k) for k, c in m.items()], "brier_score")
-    hist = score_histogram(df, gkeys, target, prob)
+    hist = stored(score_histogram(df, gkeys, target, prob), "histogram")
     areas = curve_areas(hist, gkeys, buckets=buckets).select(*gkeys, "pr_auc", "roc_auc")
     out = join_keys(join_keys(base, areas, gkeys), ece(hist, gkeys), gkeys)
     names = ["balanced_accuracy", "mcc", "precision", "recall", "f1", "pr_auc", "roc_auc", "brier_score", "ece"]
@@ -239,7 +240,7 @@ def score_deciles(df: DataFrame, score: str, keys: Sequence[str] = (), q: int =
     """Every row with its quantile bin (0-based)."""
     keys = list(keys)
     df, gkeys = with_group_key(df, keys)
-    edges = decile_edges(df, score, gkeys, q)
+    edges = stored(decile_edges(df, score, gkeys, q), "edges")  # one row per group; its size is known to the join
     res = join_keys(df, edges, gkeys, "left").withColumn(out, bin_of(F.col(score).cast("double"), F.col("edges"), q + 1))
     res = res.drop("edges")
     return res if keys else res.drop(ALL_KEY)
@@ -253,7 +254,7 @@ def decile_rates(df: DataFrame, target: str, score: str, keys: Sequence[str] = (
     keys = list(keys)
     df, gkeys = with_group_key(df, keys)
     hist = score_histogram(df, gkeys, target, score)
-    edges = edges_from_run(histogram_run(hist, gkeys), gkeys, q)
+    edges = stored(edges_from_run(histogram_run(hist, gkeys), gkeys, q), "edges")
     binned = join_keys(hist, edges, gkeys).withColumn("bin", bin_of(F.col("score"), F.col("edges"), q + 1))
     res = (
         binned.where(F.col("bin").isNotNull())
@@ -400,11 +401,11 @@ def performance_report(
     )
     # every statistic is computed for all groups at once and small groups are dropped at the end:
     # they are small by definition, and no extra pass over the rows is needed to find them
-    hist = score_histogram(df, keys, target_col, prob_col)
+    hist = stored(score_histogram(df, keys, target_col, prob_col), "histogram")
     run = histogram_run(hist, keys, buckets)
     areas = areas_from_run(run, keys).select(*keys, "pr_auc", "roc_auc")
     cal = ece(hist, keys)
-    edges = edges_from_run(run, keys)
+    edges = stored(edges_from_run(run, keys), "edges")
     binned = join_keys(hist, edges, keys).withColumn("bin", bin_of(F.col("score"), F.col("edges")))
     rates = (
         binned.where(F.col("bin").isNotNull())

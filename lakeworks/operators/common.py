@@ -1,7 +1,7 @@
 """Frame-level building blocks shared by the operators.
 
 ``running_totals`` is the workhorse: inclusive running sums along an order column within groups,
-spread over range buckets so that one huge group (a third of all rows) never sorts in a single
+spread over range partitions so that one huge group (a third of all rows) never sorts in a single
 task. ``exact_quantiles`` and everything curve-shaped (ROC/PR areas, Kaplan-Meier, deciles,
 concordance, identity numbering) are built on it.
 """
@@ -14,10 +14,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: explicit bucket count (None -> ``default_buckets``: from the session)
+from lakeworks.session import stored
+
+#: explicit number of range partitions (None: the adaptive reader sizes them)
 DEFAULT_BUCKETS = None
-#: accuracy of the approximate quantile sketch that only *places* bucket bounds
-_SKETCH_ACCURACY = 1000
 ALL_KEY = "_lw_all"
 
 
@@ -81,53 +81,6 @@ def safe_corr(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
 
 
-#: inputs smaller than this (bytes of the files a frame reads) use one window per group
-BUCKET_MIN_BYTES = 256 * 1024 * 1024
-#: with more input files than this the input counts as large without statting files
-_MAX_STATS = 64
-
-
-def input_bytes(df: DataFrame, stop_at: int) -> int:
-    """Bytes of the files ``df`` reads (``DataFrame.inputFiles``), summed until ``stop_at``.
-
-    Frames built from local data have no files (0). Many files count as large without any
-    file-system call, so the check stays O(1) calls on a 100 TB table.
-    """
-    try:
-        files = df.inputFiles()
-    except Exception:  # noqa: BLE001 - sources without a file index
-        return 0
-    if len(files) > _MAX_STATS:
-        return stop_at
-    sc = df.sparkSession.sparkContext
-    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-        if total >= stop_at:
-            break
-    return total
-
-
-def default_buckets(df: DataFrame) -> int:
-    """Range buckets per group for ``running_totals``.
-
-    ``spark.lakeworks.buckets`` wins when set. Otherwise a frame reading less than
-    ``spark.lakeworks.bucketMinBytes`` (default 256 MiB) gets 1 (a plain window per group: no
-    group can be large enough to need splitting), and a larger one gets the shuffle partition
-    count clamped to [4, 256], so one hot group spreads over the cluster.
-    """
-    spark = df.sparkSession
-    conf = spark.conf.get("spark.lakeworks.buckets", None)
-    if conf:
-        return int(conf)
-    threshold = int(spark.conf.get("spark.lakeworks.bucketMinBytes", str(BUCKET_MIN_BYTES)))
-    if input_bytes(df, threshold) < threshold:
-        return 1
-    return max(4, min(256, int(spark.conf.get("spark.sql.shuffle.partitions", "16"))))
-
-
 def running_totals(
     df: DataFrame,
     keys: Sequence[str],
@@ -136,78 +89,46 @@ def running_totals(
     *,
     descending: bool = False,
     buckets: int | None = None,
-    bound_keys: Sequence[str] | None = None,
     prefix: str = "cum_",
     totals_prefix: str | None = None,
 ) -> DataFrame:
     """Add ``cum_<v>``: inclusive running sum of each ``v`` ordered by ``order_col`` within ``keys``
     (and, with ``totals_prefix``, the group total ``<totals_prefix><v>``).
 
-    Rows should be unique per (keys, order_col) - histogram rows (ties are summed in an
-    arbitrary order). Bucket bounds come from an approximate quantile sketch of ``order_col`` per
-    ``bound_keys`` (default ``keys``); one window stage over (keys, bucket) yields the in-bucket
-    running sums and the bucket totals; a tiny (groups x buckets) table turns bucket totals into
-    offsets and group totals, joined back by key. ``buckets <= 1`` uses one window per group.
+    Rows should be unique per (keys, order_col) - histogram rows (ties are summed in an arbitrary
+    order). One algorithm for every size: the rows are range-partitioned by (keys, order_col) and
+    stored once with their partition number, so a group of any size is spread by its values. Each
+    partition is summed on its own; the offsets of a group's partitions come from the sums per
+    (group, partition), at most groups + partitions rows. ``buckets`` fixes the number of range
+    partitions; without it the adaptive reader sizes them.
     """
     keys = list(keys)
     value_cols = list(value_cols)
-    o = F.col(order_col)
-    ordered = o.desc() if descending else o.asc()
     drop_all = not keys
     if drop_all:
         df, keys = with_group_key(df, keys)
-    if buckets is None:
-        buckets = default_buckets(df)
-
-    def finish(out: DataFrame) -> DataFrame:
-        return out.drop(ALL_KEY) if drop_all else out
-
-    if buckets <= 1:
-        w = Window.partitionBy(*keys).orderBy(ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        wall = Window.partitionBy(*keys)
-        cols = [F.sum(v).over(w).alias(prefix + v) for v in value_cols]
-        if totals_prefix:
-            cols += [F.sum(v).over(wall).alias(totals_prefix + v) for v in value_cols]
-        return finish(df.select("*", *cols))
-
-    bkeys = keys if bound_keys is None else (list(bound_keys) or [ALL_KEY])
-    if bkeys == [ALL_KEY] and ALL_KEY not in df.columns:
-        df = df.withColumn(ALL_KEY, F.lit(1))
-        drop_all = True
-    fracs = [i / buckets for i in range(1, buckets)]
-    accuracy = max(_SKETCH_ACCURACY, 4 * buckets)
-    bounds = df.groupBy(*bkeys).agg(
-        F.percentile_approx(o, F.array(*[F.lit(f) for f in fracs]), accuracy).alias("_lw_bounds")
-    )
-    idx = sorted_position(F.col("_lw_bounds"), o, buckets - 1)
-    if descending:
-        idx = F.lit(buckets - 1) - idx
-    ungrouped = bkeys == [ALL_KEY]
-    tagged = join_keys(df, bounds, bkeys, small=ungrouped).withColumn("_lw_bucket", idx).drop("_lw_bounds")
+    columns = df.columns
+    ordered = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    ranged = df.repartitionByRange(*([buckets] if buckets else []), *keys, ordered)
+    df = stored(ranged.withColumn("_lw_bucket", F.spark_partition_id()), "running")
 
     part = [*keys, "_lw_bucket"]
-    w_in = Window.partitionBy(*part).orderBy(ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_b = Window.partitionBy(*part)
-    inner = tagged.select(
-        "*",
-        *[F.sum(v).over(w_in).alias(f"_lw_in_{v}") for v in value_cols],
-        *[F.sum(v).over(w_b).alias(f"_lw_bt_{v}") for v in value_cols],
-    )
-    per_bucket = inner.groupBy(*part).agg(*[F.max(f"_lw_bt_{v}").alias(f"_lw_bt_{v}") for v in value_cols])
-    w_off = Window.partitionBy(*keys).orderBy("_lw_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    w_grp = Window.partitionBy(*keys)
+    per_bucket = df.groupBy(*part).agg(*[F.sum(v).alias(f"_lw_bt_{v}") for v in value_cols])
+    before = Window.partitionBy(*keys).orderBy("_lw_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*keys)
     offsets = per_bucket.select(
         *part,
-        *[F.coalesce(F.sum(f"_lw_bt_{v}").over(w_off), F.lit(0)).alias(f"_lw_off_{v}") for v in value_cols],
-        *([F.sum(f"_lw_bt_{v}").over(w_grp).alias(f"_lw_gt_{v}") for v in value_cols] if totals_prefix else []),
+        *[F.coalesce(F.sum(f"_lw_bt_{v}").over(before), F.lit(0)).alias(f"_lw_off_{v}") for v in value_cols],
+        *([F.sum(f"_lw_bt_{v}").over(group).alias(f"_lw_gt_{v}") for v in value_cols] if totals_prefix else []),
     )
-    joined = join_keys(inner, offsets, part, small=keys == [ALL_KEY])
-    out = joined.select(
-        *df.columns,
+    inside = Window.partitionBy(*part).orderBy(ordered).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = df.select("*", *[F.sum(v).over(inside).alias(f"_lw_in_{v}") for v in value_cols])
+    out = join_keys(inner, offsets, part).select(
+        *columns,
         *[(F.col(f"_lw_in_{v}") + F.col(f"_lw_off_{v}")).alias(prefix + v) for v in value_cols],
         *([F.col(f"_lw_gt_{v}").alias(totals_prefix + v) for v in value_cols] if totals_prefix else []),
     )
-    return finish(out)
+    return out.drop(ALL_KEY) if drop_all else out
 
 
 def numpy_linspace(n_bins: int) -> list[float]:

@@ -26,8 +26,11 @@ from lakeworks.operators.common import (
     with_group_key,
 )
 from lakeworks.operators.classification import resolve_groups, round_doubles
+from lakeworks.session import stored
 
 _DEC = "decimal(38,0)"
+#: the product limit reaches one half exactly at places where its log form ends a rounding error above
+_HALF_SLACK = 1e-9
 
 
 def _event(col: str) -> Column:
@@ -96,11 +99,10 @@ def _concordance_from(comp: DataFrame, run: DataFrame, gkeys: list[str], buckets
         F.when((half == 0) & (F.col("_e") == 1), F.col("_m")).otherwise(F.lit(0)).cast("long").alias("_d"),
         F.when(half == 1, F.col("_m")).otherwise(F.lit(0)).cast("long").alias("_q"),
     )
+    # a censored subject in a left half meets nobody there: such rows go before the shuffle
+    cell = cell.where((F.col("_d") > 0) | (F.col("_q") > 0))
     cells = cell.groupBy(*gkeys, "_lvl", "_blk", "_p").agg(F.sum("_d").alias("_d"), F.sum("_q").alias("_q"))
-    cells = cells.where((F.col("_d") > 0) | (F.col("_q") > 0))
-    cum = running_totals(
-        cells, [*gkeys, "_lvl", "_blk"], "_p", ["_d"], buckets=buckets, bound_keys=gkeys, totals_prefix="tot_"
-    )
+    cum = running_totals(cells, [*gkeys, "_lvl", "_blk"], "_p", ["_d"], buckets=buckets, totals_prefix="tot_")
     q = F.col("_q").cast(_DEC)
     counted = cum.groupBy(*gkeys).agg(
         F.sum(q * F.col("tot__d").cast(_DEC)).alias("pairs"),
@@ -108,16 +110,13 @@ def _concordance_from(comp: DataFrame, run: DataFrame, gkeys: list[str], buckets
         F.sum(q * F.col("_d").cast(_DEC)).alias("tied"),
     )
     present = slots.select(*gkeys).distinct()
-    out = join_keys(present, counted, gkeys, "left").select(
-        *gkeys,
-        *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("pairs", "concordant", "tied")],
-    )
-    return out.withColumn(
-        "c_index",
-        F.when(
-            F.col("pairs") > 0,
-            (F.col("concordant").cast("double") + F.col("tied").cast("double") / 2) / F.col("pairs").cast("double"),
-        ),
+    counts = ("pairs", "concordant", "tied")
+    out = join_keys(present, counted, gkeys, "left")
+    out = out.select(*gkeys, *[F.coalesce(F.col(c), F.lit(0).cast(_DEC)).alias(c) for c in counts])
+    index = (F.col("concordant").cast("double") + F.col("tied").cast("double") / 2) / F.col("pairs").cast("double")
+    # the index comes from the exact decimal counts; a count beyond BIGINT is shown as NULL
+    return out.select(
+        *gkeys, *[F.col(c).try_cast("long").alias(c) for c in counts], F.when(F.col("pairs") > 0, index).alias("c_index")
     )
 
 
@@ -132,7 +131,7 @@ def concordance(
     """
     keys = list(keys)
     df, gkeys = with_group_key(df, keys)
-    comp = _compressed(df, time, event, pred, gkeys)
+    comp = stored(_compressed(df, time, event, pred, gkeys), "compressed")
     run = _time_run(_per_time_from_compressed(comp, gkeys), gkeys, buckets)
     out = _concordance_from(comp, run, gkeys, buckets)
     return out if keys else out.drop(ALL_KEY)
@@ -179,7 +178,7 @@ def km_curve(
 def _median_of_curve(curve: DataFrame, gkeys: list[str]) -> DataFrame:
     return curve.groupBy(*gkeys).agg(
         F.coalesce(
-            F.min(F.when(F.col("survival") <= 0.5, F.col("time").cast("double"))), F.lit(float("inf"))
+            F.min(F.when(F.col("survival") <= 0.5 + _HALF_SLACK, F.col("time").cast("double"))), F.lit(float("inf"))
         ).alias("km_median")
     )
 
@@ -187,7 +186,7 @@ def _median_of_curve(curve: DataFrame, gkeys: list[str]) -> DataFrame:
 def km_median(
     df: DataFrame, time: str, event: str, keys: Sequence[str] = (), buckets: int | None = DEFAULT_BUCKETS
 ) -> DataFrame:
-    """E18 median: smallest time with survival <= 0.5, else +infinity."""
+    """E18 median: smallest time with survival <= 0.5 (up to rounding), else +infinity."""
     keys = list(keys)
     df, gkeys = with_group_key(df, keys)
     out = _median_of_curve(km_curve(df, time, event, gkeys, buckets=buckets), gkeys)
@@ -222,7 +221,7 @@ def survival_report(
     ).where(F.col("n_observations") > test_size_minimum_per_group)
     # statistics run on all groups (the join with ``base`` drops small ones); one compressed
     # table and one per-time running pass feed the time median, Kaplan-Meier and concordance
-    comp = _compressed(df, time_col, event_col, pred_col, keys)
+    comp = stored(_compressed(df, time_col, event_col, pred_col, keys), "compressed")
     run = _time_run(_per_time_from_compressed(comp, keys), keys, buckets)
     med_t = quantiles_from_running(run, keys, "time", "removed", "cum_removed", "tot_removed", [0.5], out="_mt")
     km = _median_of_curve(_km_from_run(run, keys, buckets), keys)

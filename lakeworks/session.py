@@ -15,15 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 _SCRATCH_DB = "lakeworks_scratch"
 
 
-def get_spark(spark: SparkSession | None = None) -> SparkSession:
-    if spark is not None:
-        return spark
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        return active
-    return local_session()
-
-
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lakeworks") -> SparkSession:
     """Session for tests and local runs; a cluster passes its own session instead."""
     return (
@@ -41,25 +32,23 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lak
     )
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
-
-
 def work_dir(spark: SparkSession) -> str:
     """Shared scratch folder: ``spark.checkpoint.dir`` when the cluster sets it.
 
-    When unset (local tests) a folder next to the warehouse is registered as the checkpoint dir,
-    so ``DataFrame.checkpoint()`` and staging writes use one place.
+    When unset, a folder in the warehouse is registered as the checkpoint dir, its URI as it is, so
+    ``DataFrame.checkpoint()`` and staging writes use one place. A plain local path will do for a local
+    session only; a cluster without any shared location gets an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
-    if warehouse.startswith("file:"):
-        warehouse = warehouse[len("file:"):]
-    path = os.path.join(os.path.abspath(warehouse), "_lakeworks_checkpoints")
-    sc.setCheckpointDir(path)
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse").rstrip("/")
+    if "://" not in warehouse and not warehouse.startswith("file:"):
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset and the warehouse is no shared location")
+        warehouse = os.path.abspath(warehouse)
+    sc.setCheckpointDir(f"{warehouse}/_lakeworks_checkpoints")
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -85,3 +74,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss, unlike a local one)."""
     work_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once as Parquet in the shared work folder and read back: it is computed once, its
+    lineage is cut, and its size is known to the planner."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

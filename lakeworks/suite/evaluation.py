@@ -460,7 +460,7 @@ def q_km_curve(spark, d):
 @register(
     "km_median",
     _KM_SQL
-    + "SELECT o_orderpriority, coalesce(min(time) FILTER (WHERE survival <= 0.5), 'inf'::DOUBLE)::DOUBLE AS km_median "
+    + "SELECT o_orderpriority, coalesce(min(time) FILTER (WHERE survival <= 0.5 + 1e-9), 'inf'::DOUBLE)::DOUBLE AS km_median "
     "FROM km GROUP BY o_orderpriority",
 )
 def q_km_median(spark, d):
@@ -470,7 +470,7 @@ def q_km_median(spark, d):
 @register(
     "survival_report",
     _KM_SQL
-    + """, kmm AS (SELECT o_orderpriority, coalesce(min(time) FILTER (WHERE survival <= 0.5), 'inf'::DOUBLE)::DOUBLE AS km_med
+    + """, kmm AS (SELECT o_orderpriority, coalesce(min(time) FILTER (WHERE survival <= 0.5 + 1e-9), 'inf'::DOUBLE)::DOUBLE AS km_med
         FROM km GROUP BY o_orderpriority),
 c AS (SELECT o_orderpriority, t, e, p, count(*) AS m FROM b GROUP BY ALL),
 pr AS (

@@ -85,24 +85,3 @@ def test_pandas_period_columns_become_period_starts(spark, tmp_dir):
     ypath = os.path.join(tmp_dir, "years.parquet")
     years.to_parquet(ypath)
     assert FS.read_parquet(spark, ypath).orderBy("y").first()["y"] == dt.datetime(2020, 1, 1)
-
-
-def test_adaptive_bucket_count(spark, tmp_dir):
-    from lakeworks.operators.common import default_buckets
-
-    local = spark.range(10)
-    assert default_buckets(local) == 1  # no input files
-    path = os.path.join(tmp_dir, "b")
-    spark.range(1000).write.parquet(path)
-    files = spark.read.parquet(path)
-    assert default_buckets(files) == 1  # far below the size threshold
-    spark.conf.set("spark.lakeworks.bucketMinBytes", "1")
-    try:
-        assert default_buckets(files.groupBy("id").count()) == 8  # shuffle partitions of the test session
-    finally:
-        spark.conf.unset("spark.lakeworks.bucketMinBytes")
-    spark.conf.set("spark.lakeworks.buckets", "5")
-    try:
-        assert default_buckets(local) == 5
-    finally:
-        spark.conf.unset("spark.lakeworks.buckets")
