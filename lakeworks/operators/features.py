@@ -1,8 +1,7 @@
 """Feature roles, missing-value profile, categorical filling, screening, feature matrix and
 recursive feature elimination on Spark ML.
 
-Screening statistics for all columns come from single aggregates (one pass, one small result
-row); exact distinct counts run only on the columns a HyperLogLog pass leaves as candidates.
+Screening statistics for all columns come from single aggregates (one pass, one small result row).
 """
 
 from __future__ import annotations
@@ -16,6 +15,8 @@ from pyspark.sql import types as T
 
 from lakeworks.functions.types import quote
 from lakeworks.operators.common import safe_corr
+from lakeworks.operators.splits import group_kfold, stratified_id_sample
+from lakeworks.session import stored
 
 log = logging.getLogger(__name__)
 
@@ -70,66 +71,64 @@ def fill_categoricals(df: DataFrame, categorical: Sequence[str] | None = None) -
     return df.select(*out)
 
 
-def distinct_counts(df: DataFrame, columns: Sequence[str], exact_below: int = 3) -> DataFrame:
-    """``feature, n_distinct`` (non-null). One HyperLogLog pass; exact counts only for columns
-    whose estimate is below ``exact_below`` (the ones a constant test can hinge on)."""
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``feature, n_distinct_approx, is_constant`` over non-null values in one pass: an estimate of the
+    number of distinct values, and the exact answer to whether it is one."""
     cols = list(columns)
-    approx = df.agg(*[F.approx_count_distinct(F.col(quote(c))).alias(f"a{i}") for i, c in enumerate(cols)]).first()
-    small = [c for i, c in enumerate(cols) if approx[f"a{i}"] < exact_below]
-    exact = {}
-    if small:
-        row = df.agg(*[F.count_distinct(F.col(quote(c))).alias(f"e{i}") for i, c in enumerate(small)]).first()
-        exact = {c: row[f"e{i}"] for i, c in enumerate(small)}
-    rows = [(c, int(exact.get(c, approx[f"a{i}"]))) for i, c in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "feature string, n_distinct long")
+    aggs = []
+    for i, c in enumerate(cols):
+        col = F.col(quote(c))
+        aggs += [F.approx_count_distinct(col).alias(f"a{i}"), (F.min(col) == F.max(col)).alias(f"k{i}")]
+    stats = df.agg(*aggs)
+    rows = [
+        F.struct(F.lit(c).alias("feature"), F.col(f"a{i}").alias("n_distinct_approx"), F.coalesce(f"k{i}", F.lit(False)).alias("is_constant"))
+        for i, c in enumerate(cols)
+    ]
+    return stats.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 
 def constant_features(df: DataFrame, columns: Sequence[str]) -> list[str]:
     """features with exactly one distinct non-null value."""
-    dc = distinct_counts(df, columns).where(F.col("n_distinct") == 1).collect()
-    return [r["feature"] for r in dc]
+    return [r["feature"] for r in distinct_counts(df, columns).where("is_constant").collect()]
 
 
 def binary_profile(df: DataFrame, columns: Sequence[str], min_count_binary: int = 30) -> DataFrame:
-    """``feature, is_binary, n_ones, rare`` - a {0,1} feature with fewer than
-    ``min_count_binary`` ones is rare. One aggregate over all columns."""
+    """``feature, is_binary, n_ones, rare`` - a feature whose values are exactly 0 and 1 (both occur,
+    NULLs aside) is binary, and rare with fewer than ``min_count_binary`` ones. One aggregate."""
     cols = list(columns)
     aggs = []
     for i, c in enumerate(cols):
         col = F.col(quote(c)).cast("double")
         aggs += [
             F.count_if(col.isNotNull() & ~col.isin(0.0, 1.0)).alias(f"x{i}"),
+            F.count_if(col == 0.0).alias(f"z{i}"),
             F.count_if(col == 1.0).alias(f"o{i}"),
         ]
-    stats = df.agg(*aggs)
-    stacked = stats.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("feature"), (F.col(f"x{i}") == 0).alias("is_binary"), F.col(f"o{i}").alias("n_ones"))
-                    for i, c in enumerate(cols)
-                ]
-            )
-        ).alias("s")
-    ).select("s.*")
+    both = lambda i: (F.col(f"x{i}") == 0) & (F.col(f"z{i}") > 0) & (F.col(f"o{i}") > 0)
+    rows = [
+        F.struct(F.lit(c).alias("feature"), both(i).alias("is_binary"), F.col(f"o{i}").alias("n_ones")) for i, c in enumerate(cols)
+    ]
+    stacked = df.agg(*aggs).select(F.explode(F.array(*rows)).alias("s")).select("s.*")
     return stacked.withColumn("rare", F.col("is_binary") & (F.col("n_ones") < min_count_binary))
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str], threshold: float = 0.8) -> DataFrame:
-    """F8: Pearson correlation of every numeric pair (pairwise-complete rows) in one aggregate;
+    """F8: Pearson correlation of every numeric pair (pairwise-complete rows, NaN counts as missing; NULL without any);
     ``correlated`` marks abs(corr) above ``threshold``."""
     cols = list(columns)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double, correlated boolean")
-    stats = df.agg(
-        *[safe_corr(F.col(quote(a)), F.col(quote(b))).alias(f"c{i}") for i, (a, b) in enumerate(pairs)]
-    )
-    stacked = stats.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{i}").alias("corr")) for i, (a, b) in enumerate(pairs)])
-        ).alias("s")
-    ).select("s.*")
+    # a row yields its column pairs and they meet in one aggregate: the plan is as small for 100 columns as
+    # for 3, and the partial sums (one per pair) are combined on the map side
+    values = F.array(*[F.col(quote(c)).cast("double") for c in cols])
+    one = df.select(values.alias("v")).select("v", F.posexplode("v").alias("i", "x")).where("x is not null and not isnan(x)")
+    both = one.select("i", "x", F.posexplode("v").alias("j", "y")).where("j > i and y is not null and not isnan(y)")
+    stats = both.groupBy("i", "j").agg(safe_corr(F.col("x"), F.col("y")).alias("corr"))
+    names = F.array(*[F.lit(c) for c in cols])
+    known = stats.select(F.get(names, F.col("i")).alias("feature_a"), F.get(names, F.col("j")).alias("feature_b"), "corr")
+    every = df.sparkSession.createDataFrame(pairs, "feature_a string, feature_b string")
+    stacked = every.join(known, ["feature_a", "feature_b"], "left")
     return stacked.withColumn("correlated", F.abs(F.col("corr")) > threshold)
 
 
@@ -158,30 +157,58 @@ def feature_elimination(
     numeric: Sequence[str],
     *,
     task: str = "classification",
-    steps: int = 3,
+    steps: int = 15,
     n_features: int | None = None,
     forced: Sequence[str] = (),
-    max_iter: int = 10,
+    max_iter: int = 100,
     seed: int = 42,
     event_col: str | None = None,
+    id_col: str | None = None,
+    sample_share: float | None = None,
+    min_count_binary: int | None = 30,
 ) -> tuple[list[str], DataFrame]:
     """recursive elimination on Spark ML - gradient-boosted trees for ``classification``
     (loss 1 - ROC AUC) and ``regression`` (RMSE); accelerated-failure-time regression for
     ``survival`` (``label_col`` = time > 0, ``event_col`` = 1 when observed; importance =
     |coefficient| x feature std; loss 1 - concordance index on the validation fold).
 
-    Train on folds 0-1, validate on fold 2 (by a row hash, never overlapping). Each round fits,
-    records the validation loss for the current feature count, and drops the least important
-    non-forced feature. Returns the chosen features (minimum loss, or ``n_features``) and the
-    curve ``n_features, removed, loss`` (G3).
+    Constant features go first (F6), then 0/1 features with fewer than ``min_count_binary`` ones (F7;
+    None keeps them); forced features stay. ``sample_share`` fits on a share of the ids (F9). Train on
+    folds 0-1, validate on fold 2: with ``id_col`` the folds of F10/F11, so no id is on both sides,
+    else by a hash of the features. Each round fits, records the validation loss for the current
+    feature count, and drops the least important non-forced feature: ``steps`` features at most, or
+    until ``n_features`` are left. Returns the chosen features (minimum loss, or the last
+    ``n_features``) and the curve ``n_features, removed, loss`` (G3).
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
     from pyspark.ml.regression import GBTRegressor
 
-    current = list(categorical) + list(numeric)
     forced_set = set(forced)
-    split = df.withColumn("_lw_fold", F.pmod(F.xxhash64(*[F.col(quote(c)) for c in df.columns], F.lit(seed)), F.lit(3)))
+    if task == "survival" and not df.where(F.col(label_col) <= 0).isEmpty():
+        raise ValueError("survival times must be positive")
+    if sample_share is not None:
+        if id_col is None:
+            raise ValueError("sample_share needs id_col")
+        df = stratified_id_sample(df, id_col, event_col or label_col, sample_share, seed)
+    full = list(categorical) + list(numeric)
+    dull = set(constant_features(df, full))
+    if min_count_binary is not None and numeric:
+        rare = binary_profile(df, list(numeric), min_count_binary).where("rare").collect()
+        dull |= {r["feature"] for r in rare}
+    full = [c for c in full if c not in dull or c in forced_set]
+    categorical, numeric = [c for c in full if c in set(categorical)], [c for c in full if c in set(numeric)]
+    if not full:
+        raise ValueError("no feature is left after screening")
+    if id_col is not None:
+        strata = label_col if task == "classification" else event_col
+        split = group_kfold(df, id_col, 3, seed, strata, out="_lw_fold")
+    else:
+        split = df.withColumn("_lw_fold", F.pmod(F.xxhash64(*[F.col(quote(c)) for c in full], F.lit(seed)), F.lit(3)))
+    split = stored(split, "elimination")  # every round reads it
+    current = list(full)
+    if n_features is not None:
+        steps = max(1, len(full) - n_features + 1)
     curve = []
     removed: list[str | None] = [None]
     for _ in range(max(1, steps)):
@@ -217,14 +244,9 @@ def feature_elimination(
         current.remove(worst)
         removed.append(worst)
     curve_df = df.sparkSession.createDataFrame(curve, "n_features int, removed string, loss double")
-    if n_features is not None:
-        keep_n = n_features
-    else:
-        keep_n = min(curve, key=lambda r: r[2])[0]
-    dropped = [r for r in removed[1:]]
-    full = list(categorical) + list(numeric)
-    chosen = [c for c in full if c not in dropped[: max(0, len(full) - keep_n)]]
-    return chosen, curve_df
+    keep_n = n_features if n_features is not None else min(curve, key=lambda r: r[2])[0]
+    dropped = set(removed[1:][: max(0, len(full) - keep_n)])
+    return [c for c in full if c not in dropped], curve_df
 
 
 def _aft_round(train: DataFrame, valid: DataFrame, order, cats, event_col: str | None, max_iter: int):
@@ -235,12 +257,12 @@ def _aft_round(train: DataFrame, valid: DataFrame, order, cats, event_col: str |
 
     if event_col is None:
         raise ValueError("task='survival' needs event_col")
-    tr = train.withColumn("_lw_censor", F.col(event_col).cast("double")).where(F.col("label") > 0)
+    tr = train.withColumn("_lw_censor", F.col(event_col).cast("double"))
     model = AFTSurvivalRegression(censorCol="_lw_censor", maxIter=max(10, max_iter)).fit(tr)
     cols = [f"{c}__idx" if c in cats else c for c in order]
     stds = train.agg(*[F.stddev_pop(F.col(quote(c)).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
     coef = model.coefficients.toArray().tolist()
     imp = [abs(coef[i]) * float(stds[f"s{i}"] or 0.0) for i in range(len(cols))]
-    scored = model.transform(valid.where(F.col("label") > 0))
+    scored = model.transform(valid)
     c = concordance(scored, "label", event_col, "prediction").first()["c_index"]
     return imp, 1.0 - (c if c is not None else 0.5)

@@ -12,9 +12,9 @@ instead of landing in one task:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeworks.operators.common import epoch_micros, join_keys
@@ -118,3 +118,40 @@ def range_join(
     upper = bt <= upper_edge if include_upper else bt < upper_edge
     joined = p.join(b, cond + [lower, upper], "inner")
     return joined.drop(p["_lw_b"]).drop(b["_lw_b"])
+
+
+def range_aggregate(
+    probe: DataFrame,
+    build: DataFrame,
+    by: Sequence[str],
+    probe_on: str,
+    build_on: str,
+    before_seconds: int,
+    aggregates: Mapping[str, Callable],
+    payload: Mapping[str, Column],
+) -> DataFrame:
+    """Each probe row with aggregates over the build rows of its keys in ``[probe_on - before, probe_on)``.
+
+    No pairs are formed. Time is cut into buckets as long as the window; a build row goes to its own
+    bucket and the next one, so a range window per (keys, bucket) sees all it needs, and a key with
+    many rows is spread over its buckets. ``aggregates`` maps a name to ``f(column, window)``, where
+    ``column(name)`` is a ``payload`` column of the build side (NULL on probe rows).
+    """
+    by = list(by)
+    span = before_seconds * 1_000_000
+    at = lambda c: epoch_micros(F.col(c)).cast("long")
+    rest = [c for c in probe.columns if c not in by]
+    none = F.lit(None)
+    p = probe.select(
+        *by, F.struct(*rest).alias("_lw_probe"), at(probe_on).alias("_lw_t"), F.floor(at(probe_on) / span).alias("_lw_b"),
+        *[none.alias(f"_lw_p_{k}") for k in payload],
+    )
+    b = build.select(*by, at(build_on).alias("_lw_t"), *[v.alias(f"_lw_p_{k}") for k, v in payload.items()])
+    own = F.floor(F.col("_lw_t") / span)
+    b = b.withColumn("_lw_b", F.explode(F.array(own, own + 1)))
+    both = b.unionByName(p, allowMissingColumns=True)
+    window = Window.partitionBy(*by, "_lw_b").orderBy("_lw_t").rangeBetween(-span, -1)
+    column = lambda k: F.col(f"_lw_p_{k}")
+    out = both.select("*", *[f(column, window).alias(k) for k, f in aggregates.items()])
+    out = out.where(F.col("_lw_probe").isNotNull())
+    return out.select(*[c if c in by else F.col("_lw_probe")[c].alias(c) for c in probe.columns], *aggregates)

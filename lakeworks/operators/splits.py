@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from lakeworks.operators.common import (
     ALL_KEY,
-    epoch_micros,
     exact_quantiles,
     join_keys,
     running_totals,
@@ -25,32 +24,36 @@ from lakeworks.operators.common import (
 def time_split_labels(
     data: DataFrame, date_column: str, test_ratio: float = 0.3, max_date: str | None = None, out: str = "split"
 ) -> DataFrame:
-    """rows labelled ``train`` (date < cutoff) or ``test`` (date >= cutoff).
+    """rows labelled ``train`` (day < cutoff) or ``test`` (day >= cutoff); NULL for a NULL date.
 
-    Optional ``max_date`` keeps only earlier rows first. The cutoff is the linear quantile of the
-    dates at ``1 - test_ratio`` (computed on epoch microseconds, interpolated the numpy way).
+    Optional ``max_date`` keeps only earlier rows first. Dates count as calendar days. The cutoff
+    lies at position ``(n - 1) * (1 - test_ratio)`` of the sorted days; between two days it falls
+    on a whole day: counted from the lower one for a fraction below one half, else from the upper.
     """
     if not 0 < test_ratio < 1:
         raise ValueError("test_ratio must be in (0, 1)")
     df = data
     if max_date is not None:
         df = df.where(F.col(date_column) < F.lit(max_date).cast(df.schema[date_column].dataType))
-    us = epoch_micros(F.col(date_column)).cast("double")
-    with_us = df.withColumn("_lw_us", us)
-    cut = exact_quantiles(with_us, [], "_lw_us", [1 - test_ratio], out="_lw_q").select(
-        F.lit(1).alias(ALL_KEY), F.col("_lw_q")[0].alias("_lw_cut")
+    ratio = 1 - test_ratio
+    with_day = df.withColumn("_lw_day", F.datediff(F.col(date_column).cast("date"), F.lit("1970-01-01").cast("date")))
+    cut = exact_quantiles(with_day, [], "_lw_day", [ratio], out="_lw_q")
+    position = (F.col("n") - 1) * F.lit(ratio)
+    day = F.col("_lw_q")[0]
+    cut = cut.select(
+        F.lit(1).alias(ALL_KEY),
+        F.when(position - F.floor(position) < 0.5, F.floor(day)).otherwise(F.ceil(day)).alias("_lw_cut"),
     )
-    keyed, _ = with_group_key(with_us, [])
+    keyed, _ = with_group_key(with_day, [])
     labelled = join_keys(keyed, cut, [ALL_KEY], "left", small=True)  # one row
-    return labelled.withColumn(
-        out, F.when(F.col("_lw_us") < F.col("_lw_cut"), F.lit("train")).otherwise(F.lit("test"))
-    ).drop("_lw_us", "_lw_cut", ALL_KEY)
+    label = F.when(F.col("_lw_day") < F.col("_lw_cut"), "train").when(F.col("_lw_day") >= F.col("_lw_cut"), "test")
+    return labelled.withColumn(out, label).drop("_lw_day", "_lw_cut", ALL_KEY)
 
 
 def time_split(
     data: DataFrame, date_column: str, test_ratio: float = 0.3, max_date: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """F1 as two frames (train, test); the input frame is left as it is."""
+    """F1 as two frames (train, test); rows without a date are in neither; the input frame is left as it is."""
     labelled = time_split_labels(data, date_column, test_ratio, max_date, out="_lw_split")
     train = labelled.where(F.col("_lw_split") == "train").drop("_lw_split")
     test = labelled.where(F.col("_lw_split") == "test").drop("_lw_split")
@@ -63,10 +66,8 @@ def _hash_rank(ids: DataFrame, id_cols: Sequence[str], strata: Sequence[str], se
     tagged = ids.withColumn("_lw_h", F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed))).withColumn(
         "_lw_one", F.lit(1).cast("long")
     )
-    run = running_totals(tagged, strata, "_lw_h", ["_lw_one"])
-    sizes = tagged.groupBy(*strata).agg(F.count(F.lit(1)).alias("_lw_size"))
-    out = join_keys(run.withColumnRenamed("cum__lw_one", "_lw_rank"), sizes, strata)
-    return out.drop("_lw_h", "_lw_one")
+    run = running_totals(tagged, strata, "_lw_h", ["_lw_one"], totals_prefix="tot_")
+    return run.withColumnsRenamed({"cum__lw_one": "_lw_rank", "tot__lw_one": "_lw_size"}).drop("_lw_h", "_lw_one")
 
 
 def stratified_id_sample(
@@ -114,8 +115,8 @@ def group_kfold(
         cls = cls.groupBy(id_col).agg(
             F.min_by(F.col(strata_col), F.struct(-F.col("_lw_c"), F.col(strata_col))).alias("_lw_class")
         )
-        per_id = per_id.join(cls, id_col)
+        per_id = join_keys(per_id, cls, [id_col])
         strata = ["_lw_class", "_lw_size"]
     ranked = _hash_rank(per_id.withColumnRenamed("_lw_size", "_lw_sz"), [id_col], [*(["_lw_class"] if strata_col else []), "_lw_sz"], seed)
     folds = ranked.select(id_col, F.pmod(F.col("_lw_rank") + F.col("_lw_sz"), F.lit(k)).cast("int").alias(out))
-    return data.join(folds, id_col)
+    return join_keys(data, folds, [id_col])  # a NULL id is an id of its own: its rows share a fold

@@ -23,10 +23,16 @@ SCRIPTS = Path(__file__).parent / "scripts" / "orders_daily"
 
 @register(
     "time_split",
-    """WITH c AS (SELECT quantile_cont(o_orderdate, 0.7) AS cut FROM orders)
-SELECT CASE WHEN o_orderdate < cut THEN 'train' ELSE 'test' END AS split, count(*) AS n,
-       min(o_orderdate) AS first_date, max(o_orderdate) AS last_date
-FROM orders CROSS JOIN c GROUP BY 1""",
+    """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderdate IS NOT NULL),
+p AS (SELECT (count(*) - 1) * 0.7::DOUBLE AS pos FROM d),
+s AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS k FROM d),
+c AS (SELECT pos - floor(pos) AS f, max(day) FILTER (WHERE k = floor(pos)) AS lo, max(day) FILTER (WHERE k = ceil(pos)) AS hi
+      FROM s CROSS JOIN p GROUP BY pos),
+cut AS (SELECT CASE WHEN f < 0.5 THEN lo + CAST(floor((hi - lo) * f) AS INTEGER)
+                    ELSE hi - CAST(floor((hi - lo) * (1 - f)) AS INTEGER) END AS day FROM c)
+SELECT CASE WHEN CAST(o_orderdate AS DATE) < cut.day THEN 'train' WHEN CAST(o_orderdate AS DATE) >= cut.day THEN 'test' END AS split,
+       count(*) AS n, min(o_orderdate) AS first_date, max(o_orderdate) AS last_date
+FROM orders CROSS JOIN cut GROUP BY 1""",
 )
 def q_time_split(spark: SparkSession, d: str) -> DataFrame:
     labelled = SP.time_split_labels(table(spark, d, "orders"), "o_orderdate", 0.3)
@@ -104,24 +110,22 @@ def _vec(col: str):
 def q_constant_features(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").where(F.col("o_orderstatus") == "F")
     cols = ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice"]
-    const = set(FE.constant_features(o, cols))
-    counts = FE.distinct_counts(o, cols)
-    return counts.select("feature", F.col("feature").isin(list(const) or [""]).alias("is_constant"))
+    return FE.distinct_counts(o, cols).select("feature", "is_constant")
 
 
 @register(
     "rare_binary_features",
-    f"""WITH f AS ({_DOC_SQL}), p AS (
-  SELECT 'quality' AS feature, count(*) FILTER (WHERE quality IS NOT NULL AND quality NOT IN (0, 1)) = 0 AS is_binary,
-         count(*) FILTER (WHERE quality = 1) AS n_ones FROM f
-  UNION ALL SELECT 'toxic', count(*) FILTER (WHERE toxic IS NOT NULL AND toxic NOT IN (0, 1)) = 0,
-         count(*) FILTER (WHERE toxic = 1) FROM f
-  UNION ALL SELECT 'n_chars', count(*) FILTER (WHERE n_chars IS NOT NULL AND n_chars NOT IN (0, 1)) = 0,
-         count(*) FILTER (WHERE n_chars = 1) FROM f)
-SELECT feature, is_binary, n_ones, is_binary AND n_ones < 30 AS rare FROM p""",
+    "WITH f AS (SELECT *, CAST(NULL AS INTEGER) AS nothing, 0 AS zero FROM (" + _DOC_SQL + ")), p AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, coalesce(count(DISTINCT {c}) = 2 AND min({c}) = 0 AND max({c}) = 1, FALSE) AS is_binary,"
+        f" count(*) FILTER (WHERE {c} = 1) AS n_ones FROM f"
+        for c in ("quality", "toxic", "n_chars", "nothing", "zero")
+    )
+    + ") SELECT feature, is_binary, n_ones, is_binary AND n_ones < 30 AS rare FROM p",
 )
 def q_rare_binary_features(spark: SparkSession, d: str) -> DataFrame:
-    return FE.binary_profile(_doc_features(spark, d), ["quality", "toxic", "n_chars"], 30)
+    f = _doc_features(spark, d).withColumns({"nothing": F.lit(None).cast("int"), "zero": F.lit(0)})
+    return FE.binary_profile(f, ["quality", "toxic", "n_chars", "nothing", "zero"], 30)
 
 
 _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -162,7 +166,13 @@ def q_stratified_group_kfold(spark: SparkSession, d: str) -> DataFrame:
 def q_feature_elimination(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem").withColumn("target", (F.col("l_returnflag") == "R").cast("int"))
     _, curve = FE.feature_elimination(
-        li.select("target", "l_linestatus", *_NUM), "target", ["l_linestatus"], _NUM, steps=2, max_iter=5
+        li.select("l_orderkey", "target", "l_linestatus", *_NUM),
+        "target",
+        ["l_linestatus"],
+        _NUM,
+        n_features=2,
+        max_iter=10,
+        id_col="l_orderkey",
     )
     return curve
 
@@ -288,13 +298,13 @@ def q_query_with_frames(spark: SparkSession, d: str) -> DataFrame:
 
 @register("feature_elimination_survival")
 def q_feature_elimination_survival(spark: SparkSession, d: str) -> DataFrame:
-    """Survival task of F12 on orders: time in days (> 0), event = not open."""
+    """Survival task of F12 on orders: time in days, counted from 1; event = not open."""
     from lakeworks.suite.evaluation import surv_frame
 
     o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_custkey", "o_orderpriority")
-    s = surv_frame(spark, d).select("o_orderkey", "t", "e").join(o, "o_orderkey").where(F.col("t") > 0)
+    s = surv_frame(spark, d).select("o_orderkey", "t", "e").join(o, "o_orderkey").withColumn("t", F.col("t") + 1)
     s = s.withColumn("o_custkey", F.col("o_custkey").cast("double"))
     _, curve = FE.feature_elimination(
-        s, "t", ["o_orderpriority"], ["o_totalprice", "o_custkey"], task="survival", event_col="e", steps=2
+        s, "t", ["o_orderpriority"], ["o_totalprice", "o_custkey"], task="survival", event_col="e", n_features=1
     )
     return curve

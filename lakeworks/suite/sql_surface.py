@@ -7,17 +7,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeworks.operators.joins import asof_join, range_join
+from lakeworks.operators.joins import asof_join, range_aggregate
 from lakeworks.plans.sql import FrameSession, run_sql
 from lakeworks.session import scratch_table
 from lakeworks.suite import register, round6, table
 
-ALL_TABLES = (
-    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
-    "conversations"
-).split()
-
-
 def with_views(spark: SparkSession, d: str, *names: str) -> FrameSession:
     fs = FrameSession(spark)
     for n in names:
@@ -124,21 +118,21 @@ GROUP BY p.event_id"""
 
 @register("sql_join_range", _RANGE_DUCK)
 def q_sql_join_range(spark: SparkSession, d: str) -> DataFrame:
-    """Events of the same user in the 6 hours before each purchase (bucketed range join)."""
+    """Events of the same user in the 6 hours before each purchase (no pairs: a bucketed range window)."""
     ev = table(spark, d, "events")
     purchases = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
-    others = ev.select(F.col("event_id").alias("o_id"), "user_id", F.col("ts").alias("o_ts"), "value")
-    pairs = range_join(purchases, others, ["user_id"], "ts", "o_ts", 6 * 3600, 0)
-    pairs = pairs.where(F.col("o_ts") < F.col("ts"))
-    counted = pairs.groupBy("event_id").agg(F.count(F.lit(1)).alias("n_prior"), F.sum("value").alias("prior_value"))
-    out = purchases.select("event_id").join(counted, "event_id", "left")
-    return round6(
-        out.select(
-            "event_id",
-            F.coalesce("n_prior", F.lit(0)).cast("long").alias("n_prior"),
-            F.coalesce("prior_value", F.lit(0.0)).alias("prior_value"),
-        )
+    others = ev.select("user_id", F.col("ts").alias("o_ts"), "value")
+    out = range_aggregate(
+        purchases,
+        others,
+        ["user_id"],
+        "ts",
+        "o_ts",
+        6 * 3600,
+        {"n_prior": lambda c, w: F.count(c("value_present")).over(w), "prior_value": lambda c, w: F.sum(c("value")).over(w)},
+        {"value": F.col("value"), "value_present": F.lit(1)},
     )
+    return round6(out.select("event_id", "n_prior", F.coalesce("prior_value", F.lit(0.0)).alias("prior_value")))
 
 
 _ASOF_DUCK = """SELECT e.event_id, e.event_type, CAST(p.event_id AS DOUBLE) AS last_purchase_id, round(p.value, 6) AS last_purchase_value

@@ -11,11 +11,15 @@ from lakeworks.operators import reports as RP
 from lakeworks.operators import splits as SP
 
 
-def test_time_split_matches_pandas_cutoff(spark):
+def test_time_split_matches_the_day_rule(spark):
     rng = np.random.default_rng(1)
     days = pd.to_datetime("2020-01-01") + pd.to_timedelta(rng.integers(0, 400, 500), unit="D")
     pdf = pd.DataFrame({"id": range(500), "d": days})
-    cut = pdf["d"].quantile(0.7)
+    ordered = pdf["d"].sort_values(ignore_index=True)
+    pos = (len(ordered) - 1) * 0.7
+    lo, hi, f = ordered[int(pos)], ordered[int(pos) + 1], pos - int(pos)
+    gap = (hi - lo).days  # whole days only: the cutoff is a date
+    cut = lo + pd.Timedelta(days=int(gap * f)) if f < 0.5 else hi - pd.Timedelta(days=int(gap * (1 - f)))
     df = spark.createDataFrame(pdf).withColumn("d", F.col("d").cast("timestamp_ntz"))
     train, test = SP.time_split(df, "d", 0.3)
     exp_train = set(pdf.loc[pdf.d < cut, "id"])
