@@ -6,14 +6,18 @@ pruned, so only paths, sizes and times are read - no listing loop on the driver.
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeworks.functions.types import spark_type
+from lakeworks.functions.types import quote, spark_type
+
+log = logging.getLogger(__name__)
 
 # ------------------------------------------------------------------------------ A15 paths
 
@@ -72,14 +76,16 @@ def read_parquet(
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     df = reader.parquet(*paths)
     if periods == "auto":
-        files = df.inputFiles()  # already listed by the scan; no extra job
-        periods = period_columns(files[0]) if files else {}
+        # one file is enough, and only frames with an integer column can hold ordinals
+        ordinals = any(f.dataType.typeName() == "long" for f in df.schema.fields)
+        one = df.select("_metadata.file_path").first() if ordinals else None
+        periods = period_columns(one[0]) if one else {}
     for name, freq in (periods or {}).items():
         if name in df.columns:
             try:
                 df = df.withColumn(name, period_start(name, freq))
-            except ValueError:
-                pass  # frequencies without a start rule stay ordinals
+            except ValueError as exc:
+                log.warning("column %s keeps its ordinals: %s", name, exc)
     return df
 
 
@@ -106,23 +112,44 @@ def period_columns(file_path: str) -> dict[str, str]:
     return out
 
 
+#: frequencies of fixed length, in microseconds (fixed values of the pandas notation)
+_STEPS = {
+    "d": 86_400_000_000,
+    "h": 3_600_000_000,
+    "min": 60_000_000,
+    "t": 60_000_000,
+    "s": 1_000_000,
+    "ms": 1_000,
+    "us": 1,
+}
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+_WEEKDAYS = "mon tue wed thu fri sat sun".split()
+
+
 def period_start(col: str, freq: str = "M"):
-    """A2: an integer period ordinal (pandas Period stored as int64) -> the period's start
-    timestamp. ``M`` months, ``D`` days, ``Y``/``A`` years, ``Q`` quarters since 1970."""
-    n = F.col(col).cast("int")
+    """A2: an integer period ordinal (pandas Period stored as int64) -> the period's start timestamp.
+
+    ``M`` months, ``Q-<month>`` and ``Y-<month>`` (or ``A-``) quarters and years by the last month of
+    the year, ``W-<day>`` weeks by their last day, ``D``, ``h``, ``min``, ``s``, ``ms``, ``us``."""
+    n = F.col(col)
     epoch = F.lit("1970-01-01").cast("date")
-    f = freq.upper()[0]
-    if f == "M":
-        d = F.add_months(epoch, n)
-    elif f == "Q":
-        d = F.add_months(epoch, n * 3)
-    elif f in ("Y", "A"):
-        d = F.make_date(n + 1970, F.lit(1), F.lit(1))
-    elif f == "D":
-        d = F.date_add(epoch, n)
-    else:
-        raise ValueError(f"unsupported period frequency {freq!r}")
-    return d.cast("timestamp_ntz")
+    unit, _, anchor = freq.strip().lower().partition("-")
+    if freq.strip() == "M":
+        return F.add_months(epoch, n.cast("int")).cast("timestamp_ntz")
+    if unit in ("q", "y", "a", "ye", "qe") and (anchor or "dec") in _MONTHS:
+        length = 3 if unit.startswith("q") else 12
+        shift = (_MONTHS.index(anchor or "dec") + 1) % 12  # months by which the year starts after January
+        return F.add_months(epoch, (n * length + (shift - 12 if shift else 0)).cast("int")).cast("timestamp_ntz")
+    if unit == "w" and (anchor or "sun") in _WEEKDAYS:
+        # ordinal 0 ends on that weekday in the week before 1970-01-01, a Thursday
+        last = (_WEEKDAYS.index(anchor or "sun") - 3) % 7 - 7
+        return F.date_add(epoch, (n * 7 + last - 6).cast("int")).cast("timestamp_ntz")
+    if unit in _STEPS and not anchor:
+        step = _STEPS[unit]
+        micros = n.cast("long") * step
+        day = F.date_add(epoch, F.floor(micros / F.lit(86_400_000_000)).cast("int")).cast("timestamp_ntz")
+        return day + F.make_dt_interval(secs=(F.pmod(micros, F.lit(86_400_000_000)) / F.lit(1_000_000)).cast("decimal(18,6)"))
+    raise ValueError(f"unsupported period frequency {freq!r}")
 
 
 def sql_over_files(spark: SparkSession, query: str, **paths: str) -> DataFrame:
@@ -152,34 +179,22 @@ def load_csv(
 ) -> DataFrame:
     """A4: delimited text with declared types.
 
-    Bad fields turn into NULL with the row kept in a corrupt-record column; more than
-    ``max_error`` bad rows raise, fewer are dropped. ``ignore_header=n`` skips the first n lines
-    of every file (n > 1 uses line positions within each file's first split).
+    Every field is read as text and cast; a row is bad when a field does not fit its type or the
+    number of fields is wrong. More than ``max_error`` bad rows raise, fewer are dropped - whatever
+    columns the caller selects later, as the test reads all of them. ``blanks_as_null``: a field of
+    blanks only is NULL (others keep their blanks); ``empty_as_null=False`` keeps empty text as
+    ``""``; ``null_as`` is a NULL token. ``ignore_header=n`` skips the first n lines of every file
+    (n > 1 uses line positions within each file's first split).
     """
     paths = [path] if isinstance(path, str) else list(path)
-    fields = [T.StructField(c, spark_type(t)) for c, t in (column_types or {}).items()]
-    corrupt = "_lw_corrupt"
-    schema = T.StructType([*fields, T.StructField(corrupt, T.StringType())])
-    opts = {
-        "sep": delimiter,
-        "mode": "PERMISSIVE",
-        "columnNameOfCorruptRecord": corrupt,
-        "ignoreLeadingWhiteSpace": "true" if blanks_as_null else "false",
-        "ignoreTrailingWhiteSpace": "true" if blanks_as_null else "false",
-    }
-    if date_format:
-        opts["dateFormat"] = date_format
-    if time_format:
-        opts["timestampFormat"] = time_format
-        opts["timestampNTZFormat"] = time_format
-    if null_as is not None:
-        opts["nullValue"] = null_as
-    if empty_as_null:
-        opts["emptyValue"] = None
-    if not fields:
+    types = {c: spark_type(t) for c, t in (column_types or {}).items()}
+    if not types:
         raise ValueError("load_csv needs declared column types")
+    corrupt = "_lw_corrupt"
+    raw = T.StructType([T.StructField(c, T.StringType()) for c in [*types, corrupt]])
+    opts = {"sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
     if ignore_header <= 1:
-        df = spark.read.schema(schema).options(**opts).option("header", str(ignore_header == 1).lower()).csv(paths)
+        df = spark.read.schema(raw).options(**opts).option("header", str(ignore_header == 1).lower()).csv(paths)
     else:
         lines = spark.read.text(paths).select(
             "value",
@@ -191,25 +206,43 @@ def load_csv(
         kept = lines.join(first, "_f", "left").where(
             F.col("_i0").isNull() | (F.col("_b") > 0) | (F.col("_i") >= F.col("_i0") + ignore_header)
         )
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{corrupt}` string"
-        parsed = kept.select(F.from_csv("value", ddl, {k: v for k, v in opts.items() if v is not None}).alias("r"))
-        df = parsed.select(*[F.col(f"r.{f.name}").alias(f.name) for f in fields], F.col(f"r.{corrupt}").alias(corrupt))
-    if accept_invalid_chars is not None:
-        df = df.select(
-            *[
-                F.regexp_replace(F.col(f.name), "�", accept_invalid_chars).alias(f.name)
-                if isinstance(f.dataType, T.StringType)
-                else F.col(f.name)
-                for f in fields
-            ],
-            corrupt,
-        )
+        df = kept.select(F.from_csv("value", ", ".join(f"`{c}` string" for c in raw.names), opts).alias("r")).select("r.*")
+
+    def field(name: str) -> Column:
+        value = F.col(quote(name))
+        if not empty_as_null and isinstance(types[name], T.StringType):
+            value = F.coalesce(value, F.lit(""))
+        if blanks_as_null:
+            value = F.when(F.trim(value) != "", value)
+        if null_as is not None:
+            value = F.when(value != null_as, value)
+        if accept_invalid_chars is not None:
+            value = F.regexp_replace(value, "\ufffd", accept_invalid_chars)
+        return value
+
+    def typed(name: str, kind: T.DataType) -> Column:
+        value = field(name)
+        if isinstance(kind, T.StringType):
+            return value
+        value = F.trim(value)
+        value = F.when(value != "", value)
+        form = date_format if isinstance(kind, T.DateType) else time_format
+        if form and isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            return F.try_to_timestamp(value, F.lit(form)).cast(kind)
+        return value.try_cast(kind)
+
+    whole = df.select(
+        *[typed(c, t).alias(c) for c, t in types.items()],
+        F.array(*[F.trim(field(c)).isNotNull() & (F.trim(field(c)) != "") for c in types]).alias("_lw_given"),
+        F.col(corrupt).isNotNull().alias(corrupt),
+    )
+    unfit = [F.get("_lw_given", F.lit(i)) & F.col(quote(c)).isNull() for i, c in enumerate(types)]
+    flagged = whole.withColumn("_lw_bad", reduce(lambda a, b: a | b, unfit, F.col(corrupt)))
     if max_error is not None:
-        # the aggregate also reads a data column: Spark refuses plans that read only the corrupt column
-        bad = df.agg(F.count_if(F.col(corrupt).isNotNull()).alias("bad"), F.count(F.col(fields[0].name))).first()["bad"]
+        bad = flagged.where("_lw_bad").agg(F.count(F.lit(1)).alias("bad")).first()["bad"]
         if bad > max_error:
             raise ValueError(f"{bad} rows could not be parsed (max_error={max_error})")
-    return df.where(F.col(corrupt).isNull()).drop(corrupt)
+    return flagged.where(~F.col("_lw_bad")).select(*[quote(c) for c in types])
 
 
 def load_files(spark: SparkSession, path: str | Sequence[str], fmt: str, schema: T.StructType | None = None) -> DataFrame:
@@ -260,13 +293,21 @@ def to_spark(spark: SparkSession, data, schema: T.StructType | str | None = None
 
 
 def list_files(spark: SparkSession, prefix: str, recursive: bool = True, glob: str | None = None) -> DataFrame:
-    """``path, length, modificationTime`` of files under a prefix (content never read)."""
-    reader = spark.read.format("binaryFile")
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
+    """``path, length, modificationTime`` of files under a prefix (content never read);
+    without ``recursive`` only those right in it, none of a ``k=v`` or any other folder."""
+    # the lookup is recursive in both cases: a plain one would take folders for partitions
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(prefix).select("path", "length", "modificationTime")
+    files = reader.load(prefix).select("path", "length", "modificationTime")
+    return files if recursive else files.where(~_below(prefix).contains("/"))
+
+
+def _below(prefix: str) -> Column:
+    """The part of ``path`` behind ``prefix``."""
+    root = normalize_path(prefix).rstrip("/").split("://")[-1]
+    root = root.removeprefix("file:")
+    return F.regexp_replace(F.col("path"), r"^.*?" + re.escape(root) + "/+", "")
 
 
 def has_files(spark: SparkSession, prefix: str, glob: str | None = None) -> bool:
@@ -280,21 +321,22 @@ def has_files(spark: SparkSession, prefix: str, glob: str | None = None) -> bool
 
 
 def list_partition_paths(spark: SparkSession, prefix: str, depth: int = 1) -> DataFrame:
-    """Distinct partition directories to ``depth`` levels; only ``k=v`` segments count.
+    """Distinct partition directories of ``depth`` levels: the first ``depth`` folders below the
+    prefix are ``k=v``; a path with another folder among them is none.
 
-    Returns ``partition_path`` and ``partition_values`` (ordered ``array<struct<key, value>>``)."""
+    Returns ``partition_path`` (as it is on disk) and ``partition_values`` (ordered
+    ``array<struct<key, value>>``, escaped characters restored)."""
     root = normalize_path(prefix).rstrip("/")
-    files = list_files(spark, prefix)
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + re.escape(root.split("://")[-1]) + "/?", "")
-    segs = F.split(rel, "/")
-    dirs = F.slice(segs, 1, F.greatest(F.size(segs) - 1, F.lit(0)))
-    kv = F.filter(dirs, lambda s: s.contains("="))
-    picked = F.slice(kv, 1, depth)
-    out = files.select(picked.alias("segs")).where(F.size("segs") == depth).distinct()
-    return out.select(
+    folders = F.split(_below(prefix), "/")
+    parts = list_files(spark, prefix).select(folders.alias("f")).where(F.size("f") > depth)
+    parts = parts.select(F.slice("f", 1, depth).alias("segs")).where(F.forall("segs", lambda s: s.contains("="))).distinct()
+    plain = lambda s: F.url_decode(F.replace(s, F.lit("+"), F.lit("%2B")))
+    key = lambda s: F.substring_index(s, "=", 1)
+    return parts.select(
         F.concat(F.lit(root + "/"), F.array_join("segs", "/"), F.lit("/")).alias("partition_path"),
         F.transform(
-            "segs", lambda s: F.struct(F.split(s, "=")[0].alias("key"), F.split(s, "=")[1].alias("value"))
+            "segs",
+            lambda s: F.struct(plain(key(s)).alias("key"), plain(F.substr(s, F.length(key(s)) + 2)).alias("value")),
         ).alias("partition_values"),
     )
 
