@@ -43,9 +43,18 @@ def _is_blank_number(c: Column) -> Column:
     return c.isNull() | F.isnan(c) | (c == float("inf")) | (c == float("-inf"))
 
 
-def to_cells(df: DataFrame) -> DataFrame:
+def _number_cell(c: Column) -> Column:
+    """A double as plain digits, never in scientific notation (within 23 digits before the point, 15 behind)."""
+    text = c.cast("string")
+    digits = F.regexp_replace(c.try_cast("decimal(38,15)").cast("string"), r"0+$", "")
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    return F.when(text.contains("E") & (F.abs(c) >= 1e-12), F.coalesce(plain, text)).otherwise(text)
+
+
+def to_cells(df: DataFrame, include_headers: bool = False) -> DataFrame:
     """Every column as display text - timestamps ``yyyy-MM-dd HH:mm:ss``; NULL, NaN and
-    +/-inf become ``""``; the texts ``nan`` and ``None`` become ``""``."""
+    +/-inf become ``""``; the texts ``nan`` and ``None`` become ``""``. ``include_headers`` puts a row
+    with the column names first."""
     out = []
     for f in df.schema.fields:
         c = F.col(quote(f.name))
@@ -53,17 +62,16 @@ def to_cells(df: DataFrame) -> DataFrame:
         if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
             s = F.date_format(c, DATETIME_CELL)
         elif isinstance(dt, (T.DoubleType, T.FloatType)):
-            s = F.when(_is_blank_number(c), F.lit("")).otherwise(c.cast("string"))
+            s = F.when(_is_blank_number(c), F.lit("")).otherwise(_number_cell(c))
         else:
             s = c.cast("string")
         s = F.coalesce(s, F.lit(""))
         out.append(F.when(s.isin("nan", "None"), F.lit("")).otherwise(s).alias(f.name))
-    return df.select(*out)
-
-
-def header_row(df: DataFrame) -> list[str]:
-    """Header cells of ``to_cells`` output (column names, in order)."""
-    return list(df.columns)
+    cells = df.select(*out)
+    if not include_headers:
+        return cells
+    header = df.sparkSession.range(1).select(*[F.lit(c).alias(c) for c in df.columns])
+    return header.unionByName(cells)
 
 
 def _resolve(df: DataFrame, columns: Sequence[str | int]) -> list[str]:

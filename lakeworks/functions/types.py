@@ -264,9 +264,11 @@ def align_to(
     df: DataFrame,
     target: T.StructType | Sequence[tuple[str, T.DataType]],
     exclude: Sequence[str] = (),
+    strict: bool = False,
 ) -> DataFrame:
     """Target column order; missing columns as typed NULL, extras dropped, types cast to the
-    target's (the existing table schema wins); ``exclude`` (identity columns) never supplied."""
+    target's (the existing table schema wins); ``exclude`` (identity columns) never supplied. A value
+    that does not fit becomes NULL, or raises with ``strict`` (under ANSI, the default)."""
     fields = [(f.name, f.dataType) for f in target.fields] if isinstance(target, T.StructType) else list(target)
     have = {c.lower(): c for c in df.columns}
     skip = {e.lower() for e in exclude}
@@ -278,7 +280,8 @@ def align_to(
         if src is None:
             out.append(F.lit(None).cast(dt).alias(name))
         else:
-            out.append(F.col(quote(src)).try_cast(dt).alias(name))
+            value = F.col(quote(src))
+            out.append((value.cast(dt) if strict else value.try_cast(dt)).alias(name))
     return df.select(*out)
 
 

@@ -13,7 +13,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeworks.functions.sqltext import resolve_query, returns_rows, spark_dialect, split_statements
+from lakeworks.functions.sqltext import resolve_query, spark_dialect, split_statements
 
 log = logging.getLogger(__name__)
 
@@ -21,7 +21,7 @@ log = logging.getLogger(__name__)
 def run_sql(spark: SparkSession, query: str, base_dir: str | Path | None = None, **params) -> DataFrame | None:
     """Run inline SQL or a ``.sql`` file; all statements but the last run first.
 
-    Returns the last statement's frame when it returns rows, else None.
+    Returns the last statement's frame when it has columns (SELECT, VALUES, SHOW, DESCRIBE, ...), else None.
     """
     text = resolve_query(query, base_dir=base_dir, **params)
     statements = split_statements(text)
@@ -29,9 +29,8 @@ def run_sql(spark: SparkSession, query: str, base_dir: str | Path | None = None,
         return None
     for stmt in statements[:-1]:
         spark.sql(spark_dialect(stmt))
-    last = spark_dialect(statements[-1])
-    result = spark.sql(last)
-    return result if returns_rows(statements[-1]) else None
+    result = spark.sql(spark_dialect(statements[-1]))
+    return result if result.columns else None
 
 
 def fetch(df: DataFrame, fetch_one: bool = False, fetch_all: bool = False):
@@ -47,19 +46,20 @@ class FrameSession:
     """Named frames queried together with tables and files.
 
     Persistent mode registers frames as temp views on the session (they stay until
-    unregistered); isolated mode drops them again once the query is analysed.
+    unregistered); isolated mode drops them again once the query is analysed and brings back a
+    registered frame whose name it used.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.registered: set[str] = set()
+        self.registered: dict[str, DataFrame] = {}
 
     def register(self, name: str, df: DataFrame) -> None:
         df.createOrReplaceTempView(name)
-        self.registered.add(name)
+        self.registered[name] = df
 
     def unregister(self, name: str) -> bool:
-        self.registered.discard(name)
+        self.registered.pop(name, None)
         return self.spark.catalog.dropTempView(name)
 
     def query(
@@ -79,7 +79,9 @@ class FrameSession:
             return run_sql(self.spark, sql, **params)
         finally:
             for name in frames or {}:
-                if name not in self.registered:
+                if name in self.registered:
+                    self.registered[name].createOrReplaceTempView(name)
+                else:
                     self.spark.catalog.dropTempView(name)
 
 
@@ -93,57 +95,40 @@ def _read_yaml(path: Path):
         return yaml.safe_load(fh)
 
 
-def _steps_of(data) -> list[str] | None:
-    if not isinstance(data, dict):
-        return None
-    steps = data.get("steps")
-    if not isinstance(steps, list) or not steps:
-        return None
-    return [str(s) for s in steps]
+def _declared_steps(entry) -> list[str]:
+    """The step names of a YAML mapping; an unusable or empty list counts as none."""
+    steps = entry.get("steps") if isinstance(entry, dict) else None
+    return [str(x) for x in steps] if isinstance(steps, list) else []
+
+
+def _named_entries(section) -> list[tuple[str, object]]:
+    """``pipelines`` as a mapping or as a list of entries with a ``name``."""
+    if isinstance(section, dict):
+        return list(section.items())
+    return [(x.get("name"), x) for x in section if isinstance(x, dict)] if isinstance(section, list) else []
 
 
 def pipeline_steps(folder: str | Path, pipeline: str | None = None) -> list[str] | None:
-    """D8 YAML rule: one YAML without a name -> its ``steps``; several -> None (alphabetical);
-    a name -> ``<name>.yaml`` first, then ``pipelines.<name>`` (dict or list of {name, steps})."""
-    folder = Path(folder)
-    yamls = sorted(folder.glob("*.yaml"))
-    if pipeline is None:
-        if len(yamls) != 1:
-            if len(yamls) > 1:
-                log.warning("several YAML files in %s; using alphabetical order", folder)
-            return None
-        try:
-            return _steps_of(_read_yaml(yamls[0]))
-        except Exception:  # noqa: BLE001
-            return None
-    named = folder / f"{pipeline}.yaml"
-    if named.exists():
-        try:
-            steps = _steps_of(_read_yaml(named))
-            if steps:
-                return steps
-        except Exception:  # noqa: BLE001
-            pass
-    for path in yamls:
-        if path == named:
-            continue
+    """D8 YAML rule: without a name the steps of the folder's only YAML file; with one the steps of
+    ``<name>.yaml``, else of the first ``pipelines`` section that names it; None means alphabetical."""
+    documents = {}
+    for path in sorted(Path(folder).glob("*.yaml")):
         try:
-            data = _read_yaml(path)
-        except Exception:  # noqa: BLE001
-            continue
-        section = data.get("pipelines") if isinstance(data, dict) else None
-        if isinstance(section, dict) and pipeline in section:
-            steps = _steps_of(section[pipeline])
-            if steps:
-                return steps
-        if isinstance(section, list):
-            for item in section:
-                if isinstance(item, dict) and item.get("name") == pipeline:
-                    steps = _steps_of(item)
-                    if steps:
-                        return steps
-    log.warning("pipeline %s not found in %s; using alphabetical order", pipeline, folder)
-    return None
+            documents[path.stem] = _read_yaml(path)
+        except Exception as exc:  # noqa: BLE001 - an unreadable file declares nothing
+            log.warning("%s cannot be read: %s", path, exc)
+            documents[path.stem] = None
+    if pipeline is None:
+        if len(documents) > 1:
+            log.warning("several YAML files in %s; using alphabetical order", folder)
+        found = [_declared_steps(d) for d in documents.values()] if len(documents) == 1 else []
+    else:
+        sections = [e for d in documents.values() if isinstance(d, dict) for e in _named_entries(d.get("pipelines"))]
+        found = [_declared_steps(documents.get(pipeline)), *(_declared_steps(e) for name, e in sections if name == pipeline)]
+    steps = next(filter(None, found), None)
+    if pipeline is not None and steps is None:
+        log.warning("pipeline %s not found in %s; using alphabetical order", pipeline, folder)
+    return steps
 
 
 def sql_files(folder: str | Path, pipeline: str | None = None) -> dict[str, Path]:
@@ -200,7 +185,7 @@ def run_scripts(
             df = spark.sql(spark_dialect(stmt))
         except Exception as exc:
             raise RuntimeError(f"script {name!r} statement {i} failed: {exc}") from exc
-        if idx == len(plan) - 1 and returns_rows(stmt):
+        if idx == len(plan) - 1 and df.columns:
             result = df
     return result
 

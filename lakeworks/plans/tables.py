@@ -12,12 +12,14 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeworks.functions import types as TY
 from lakeworks.functions.sqltext import resolve_query, returns_rows, split_statements, spark_dialect
+from lakeworks.session import stored
 from lakeworks.sources.files import first_parquet_schema, has_files, list_partition_paths, normalize_path
 
 log = logging.getLogger(__name__)
@@ -62,6 +64,26 @@ def _sibling(table: str, tag: str) -> str:
     return f"{db}.{sib}" if db else sib
 
 
+def _text(value: str) -> str:
+    """``value`` as the inside of a SQL string literal."""
+    return str(value).replace("\\", "\\\\").replace("'", "\\'")
+
+
+#: table properties that the catalog writes itself
+_OWN_PROPERTIES = ("transient_lastDdlTime", "numFiles", "totalSize", "spark.sql.")
+
+
+def table_layout(spark: SparkSession, table: str) -> dict:
+    """What a replacing write must carry over: provider, partition columns, comment and properties."""
+    provider = "parquet"
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Provider").collect():
+        provider = r["data_type"].lower()
+    partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    own = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    properties = {k: v for k, v in own.items() if not k.startswith(_OWN_PROPERTIES) and k != "comment"}
+    return {"provider": provider, "partition_by": partition_by, "comment": table_comment(spark, table), "properties": properties}
+
+
 def swap_in(spark: SparkSession, staging: str, table: str) -> None:
     """Rename staging over ``table``: old away, staging in, old dropped (never drop first)."""
     if table_exists(spark, table):
@@ -77,6 +99,46 @@ def swap_in(spark: SparkSession, staging: str, table: str) -> None:
         spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
 
 
+def _follow_rename(spark: SparkSession, table: str) -> None:
+    """Some catalogs keep the old paths of a renamed table's partitions: point them to its folder."""
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    root = rows["Location"].rstrip("/")
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():  # catalog metadata, one row per partition
+        pairs = [kv.split("=", 1) for kv in row["partition"].split("/")]
+        spec = ", ".join(
+            f"{TY.quote(k)} = " + ("NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{_text(unquote(v))}'") for k, v in pairs
+        )
+        at = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})").where(F.col("col_name") == "Location").first()
+        if at is not None and at["data_type"].rstrip("/") == f"{root}/{row['partition']}":
+            return  # this catalog follows renames
+        spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{_text(root + '/' + row['partition'])}'")
+    spark.catalog.refreshTable(table)
+
+
+def replace_table(df: DataFrame, table: str, tag: str = "stage", **layout) -> None:
+    """Write ``df`` to a staging table and swap it in for ``table``, which keeps its provider, partitioning,
+    comment and properties unless ``layout`` says otherwise. A failed write leaves no staging table."""
+    spark = df.sparkSession
+    kept = table_layout(spark, table) if table_exists(spark, table) else {}
+    kept = {**kept, **{k: v for k, v in layout.items() if v is not None}}
+    have = {c.lower() for c in df.columns}
+    partition_by = [c for c in kept.get("partition_by") or [] if c.lower() in have]
+    staging = _sibling(table, tag)
+    try:
+        _write_new(df, staging, partition_by=partition_by, provider=kept.get("provider") or "parquet")
+        if kept.get("comment"):
+            set_comment(spark, staging, kept["comment"])
+        if kept.get("properties"):
+            pairs = ", ".join(f"'{_text(k)}' = '{_text(v)}'" for k, v in kept["properties"].items())
+            spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ({pairs})")
+        swap_in(spark, staging, table)
+    except Exception:
+        drop_table(spark, staging)
+        raise
+    if partition_by:
+        _follow_rename(spark, table)
+
+
 # ------------------------------------------------------------------------------ B2
 
 
@@ -93,12 +155,13 @@ def save_table(
     comment: str | None = None,
     drop_existing: bool = False,
     overwrite_schema: bool = False,
-    provider: str = "parquet",
+    provider: str | None = None,
     partition_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """B2: write a managed table and return a frame reading the written table.
 
-    Modes: ``overwrite`` (staged swap), ``append`` (creates when missing; ``merge_schema`` adds
+    Modes: ``overwrite`` (staged swap; partitioning, comment and properties stay unless given anew; a value
+    that does not fit a column raises on append), ``append`` (creates when missing; ``merge_schema`` adds
     new columns first, then inserts by name), ``ignore`` and ``error``. ``overwrite_schema`` and
     ``merge_schema`` exclude each other; ``drop_existing`` with ``append`` is refused.
     """
@@ -118,15 +181,12 @@ def save_table(
         raise ValueError(f"table {name} already exists")
     if mode == "ignore" and exists:
         return spark.table(name)
-    writer_opts = {"partition_by": partition_by, "provider": provider}
     if mode == "append" and exists:
         _append(df, name, merge_schema)
     elif exists:
-        staging = _sibling(name, "stage")
-        _write_new(df, staging, **writer_opts)
-        swap_in(spark, staging, name)
+        replace_table(df, name, partition_by=partition_by, provider=provider, comment=comment)
     else:
-        _write_new(df, name, **writer_opts)
+        _write_new(df, name, partition_by=partition_by, provider=provider or "parquet")
     if comment:
         set_comment(spark, name, comment)
     if optimize or zorder_by:
@@ -152,8 +212,7 @@ def _append(df: DataFrame, name: str, merge_schema: bool) -> None:
         cols = ", ".join(f"{TY.quote(f.name)} {f.dataType.simpleString()}" for f in new)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({cols})")
         existing = spark.table(name).schema
-    aligned = TY.align_to(df, existing)
-    aligned.write.mode("append").insertInto(name)
+    TY.align_to(df, existing, strict=True).write.mode("append").insertInto(name)
 
 
 # ------------------------------------------------------------------------------ B5
@@ -168,44 +227,55 @@ def _zorder_columns(zorder_by: str | Sequence[str] | None) -> list[str]:
 
 def clustered(df: DataFrame, columns: Sequence[str], partitions: int | None = None, bits: int = 10) -> DataFrame:
     """Range-cluster rows: one column -> range partition + sort; several -> Morton (Z) order of
-    per-column quantile buckets (``bits`` bits each), range-partitioned on the Z value."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    per-column quantile buckets (``bits`` bits each), range-partitioned on the Z value. Without
+    ``partitions`` the adaptive reader sizes the files."""
     cols = list(columns)
     if not cols:
         return df
+    n = [partitions] if partitions else []
     if len(cols) == 1:
-        return df.repartitionByRange(n, cols[0]).sortWithinPartitions(cols[0])
+        return df.repartitionByRange(*n, cols[0]).sortWithinPartitions(cols[0])
     levels = 1 << bits
     fr = [i / levels for i in range(1, levels)]
+    values = [_rankable(df, c) for c in cols]
     # one small row of bucket bounds per column; used as literals (no join needed)
     row = df.agg(
-        *[F.percentile_approx(F.col(c), F.array(*[F.lit(f) for f in fr]), 1000).alias(f"_b{i}") for i, c in enumerate(cols)]
+        *[F.percentile_approx(v, F.array(*[F.lit(f) for f in fr]), 1000).alias(f"_b{i}") for i, v in enumerate(values)]
     ).first()
-    tagged = df.select("*", *[F.array(*[F.lit(v) for v in (row[f"_b{i}"] or [])]).alias(f"_b{i}") for i in range(len(cols))])
-    codes = [_bucket_code(f"_b{i}", c) for i, c in enumerate(cols)]
     z = F.lit(0).cast("long")
+    codes = [_bucket_code(row[f"_b{i}"] or [], v, bits) for i, v in enumerate(values)]
+    tagged = df.select("*", *[c.alias(f"_lw_c{j}") for j, c in enumerate(codes)])
     for bit in range(bits):
-        for j, code in enumerate(codes):
-            z = z.bitwiseOR(F.shiftleft(F.shiftright(code, bit).bitwiseAND(F.lit(1)), bit * len(cols) + j))
-    out = tagged.withColumn("_lw_z", z).drop(*[f"_b{i}" for i in range(len(cols))])
-    return out.repartitionByRange(n, "_lw_z").sortWithinPartitions("_lw_z").drop("_lw_z")
+        for j in range(len(cols)):
+            z = z.bitwiseOR(F.shiftleft(F.shiftright(f"_lw_c{j}", bit).bitwiseAND(F.lit(1)).cast("long"), bit * len(cols) + j))
+    out = tagged.withColumn("_lw_z", z).drop(*[f"_lw_c{j}" for j in range(len(cols))])
+    return out.repartitionByRange(*n, "_lw_z").sortWithinPartitions("_lw_z").drop("_lw_z")
 
 
-def _bucket_code(bounds: str, col: str):
-    value = F.col(col)
-    return F.size(F.filter(F.col(bounds), lambda b: b < value)).cast("long")
+def _rankable(df: DataFrame, col: str):
+    """A column as something that quantile sketches take: text by its first bytes, in their order."""
+    if df.schema[col].dataType.typeName() not in ("string", "char", "varchar", "binary"):
+        return F.col(TY.quote(col))
+    head = F.substring(F.rpad(F.col(TY.quote(col)).cast("binary"), 6, b"\0"), 1, 6)
+    return F.conv(F.hex(head), 16, 10).cast("double")
+
+
+def _bucket_code(bounds: Sequence, value, bits: int):
+    """How many sorted bounds are below the value: a binary search of ``bits`` steps over one literal array."""
+    known = F.array(*[F.lit(b) for b in bounds])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(bits))])
+    below = lambda n: F.coalesce(F.get(known, n - 1) < value, F.lit(False))
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(below(n + step), n + step).otherwise(n))
 
 
 def optimize_table(spark: SparkSession, table: str, zorder_by: str | Sequence[str] | None = None) -> DataFrame:
-    """Compact a table (fewer, larger files), optionally clustered by columns; content is
-    unchanged. Written to staging and swapped in."""
+    """Compact a table (fewer, larger files), optionally clustered by columns; content and layout
+    are unchanged. File sizes follow the session's advisory partition size, whatever the table's size."""
     cols = _zorder_columns(zorder_by)
     df = spark.table(table)
-    out = clustered(df, cols) if cols else df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
-    staging = _sibling(table, "opt")
-    out.write.format("parquet").saveAsTable(staging)
-    swap_in(spark, staging, table)
+    by = table_layout(spark, table)["partition_by"]
+    out = clustered(df, cols) if cols else df.hint("rebalance", *by)
+    replace_table(out, table, tag="opt")
     return spark.table(table)
 
 
@@ -338,7 +408,7 @@ def with_identity(
 
     With ``order_by`` (a unique numeric/date column) ids follow that order via bucketed running
     totals; without it, ids follow the scan order from per-partition counts and prefix offsets
-    (a table of one row per partition). A name already present (any case) is left alone.
+    (a table of one row per partition) of the rows, which are stored once. A name already present (any case) is left alone.
     """
     if name.lower() in (c.lower() for c in df.columns):
         log.warning("identity column %s already exists; skipped", name)
@@ -349,13 +419,17 @@ def with_identity(
         run = running_totals(df.withColumn("_lw_one", F.lit(1).cast("long")), [], order_by, ["_lw_one"])
         ided = run.withColumn(name, (F.col("cum__lw_one") + F.lit(start)).cast("long")).drop("_lw_one", "cum__lw_one")
     else:
-        tagged = df.withColumn("_lw_p", F.spark_partition_id()).withColumn("_lw_m", F.monotonically_increasing_id())
+        # stored once: counts and rows must come from one evaluation, as a second one may be dealt otherwise
+        place = {"_lw_p": F.spark_partition_id(), "_lw_m": F.monotonically_increasing_id()}
+        tagged = stored(df.withColumns(place), "identity")
         counts = tagged.groupBy("_lw_p").agg(F.count(F.lit(1)).alias("_lw_c"), F.min("_lw_m").alias("_lw_m0"))
         w = Window.orderBy("_lw_p").rowsBetween(Window.unboundedPreceding, -1)
-        offs = counts.select("_lw_p", "_lw_m0", F.coalesce(F.sum("_lw_c").over(w), F.lit(0)).alias("_lw_off"))
-        ided = tagged.join(F.broadcast(offs), "_lw_p").withColumn(
+        offs = counts.select(
+            F.col("_lw_p").alias("_lw_q"), "_lw_m0", F.coalesce(F.sum("_lw_c").over(w), F.lit(0)).alias("_lw_off")
+        )
+        ided = tagged.join(stored(offs, "identity-offsets"), F.col("_lw_p") == F.col("_lw_q")).withColumn(
             name, (F.col("_lw_off") + F.col("_lw_m") - F.col("_lw_m0") + F.lit(start + 1)).cast("long")
-        ).drop("_lw_p", "_lw_m", "_lw_m0", "_lw_off")
+        )
     cols = [name, *df.columns] if first else [*df.columns, name]
     return ided.select(*[TY.quote(c) for c in cols])
 
@@ -371,9 +445,16 @@ def next_identity_start(spark: SparkSession, table: str, name: str) -> int:
 # ------------------------------------------------------------------------------ B7, B8, B13
 
 
-def create_table_like(spark: SparkSession, table: str, columns: Sequence[tuple[str, str]], identity: str | None = None) -> None:
-    """CREATE TABLE from declared columns (identity column first, BIGINT)."""
+def create_table_like(
+    spark: SparkSession,
+    table: str,
+    columns: Sequence[tuple[str, str]],
+    identity: str | None = None,
+    reserved: Sequence[str] = (),
+) -> None:
+    """CREATE TABLE from declared columns (identity column first, BIGINT); C7: names in ``reserved`` raise."""
     cols = list(columns)
+    TY.check_reserved([c for c, _ in cols], reserved)
     if identity and identity.lower() not in (c.lower() for c, _ in cols):
         cols = [(identity, "BIGINT"), *cols]
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({TY.ddl_of(cols)}) USING parquet")
@@ -397,15 +478,15 @@ def load_files_to_table(
     identity: str | None = None,
     identity_order_by: str | None = None,
     csv_options: Mapping | None = None,
+    reserved: Sequence[str] = (),
 ) -> DataFrame:
     """Load files into a table, creating it from the Parquet schema or declared types when
     missing (non-Parquet input needs declared types). An identity column is never loaded from
-    files; it continues from the table's current maximum."""
+    files; it continues from the table's current maximum. ``truncate_before_load`` and
+    ``drop_existing_table`` replace the table in a staged swap: whatever fails, the old one is still there."""
     from lakeworks.sources.files import load_csv, load_files, read_parquet
 
     fmt = fmt.lower()
-    if drop_existing_table:
-        drop_table(spark, table)
     if fmt == "csv":
         if not column_types:
             raise ValueError("CSV loads need declared column types")
@@ -418,7 +499,10 @@ def load_files_to_table(
         df = TY.cast_declared(df, column_types)
     if column_list:
         df = df.select(*[TY.quote(c) for c in column_list])
-    if not table_exists(spark, table):
+    TY.check_reserved(df.columns, reserved)
+    exists = table_exists(spark, table)
+    into = table
+    if drop_existing_table or not exists:
         if column_types:
             cols = [(c, column_types.get(c, TY.declared_type_of(df.schema[c].dataType) or TY.DEFAULT_VARCHAR)) for c in df.columns]
         elif fmt == "parquet":
@@ -426,16 +510,26 @@ def load_files_to_table(
             cols = [(c, t) for c, t in cols if c in df.columns]
         else:
             raise ValueError("a non-Parquet load cannot create the table without declared types")
-        create_table_like(spark, table, cols, identity)
-    elif truncate_before_load:
-        truncate_table(spark, table)
-    target = spark.table(table).schema
-    if identity:
-        start = next_identity_start(spark, table, identity)
-        df = with_identity(
-            TY.align_to(df, target, exclude=[identity]), identity, order_by=identity_order_by, start=start
-        )
-    TY.align_to(df, target).write.mode("append").insertInto(table)
+        if exists:
+            into = _sibling(table, "load")
+        create_table_like(spark, into, cols, identity)
+    try:
+        target = spark.table(into).schema
+        if identity:
+            fresh = truncate_before_load or into != table
+            start = 0 if fresh else next_identity_start(spark, table, identity)
+            df = with_identity(TY.align_to(df, target, exclude=[identity]), identity, order_by=identity_order_by, start=start)
+        rows = TY.align_to(df, target)
+        if truncate_before_load and into == table and exists:
+            replace_table(rows, table, tag="load")
+        else:
+            rows.write.mode("append").insertInto(into)
+            if into != table:
+                swap_in(spark, into, table)
+    except Exception:
+        if into != table:
+            drop_table(spark, into)
+        raise
     return spark.table(table)
 
 
@@ -447,10 +541,12 @@ def create_table_from_frame(
     identity: str | None = None,
     mode: str = "append",
     decimal_as: str = "double",
+    reserved: Sequence[str] = (),
 ) -> DataFrame:
     """Type all-null columns, match an existing table (its types win; missing columns added
     as NULL, extras dropped), DECIMAL -> DOUBLE, then write. Creates the table when missing."""
     spark = df.sparkSession
+    TY.check_reserved(df.columns, reserved)
     out = TY.type_null_columns(df, column_types)
     if column_types:
         out = TY.cast_declared(out, column_types, decimal_as)
@@ -488,12 +584,19 @@ def external_table(
         raise FileNotFoundError(f"no Parquet files under {location}")
     schema = first_parquet_schema(spark, location)
     part_names = [p for p, _ in partitions]
-    cols = TY.schema_to_columns(schema, part_names, column_types)
-    body = TY.ddl_of(cols + [(p, t) for p, t in partitions])
-    ddl = f"CREATE TABLE {table} ({body}) USING parquet"
+    # the files' own types (a DECIMAL stays one), unless declared otherwise
+    declared = {k.lower(): v for k, v in (column_types or {}).items()}
+    skip = {p.lower() for p in part_names}
+    own = [f for f in schema.fields if f.name.lower() not in skip]
+    cols = [
+        f"{TY.quote(f.name)} {(TY.spark_type(declared[f.name.lower()]) if f.name.lower() in declared else f.dataType).simpleString()}"
+        for f in own
+    ]
+    cols += [TY.ddl_of([p]) for p in partitions]
+    ddl = f"CREATE TABLE {table} ({', '.join(cols)}) USING parquet"
     if partitions:
         ddl += f" PARTITIONED BY ({', '.join(TY.quote(p) for p in part_names)})"
-    ddl += f" LOCATION '{location}'"
+    ddl += f" LOCATION '{_text(location)}'"
     if return_query:
         return ddl
     if table_exists(spark, table):
@@ -502,19 +605,21 @@ def external_table(
         drop_table(spark, table)
     spark.sql(ddl)
     if partitions and sync_partitions:
-        sync_partitions_from_files(spark, table, location, part_names)
+        failed = sync_partitions_from_files(spark, table, location, part_names)["failed"]
+        if failed:
+            raise RuntimeError(f"{len(failed)} partitions of {table} could not be added: {failed[:3]}")
     return spark.table(table)
 
 
 def _partition_spec(values: Mapping[str, str]) -> str:
-    return ", ".join(f"{TY.quote(k)} = '{str(v)}'" for k, v in values.items())
+    return ", ".join(f"{TY.quote(k)} = '{_text(v)}'" for k, v in values.items())
 
 
 def add_partition(spark: SparkSession, table: str, values: Mapping[str, str], location: str) -> None:
     """Register one partition; its directory must hold files."""
     if not has_files(spark, location):
         raise FileNotFoundError(f"partition directory {location} holds no files")
-    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({_partition_spec(values)}) LOCATION '{location}'")
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({_partition_spec(values)}) LOCATION '{_text(location)}'")
 
 
 def sync_partitions_from_files(
@@ -531,14 +636,19 @@ def sync_partitions_from_files(
         if keys != list(partition_columns):
             skipped += 1
             continue
-        specs.append(f"PARTITION ({_partition_spec(vals)}) LOCATION '{row['partition_path']}'")
+        specs.append(f"PARTITION ({_partition_spec(vals)}) LOCATION '{_text(row['partition_path'])}'")
     for i in range(0, len(specs), batch):
         chunk = specs[i : i + batch]
         try:
             spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(chunk))
             added += len(chunk)
-        except Exception as exc:  # noqa: BLE001
-            failed.append(str(exc)[:200])
+        except Exception:  # noqa: BLE001 - one bad partition fails its batch: add them one by one
+            for spec in chunk:
+                try:
+                    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec}")
+                    added += 1
+                except Exception as exc:  # noqa: BLE001
+                    failed.append(f"{spec}: {str(exc)[:200]}")
     return {"added": added, "skipped": skipped, "failed": failed}
 
 
@@ -552,9 +662,15 @@ def copy_table(spark: SparkSession, source: str, target: str, replace: bool = Tr
         raise ValueError("source and target need a schema")
     if source.lower() == target.lower():
         raise ValueError("source and target are the same table")
-    if replace or not table_exists(spark, target):
-        return save_table(spark.table(source), target, mode="overwrite")
-    spark.sql(f"INSERT INTO {target} SELECT * FROM {source}")
+    if not replace and table_exists(spark, target):
+        spark.sql(f"INSERT INTO {target} SELECT * FROM {source}")
+    elif table_exists(spark, target):
+        replace_table(spark.table(source), target, **{k: v or None for k, v in table_layout(spark, source).items()})
+    else:
+        layout = table_layout(spark, source)
+        _write_new(spark.table(source), target, partition_by=layout["partition_by"], provider=layout["provider"])
+        if layout["comment"]:
+            set_comment(spark, target, layout["comment"])
     return spark.table(target)
 
 
@@ -587,11 +703,16 @@ def upsert(target_df: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
 
 
 def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """MERGE-like upsert into a Parquet table via the staged swap."""
+    """MERGE-like upsert into a Parquet table via the staged swap, which keeps the table's layout. Like
+    MERGE it refuses a source that holds a key twice."""
+    source = stored(source, "upsert-source")  # evaluated once, though it is read for its keys and its rows
+    twice = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lw_n")).where("_lw_n > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"the source of the upsert holds a key of {list(keys)} more than once")
     if not table_exists(spark, table):
         return save_table(source, table)
     target = spark.table(table)
-    merged = upsert(target, TY.align_to(source, target.schema), keys)
+    merged = upsert(target, TY.align_to(source, target.schema, strict=True), keys)
     return save_table(merged, table, mode="overwrite")
 
 
