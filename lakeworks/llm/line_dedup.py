@@ -37,7 +37,7 @@ def line_table(docs: DataFrame, run: int = RUN) -> DataFrame:
     ``run`` of them the place of its fingerprint."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", _text_key(text).alias("text_key"), text.alias("text"))
-    rows = _held(rows, "lines", F.filter(F.transform(F.split("text", "\n", -1), F.trim), lambda x: x != "")).drop("text")
+    rows = _held(rows, "lines", F.filter(F.transform(F.split("text", "\n", -1), lambda x: F.trim(x)), lambda x: x != "")).drop("text")
     rows = _held(rows, "hashes", F.transform("lines", lambda x: F.xxhash64(x, F.length(x)))).drop("lines")
     starts = F.sequence(F.lit(0), F.size("hashes") - run)
 
