@@ -37,13 +37,17 @@ ITERATIONS = 60
 TOLERANCE = 1e-6
 
 
+def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``value`` as a column that is computed once per row: a generator keeps the optimiser from copying the
+    expression into the lambdas and filters that use it."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def features(docs: DataFrame) -> DataFrame:
     """``docs`` (all columns) plus ``n_tokens`` and one bin column ``b_<feature>`` each; null text counts as empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    # the generators keep the optimiser from computing words and distinct words anew for each feature
-    words = F.filter(F.split(F.lower(text), r"[\s.,;:!?]+"), lambda w: w != "")
-    rows = docs.select("*", F.explode(F.array(words)).alias("_words"))
-    rows = rows.select("*", F.explode(F.array(F.array_distinct("_words"))).alias("_distinct"))
+    rows = _held(docs, "_words", F.filter(F.split(F.lower(text), r"[\s.,;:!?]+"), lambda w: w != ""))
+    rows = _held(rows, "_distinct", F.array_distinct("_words"))
     n, chars = F.size("_words"), F.length(text)
     values = {
         "symbols": F.try_divide(chars - F.length(F.translate(text, SYMBOLS, "")), chars),
@@ -52,7 +56,8 @@ def features(docs: DataFrame) -> DataFrame:
         "word_length": F.try_divide(chars - n, n),
         "length": n,
     }
-    bins = [_bin(F.coalesce(v.cast("double"), F.lit(0.0)), BINS[name]).alias(f"b_{name}") for name, v in values.items()]
+    rows = _held(rows, "_values", F.struct(*[F.coalesce(v.cast("double"), F.lit(0.0)).alias(k) for k, v in values.items()]))
+    bins = [_bin(F.col("_values")[name], bounds).alias(f"b_{name}") for name, bounds in BINS.items()]
     return rows.select(*[F.col(c) for c in docs.columns], n.cast("long").alias("n_tokens"), *bins)
 
 
@@ -212,7 +217,7 @@ def fit_mix(featured: DataFrame, labels: DataFrame, weights: Mapping[str, float]
 
 def apply_mix(featured: DataFrame, p: Column, fitted: Mix, seed: int = 0) -> DataFrame:
     """``featured`` with ``posteriors, rate, copies`` in place of its bins."""
-    out = featured.withColumn("posteriors", p).withColumn("rate", fitted.rate(F.col("posteriors")))
+    out = _held(_held(featured, "posteriors", p), "rate", fitted.rate(F.col("posteriors")))
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     whole = F.floor("rate")
     copies = (whole + F.when(draw < F.col("rate") - whole, 1).otherwise(0)).cast("int")
@@ -239,7 +244,7 @@ def mix(
 ) -> tuple[DataFrame, Mix]:
     """As :func:`mix_rates`, but with all columns of ``docs`` (texts are read twice and never shuffled; columns named
     like the results are replaced)."""
-    docs = docs.drop("n_tokens", "posteriors", "rate", "copies", "_words", "_distinct", *_bin_columns())
+    docs = docs.drop("n_tokens", "posteriors", "rate", "copies", "_words", "_distinct", "_values", *_bin_columns())
     featured = stored(features(docs.select("doc_id", "text")).drop("text"), "mix-features")
     p, fitted = fit_mix(featured, labels, weights, upsample)
     return apply_mix(features(docs), p, fitted, seed), fitted
