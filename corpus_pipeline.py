@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeworks.llm import decontam, mixing, near_dedup, sharding, toxicity
+from lakeworks.llm.frames import aside, back
 from lakeworks.session import scratch_path
 from lakeworks.suite import table
 
@@ -24,24 +25,11 @@ TARGETS = {"good": 0.9, "poor": 0.1}
 SHARDS = (1.0,) * 8
 
 
-def _aside(docs: DataFrame) -> DataFrame:
-    """``doc_id, text`` and all other columns in one struct, so that no name of theirs can clash."""
-    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_none"), *_others(docs)).alias("_others"))
-
-
-def _others(docs: DataFrame) -> list[str]:
-    return [c for c in docs.columns if c not in ("doc_id", "text")]
-
-
-def _back(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    return rows.select(*[c if c in ("doc_id", "text") else F.col("_others")[c].alias(c) for c in docs.columns])
-
-
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the toxicity model rejects; null and empty texts are scored too."""
     labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
     model = toxicity.fit(docs, labels)
-    return _back(model.score(_aside(docs)).where(F.col("score") < TOXIC_SCORE), docs)
+    return back(model.score(aside(docs)).where(F.col("score") < TOXIC_SCORE), docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +45,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drawn to the target shares: a document stays with probability min(1, rate), by a fixed hash of its id."""
     labels = mixing.label_domains(table(spark, sf_dir, "labels"), toxic=False)
-    mixed, _ = mixing.mix(_aside(docs), labels, TARGETS, upsample=False)
-    return _back(mixed.where(F.col("copies") > 0), docs)
+    mixed, _ = mixing.mix(aside(docs), labels, TARGETS, upsample=False)
+    return back(mixed.where(F.col("copies") > 0), docs)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

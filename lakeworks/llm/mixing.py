@@ -17,6 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeworks.llm.frames import aside, back
 from lakeworks.llm.graph import stored
 
 #: upper bounds of the bins of each feature; a value at or above the last one has a bin of its own
@@ -32,9 +33,9 @@ INSULTS = "idiot moron stupid trash scum loser clown pathetic worthless disgusti
 SYMBOLS = "#$%&*+/<=>@[\\]^_`{|}~"
 #: weight of staying at rate 1, against the squared relative errors of the domains
 RIDGE = 1e-2
-ITERATIONS = 60
-#: descent ends when no domain's sum changes by more than this share any more
-TOLERANCE = 1e-6
+ITERATIONS = 120
+#: descent ends when a step changes the loss by no more than this share
+TOLERANCE = 1e-5
 
 
 def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -118,18 +119,21 @@ def _dot(p: Column, v: list[float]) -> Column:
     return out
 
 
-def rate_column(p: Column, residuals: list[list[float]], step: float, momentum: float) -> Column:
-    """``struct(rate, ahead)`` after one projected step per residual vector, from rate 1."""
-    if not residuals:
-        return F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
-    history = F.array(*[F.array(*[F.lit(float(x)) for x in r]) for r in residuals])
+def rate_column(p: Column, history: list[list[float]], step: float) -> Column:
+    """``struct(rate, ahead)`` after one projected step per entry of the history, from rate 1. An entry holds the
+    residuals of the domains at ``ahead`` and, last, the momentum of the step."""
+    begin = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+    if not history:
+        return begin
+    k = len(history[0]) - 1
 
-    def move(acc, r):
-        slope = F.aggregate(F.zip_with(p, r, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    def move(acc, entry):
+        slope = F.aggregate(F.zip_with(p, F.slice(entry, 1, k), lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
         new = F.greatest(F.lit(0.0), acc["ahead"] - step * (slope + RIDGE * (acc["ahead"] - 1.0)))
-        return F.struct(new.alias("rate"), (new + momentum * (new - acc["rate"])).alias("ahead"))
+        return F.struct(new.alias("rate"), (new + F.get(entry, F.lit(k)) * (new - acc["rate"])).alias("ahead"))
 
-    return F.aggregate(history, F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead")), move)
+    entries = F.array(*[F.array(*[F.lit(float(x)) for x in entry]) for entry in history])
+    return F.aggregate(entries, begin, move)
 
 
 def _largest_eigenvalue(g: list[list[float]]) -> float:
@@ -145,9 +149,9 @@ def _largest_eigenvalue(g: list[list[float]]) -> float:
 class Mix:
     """A fitted mix: ``rate(p)`` is the rate of a document with posteriors ``p``."""
 
-    def __init__(self, domains, targets, totals, residuals, step, momentum, achieved):
+    def __init__(self, domains, targets, totals, achieved, history, step):
         self.domains, self.targets, self.totals, self.achieved = domains, targets, totals, achieved
-        self._fit = residuals, step, momentum
+        self._fit = history, step
 
     def rate(self, p: Column) -> Column:
         return rate_column(p, *self._fit)["rate"]
@@ -169,7 +173,7 @@ def fit_rates(cells: DataFrame, domains: list[str], weights: Mapping[str, float]
     first = cells.agg(*sums, *cross).first()
     total = sum(first[f"t{i}"] or 0.0 for i in range(k))
     if not total:
-        return Mix(domains, goal, [0.0] * k, [], 1.0, 0.0, [0.0] * k)
+        return Mix(domains, goal, [0.0] * k, [0.0] * k, [], 1.0)
     have = [first[f"t{i}"] / total for i in range(k)]
     if not upsample:
         fits = min(h / g for h, g in zip(have, goal) if g > 0)
@@ -177,25 +181,31 @@ def fit_rates(cells: DataFrame, domains: list[str], weights: Mapping[str, float]
     scale = [1.0 / max(g, 1e-3) for g in goal]  # errors count relative to their targets
     g = [[first[f"g{i}_{j}"] / total * math.sqrt(scale[i] * scale[j]) for j in range(k)] for i in range(k)]
     step = 1.0 / (_largest_eigenvalue(g) * 1.05 + RIDGE)
-    root = math.sqrt(RIDGE * step)
-    momentum = (1 - root) / (1 + root) * 0.8
-    residuals, last = [], None
-    for _ in range(ITERATIONS):
-        state = rate_column(F.col("p"), residuals, step, momentum)
-        at = cells.select("tokens", "p", state.alias("s")).agg(
+
+    def sums_at(history):
+        """Per domain the token share at ``ahead`` and at ``rate``, and the loss at ``rate``."""
+        state = cells.select("tokens", "p", rate_column(F.col("p"), history, step).alias("s"))
+        at = state.agg(
             *[F.sum(F.col("tokens") * F.get("p", F.lit(i)) * F.col("s.ahead")).alias(f"y{i}") for i in range(k)],
             *[F.sum(F.col("tokens") * F.get("p", F.lit(i)) * F.col("s.rate")).alias(f"r{i}") for i in range(k)],
+            F.sum(F.col("tokens") * (F.col("s.rate") - 1.0) * (F.col("s.rate") - 1.0)).alias("spread"),
         ).first()
-        ahead = [at[f"y{i}"] / total for i in range(k)]
-        residuals.append([(ahead[i] - goal[i]) * scale[i] for i in range(k)])
-        if last and max(abs(a - b) for a, b in zip(ahead, last)) < TOLERANCE:
+        ahead, rate = ([at[f"{c}{i}"] / total for i in range(k)] for c in "yr")
+        loss = sum(w * (x - g) ** 2 for w, x, g in zip(scale, rate, goal)) + RIDGE * at["spread"] / total
+        return ahead, rate, loss
+
+    history: list[list[float]] = []
+    ahead, rate, loss = sums_at(history)
+    run = 0  # steps since the momentum was last reset
+    for _ in range(ITERATIONS):
+        residuals = [(x - g) * w for x, g, w in zip(ahead, goal, scale)]
+        history.append([*residuals, run / (run + 3)])
+        ahead, rate, new = sums_at(history)
+        run = run + 1 if new <= loss else 0
+        settled, loss = abs(new - loss) <= TOLERANCE * max(new, 1e-6), new
+        if settled:
             break
-        last = ahead
-    state = rate_column(F.col("p"), residuals, step, momentum)
-    end = cells.agg(
-        *[F.sum(F.col("tokens") * F.get("p", F.lit(i)) * state["rate"]).alias(f"r{i}") for i in range(k)]
-    ).first()
-    return Mix(domains, goal, have, residuals, step, momentum, [end[f"r{i}"] / total for i in range(k)])
+    return Mix(domains, goal, have, rate, history, step)
 
 
 def label_domains(labels: DataFrame, toxic: bool = True) -> DataFrame:
@@ -244,7 +254,7 @@ def mix(
 ) -> tuple[DataFrame, Mix]:
     """As :func:`mix_rates`, but with all columns of ``docs`` (texts are read twice and never shuffled; columns named
     like the results are replaced)."""
-    docs = docs.drop("n_tokens", "posteriors", "rate", "copies", "_words", "_distinct", "_values", *_bin_columns())
     featured = stored(features(docs.select("doc_id", "text")).drop("text"), "mix-features")
     p, fitted = fit_mix(featured, labels, weights, upsample)
-    return apply_mix(features(docs), p, fitted, seed), fitted
+    out = apply_mix(features(aside(docs)), p, fitted, seed)
+    return back(out, docs, "n_tokens", "posteriors", "rate", "copies"), fitted

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeworks.llm.frames import aside, back
+
 #: parts of a shard that are numbered apart, so that no task holds a whole shard
 SLOT_PARTS = 1024
 #: hexadecimal digits of the draw; 13 digits are exact in a double
@@ -42,20 +44,20 @@ def with_slots(rows: DataFrame, shard_col: str, part_key: Column, order: Sequenc
     """Number the rows of each shard from 0 without gaps.
 
     A shard is numbered in ``SLOT_PARTS`` hash parts; the parts' offsets are one small table of
-    (shards x parts) rows, the only thing that is broadcast.
+    (shards x parts) rows, the only thing that is broadcast. All columns stay, ``out`` is added; ``part_key`` may
+    use ``order`` columns only.
     """
-    rows = rows.withColumn("_part", F.pmod(F.xxhash64(part_key), F.lit(SLOT_PARTS)))
-    counts = rows.groupBy(F.col(shard_col).alias("_s"), F.col("_part").alias("_p")).agg(
+    keys = (shard_col, *order)
+    packed = aside(rows, keys).withColumn("_part", F.pmod(F.xxhash64(part_key), F.lit(SLOT_PARTS)))
+    counts = packed.groupBy(F.col(shard_col).alias("_s"), F.col("_part").alias("_p")).agg(
         F.count(F.lit(1)).cast("long").alias("_n")
     )
     before = Window.partitionBy("_s").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_s", "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(shard_col, "_part").orderBy(*order)
-    numbered = rows.withColumn("_row", F.row_number().over(inside))
-    joined = numbered.join(
-        F.broadcast(offsets), (F.col(shard_col) == F.col("_s")) & (F.col("_part") == F.col("_p"))
-    )
-    return joined.withColumn(out, F.col("_offset") + F.col("_row") - 1).drop("_part", "_s", "_p", "_offset", "_row")
+    numbered = packed.withColumn("_place", F.row_number().over(inside))
+    joined = numbered.join(F.broadcast(offsets), (F.col(shard_col) == F.col("_s")) & (F.col("_part") == F.col("_p")))
+    return back(joined.withColumn(out, F.col("_offset") + F.col("_place") - 1), rows, out, keep=keys)
 
 
 def assign_shards(
