@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeworks.llm.frames import unused
 from lakeworks.llm.graph import stored
-from lakeworks.llm.textops import NON_ALNUM_BYTES, byte_tables, grams, limit_batches, sliding, texts_of, word_blocks
+from lakeworks.llm.textops import NON_ALNUM_BYTES, byte_tables, grams, limit_batches, release, sliding, texts_of, word_blocks
 
 WINDOW = 13
 GRAM = 5
@@ -145,6 +146,7 @@ def _scan(classes: list[tuple[int, int]], shared):
                     ],
                     names=["doc_id", "text_key", "_row", "n_words", "hits"],
                 )
+        release()
 
     return run
 
@@ -247,5 +249,6 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WI
     """``docs`` (all columns) without its contaminated rows. Contamination is a matter of the text alone, so
     rows are dropped by their text: null and repeated ids need no care."""
     found = contamination(docs.select("doc_id", "text"), benchmark, window)
-    bad = stored(found.where("contaminated").select(F.col("text_key").alias("_bad")).distinct(), "decontam-drop")
-    return docs.join(bad, text_key(docs["text"]) == F.col("_bad"), "left_anti")
+    name = unused(docs, "_bad")
+    bad = stored(found.where("contaminated").select(F.col("text_key").alias(name)).distinct(), "decontam-drop")
+    return docs.join(bad, text_key(docs["text"]) == F.col(name), "left_anti")

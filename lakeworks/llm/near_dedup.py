@@ -26,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeworks.llm.frames import unused
 from lakeworks.llm.graph import components, stored
-from lakeworks.llm.textops import SPACE_BYTES, byte_tables, grams, limit_batches, mix, texts_of, word_blocks
+from lakeworks.llm.textops import SPACE_BYTES, byte_tables, grams, limit_batches, mix, release, texts_of, word_blocks
 
 SHINGLE = 5
 BLOCKS = 16
@@ -155,6 +156,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 names=["doc_id", "n_shingles", "seq", "a", "b", "sketch"],
             )
+    release()
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -206,6 +208,7 @@ def _bucket_stars(rows: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
                 one, other = np.frombuffer(s_u[k], np.uint8), np.frombuffer(s_v[k], np.uint8)[None]
                 keep[k] = _may_reach(one, other, n_u[k], n_v[k : k + 1], share)[0]
             yield batch.select([0, 1]).filter(pa.array(keep))
+        release()
 
     return pairs.select("u", "v", "n_u", "s_u", "n_v", "s_v").mapInArrow(likely, f"u {kind}, v {kind}")
 
@@ -273,6 +276,7 @@ def _compare(share: int):
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(100 * both >= share * (len(p) + len(q) - both) > 0)
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        release()
 
     return compare
 
@@ -344,12 +348,13 @@ def one_of_each_group(docs: DataFrame, share: int = 85) -> DataFrame:
     id all stay, of rows that share an id one does."""
     found = near_duplicates(docs.select("doc_id", "text"), share)
     found = stored(found.where(F.col("doc_id").isNotNull()).select("doc_id", "kept"), "near-found")
-    drop = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias("_drop")).distinct(), "near-drop")
-    left = docs.join(drop, F.col("doc_id") == F.col("_drop"), "left_anti")
-    again = found.where("kept").groupBy(F.col("doc_id").alias("_again")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    again = stored(again.select("_again"), "near-again")
+    gone, twice = unused(docs, "_drop"), unused(docs, "_again")
+    drop = stored(found.where(~F.col("kept")).select(F.col("doc_id").alias(gone)).distinct(), "near-drop")
+    left = docs.join(drop, F.col("doc_id") == F.col(gone), "left_anti")
+    again = found.where("kept").groupBy(F.col("doc_id").alias(twice)).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    again = stored(again.select(twice), "near-again")
     if again.isEmpty():
         return left
-    match = F.col("doc_id") == F.col("_again")
+    match = F.col("doc_id") == F.col(twice)
     once = left.join(again, match, "left_semi").dropDuplicates(["doc_id"])
     return left.join(again, match, "left_anti").unionByName(once)

@@ -8,13 +8,14 @@ decoding. Only A-Z is lower-cased. Memory per call is bounded by ``PIECE`` bytes
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: bytes of text hashed at a time
-PIECE = 1 << 18
+PIECE = 1 << 17
 #: bytes that separate words: ASCII white space (shingles) or everything ASCII but letters and digits
 SPACE_BYTES = bytes([0x20, *range(0x09, 0x0E)])
 NON_ALNUM_BYTES = bytes([*range(0x00, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)])
@@ -126,7 +127,7 @@ def sliding(x: np.ndarray, w: int, op) -> np.ndarray:
 
 
 #: bytes of an Arrow batch that a worker gets at a time
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -138,6 +139,14 @@ def limit_batches(spark) -> None:
         spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
 
 
+def release() -> None:
+    """Give freed memory back to the system at the end of a task: workers stay alive, beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """The values of a string column as UTF-8 bytes, null as empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]

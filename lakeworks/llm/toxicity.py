@@ -17,14 +17,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeworks.llm.frames import aside, back
 from lakeworks.llm.graph import stored
-from lakeworks.llm.textops import limit_batches
+from lakeworks.llm.textops import limit_batches, release
 
 #: labelled rows that the fit may use at most: those with the smallest hash of their id
 FIT_ROWS = 20_000
@@ -44,7 +42,7 @@ _MASKED = re.compile(r"[^\W\d_][^\s.,;:?]*[0-9@$!*|+][^\s.,;:?]*[^\W\d_]")
 _UPPER = re.compile(r"[A-Z]")
 _PLAIN = str.maketrans("0134578@$!|+", "oieastbasiit")
 #: words whose class is kept per worker; the table starts anew when it is full
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 
 
 def _entries(word: str) -> list[str]:
@@ -141,15 +139,17 @@ def learn_lexicon(sample: DataFrame) -> dict[str, int]:
 
 def feature_column(text: Column, entries: dict[str, int]) -> Column:
     @F.pandas_udf("array<double>")
-    def features(texts: pd.Series) -> pd.Series:
+    def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lexicon = _Lexicon(entries)
-        return pd.Series([np.array(text_features(t or "", lexicon)) for t in texts])
+        for texts in batches:
+            yield pd.Series([np.array(text_features(t or "", lexicon)) for t in texts])
+        release()
 
     return features(F.coalesce(text, F.lit("")))
 
 
 class ToxicityModel:
-    """A fitted scorer; ``score`` adds ``score`` (0 to 1) to a frame, all other columns unchanged."""
+    """A fitted scorer; ``score`` adds ``score`` (0 to 1) to a frame (see ``frames.aside`` for clashing names)."""
 
     def __init__(self, entries=None, trees=None, isotonic=None, constant: float = 0.0):
         self.entries, self.trees, self.isotonic, self.constant = entries, trees, isotonic, constant
@@ -157,10 +157,14 @@ class ToxicityModel:
     def score(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
         if self.trees is None:
             return docs.withColumn("score", F.lit(self.constant))
+        from pyspark.ml.functions import array_to_vector
+
         rows = docs.withColumn("_vector", array_to_vector(feature_column(F.col(text_col), self.entries)))
         return self._rate(rows).drop("_vector")
 
     def _raw(self, rows: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import vector_to_array
+
         out = self.trees.transform(rows)
         return out.withColumn("_raw", F.get(vector_to_array("_probability"), F.lit(1))).drop(
             "_probability", "_margin", "_class"
@@ -179,6 +183,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     ids, null labels and labels other than 0 and 1 are ignored; an id with both labels counts as toxic. A
     class that is missing from a part (small or empty tables) gives the sample's toxic share for every text.
     """
+    # imported here: the workers, which import this module, need no Spark ML
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import IsotonicRegression
+
     limit_batches(docs.sparkSession)
     ids = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1))
     ids = ids.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -220,6 +229,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
     be null or repeat; columns of these three names are replaced, all others stay; an empty table gives no rows."""
     train = labels.where(~held_out(F.col("doc_id")))
     model = fit(docs, train)
-    docs = docs.drop("held_out", "score", "predicted")
-    out = model.score(docs.withColumn("held_out", held_out(F.col("doc_id"))))
-    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    out = model.score(aside(docs)).withColumn("held_out", held_out(F.col("doc_id")))
+    return back(out.withColumn("predicted", (F.col("score") >= threshold).cast("int")), docs, "held_out", "score", "predicted")
