@@ -140,20 +140,41 @@ def _orders_export(spark: SparkSession, d: str, partition_cols=()) -> str:
     return path
 
 
-@register("file_inventory")
+def _listed_rows(spark: SparkSession, folder: str, recursive: bool) -> DataFrame:
+    """Rows per listed file: ``name, length, n_rows`` (NULL rows: listed, but not part of the export)."""
+    files = FS.list_files(spark, folder, recursive=recursive, glob="*.parquet")
+    tail = lambda c: F.array_join(F.slice(F.split(c, "/"), -2, 2), "/")  # noqa: E731 - folder and name
+    files = files.select(tail(F.col("path")).alias("name"), "length")
+    rows = spark.read.parquet(folder).groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count(F.lit(1)).alias("n_rows"))
+    rows = rows.select(tail(F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B")))).alias("_name"), "n_rows")
+    return files.join(rows, F.col("name") == F.col("_name"), "left").select("name", "length", "n_rows")
+
+
+@register("file_inventory", "SELECT count(*) AS n_rows, TRUE AS all_sized FROM orders")
 def q_file_inventory(spark: SparkSession, d: str) -> DataFrame:
-    """Recursive listing (path, size, time) of a partitioned export; content is never read."""
-    return FS.list_files(spark, _orders_export(spark, d, ("o_orderpriority",)), glob="*.parquet")
+    """Recursive listing of a partitioned export: the rows of the files listed."""
+    listed = _listed_rows(spark, _orders_export(spark, d, ("o_orderpriority",)), True)
+    return listed.agg(F.sum("n_rows").alias("n_rows"), F.bool_and(F.col("length") > 0).alias("all_sized"))
 
 
-@register("file_inventory_flat")
+@register("file_inventory_flat", "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_in_folders FROM orders")
 def q_file_inventory_flat(spark: SparkSession, d: str) -> DataFrame:
-    return FS.list_files(spark, _orders_export(spark, d), recursive=False, glob="*.parquet")
+    """Flat listing: all files of a flat export, none of a partitioned one."""
+    flat = _listed_rows(spark, _orders_export(spark, d), False).agg(F.sum("n_rows").alias("n_rows"))
+    folders = FS.list_files(spark, _orders_export(spark, d, ("o_orderpriority",)), recursive=False, glob="*.parquet")
+    return flat.join(folders.agg(F.count(F.lit(1)).alias("n_in_folders")))
 
 
-@register("partition_inventory")
+@register(
+    "partition_inventory",
+    "SELECT DISTINCT o_orderstatus, strftime(o_orderdate, '%Y-%m') AS o_month, 'o_orderstatus,o_month' AS keys FROM orders",
+)
 def q_partition_inventory(spark: SparkSession, d: str) -> DataFrame:
-    return FS.list_partition_paths(spark, _orders_export(spark, d, ("o_orderstatus", "o_month")), depth=2)
+    found = FS.list_partition_paths(spark, _orders_export(spark, d, ("o_orderstatus", "o_month")), depth=2)
+    values = F.col("partition_values")
+    return found.select(
+        values[0]["value"].alias("o_orderstatus"), values[1]["value"].alias("o_month"), F.array_join(values["key"], ",").alias("keys")
+    )
 
 
 # ----------------------------------------------------------------------------- A14, C12, C13

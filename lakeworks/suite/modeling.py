@@ -86,12 +86,26 @@ def q_fill_categoricals(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("toxic", F.col("toxic").cast("double"))
 
 
-@register("feature_matrix")
+@register(
+    "feature_matrix",
+    f"""WITH f AS (SELECT * FROM ({_DOC_SQL}) WHERE quality IS NOT NULL),
+l AS (SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS k FROM f GROUP BY lang),
+s AS (SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) - 1 AS k FROM f GROUP BY source)
+SELECT doc_id, quality::DOUBLE AS label, l.k::DOUBLE AS lang_index, s.k::DOUBLE AS source_index, n_chars::DOUBLE AS n_chars
+FROM f JOIN l USING (lang) JOIN s USING (source)""",
+)
 def q_feature_matrix(spark: SparkSession, d: str) -> DataFrame:
+    """Labelled documents (a feature matrix needs its label): indexed categories, then numbers."""
     f = _doc_features(spark, d).where(F.col("quality").isNotNull())
-    cats, nums = FE.feature_roles(f.drop("doc_id"), "quality")
-    out, _ = FE.feature_matrix(f, "quality", cats, [c for c in nums if c != "toxic"])
-    return out.select("label", _vec("features"))
+    out, _ = FE.feature_matrix(f.withColumn("id", F.col("doc_id").cast("double")), "quality", ["lang", "source"], ["n_chars", "id"])
+    v = out.select("label", _vec("features"))
+    return v.select(
+        F.get("features", 3).cast("long").alias("doc_id"),
+        "label",
+        F.get("features", 0).alias("lang_index"),
+        F.get("features", 1).alias("source_index"),
+        F.get("features", 2).alias("n_chars"),
+    )
 
 
 def _vec(col: str):
@@ -145,21 +159,53 @@ def q_correlated_pairs(spark: SparkSession, d: str) -> DataFrame:
     return round6(FE.correlation_pairs(table(spark, d, "lineitem"), _NUM, 0.8))
 
 
-@register("stratified_id_sample")
+@register(
+    "stratified_id_sample",
+    """WITH i AS (SELECT l_orderkey, arg_min(CAST(l_returnflag = 'R' AS INTEGER),
+  l_linenumber * 10000000000 + l_partkey * 10000 + l_suppkey) AS stratum FROM lineitem GROUP BY 1)
+SELECT stratum, count(*) AS n_ids, CAST(round(count(*) * 0.2) AS BIGINT) AS n_sampled, TRUE AS whole_ids FROM i GROUP BY 1""",
+)
 def q_stratified_id_sample(spark: SparkSession, d: str) -> DataFrame:
+    """Per stratum: ids, sampled ids, and whether every sampled id came with all its rows."""
     li = table(spark, d, "lineitem").withColumn("target", (F.col("l_returnflag") == "R").cast("int"))
-    return SP.stratified_id_sample(li, "l_orderkey", "target", 0.2, seed=7, order_col="l_linenumber")
+    # a line number may repeat within an order: break ties, so that the first row is the same everywhere
+    li = li.withColumn("seq", F.col("l_linenumber").cast("long") * 10_000_000_000 + F.col("l_partkey") * 10_000 + F.col("l_suppkey"))
+    sample = SP.stratified_id_sample(li, "l_orderkey", "target", 0.2, seed=7, order_col="seq")
+    ids = li.groupBy("l_orderkey").agg(F.min_by("target", "seq").alias("stratum"), F.count(F.lit(1)).alias("n"))
+    got = sample.groupBy(F.col("l_orderkey").alias("_id")).agg(F.count(F.lit(1)).alias("m"))
+    both = ids.join(got, F.col("l_orderkey") == F.col("_id"), "left")
+    return both.groupBy("stratum").agg(
+        F.count(F.lit(1)).alias("n_ids"), F.count("m").alias("n_sampled"), F.bool_and(F.coalesce(F.col("m") == F.col("n"), F.lit(True))).alias("whole_ids")
+    )
+
+
+_FOLDS_SQL = """SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS n_ids, CAST(3 AS BIGINT) AS n_folds,
+  TRUE AS one_fold_per_id, TRUE AS balanced FROM orders"""
+
+
+def _fold_summary(folds: DataFrame, id_col: str) -> DataFrame:
+    """Rows, ids and folds, whether each id is in one fold, and whether the folds' rows differ by a tenth at most."""
+    per_id = folds.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"), F.min("fold").alias("fold"), F.max("fold").alias("last"))
+    per_fold = per_id.groupBy("fold").agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("ids"), F.bool_and(F.col("fold") == F.col("last")).alias("one")
+    )
+    return per_fold.agg(
+        F.sum("rows").alias("n_rows"),
+        F.sum("ids").alias("n_ids"),
+        F.count(F.lit(1)).alias("n_folds"),
+        F.bool_and("one").alias("one_fold_per_id"),
+        (F.max("rows") <= 1.1 * F.min("rows")).alias("balanced"),
+    )
 
 
-@register("group_kfold")
+@register("group_kfold", _FOLDS_SQL)
 def q_group_kfold(spark: SparkSession, d: str) -> DataFrame:
-    return SP.group_kfold(table(spark, d, "orders"), "o_custkey", k=3).select("o_orderkey", "o_custkey", "fold")
+    return _fold_summary(SP.group_kfold(table(spark, d, "orders"), "o_custkey", k=3), "o_custkey")
 
 
-@register("stratified_group_kfold")
+@register("stratified_group_kfold", _FOLDS_SQL)
 def q_stratified_group_kfold(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders")
-    return SP.group_kfold(o, "o_custkey", k=3, strata_col="o_orderstatus").select("o_orderkey", "o_custkey", "fold")
+    return _fold_summary(SP.group_kfold(table(spark, d, "orders"), "o_custkey", k=3, strata_col="o_orderstatus"), "o_custkey")
 
 
 @register("feature_elimination")
