@@ -354,13 +354,16 @@ def _query_frame(spark: SparkSession, query: str, **params) -> DataFrame:
     return spark.sql(last)
 
 
-def estimate_row_bytes(df: DataFrame, fraction: float = 0.01) -> float:
-    """Average serialized row size from a Bernoulli sample (whole table when the sample is empty)."""
-    size = F.avg(F.length(F.to_json(F.struct(*[F.col(TY.quote(c)) for c in df.columns]))))
-    est = df.sample(fraction=fraction, seed=7).agg(size).first()[0]
-    if est is None:
-        est = df.agg(size).first()[0]
-    return float(est or 1.0)
+def mean_row_bytes(df: DataFrame, fmt: str) -> float:
+    """Mean bytes a row takes in ``fmt``, over all rows of a stored frame: what its Parquet files hold, or the
+    length of the text written for the text formats."""
+    if fmt == "parquet":
+        files = df.groupBy("_metadata.file_path").agg(F.max("_metadata.file_size").alias("b"), F.count(F.lit(1)).alias("n"))
+        row = files.agg((F.sum("b") / F.sum("n")).alias("mean")).first()
+    else:
+        text = F.to_json if fmt == "json" else F.to_csv
+        row = df.agg(F.avg(F.octet_length(text(F.struct(*[F.col(TY.quote(c)) for c in df.columns]))) + 1).alias("mean")).first()
+    return float(row["mean"] or 1.0)
 
 
 def export_query(
@@ -385,7 +388,8 @@ def export_query(
         delete_files(spark, [target])
     per_file = None
     if max_file_size_mb:
-        per_file = max(1, int(max_file_size_mb * 1024 * 1024 / estimate_row_bytes(df)))
+        df = stored(df, "export")  # the query runs once, and its rows can be measured
+        per_file = max(1, int(max_file_size_mb * 1024 * 1024 / mean_row_bytes(df, fmt.lower())))
     return save_files(
         df,
         target,

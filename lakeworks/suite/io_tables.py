@@ -381,7 +381,7 @@ def q_ints_to_double(spark: SparkSession, d: str) -> DataFrame:
 def q_save_files_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders").select(*ORDERS_COLS.split(", "))
     p1 = TB.save_files(o, scratch_path(spark, "b1") + ".parquet.parquet", "parquet")
-    p2 = TB.save_files(o, scratch_path(spark, "b1csv"), "csv", single_file=True)
+    p2 = TB.save_files(o, scratch_path(spark, "b1csv"), "csv")
     back_csv = spark.read.schema(o.schema).option("header", "true").csv(p2)
     return spark.read.parquet(p1).unionByName(back_csv)
 

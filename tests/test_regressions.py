@@ -285,3 +285,12 @@ def test_sign_in_precedence():
     assert opts[o["private_key"]] == "k" and o["password"] not in opts
     with pytest.raises(ValueError):
         remote.source_options("acct", "me", authenticator="externalbrowser")
+
+
+def test_capped_exports_measure_all_rows(spark, tmp_dir):
+    name = scratch_table(spark, "exp")
+    tables.save_table(spark.range(20_000).select("id", F.md5(F.col("id").cast("string")).alias("t")), name)
+    for fmt, cap in (("parquet", 0.2), ("csv", 0.2), ("json", 0.2)):
+        path = tables.export_query(spark, f"SELECT * FROM {name}", os.path.join(tmp_dir, fmt), fmt=fmt, max_file_size_mb=cap)
+        sizes = [os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("part-")]
+        assert len(sizes) > 2 and max(sizes) <= 1.2 * cap * 1024 * 1024
