@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.llm.frames import unused
-from lakeworks.llm.graph import components, stored
+from lakeworks.llm.graph import components
 from lakeworks.llm.textops import SPACE_BYTES, byte_tables, grams, limit_batches, mix, release, texts_of, word_blocks
+from lakeworks.session import stored
 
 SHINGLE = 5
 BLOCKS = 16
