@@ -84,23 +84,11 @@ def table_layout(spark: SparkSession, table: str) -> dict:
     return {"provider": provider, "partition_by": partition_by, "comment": table_comment(spark, table), "properties": properties}
 
 
-def swap_in(spark: SparkSession, staging: str, table: str) -> None:
-    """Rename staging over ``table``: old away, staging in, old dropped (never drop first)."""
-    if table_exists(spark, table):
-        old = _sibling(table, "old")
-        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-        try:
-            spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-        except Exception:
-            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
-            raise
-        spark.sql(f"DROP TABLE IF EXISTS {old}")
-    else:
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
-
-
 def _follow_rename(spark: SparkSession, table: str) -> None:
-    """Some catalogs keep the old paths of a renamed table's partitions: point them to its folder."""
+    """Some catalogs keep the old paths of a renamed table's partitions: point them to its folder. Left as they
+    are, dropping the renamed-away table would delete the new table's partitions."""
+    if not any(c.isPartition for c in spark.catalog.listColumns(table)):
+        return
     rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
     root = rows["Location"].rstrip("/")
     for row in spark.sql(f"SHOW PARTITIONS {table}").collect():  # catalog metadata, one row per partition
@@ -115,6 +103,25 @@ def _follow_rename(spark: SparkSession, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+def swap_in(spark: SparkSession, staging: str, table: str) -> None:
+    """Rename staging over ``table``: old away, staging in, old dropped (never drop first)."""
+    if table_exists(spark, table):
+        old = _sibling(table, "old")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        _follow_rename(spark, old)
+        try:
+            spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        except Exception:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+            _follow_rename(spark, table)
+            raise
+        _follow_rename(spark, table)
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    else:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        _follow_rename(spark, table)
+
+
 def replace_table(df: DataFrame, table: str, tag: str = "stage", **layout) -> None:
     """Write ``df`` to a staging table and swap it in for ``table``, which keeps its provider, partitioning,
     comment and properties unless ``layout`` says otherwise. A failed write leaves no staging table."""
@@ -135,8 +142,6 @@ def replace_table(df: DataFrame, table: str, tag: str = "stage", **layout) -> No
     except Exception:
         drop_table(spark, staging)
         raise
-    if partition_by:
-        _follow_rename(spark, table)
 
 
 # ------------------------------------------------------------------------------ B2

@@ -386,6 +386,38 @@ def q_save_files_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(p1).unionByName(back_csv)
 
 
+@register(
+    "save_table_layout",
+    "SELECT DISTINCT 'o_orderstatus=' || o_orderstatus AS partition, 'orders by status' AS comment FROM orders",
+)
+def q_save_table_layout(spark: SparkSession, d: str) -> DataFrame:
+    """Partitions and comment of a table after an overwrite and a compaction that name neither."""
+    t = scratch_table(spark, "layout")
+    o = table(spark, d, "orders").select(*ORDERS_COLS.split(", "))
+    TB.save_table(o, t, partition_by=["o_orderstatus"], comment="orders by status")
+    TB.save_table(o, t)
+    TB.optimize_table(spark, t, "o_custkey")
+    return spark.sql(f"SHOW PARTITIONS {t}").withColumn("comment", F.lit(TB.table_comment(spark, t)))
+
+
+@register(
+    "identity_unordered",
+    """SELECT count(*) AS n, count(*) AS n_ids, CAST(1 AS BIGINT) AS first_id, count(*) AS last_id,
+       count(DISTINCT l_orderkey) AS n_orders FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+)
+def q_identity_unordered(spark: SparkSession, d: str) -> DataFrame:
+    """Ids in scan order over a joined frame: as many as rows, dense, no row lost."""
+    joined = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    ided = TB.with_identity(joined.select("l_orderkey", "l_linenumber", "o_custkey"), "rid")
+    return ided.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("rid").alias("n_ids"),
+        F.min("rid").alias("first_id"),
+        F.max("rid").alias("last_id"),
+        F.count_distinct("l_orderkey").alias("n_orders"),
+    )
+
+
 @register("save_table_overwrite", f"SELECT {ORDERS_COLS} FROM orders WHERE o_orderstatus = 'F'")
 def q_save_table_overwrite(spark: SparkSession, d: str) -> DataFrame:
     """Overwrite a table with a frame that reads that same table (staged swap keeps it safe)."""
