@@ -11,6 +11,8 @@ character. Long texts are parsed in segments of ``SEGMENT`` characters, all of t
 from __future__ import annotations
 
 import re
+import sys
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +26,9 @@ from lakeworks.llm.textops import limit_batches
 REFERENCE_CHARS = 16_000
 #: labelled rows per language that these characters are taken from (smallest hash of the id), and of each row
 REFERENCE_ROWS, ROW_CHARS = 64, 400
-#: symbols: the most frequent characters of the references; 0 stands for every other one
-SYMBOLS = 64
+#: columns of a language's dense table: its most frequent characters, and 0 for those it has none of; transitions of
+#: its further characters are found by binary search
+DENSE = 64
 SEGMENT = 512
 #: characters parsed together
 BLOCK = 1 << 20
@@ -66,38 +69,61 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return move
 
 
+class Automaton:
+    """A reference's transitions as ``2 * target + phrase-starts``, over codes of its own characters (1 .., the most
+    frequent first; 0 is every other character)."""
+
+    def __init__(self, reference: str):
+        counts = Counter(reference)
+        self.alphabet = sorted(counts, key=lambda c: (-counts[c], c))
+        code = {c: k + 1 for k, c in enumerate(self.alphabet)}
+        move = suffix_automaton([code[c] for c in reference])
+        self.size = len(code) + 1
+        self.root = np.ones(self.size, np.int32)  # a character without a match ends a phrase alone
+        for c, to in move[0].items():
+            self.root[c] = 2 * to + 1
+        self.width = min(DENSE, self.size)
+        table = np.empty((len(move), self.width), np.int32)
+        table[:] = self.root[: self.width]
+        rare = []
+        for state, edges in enumerate(move[1:], 1):  # a match from the start opens a phrase
+            for c, to in edges.items():
+                if c < self.width:
+                    table[state, c] = 2 * to
+                else:
+                    rare.append((state * self.size + c, 2 * to))
+        self.table = table.reshape(-1)
+        rare = np.array(sorted(rare), np.int64).reshape(-1, 2)
+        self.keys, self.values = rare[:, 0].copy(), rare[:, 1].astype(np.int32)
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        if self.size == self.width:
+            return self.table[state * self.width + code]
+        to = self.table[state * self.width + np.where(code < self.width, code, 0)]
+        far = np.flatnonzero(code >= self.width)
+        if len(far):
+            key = state[far].astype(np.int64) * self.size + code[far]
+            to[far] = self.root[code[far]]
+            if len(self.keys):
+                at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                to[far] = np.where(self.keys[at] == key, self.values[at], to[far])
+        return to
+
+
 class CrossParser:
-    """The automata of all languages as one transition table of ``2 * target + phrase-ends``."""
+    """The automata of all languages. ``lookup`` numbers the characters that any reference has, by code point;
+    ``codes`` gives each language's code of such a number."""
 
     def __init__(self, references: dict[str, str]):
         self.languages = sorted(references)
-        counts: dict[str, int] = {}
-        for text in references.values():
-            for c in text:
-                counts[c] = counts.get(c, 0) + 1
-        self.alphabet = sorted(sorted(counts, key=lambda c: (-counts[c], c))[: SYMBOLS - 1])
-        code = {c: k + 1 for k, c in enumerate(self.alphabet)}
-        tables, self.starts, offset = [], [], 0
-        for language in self.languages:
-            # an unknown character (0) is never part of a reference: it is a phrase of its own
-            move = suffix_automaton([code[c] for c in references[language] if c in code])
-            table = np.empty((len(move), SYMBOLS), np.int32)
-            root = np.full(SYMBOLS, 2 * offset + 1, np.int32)  # a character without a match ends a phrase alone
-            for c, to in move[0].items():
-                root[c] = 2 * (to + offset) + 1
-            table[:] = root
-            for state, edges in enumerate(move):
-                for c, to in edges.items():
-                    table[state, c] = 2 * (to + offset)
-            table[0] = root  # a match from the start opens a phrase
-            tables.append(table)
-            self.starts.append(offset)
-            offset += len(move)
-        self.table = np.concatenate(tables).reshape(-1) if tables else np.zeros(0, np.int32)
-        self.lookup = np.zeros(0x3000, np.uint8)
-        for c, k in code.items():
-            if ord(c) < len(self.lookup):
-                self.lookup[ord(c)] = k
+        self.automata = [Automaton(references[language]) for language in self.languages]
+        known = sorted({c for a in self.automata for c in a.alphabet})
+        number = {c: k + 1 for k, c in enumerate(known)}
+        self.lookup = np.zeros(sys.maxunicode + 1, np.int32)
+        self.lookup[[ord(c) for c in known]] = np.arange(1, len(known) + 1)
+        self.codes = np.zeros((len(self.languages), len(known) + 1), np.int32)
+        for codes, automaton in zip(self.codes, self.automata):
+            codes[[number[c] for c in automaton.alphabet]] = np.arange(1, automaton.size)
 
     def phrases(self, texts: list[str]) -> np.ndarray:
         """Phrases of each text under each language (texts x languages); 0 for an empty text."""
@@ -114,7 +140,7 @@ class CrossParser:
     def _parse(self, texts: list[str], out: np.ndarray) -> None:
         sizes = np.array([len(t) for t in texts])
         chars = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-        symbols = np.where(chars < len(self.lookup), self.lookup[np.minimum(chars, len(self.lookup) - 1)], 0).astype(np.int32)
+        symbols = self.lookup[chars]
         # segments, longest first: at each step the places still open are a prefix
         per = -(-sizes // SEGMENT)
         owner = np.repeat(np.arange(len(texts)), per)
@@ -128,12 +154,13 @@ class CrossParser:
         open_at = np.searchsorted(-length, -np.arange(length[0]), side="left")  # places open at each step
         steps = np.arange(int(length[0]))[:, None]
         symbols = symbols[np.minimum(begin[None, :] + steps, len(symbols) - 1)]  # a row per step
-        for g, start in enumerate(self.starts):
-            state = np.full(len(order), start, np.int32)
+        for g, automaton in enumerate(self.automata):
+            codes = self.codes[g]
+            state = np.zeros(len(order), np.int32)
             count = np.zeros(len(order), np.int32)
             for step in range(int(length[0])):
                 n = open_at[step]
-                to = self.table[state[:n] * SYMBOLS + symbols[step, :n]]
+                to = automaton.step(state[:n], codes[symbols[step, :n]])
                 count[:n] += to & 1
                 state[:n] = to >> 1
             out[:, g] = np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)

@@ -214,6 +214,30 @@ def test_language_ids(spark):
     assert bare[0]["lang_pred"] == "und"
 
 
+SCRIPTS = {
+    "el": "αβγδεζηθικλμνξοπρστυφχψω", "ru": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "uk": "абвгґдеєжзиіїйклмнопрстуфхцчшщьюя",
+    "ja": "".join(map(chr, range(0x3041, 0x3097))) + "".join(map(chr, range(0x4E00, 0x4E80))),
+    "ko": "".join(map(chr, range(0xAC00, 0xAE00))), "zh": "".join(map(chr, range(0x4E00, 0x5200))),
+    "xx": "".join(map(chr, range(0x20000, 0x20100))),
+    **{f"a{k}": "abcdefghijklmnopqrstuvwxyz" for k in range(3)},
+}
+
+
+def test_languages_of_many_scripts(spark):
+    rng = random.Random(8)
+    lexicon = {g: ["".join(rng.choice(c) for _ in range(rng.randint(1, 5))) for _ in range(120)] for g, c in SCRIPTS.items()}
+    text = lambda g: " ".join(rng.choice(lexicon[g]) for _ in range(40))
+    texts = [text(g) for g in SCRIPTS] + ["mixed " + text("ja") + text("el") + " \U0010ffff"]
+    references = {g: text(g) * 2 for g in SCRIPTS}
+    parser = langid.CrossParser(references)
+    assert parser.phrases(texts).tolist() == [[cross_parse(t, references[g]) for g in parser.languages] for t in texts]
+    rows = [(k, text(g), g, "s", 1) for k, g in enumerate(sorted(SCRIPTS) * 40)]
+    got = {r["doc_id"]: r for r in langid.language_ids(spark.createDataFrame(rows, DOCS)).collect()}
+    held = [(i, g) for i, _, g, *_ in rows if got[i]["held_out"]]
+    assert {g for _, g in held} == set(SCRIPTS)
+    assert all(got[i]["lang_pred"] == g for i, g in held)
+
+
 def test_language_never_learns_from_held_out_rows(spark):
     rows = [(k, "abc" if zlib.crc32(str(k).encode()) % 3 == 1 else "xyz", "held" if zlib.crc32(str(k).encode()) % 3 == 1 else "seen", "s", 1) for k in range(60)]
     got = langid.language_ids(spark.createDataFrame(rows, DOCS)).collect()
