@@ -1,7 +1,8 @@
 """Mixing sources to target weights by soft domain membership (native: DataFrame functions only).
 
 A naive-Bayes classifier, counted from the labelled table, predicts each document's domain posteriors from
-binned surface features. Projected gradient then fits a nonnegative rate per document (how often it is to
+binned surface features and from how many distinct words it has of those that mark each domain, learned from
+the same table. Projected gradient then fits a nonnegative rate per document (how often it is to
 be used) by least squares: the expected tokens of each domain, ``sum(rate * tokens * posterior)``, should
 match the target shares. Documents with the same bins have the same posteriors and, by symmetry, the same
 rate, so the state of the descent is one row per combination of bins (bounded by the bins, whatever the
@@ -24,12 +25,15 @@ from lakeworks.session import stored
 BINS = {
     "symbols": (0.02, 0.05, 0.1, 0.2),
     "distinct": (0.1, 0.3, 0.5, 0.7),
-    "insults": (0.5, 1.5, 3.5),
     "word_length": (3.0, 4.5, 6.0, 8.0),
     "length": (8.0, 64.0, 512.0, 4096.0),
 }
-#: words whose distinct number the ``insults`` feature counts, and characters that count as symbols
-INSULTS = "idiot moron stupid trash scum loser clown pathetic worthless disgusting".split()
+#: bins of the number of distinct words of a domain
+WORD_BINS = (0.5, 1.5, 3.5)
+#: words that are learned for a domain at most, the strongest by log-likelihood ratio (G); a word's least smoothed
+#: log-odds between the domain's labelled rows and the others, and its least G, which chance rarely reaches
+WORDS, MIN_ODDS, MIN_G = 4_000, 2.0, 24.0
+#: characters that count as symbols
 SYMBOLS = "#$%&*+/<=>@[\\]^_`{|}~"
 #: weight of staying at rate 1, against the squared relative errors of the domains
 RIDGE = 1e-2
@@ -45,7 +49,8 @@ def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """``docs`` (all columns) plus ``n_tokens`` and one bin column ``b_<feature>`` each; null text counts as empty."""
+    """``docs`` (all columns) plus ``n_tokens``, one bin column ``b_<feature>`` each and ``_hashes``, 32-bit hashes of
+    the distinct words; null text counts as empty."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = _held(docs, "_words", F.filter(F.split(F.lower(text), r"[\s.,;:!?]+"), lambda w: w != ""))
     rows = _held(rows, "_distinct", F.array_distinct("_words"))
@@ -53,13 +58,33 @@ def features(docs: DataFrame) -> DataFrame:
     values = {
         "symbols": F.try_divide(chars - F.length(F.translate(text, SYMBOLS, "")), chars),
         "distinct": F.try_divide(F.size("_distinct"), n),
-        "insults": F.size(F.array_intersect("_distinct", F.array(*map(F.lit, INSULTS)))),
         "word_length": F.try_divide(chars - n, n),
         "length": n,
     }
     rows = _held(rows, "_values", F.struct(*[F.coalesce(v.cast("double"), F.lit(0.0)).alias(k) for k, v in values.items()]))
     bins = [_bin(F.col("_values")[name], bounds).alias(f"b_{name}") for name, bounds in BINS.items()]
-    return rows.select(*[F.col(c) for c in docs.columns], n.cast("long").alias("n_tokens"), *bins)
+    hashes = F.transform("_distinct", lambda w: F.hash(w)).alias("_hashes")
+    return rows.select(*[F.col(c) for c in docs.columns], n.cast("long").alias("n_tokens"), *bins, hashes)
+
+
+def _bins(domains: list[str]) -> dict:
+    return BINS | {f"words{k}": WORD_BINS for k in range(len(domains))}
+
+
+def _bin_columns(domains: list[str]) -> list[str]:
+    return [f"b_{name}" for name in _bins(domains)]
+
+
+def with_word_bins(featured: DataFrame, words: list[list[int]]) -> DataFrame:
+    """``featured`` with a bin column ``b_words<k>`` for each domain's learned words, in place of ``_hashes``."""
+    n = [
+        F.expr(f"size(filter(_hashes, w -> w IN ({', '.join(map(str, found))})))") if found else F.lit(0)
+        for found in words
+    ]
+    rows = _held(featured, "_found", F.array(*n)).drop("_hashes")
+    for k in range(len(words)):
+        rows = rows.withColumn(f"b_words{k}", _bin(F.get("_found", F.lit(k)), WORD_BINS))
+    return rows.drop("_found")
 
 
 def _bin(value: Column, bounds) -> Column:
@@ -69,27 +94,58 @@ def _bin(value: Column, bounds) -> Column:
     return out
 
 
-def _bin_columns() -> list[str]:
-    return [f"b_{name}" for name in BINS]
+def _known(labels: DataFrame, domains: list[str]) -> DataFrame:
+    known = labels.where(F.col("doc_id").isNotNull() & F.col("domain").isin(domains))
+    return known.groupBy("doc_id").agg(F.max("domain").alias("domain"))
+
+
+def learn_words(featured: DataFrame, labels: DataFrame, domains: list[str]) -> list[list[int]]:
+    """Per domain the hashes of the words that mark it, from all labelled rows; at most ``WORDS`` a domain reach the
+    driver."""
+    known = _known(labels, domains)
+    sizes = {r["domain"]: r["n"] for r in featured.select("doc_id").join(known, "doc_id").groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 2:
+        return [[] for _ in domains]
+    total = float(sum(sizes.values()))
+    # the labels grow with the corpus: small ones are joined as large ones are
+    rows = featured.select("doc_id", "_hashes").join(known.hint("merge"), "doc_id").select("domain", F.explode("_hashes").alias("word"))
+    counts = rows.groupBy("word").agg(
+        *[F.count_if(F.col("domain") == d).cast("double").alias(f"n{k}") for k, d in enumerate(domains)],
+        F.count(F.lit(1)).cast("double").alias("n"),
+    )
+
+    def term(seen, of, share):  # 0 where nothing was seen
+        return F.when(seen > 0, seen * F.ln(seen * total / (of * share))).otherwise(0.0)
+
+    marks = []
+    for k, d in enumerate(domains):
+        own, rest = float(sizes.get(d, 0)), total - sizes.get(d, 0)
+        a, b = F.col(f"n{k}"), F.col("n") - F.col(f"n{k}")
+        odds = F.ln((a + 0.5) / (own - a + 0.5)) - F.ln((b + 0.5) / (rest - b + 0.5))
+        absent = total - F.col("n")
+        g = 2.0 * (term(a, own, a + b) + term(b, rest, a + b) + term(own - a, own, absent) + term(rest - b, rest, absent))
+        marks.append(F.when((a > 0) & (odds >= MIN_ODDS) & (g >= MIN_G), F.struct(F.lit(k).alias("k"), g.alias("g"))))
+    strong = counts.select("word", F.explode(F.array_compact(F.array(*marks))).alias("x")).select("word", "x.k", "x.g")
+    strong = stored(strong, "mix-words")
+    best = [strong.where(F.col("k") == k).orderBy(F.desc("g"), "word").limit(WORDS) for k in range(len(domains))]
+    return [[r["word"] for r in rows.select("word").collect()] for rows in best]
 
 
 def log_likelihoods(featured: DataFrame, labels: DataFrame, domains: list[str]) -> dict:
     """Smoothed naive-Bayes tables: ``(feature, bin, domain) -> ln P`` and ``domain -> ln prior``, from all
     labelled rows ``doc_id, domain``. Only the counts (features x bins x domains) reach the driver."""
-    known = labels.where(F.col("doc_id").isNotNull() & F.col("domain").isin(domains)).groupBy("doc_id").agg(
-        F.max("domain").alias("domain")
-    )
-    rows = featured.select("doc_id", *_bin_columns()).join(known, "doc_id")
+    columns = _bin_columns(domains)
+    rows = featured.select("doc_id", *columns).join(_known(labels, domains), "doc_id")
     counts = (
-        rows.select("domain", F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).alias("b")) for c in _bin_columns()])).alias("x"))
+        rows.select("domain", F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).alias("b")) for c in columns])).alias("x"))
         .groupBy("domain", "x.f", "x.b")
         .agg(F.count(F.lit(1)).alias("n"))
         .collect()
     )
     n = {(r["f"], r["b"], r["domain"]): r["n"] for r in counts}
     tables = {}
-    sizes = {d: sum(v for (f, _, e), v in n.items() if e == d and f == _bin_columns()[0]) for d in domains}
-    for name, bounds in BINS.items():
+    sizes = {d: sum(v for (f, _, e), v in n.items() if e == d and f == columns[0]) for d in domains}
+    for name, bounds in _bins(domains).items():
         for d in domains:
             for b in range(len(bounds) + 1):
                 tables[f"b_{name}", b, d] = math.log((n.get((f"b_{name}", b, d), 0) + 1) / (sizes[d] + len(bounds) + 1))
@@ -102,7 +158,7 @@ def posteriors(tables: dict, domains: list[str]) -> Column:
     scores = []
     for d in domains:
         score = F.lit(tables[d])
-        for name, bounds in BINS.items():
+        for name, bounds in _bins(domains).items():
             score = score + F.get(F.array(*[F.lit(tables[f"b_{name}", b, d]) for b in range(len(bounds) + 1)]), F.col(f"b_{name}"))
         scores.append(score)
     raw = F.array(*scores)
@@ -221,7 +277,7 @@ def fit_mix(featured: DataFrame, labels: DataFrame, weights: Mapping[str, float]
     bins)`` (a stored table: it is read twice) and ``labels(doc_id, domain)``."""
     domains = sorted(weights)
     p = posteriors(log_likelihoods(featured, labels, domains), domains)
-    cells = featured.groupBy(*_bin_columns()).agg(F.sum("n_tokens").alias("tokens"))
+    cells = featured.groupBy(*_bin_columns(domains)).agg(F.sum("n_tokens").alias("tokens"))
     return p, fit_rates(stored(cells.select("tokens", p.alias("p")), "mix-cells"), domains, weights, upsample)
 
 
@@ -231,7 +287,14 @@ def apply_mix(featured: DataFrame, p: Column, fitted: Mix, seed: int = 0) -> Dat
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     whole = F.floor("rate")
     copies = (whole + F.when(draw < F.col("rate") - whole, 1).otherwise(0)).cast("int")
-    return out.withColumn("copies", copies).drop(*_bin_columns())
+    return out.withColumn("copies", copies).drop(*_bin_columns(fitted.domains))
+
+
+def _binned(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float]) -> tuple[DataFrame, list[list[int]]]:
+    """``doc_id, n_tokens`` and all bins, stored, and the words that were learned for each domain."""
+    featured = stored(features(docs.select("doc_id", "text")).drop("text"), "mix-features")
+    words = learn_words(featured, labels, sorted(weights))
+    return stored(with_word_bins(featured, words), "mix-bins"), words
 
 
 def mix_rates(
@@ -244,7 +307,7 @@ def mix_rates(
     rows keeps a small prior. Null and empty texts have no tokens and the posteriors of an empty text; ids may be
     null or repeat; other columns are ignored; with no rows or no tokens every rate is 1. The texts are read once.
     """
-    featured = stored(features(docs.select("doc_id", "text")).drop("text"), "mix-features")
+    featured, _ = _binned(docs, labels, weights)
     p, fitted = fit_mix(featured, labels, weights, upsample)
     return apply_mix(featured, p, fitted, seed), fitted
 
@@ -254,7 +317,7 @@ def mix(
 ) -> tuple[DataFrame, Mix]:
     """As :func:`mix_rates`, but with all columns of ``docs`` (texts are read twice and never shuffled; columns named
     like the results are replaced)."""
-    featured = stored(features(docs.select("doc_id", "text")).drop("text"), "mix-features")
+    featured, words = _binned(docs, labels, weights)
     p, fitted = fit_mix(featured, labels, weights, upsample)
-    out = apply_mix(features(aside(docs)), p, fitted, seed)
+    out = apply_mix(with_word_bins(features(aside(docs)), words), p, fitted, seed)
     return back(out, docs, "n_tokens", "posteriors", "rate", "copies"), fitted

@@ -76,6 +76,33 @@ def test_rates_are_the_least_squares_solution(spark):
     assert (got >= 0).all() and (r == 0).any()
 
 
+def test_toxic_words_are_learned_in_every_language(spark):
+    """Posteriors of rows that have no label, in languages whose insults no list could know."""
+    rng = random.Random(21)
+    alphabets = {"fr": "abcdeéèçlmnop", "ru": "абвгдежзиклмн", "el": "αβγδεζηθικλμν"}
+    make = {g: lambda c=c: "".join(rng.choice(c) for _ in range(rng.randint(3, 7))) for g, c in alphabets.items()}
+    usual = {g: [make[g]() for _ in range(300)] for g in alphabets}
+    insults = {g: [make[g]() + "x" for _ in range(8)] for g in alphabets}
+    rows, labels, truth = [], [], {}
+    for k in range(900):
+        g, toxic = rng.choice(list(alphabets)), rng.random() < 0.2
+        w = rng.choices(usual[g], k=60)
+        for _ in range(3 * toxic):
+            w[rng.randrange(60)] = rng.choice(insults[g])
+        rows.append((k, " ".join(w), g, "s", 1))
+        truth[k] = g, toxic
+        if k % 3:
+            labels.append((k, 1, int(toxic)))
+    labelled = mixing.label_domains(spark.createDataFrame(labels, LABELS))
+    out, fitted = mixing.mix_rates(spark.createDataFrame(rows, DOCS), labelled, {"good": 0.9, "poor": 0.05, "toxic": 0.05})
+    at = fitted.domains.index("toxic")
+    for g in alphabets:
+        held = [(r["posteriors"][at] > 0.5, truth[r["doc_id"]][1]) for r in out.collect() if r["doc_id"] % 3 == 0 and truth[r["doc_id"]][0] == g]
+        found = [p for p, toxic in held if toxic]
+        assert len(found) >= 8 and sum(found) >= 0.9 * len(found), g
+        assert sum(p for p, toxic in held if not toxic) <= 1, g
+
+
 def test_mix_edges(spark):
     labels = mixing.label_domains(spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 1, 1), (1, 1, 0)], LABELS))
     weights = {"good": 0.8, "poor": 0.1, "toxic": 0.1}
