@@ -6,7 +6,7 @@ the same table. Projected gradient then fits a nonnegative rate per document (ho
 be used) by least squares: the expected tokens of each domain, ``sum(rate * tokens * posterior)``, should
 match the target shares. Documents with the same bins have the same posteriors and, by symmetry, the same
 rate, so the state of the descent is one row per combination of bins (bounded by the bins, whatever the
-corpus holds) and each iteration is one distributed sum; only the sums per domain reach the driver. The
+corpus holds), each iteration is one distributed sum, and only the sums per domain reach the driver. The
 iterate itself is an expression over the sums so far, so no lineage grows and nothing is checkpointed.
 """
 
@@ -38,6 +38,11 @@ SYMBOLS = "#$%&*+/<=>@[\\]^_`{|}~"
 #: weight of staying at rate 1, against the squared relative errors of the domains
 RIDGE = 1e-2
 ITERATIONS = 120
+#: combinations of bins up to which their rates, a row of about 50 bytes each, are broadcast
+MAX_CELLS = 1 << 17
+#: labelled rows from which a domain can bound the total of a mix without repetition, and the least share of the input's
+#: tokens that such a total falls to for a scarce domain
+MIN_LABELS, LEAST_TOTAL = 30, 0.5
 #: descent ends when a step changes the loss by no more than this share
 TOLERANCE = 1e-5
 
@@ -71,12 +76,27 @@ def _bins(domains: list[str]) -> dict:
     return BINS | {f"words{k}": WORD_BINS for k in range(len(domains))}
 
 
-def _bin_columns(domains: list[str]) -> list[str]:
-    return [f"b_{name}" for name in _bins(domains)]
+def _cell(domains: list[str]) -> Column:
+    """One number for the combination of bins of a row."""
+    code = F.lit(0)
+    for name, bounds in _bins(domains).items():
+        code = code * (len(bounds) + 1) + F.col(f"b_{name}")
+    return code.cast("long")
+
+
+def _bins_of(cell: Column, domains: list[str]) -> dict[str, Column]:
+    """The bins that :func:`_cell` put into one number, by feature."""
+    out, behind = {}, 1
+    for name, bounds in reversed(_bins(domains).items()):
+        out[name] = F.pmod(F.floor(cell / behind), F.lit(len(bounds) + 1)).cast("int")
+        behind *= len(bounds) + 1
+    return out
 
 
 def with_word_bins(featured: DataFrame, words: list[list[int]]) -> DataFrame:
-    """``featured`` with a bin column ``b_words<k>`` for each domain's learned words, in place of ``_hashes``."""
+    """``featured`` with ``cell``, the combination of its bins and of those of each domain's learned words, in place
+    of the bins and ``_hashes``."""
+    domains = [str(k) for k in range(len(words))]
     n = [
         F.expr(f"size(filter(_hashes, w -> w IN ({', '.join(map(str, found))})))") if found else F.lit(0)
         for found in words
@@ -84,7 +104,7 @@ def with_word_bins(featured: DataFrame, words: list[list[int]]) -> DataFrame:
     rows = _held(featured, "_found", F.array(*n)).drop("_hashes")
     for k in range(len(words)):
         rows = rows.withColumn(f"b_words{k}", _bin(F.get("_found", F.lit(k)), WORD_BINS))
-    return rows.drop("_found")
+    return rows.withColumn("cell", _cell(domains)).drop("_found", *[f"b_{name}" for name in _bins(domains)])
 
 
 def _bin(value: Column, bounds) -> Column:
@@ -131,48 +151,47 @@ def learn_words(featured: DataFrame, labels: DataFrame, domains: list[str]) -> l
     return [[r["word"] for r in rows.select("word").collect()] for rows in best]
 
 
-def log_likelihoods(featured: DataFrame, labels: DataFrame, domains: list[str]) -> dict:
-    """Smoothed naive-Bayes tables: ``(feature, bin, domain) -> ln P`` and ``domain -> ln prior``, from all
-    labelled rows ``doc_id, domain``. Only the counts (features x bins x domains) reach the driver."""
-    columns = _bin_columns(domains)
-    rows = featured.select("doc_id", *columns).join(_known(labels, domains), "doc_id")
+def log_likelihoods(featured: DataFrame, labels: DataFrame, domains: list[str]) -> tuple[dict, dict]:
+    """Smoothed naive-Bayes tables, ``(feature, bin, domain) -> ln P`` and ``domain -> ln prior``, and the labelled rows
+    of each domain, from ``featured(doc_id, cell)`` and all rows of ``labels(doc_id, domain)``. Domains without labelled
+    rows are in no table. Only the counts (features x bins x domains) reach the driver."""
+    rows = featured.select("doc_id", "cell").join(_known(labels, domains), "doc_id").groupBy("domain", "cell").agg(F.count(F.lit(1)).alias("n"))
+    bins = [F.struct(F.lit(name).alias("f"), b.alias("b")) for name, b in _bins_of(F.col("cell"), domains).items()]
     counts = (
-        rows.select("domain", F.explode(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).alias("b")) for c in columns])).alias("x"))
+        rows.select("domain", "n", F.explode(F.array(*bins)).alias("x"))
         .groupBy("domain", "x.f", "x.b")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
         .collect()
     )
     n = {(r["f"], r["b"], r["domain"]): r["n"] for r in counts}
+    sizes = {d: sum(v for (f, _, e), v in n.items() if e == d and f == "length") for d in domains}
+    learned = [d for d in domains if sizes[d]]
     tables = {}
-    sizes = {d: sum(v for (f, _, e), v in n.items() if e == d and f == columns[0]) for d in domains}
     for name, bounds in _bins(domains).items():
-        for d in domains:
+        for d in learned:
             for b in range(len(bounds) + 1):
-                tables[f"b_{name}", b, d] = math.log((n.get((f"b_{name}", b, d), 0) + 1) / (sizes[d] + len(bounds) + 1))
+                tables[name, b, d] = math.log((n.get((name, b, d), 0) + 1) / (sizes[d] + len(bounds) + 1))
     total = sum(sizes.values())
-    return tables | {d: math.log((sizes[d] + 1) / (total + len(domains))) for d in domains}
+    return tables | {d: math.log(sizes[d] / total) for d in learned}, sizes
 
 
-def posteriors(tables: dict, domains: list[str]) -> Column:
-    """Array of the posteriors of the domains, from the bin columns of a row."""
+def posteriors(tables: dict, domains: list[str], bins: Mapping[str, Column]) -> Column:
+    """Array of the posteriors of the domains, from the bins of a row; 0 for a domain without labelled rows (if no
+    domain has any, 0 for all)."""
+    learned = [d for d in domains if d in tables]
     scores = []
-    for d in domains:
+    for d in learned:
         score = F.lit(tables[d])
         for name, bounds in _bins(domains).items():
-            score = score + F.get(F.array(*[F.lit(tables[f"b_{name}", b, d]) for b in range(len(bounds) + 1)]), F.col(f"b_{name}"))
+            score = score + F.get(F.array(*[F.lit(tables[name, b, d]) for b in range(len(bounds) + 1)]), bins[name])
         scores.append(score)
+    if not scores:
+        return F.array(*[F.lit(0.0) for _ in domains])
     raw = F.array(*scores)
     top = F.array_max(raw)
     weights = F.transform(raw, lambda s: F.exp(s - top))
     total = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(weights, lambda w: w / total)
-
-
-def _dot(p: Column, v: list[float]) -> Column:
-    out = F.get(p, F.lit(0)) * v[0]
-    for k in range(1, len(v)):
-        out = out + F.get(p, F.lit(k)) * v[k]
-    return out
+    return F.array(*[F.get(weights, F.lit(learned.index(d))) / total if d in tables else F.lit(0.0) for d in domains])
 
 
 def rate_column(p: Column, history: list[list[float]], step: float) -> Column:
@@ -203,25 +222,36 @@ def _largest_eigenvalue(g: list[list[float]]) -> float:
 
 
 class Mix:
-    """A fitted mix: ``rate(p)`` is the rate of a document with posteriors ``p``."""
+    """A fitted mix: ``rate(p)`` is the rate of a document with posteriors ``p``.
+
+    ``targets`` are the domains' shares wanted, of all tokens of the input; ``totals`` those they have, ``achieved``
+    those the rates give (with ``upsample=False``, rates count up to 1); ``shortfall`` what a domain lacks of its target.
+    """
 
     def __init__(self, domains, targets, totals, achieved, history, step):
         self.domains, self.targets, self.totals, self.achieved = domains, targets, totals, achieved
+        self.shortfall = [max(0.0, g - a) for g, a in zip(targets, achieved)]
         self._fit = history, step
 
     def rate(self, p: Column) -> Column:
         return rate_column(p, *self._fit)["rate"]
 
 
-def fit_rates(cells: DataFrame, domains: list[str], weights: Mapping[str, float], upsample: bool = True) -> Mix:
+def fit_rates(
+    cells: DataFrame, domains: list[str], weights: Mapping[str, float], upsample: bool = True, labelled: Mapping[str, int] | None = None
+) -> Mix:
     """Rates for ``cells(tokens, p)`` whose expected token shares match ``weights``.
 
-    The expected total is that of the input; with ``upsample=False`` it is the largest total for which no domain
-    needs more tokens than it has, so that rates stay near or below 1.
+    ``labelled`` gives the labelled rows of each domain. One without any leaves the targets, and the rest is
+    renormalised. The expected total is that of the input; with ``upsample=False`` it is the largest total for which no
+    domain needs more tokens than it has, so that rates stay near or below 1. A domain of fewer than ``MIN_LABELS``
+    labelled rows does not bound that total, as its tokens are not known well, and no domain takes it below
+    ``LEAST_TOTAL``: what a scarce domain then lacks is its ``shortfall``, not a loss of the others.
     """
     k = len(domains)
-    share = sum(weights[d] for d in domains)
-    goal = [weights[d] / share for d in domains]
+    active = [labelled is None or labelled.get(d, 0) > 0 for d in domains]
+    share = sum(weights[d] for d, on in zip(domains, active) if on)
+    goal = [weights[d] / share if on and share > 0 else 0.0 for d, on in zip(domains, active)]
     sums = [F.sum(F.col("tokens") * F.get("p", F.lit(i))).alias(f"t{i}") for i in range(k)]
     cross = [
         F.sum(F.col("tokens") * F.get("p", F.lit(i)) * F.get("p", F.lit(j))).alias(f"g{i}_{j}") for i in range(k) for j in range(k)
@@ -232,8 +262,9 @@ def fit_rates(cells: DataFrame, domains: list[str], weights: Mapping[str, float]
         return Mix(domains, goal, [0.0] * k, [0.0] * k, [], 1.0)
     have = [first[f"t{i}"] / total for i in range(k)]
     if not upsample:
-        fits = min(h / g for h, g in zip(have, goal) if g > 0)
-        goal = [g * fits for g in goal]
+        bounding = [labelled is None or labelled.get(d, 0) >= MIN_LABELS for d in domains]
+        fits = min([1.0, *(h / g for h, g, on in zip(have, goal, bounding) if on and g > 0)])
+        goal = [g * max(fits, LEAST_TOTAL) for g in goal]
     scale = [1.0 / max(g, 1e-3) for g in goal]  # errors count relative to their targets
     g = [[first[f"g{i}_{j}"] / total * math.sqrt(scale[i] * scale[j]) for j in range(k)] for i in range(k)]
     step = 1.0 / (_largest_eigenvalue(g) * 1.05 + RIDGE)
@@ -261,6 +292,10 @@ def fit_rates(cells: DataFrame, domains: list[str], weights: Mapping[str, float]
         settled, loss = abs(new - loss) <= TOLERANCE * max(new, 1e-6), new
         if settled:
             break
+    if not upsample:  # a document is used once at most
+        used = cells.select("tokens", "p", F.least(F.lit(1.0), rate_column(F.col("p"), history, step)["rate"]).alias("r"))
+        at = used.agg(*[F.sum(F.col("tokens") * F.get("p", F.lit(i)) * F.col("r")).alias(f"r{i}") for i in range(k)]).first()
+        rate = [at[f"r{i}"] / total for i in range(k)]
     return Mix(domains, goal, have, rate, history, step)
 
 
@@ -272,44 +307,62 @@ def label_domains(labels: DataFrame, toxic: bool = True) -> DataFrame:
     return labels.select("doc_id", domain.alias("domain")).where(F.col("domain").isNotNull())
 
 
-def fit_mix(featured: DataFrame, labels: DataFrame, weights: Mapping[str, float], upsample: bool = True) -> tuple[Column, Mix]:
-    """The posteriors' expression over the bin columns and the fitted :class:`Mix`, from ``featured(doc_id, n_tokens,
-    bins)`` (a stored table: it is read twice) and ``labels(doc_id, domain)``."""
+def fit_mix(featured: DataFrame, labels: DataFrame, weights: Mapping[str, float], upsample: bool = True) -> tuple[DataFrame, Mix]:
+    """``cell, posteriors, rate`` of each combination of bins and the fitted :class:`Mix`, from
+    ``featured(doc_id, n_tokens, cell)`` (a stored table: it is read twice) and ``labels(doc_id, domain)``."""
     domains = sorted(weights)
-    p = posteriors(log_likelihoods(featured, labels, domains), domains)
-    cells = featured.groupBy(*_bin_columns(domains)).agg(F.sum("n_tokens").alias("tokens"))
-    return p, fit_rates(stored(cells.select("tokens", p.alias("p")), "mix-cells"), domains, weights, upsample)
+    tables, sizes = log_likelihoods(featured, labels, domains)
+    p = posteriors(tables, domains, _bins_of(F.col("cell"), domains))
+    cells = featured.groupBy("cell").agg(F.sum("n_tokens").alias("tokens"))
+    cells = stored(cells.select("cell", "tokens", p.alias("p")), "mix-cells")
+    fitted = fit_rates(cells, domains, weights, upsample, sizes)
+    return stored(cells.select("cell", F.col("p").alias("posteriors"), fitted.rate(F.col("p")).alias("rate")), "mix-rates"), fitted
+
 
+def apply_mix(featured: DataFrame, rates: DataFrame, domains: list[str], seed: int = 0) -> DataFrame:
+    """``featured(doc_id, _text_key, cell, ..)`` with ``posteriors, rate, copies`` in place of ``cell`` and ``_text_key``.
 
-def apply_mix(featured: DataFrame, p: Column, fitted: Mix, seed: int = 0) -> DataFrame:
-    """``featured`` with ``posteriors, rate, copies`` in place of its bins."""
-    out = _held(_held(featured, "posteriors", p), "rate", fitted.rate(F.col("posteriors")))
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    The rates, one row per combination of bins, are broadcast where their number has a bound (``MAX_CELLS``).
+    """
+    cells = math.prod(len(bounds) + 1 for bounds in _bins(domains).values())
+    rates = rates.withColumnRenamed("cell", "_cell")
+    out = featured.join(F.broadcast(rates) if cells <= MAX_CELLS else rates, F.col("cell") == F.col("_cell"))
+    # rows without an id are told apart by their texts and, as no key of theirs is stable, by their places
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("_text_key"), place), F.lit(1 << 30)) / F.lit(float(1 << 30))
     whole = F.floor("rate")
     copies = (whole + F.when(draw < F.col("rate") - whole, 1).otherwise(0)).cast("int")
-    return out.withColumn("copies", copies).drop(*_bin_columns(fitted.domains))
+    return out.withColumn("copies", copies).drop("cell", "_cell", "_text_key")
 
 
 def _binned(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float]) -> tuple[DataFrame, list[list[int]]]:
-    """``doc_id, n_tokens`` and all bins, stored, and the words that were learned for each domain."""
-    featured = stored(features(docs.select("doc_id", "text")).drop("text"), "mix-features")
+    """``doc_id, _text_key, n_tokens, cell``, stored, and the words that were learned for each domain."""
+    rows = docs.select("doc_id", "text", _text_key())
+    featured = stored(features(rows).drop("text"), "mix-features")
     words = learn_words(featured, labels, sorted(weights))
     return stored(with_word_bins(featured, words), "mix-bins"), words
 
 
+def _text_key() -> Column:
+    return F.xxhash64("text").alias("_text_key")
+
+
 def mix_rates(
     docs: DataFrame, labels: DataFrame, weights: Mapping[str, float], upsample: bool = True, seed: int = 0
 ) -> tuple[DataFrame, Mix]:
     """``doc_id, n_tokens, posteriors, rate, copies`` per row of ``docs(doc_id, text)``, and the fitted :class:`Mix`.
 
     ``labels(doc_id, domain)`` trains the classifier; ``weights`` are the target shares of the domains in tokens.
-    ``copies`` rounds the rate by a fixed hash of the id (its expectation is the rate). A domain without labelled
-    rows keeps a small prior. Null and empty texts have no tokens and the posteriors of an empty text; ids may be
-    null or repeat; other columns are ignored; with no rows or no tokens every rate is 1. The texts are read once.
+    ``copies`` rounds the rate by a fixed hash of the id and the text (its expectation is the rate), so rows that repeat
+    an id with another text are drawn apart, and a repeated row of the same id and text is one record; rows with a null
+    id are each drawn on their own. A domain without labelled rows has posterior 0 and leaves the targets (see
+    :func:`fit_rates`); if none has any, every rate is 1. Null and empty texts have no tokens and the posteriors of an
+    empty text; very long texts are read whole, their words once; of equally strong words the smaller hash is learned;
+    other columns are ignored; with no rows or no tokens every rate is 1. The texts are read once.
     """
     featured, _ = _binned(docs, labels, weights)
-    p, fitted = fit_mix(featured, labels, weights, upsample)
-    return apply_mix(featured, p, fitted, seed), fitted
+    rates, fitted = fit_mix(featured, labels, weights, upsample)
+    return apply_mix(featured, rates, fitted.domains, seed), fitted
 
 
 def mix(
@@ -318,6 +371,6 @@ def mix(
     """As :func:`mix_rates`, but with all columns of ``docs`` (texts are read twice and never shuffled; columns named
     like the results are replaced)."""
     featured, words = _binned(docs, labels, weights)
-    p, fitted = fit_mix(featured, labels, weights, upsample)
-    out = apply_mix(with_word_bins(features(aside(docs)), words), p, fitted, seed)
-    return back(out, docs, "n_tokens", "posteriors", "rate", "copies"), fitted
+    rates, fitted = fit_mix(featured, labels, weights, upsample)
+    rows = with_word_bins(features(aside(docs).select("*", _text_key())), words)
+    return back(apply_mix(rates=rates, featured=rows, domains=fitted.domains, seed=seed), docs, "n_tokens", "posteriors", "rate", "copies"), fitted

@@ -116,6 +116,45 @@ def test_mix_edges(spark):
     assert out.count() == len(rows)
 
 
+def kept_share(spark, rows, labels, weights):
+    labelled = mixing.label_domains(spark.createDataFrame(labels, LABELS), toxic=False)
+    out, fitted = mixing.mix_rates(spark.createDataFrame(rows, DOCS), labelled, weights, upsample=False)
+    return out.where("copies > 0").count() / len(rows), fitted
+
+
+def test_scarce_labels_do_not_shrink_the_corpus(spark):
+    """A domain with no or few labelled rows; one long text holds most tokens."""
+    rows, labels = mix_rows()
+    rows.append((5000, " ".join(words(random.Random(5), 30_000)), "en", "s", 1))
+    weights = {"good": 0.9, "poor": 0.1}
+    good = [r for r in labels if r[1] == 1]
+    poor = [r for r in labels if r[1] == 0]
+    share, fitted = kept_share(spark, rows, good, weights)
+    assert share > 0.95 and fitted.targets == [1.0, 0.0] and fitted.shortfall[1] == 0.0
+    share, fitted = kept_share(spark, rows, good + poor[:3], weights)
+    assert share > 0.9 and sum(fitted.targets) > 0.95
+    share, fitted = kept_share(spark, rows, labels, {"good": 0.01, "poor": 0.99})  # good is scarce in the target
+    assert share < 0.9 and fitted.shortfall[fitted.domains.index("poor")] > 0.1
+    share, fitted = kept_share(spark, rows, [], weights)
+    assert share == 1.0
+
+
+def test_draws_of_null_and_repeated_ids(spark):
+    """Rows at a rate below 1 are drawn apart: with null ids, equal texts included, and with one id for all texts."""
+    rows, labels = mix_rows()
+    same = "### " * 50
+    for ids in ([None] * 400, [77_777] * 400):
+        extra = [(i, same + (words(random.Random(n), 1)[0] if i else ""), "en", "s", 1) for n, i in enumerate(ids)]
+        labelled = mixing.label_domains(spark.createDataFrame(labels, LABELS), toxic=False)
+        out, _ = mixing.mix_rates(spark.createDataFrame(rows + extra, DOCS), labelled, {"good": 0.97, "poor": 0.03}, upsample=False)
+        mine = out.where("doc_id IS NULL OR doc_id = 77777").collect()
+        want, got = sum(min(1.0, r["rate"]) for r in mine), sum(r["copies"] > 0 for r in mine)
+        assert len(mine) == 400 and 4 < want < 390
+        assert abs(got - want) < 5 * (want * (1 - want / 400)) ** 0.5 + 20
+    out, _ = mixing.mix_rates(spark.createDataFrame([(None, t, *r) for _, t, *r in rows], DOCS), labelled, {"good": 0.9, "poor": 0.1})
+    assert out.count() == len(rows)
+
+
 def test_native_operators_run_no_python(spark):
     from lakeworks.llm import exact_dedup, line_dedup
 
