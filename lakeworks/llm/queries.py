@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeworks.llm import (
+    conversations,
     decontam,
     exact_dedup,
     langid,
@@ -15,9 +16,11 @@ from lakeworks.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    quality,
     sharding,
     tokens,
     toxicity,
+    whitening,
 )
 from lakeworks.suite import table
 
@@ -151,3 +154,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = mixing.label_domains(table(spark, sf_dir, "labels"))
     mixed, _ = mixing.mix_rates(table(spark, sf_dir, "documents"), labels, MIX_WEIGHTS)
     return mixed
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.summaries(messages, present=F.col("present"))
+
+
+@query("op13_quality_rules")
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))

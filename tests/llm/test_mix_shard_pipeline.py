@@ -272,7 +272,7 @@ def test_pipeline_stages_on_odd_tables(spark, tmp_dir):
 def test_every_operator_has_one_query():
     names = [n for n in E.queries() if n.startswith("op")]
     numbers = sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert "pipeline" in E.queries()
     assert set(queries.ORACLES) <= set(queries.QUERIES)
 
