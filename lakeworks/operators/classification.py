@@ -3,7 +3,8 @@
 Every metric is a grouped aggregation over the data or over the **score histogram**
 ``(keys, score) -> n, pos, neg``, never a per-group Python loop. Curve areas read one ascending
 running total of (pos, neg) per group: for a score ``s`` the positives above it are
-``P - cum_pos``, so ROC and PR points need no ``lag`` across buckets.
+``P - cum_pos``, so ROC and PR points need no ``lag`` across ranges. The reports read the rows once, into a stored
+histogram per (score, outcome, prediction), and everything else, quantile bins included, from that.
 """
 
 from __future__ import annotations
@@ -20,6 +21,10 @@ from lakeworks.operators.common import (
     join_keys,
     numpy_linspace,
     quantiles_from_running,
+    range_bounds,
+    rank_hits,
+    rank_values,
+    running,
     running_totals,
     safe_corr,
     sorted_position,
@@ -101,18 +106,13 @@ def curve_areas(hist: DataFrame, keys: Sequence[str] = (), buckets: int | None =
     Input: ``score_histogram`` rows. Output: ``keys, n_pos, n_neg, roc_auc, pr_auc``.
     """
     hist, gkeys = with_group_key(hist, keys)
-    run = histogram_run(hist, gkeys, buckets)
-    out = areas_from_run(run, gkeys)
+    run = running_totals(hist, gkeys, "score", ["n", "pos", "neg"], buckets=buckets, totals_prefix="tot_")
+    out = run.groupBy(*gkeys).agg(*area_sums()).select(*gkeys, "n_pos", "n_neg", *areas())
     return out if keys else out.drop(ALL_KEY)
 
 
-def histogram_run(hist: DataFrame, keys: Sequence[str], buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
-    """One ascending running-total pass over a score histogram: ``cum_n/pos/neg`` and ``tot_*``.
-    Curve areas and quantile edges are both read from it."""
-    return running_totals(hist, keys, "score", ["n", "pos", "neg"], buckets=buckets, totals_prefix="tot_")
-
-
-def areas_from_run(run: DataFrame, keys: Sequence[str]) -> DataFrame:
+def area_sums() -> list[Column]:
+    """Aggregates over running histogram rows that :func:`areas` needs."""
     P, N = F.col("tot_pos").cast("double"), F.col("tot_neg").cast("double")
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     below_neg = F.col("cum_neg").cast("double") - neg
@@ -121,35 +121,62 @@ def areas_from_run(run: DataFrame, keys: Sequence[str]) -> DataFrame:
     tp, fp = tp_prev + pos, fp_prev + neg
     prec = tp / (tp + fp)
     prec_prev = F.when(tp_prev + fp_prev == 0, F.lit(1.0)).otherwise(tp_prev / (tp_prev + fp_prev))
-    parts = run.select(
-        *keys,
-        F.col("tot_pos").alias("n_pos"),
-        F.col("tot_neg").alias("n_neg"),
-        (pos * below_neg + 0.5 * pos * neg).alias("_roc"),
-        F.when(pos > 0, pos * (prec + prec_prev) / 2).otherwise(F.lit(0.0)).alias("_pr"),
-    )
-    out = parts.groupBy(*keys).agg(
-        F.first("n_pos").alias("n_pos"),
-        F.first("n_neg").alias("n_neg"),
-        F.sum("_roc").alias("_roc"),
-        F.sum("_pr").alias("_pr"),
-    )
-    return out.select(
-        *keys,
-        "n_pos",
-        "n_neg",
-        F.when(
-            (F.col("n_pos") > 0) & (F.col("n_neg") > 0),
-            F.col("_roc") / (F.col("n_pos") * F.col("n_neg").cast("double")),
-        ).alias("roc_auc"),
+    return [
+        F.first("tot_pos").alias("n_pos"),
+        F.first("tot_neg").alias("n_neg"),
+        F.sum(pos * below_neg + 0.5 * pos * neg).alias("_roc"),
+        F.sum(F.when(pos > 0, pos * (prec + prec_prev) / 2).otherwise(F.lit(0.0))).alias("_pr"),
+    ]
+
+
+def areas() -> list[Column]:
+    both = (F.col("n_pos") > 0) & (F.col("n_neg") > 0)
+    return [
+        F.when(both, F.col("_roc") / (F.col("n_pos") * F.col("n_neg").cast("double"))).alias("roc_auc"),
         F.when(F.col("n_pos") > 0, F.col("_pr") / F.col("n_pos")).alias("pr_auc"),
-    )
+    ]
+
+
+def outcome_histogram(df: DataFrame, keys: Sequence[str], target: str, pred: str, score: str) -> DataFrame:
+    """``keys, score, y, p, n``: rows per distinct score, outcome and prediction (NULLs too). All metrics are read from
+    it, so the rows themselves are read once."""
+    cells = [F.col(score).cast("double").alias("score"), _y(target).alias("y"), F.col(pred).cast("int").alias("p")]
+    return df.groupBy(*keys, *cells).agg(F.count(F.lit(1)).alias("n"))
+
+
+def base_sums(centre: float) -> list[Column]:
+    """Aggregates over an outcome histogram: counts, confusion counts, mean, deviation and Brier score of the rows."""
+    y, p, s, n = F.col("y"), F.col("p"), F.col("score"), F.col("n")
+    scored = F.sum(F.when(s.isNotNull(), n))
+    off = s - F.lit(centre)  # near the mean, so that the squares lose nothing
+    spread = F.try_divide(F.sum(n * off * off), scored) - F.pow(F.try_divide(F.sum(n * off), scored), 2)
+    cell = lambda a, b: F.coalesce(F.sum(F.when((y == a) & (p == b), n)), F.lit(0)).alias
+    return [
+        F.sum(n).alias("n_observations"),
+        F.try_divide(F.sum(n * y), F.sum(F.when(y.isNotNull(), n))).alias("target_rate"),
+        F.try_divide(F.sum(n * s), scored).alias("score_average"),
+        F.when(F.min(s) == F.max(s), F.lit(0.0)).otherwise(F.sqrt(F.greatest(F.lit(0.0), spread))).alias("score_std"),
+        cell(1, 1)("tp"),
+        cell(0, 0)("tn"),
+        cell(0, 1)("fp"),
+        cell(1, 0)("fn"),
+        F.try_divide(F.sum(n * F.pow(s - y, 2)), F.sum(F.when((s - y).isNotNull(), n))).alias("_brier"),
+        # two classes present <=> max != min (no distinct-aggregate expansion)
+        (F.max(y) > F.min(y)).cast("int").alias("_two"),
+    ]
 
 
-def edges_from_run(run: DataFrame, keys: Sequence[str], q: int = 10) -> DataFrame:
-    """E10 edges (``keys, edges``) from a histogram run: distinct sorted linear quantiles."""
-    qs = quantiles_from_running(run, keys, "score", "n", "cum_n", "tot_n", numpy_linspace(q), out="_qs")
-    return qs.select(*keys, F.array_sort(F.array_distinct("_qs")).alias("edges"))
+def scored_cells(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of an outcome histogram that have a score and an outcome, as ``keys, score, n, pos, neg``."""
+    rows = hist.where(F.col("score").isNotNull() & F.col("y").isNotNull())
+    pos = F.col("n") * F.col("y")
+    return rows.select(*keys, "score", "n", pos.alias("pos"), (F.col("n") - pos).alias("neg"))
+
+
+def scored_run(cells: DataFrame, keys: Sequence[str], bounds: Sequence[float]) -> DataFrame:
+    """Running histogram over distinct scores: ``score, n, pos, neg``, ``cum_*`` and ``tot_*``."""
+    whole = {c: F.sum(c).cast("long") for c in ("n", "pos", "neg")}
+    return running(cells, keys, "score", ["n", "pos", "neg"], bounds, totals_prefix="tot_", combine=whole)
 
 
 # ---------------------------------------------------------------- E8: calibration
@@ -199,19 +226,14 @@ def classification_metrics(
     """Balanced accuracy, MCC, precision, recall, F1, PR AUC, ROC AUC, Brier, ECE per group."""
     keys = list(keys)
     df, gkeys = with_group_key(df, keys)
-    y, p = _y(target), F.col(pred).cast("int")
-    base = df.groupBy(*gkeys).agg(
-        F.count_if((y == 1) & (p == 1)).alias("tp"),
-        F.count_if((y == 0) & (p == 0)).alias("tn"),
-        F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"),
-        F.avg(F.pow(F.col(prob) - y, 2)).alias("brier_score"),
-    )
+    hist = stored(outcome_histogram(df, gkeys, target, pred, prob), "histogram")
+    (bounds,) = range_bounds(hist, ["score"], buckets)
+    base = hist.groupBy(*gkeys).agg(*base_sums(0.0))
     m = confusion_metrics(F.col("tp"), F.col("tn"), F.col("fp"), F.col("fn"))
-    base = base.select(*gkeys, *[c.alias(k) for k, c in m.items()], "brier_score")
-    hist = stored(score_histogram(df, gkeys, target, prob), "histogram")
-    areas = curve_areas(hist, gkeys, buckets=buckets).select(*gkeys, "pr_auc", "roc_auc")
-    out = join_keys(join_keys(base, areas, gkeys), ece(hist, gkeys), gkeys)
+    base = base.select(*gkeys, *[c.alias(k) for k, c in m.items()], F.col("_brier").alias("brier_score"))
+    cells = scored_cells(hist, gkeys)
+    areas_of = scored_run(cells, gkeys, bounds).groupBy(*gkeys).agg(*area_sums()).select(*gkeys, *areas())
+    out = join_keys(join_keys(base, areas_of, gkeys), ece(cells, gkeys), gkeys)
     names = ["balanced_accuracy", "mcc", "precision", "recall", "f1", "pr_auc", "roc_auc", "brier_score", "ece"]
     pre = "" if prefix is None else prefix + "_"
     out = out.select(*gkeys, *[F.col(n).alias(pre + n) for n in names])
@@ -254,7 +276,10 @@ def decile_rates(df: DataFrame, target: str, score: str, keys: Sequence[str] = (
     keys = list(keys)
     df, gkeys = with_group_key(df, keys)
     hist = score_histogram(df, gkeys, target, score)
-    edges = stored(edges_from_run(histogram_run(hist, gkeys), gkeys, q), "edges")
+    hist = stored(hist, "histogram")
+    run = running_totals(hist, gkeys, "score", ["n"], totals_prefix="tot_", held=True)
+    qs = quantiles_from_running(run, gkeys, "score", "n", "cum_n", "tot_n", numpy_linspace(q), out="_qs")
+    edges = stored(qs.select(*gkeys, F.array_sort(F.array_distinct("_qs")).alias("edges")), "edges")
     binned = join_keys(hist, edges, gkeys).withColumn("bin", bin_of(F.col("score"), F.col("edges"), q + 1))
     res = (
         binned.where(F.col("bin").isNotNull())
@@ -294,7 +319,11 @@ def decile_summary(rates: DataFrame, keys: Sequence[str]) -> DataFrame:
             asc=False,
         ).alias("_bins")
     )
-    arr = F.col("_bins")
+    return per.select(*keys, *bin_summary(F.col("_bins")))
+
+
+def bin_summary(arr: Column) -> list[Column]:
+    """The columns of :func:`decile_summary` from an array of ``(b, r)``: bin and its target rate, highest bin first."""
     ranked = F.transform(
         arr,
         lambda x: F.struct(
@@ -306,15 +335,39 @@ def decile_summary(rates: DataFrame, keys: Sequence[str]) -> DataFrame:
         ),
     )
     many = F.size(arr) > 4
-    return per.select(
-        *keys,
+    return [
         F.size(arr).cast("long").alias("number_deciles"),
         F.when(many, _array_corr(ranked, lambda e: e["rb"], lambda e: e["rr"])).alias("rank_correlation"),
         F.when(many, _array_corr(arr, lambda e: e["b"], lambda e: e["r"])).alias("target_bin_correlation"),
         F.get(arr, 0)["r"].alias("first_decile_target_rate"),
         F.get(arr, 1)["r"].alias("second_decile_target_rate"),
         F.get(arr, 2)["r"].alias("third_decile_target_rate"),
-    )
+    ]
+
+
+def quantile_cuts(hits: Column, total: Column, probs: Sequence[float]) -> Column:
+    """The distinct quantile edges of a group as a sorted array of ``(edge, n, pos)``, the counts up to the edge, from its
+    collected rank hits with running counts ``n`` and ``pos``: those up to the order statistic at or below the edge."""
+
+    def cut(x: Column) -> Column:
+        below = F.when(x["value"] >= x["high"]["value"], x["high"]).otherwise(x["low"])
+        return F.struct(x["value"].alias("edge"), below["n"].alias("n"), below["pos"].alias("pos"))
+
+    return F.array_sort(F.array_distinct(F.transform(rank_values(probs, total, hits), cut)))
+
+
+def cut_bins(cuts: Column) -> Column:
+    """The non-empty quantile bins as an array of ``(b, r)``, bin and target rate, highest bin first: a bin's rows are
+    those between its edges, so no row needs to be joined with the edges. The lowest edge belongs to the first bin."""
+
+    def bin_at(i: Column) -> Column:
+        top, bottom = F.get(cuts, i + 1), F.get(cuts, i)
+        less = lambda c: top[c] - F.when(i == 0, F.lit(0)).otherwise(bottom[c])
+        return F.struct(i.cast("double").alias("b"), less("n").alias("n"), less("pos").alias("pos"))
+
+    bins = F.filter(F.transform(F.sequence(F.lit(0), F.size(cuts) - 2), bin_at), lambda x: x["n"] > 0)
+    rates = F.transform(bins, lambda x: F.struct(x["b"].alias("b"), (x["pos"] / x["n"]).alias("r")))
+    return F.when(F.size(cuts) >= 2, F.sort_array(rates, asc=False)).otherwise(F.array().cast("array<struct<b:double,r:double>>"))
 
 
 # ---------------------------------------------------------------- E13-E15: grouped report
@@ -385,36 +438,23 @@ def performance_report(
     df, keys = resolve_groups(data, grouping_cols)
     if not keep_null_groups:
         df = df.dropna(subset=keys)
-    y, p, s = _y(target_col), F.col(pred_col).cast("int"), F.col(prob_col).cast("double")
-    base = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_observations"),
-        F.avg(y).alias("target_rate"),
-        F.avg(s).alias("score_average"),
-        F.stddev_pop(s).alias("score_std"),
-        F.count_if((y == 1) & (p == 1)).alias("tp"),
-        F.count_if((y == 0) & (p == 0)).alias("tn"),
-        F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"),
-        F.avg(F.pow(s - y, 2)).alias("_brier"),
-        # two classes present <=> max != min (no distinct-aggregate expansion)
-        (F.max(y) > F.min(y)).cast("int").alias("_two"),
-    )
     # every statistic is computed for all groups at once and small groups are dropped at the end:
     # they are small by definition, and no extra pass over the rows is needed to find them
-    hist = stored(score_histogram(df, keys, target_col, prob_col), "histogram")
-    run = histogram_run(hist, keys, buckets)
-    areas = areas_from_run(run, keys).select(*keys, "pr_auc", "roc_auc")
-    cal = ece(hist, keys)
-    edges = stored(edges_from_run(run, keys), "edges")
-    binned = join_keys(hist, edges, keys).withColumn("bin", bin_of(F.col("score"), F.col("edges")))
-    rates = (
-        binned.where(F.col("bin").isNotNull())
-        .groupBy(*keys, "bin")
-        .agg((F.sum("pos") / F.sum("n")).alias("target_rate"))
-    )
-    dec = decile_summary(rates, keys)
+    hist = stored(outcome_histogram(df, keys, target_col, pred_col, prob_col), "histogram")
+    (bounds,) = range_bounds(hist, ["score"], buckets)
+    base = hist.groupBy(*keys).agg(*base_sums(bounds[len(bounds) // 2] if bounds else 0.0))
     base = base.where(F.col("n_observations") > test_size_minimum_per_group)
-    full = join_keys(join_keys(join_keys(base, areas, keys, "left"), cal, keys, "left"), dec, keys, "left")
+    cells = scored_cells(hist, keys)
+    probs = numpy_linspace(10)
+    hit = rank_hits(probs, F.col("score"), F.col("n"), F.col("cum_n"), F.col("tot_n"))
+    counted = hit.withField("n", F.col("cum_n")).withField("pos", F.col("cum_pos"))
+    curves = scored_run(cells, keys, bounds).groupBy(*keys).agg(
+        *area_sums(), F.first("tot_n").alias("_n"), F.collect_list(counted).alias("_hits")
+    )
+    curves = curves.select(*keys, *areas(), quantile_cuts(F.col("_hits"), F.col("_n"), probs).alias("_cuts"))
+    curves = curves.select(*keys, "roc_auc", "pr_auc", cut_bins(F.col("_cuts")).alias("_bins"))
+    curves = curves.select(*keys, "roc_auc", "pr_auc", *bin_summary(F.col("_bins")))
+    full = join_keys(join_keys(base, curves, keys, "left"), ece(cells, keys), keys, "left")
     n = F.col("n_observations")
     two = F.col("_two") == 1
     m = confusion_metrics(F.col("tp"), F.col("tn"), F.col("fp"), F.col("fn"))

@@ -67,6 +67,36 @@ def test_concordance_brute_force_with_ties(spark, buckets):
         assert got[k]["c_index"] == pytest.approx(_brute_concordance(sub.t.values, sub.e.values, sub.p.values))
 
 
+def test_dominance_counts():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 40, 333):
+        slot, value = rng.integers(0, max(1, n // 2), n), rng.integers(0, 9, n)
+        deaths, weight = rng.integers(0, 3, n), rng.integers(1, 4, n)
+        pairs = [(i, j) for i in range(n) for j in range(n) if slot[i] < slot[j]]
+        less = sum(int(deaths[i] * weight[j]) for i, j in pairs if value[i] < value[j])
+        equal = sum(int(deaths[i] * weight[j]) for i, j in pairs if value[i] == value[j])
+        assert S.dominance(slot, value, deaths, weight) == (less, equal)
+    big = np.array([1 << 40, 1 << 40])
+    assert S.dominance(np.array([0, 1]), np.array([0, 1]), big, big) == (1 << 80, 0)
+
+
+@pytest.mark.parametrize("strip_rows", [3, 20, 1000])
+def test_concordance_strips(spark, strip_rows):
+    """Groups cut into many strips, few, and none; a third of the subjects at one time, another third with one prediction."""
+    rng = np.random.default_rng(8)
+    n = 260
+    pdf = pd.DataFrame({"g": rng.integers(0, 3, n), "t": rng.integers(0, 50, n), "e": rng.integers(0, 2, n), "p": rng.random(n).round(2)})
+    pdf.loc[pdf.index % 3 == 0, "t"] = 17
+    pdf.loc[pdf.index % 3 == 1, "p"] = 0.5
+    pdf["g"] = pdf["g"].astype("Int64").mask(pdf["g"] == 2)  # a NULL group counts as a group
+    df = spark.createDataFrame([(None if pd.isna(r.g) else int(r.g), int(r.t), int(r.e), float(r.p)) for r in pdf.itertuples()], "g int, t int, e int, p double")
+    got = {r["g"]: r for r in S.concordance(df, "t", "e", "p", ["g"], strip_rows=strip_rows).collect()}
+    assert set(got) == {0, 1, None}
+    for k, r in got.items():
+        sub = pdf[pdf.g.isna()] if k is None else pdf[pdf.g == k]
+        assert r["c_index"] == pytest.approx(_brute_concordance(sub.t.values, sub.e.values, sub.p.values), rel=1e-12)
+
+
 def _brute_km_median(t, e):
     times = np.unique(t)
     s = 1.0
