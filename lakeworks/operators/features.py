@@ -8,13 +8,13 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeworks.functions.types import quote
-from lakeworks.operators.common import safe_corr
 from lakeworks.operators.splits import group_kfold, stratified_id_sample
 from lakeworks.session import stored
 
@@ -112,23 +112,63 @@ def binary_profile(df: DataFrame, columns: Sequence[str], min_count_binary: int
     return stacked.withColumn("rare", F.col("is_binary") & (F.col("n_ones") < min_count_binary))
 
 
+#: columns whose pair sums one scan holds; wider frames take a scan per pair of blocks, of these columns only
+CORRELATION_BLOCK = 512
+
+
+def _pair_sums(df: DataFrame, cols: list[str], left: range, right: range) -> DataFrame:
+    """``i, j, n, sx, sy, sxy, sxx, syy`` per pair ``i < j`` of columns ``left x right``, over the rows that have both; a
+    task passes on one row per pair. Values count from the mean of some first rows, so that the sums lose nothing."""
+    import numpy as np
+    import pyarrow as pa
+
+    at = sorted({*left, *right})
+    values = df.select(*[F.col(quote(cols[i])).cast("double").alias(f"c{i}") for i in at])
+    few = np.array([[np.nan if x is None or not np.isfinite(x) else x for x in r] for r in values.limit(100).collect()]).reshape(-1, len(at))
+    known = ~np.isnan(few)
+    shift = np.where(known, few, 0.0).sum(axis=0) / np.maximum(1, known.sum(axis=0))
+    a, b = [at.index(i) for i in left], [at.index(j) for j in right]
+
+    def run(batches):
+        sums = None
+        for batch in batches:
+            v = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1)
+            has = ~np.isnan(v)
+            x, m = np.where(has, v - shift, 0.0), has.astype(float)
+            xa, xb, ma, mb = x[:, a], x[:, b], m[:, a], m[:, b]
+            more = np.stack([ma.T @ mb, xa.T @ mb, ma.T @ xb, xa.T @ xb, (xa * xa).T @ mb, ma.T @ (xb * xb)])
+            sums = more if sums is None else sums + more
+        if sums is not None:
+            i, j = np.meshgrid(np.array(left), np.array(right), indexing="ij")
+            pairs = i < j
+            arrays = [pa.array(i[pairs], pa.int32()), pa.array(j[pairs], pa.int32()), *(pa.array(s[pairs]) for s in sums)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["i", "j", "n", "sx", "sy", "sxy", "sxx", "syy"])
+
+    return values.mapInArrow(run, "i int, j int, n double, sx double, sy double, sxy double, sxx double, syy double")
+
+
 def correlation_pairs(df: DataFrame, columns: Sequence[str], threshold: float = 0.8) -> DataFrame:
-    """F8: Pearson correlation of every numeric pair (pairwise-complete rows, NaN counts as missing; NULL without any);
-    ``correlated`` marks abs(corr) above ``threshold``."""
+    """F8: Pearson correlation of every numeric pair (pairwise-complete rows, NaN counts as missing; NULL without any, or
+    for a constant side); ``correlated`` marks abs(corr) above ``threshold``.
+
+    Cross products of whole Arrow batches: no row is multiplied, each task shuffles six sums per pair."""
     cols = list(columns)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
+    spark = df.sparkSession
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
     if not pairs:
-        return df.sparkSession.createDataFrame([], "feature_a string, feature_b string, corr double, correlated boolean")
-    # a row yields its column pairs and they meet in one aggregate: the plan is as small for 100 columns as
-    # for 3, and the partial sums (one per pair) are combined on the map side
-    values = F.array(*[F.col(quote(c)).cast("double") for c in cols])
-    one = df.select(values.alias("v")).select("v", F.posexplode("v").alias("i", "x")).where("x is not null and not isnan(x)")
-    both = one.select("i", "x", F.posexplode("v").alias("j", "y")).where("j > i and y is not null and not isnan(y)")
-    stats = both.groupBy("i", "j").agg(safe_corr(F.col("x"), F.col("y")).alias("corr"))
-    names = F.array(*[F.lit(c) for c in cols])
-    known = stats.select(F.get(names, F.col("i")).alias("feature_a"), F.get(names, F.col("j")).alias("feature_b"), "corr")
-    every = df.sparkSession.createDataFrame(pairs, "feature_a string, feature_b string")
-    stacked = every.join(known, ["feature_a", "feature_b"], "left")
+        return spark.createDataFrame([], "feature_a string, feature_b string, corr double, correlated boolean")
+    blocks = [range(k, min(k + CORRELATION_BLOCK, len(cols))) for k in range(0, len(cols), CORRELATION_BLOCK)]
+    parts = [_pair_sums(df, cols, x, y) for k, x in enumerate(blocks) for y in blocks[k:]]
+    sums = reduce(DataFrame.unionByName, parts)
+    total = sums.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxy", "sxx", "syy")])
+    n = F.col("n")
+    spread = lambda s, ss: F.col(ss) - F.try_divide(F.col(s) * F.col(s), n)
+    vx, vy = spread("sx", "sxx"), spread("sy", "syy")
+    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), n)
+    varies = (vx > 1e-13 * F.col("sxx")) & (vy > 1e-13 * F.col("syy"))
+    known = total.select("i", "j", F.when(varies, F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy))).alias("corr"))
+    every = spark.createDataFrame([(i, j, cols[i], cols[j]) for i, j in pairs], "i int, j int, feature_a string, feature_b string")
+    stacked = every.join(known, ["i", "j"], "left").select("feature_a", "feature_b", "corr")
     return stacked.withColumn("correlated", F.abs(F.col("corr")) > threshold)
 
 

@@ -1,11 +1,12 @@
 """Joins Spark SQL has no keyword for: as-of (latest earlier row) and time-range joins.
 
-Both are bucketed so that a hot key (one user with a third of all events) is split by time
-instead of landing in one task:
+Both are cut by time so that a hot key (one user with a third of all events) does not land in one
+task:
 
-* ``asof_join`` unions both sides, carries the latest right row forward inside
-  (key, time bucket) with ``last(..., ignorenulls)``, and fills rows whose bucket has no earlier
-  right row from a small per-(key, bucket) table of each bucket's last right row.
+* ``asof_join`` unions both sides, carries the latest right row forward inside (key, range of time)
+  with ``last(..., ignorenulls)``, and fills rows whose range has no earlier right row from a small
+  table of each range's last right row. The ranges are quantiles of the times, so they hold about
+  as many rows each, however the times lie.
 * ``range_join`` equi-joins on (key, time bucket) with the probe side replicated to the few
   buckets its window can touch, then refines with the exact range predicate.
 """
@@ -17,7 +18,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeworks.operators.common import epoch_micros, join_keys
+from lakeworks.operators.common import epoch_micros, range_bounds, with_range
 
 
 def _epoch_seconds(col: str):
@@ -32,60 +33,51 @@ def asof_join(
     right_on: str,
     right_cols: Sequence[str],
     *,
-    bucket_seconds: int = 86400,
+    buckets: int | None = None,
     prefix: str = "",
 ) -> DataFrame:
     """For each left row, attach ``right_cols`` of the latest right row with the same ``by`` keys
-    and ``right_on <= left_on`` (NULLs when there is none). Left rows are kept whole."""
+    and ``right_on <= left_on`` (NULLs when there is none; a NULL key or time matches nothing). Left rows are kept
+    whole. Time is cut into ``buckets`` ranges of about equal numbers of rows, so a key whose events all fall on one day
+    is spread as any other."""
     by = list(by)
     right_cols = list(right_cols)
-    payload = F.struct(F.col(right_on).alias("_ts"), *[F.col(c) for c in right_cols])
+    # a NULL key matches nothing: without the right rows that have one, the left ones find none
+    right = right.dropna(subset=[*by, right_on])
     lcols = left.columns
     l_tagged = left.select(
-        *[F.col(c) for c in lcols],
+        *by,
+        F.struct(*[F.col(c) for c in lcols]).alias("_lw_left"),
         F.col(left_on).alias("_lw_t"),
         F.lit(1).alias("_lw_side"),
-        F.lit(None).cast(payload_type(right, right_on, right_cols)).alias("_lw_pay"),
-    )
-    r_tagged = right.select(
-        *[F.col(k) for k in by],
-        F.col(right_on).alias("_lw_t"),
-        F.lit(0).alias("_lw_side"),
-        payload.alias("_lw_pay"),
     )
+    payload = F.struct(F.col(right_on).alias("_ts"), *[F.col(c) for c in right_cols])
+    r_tagged = right.select(*by, F.col(right_on).alias("_lw_t"), F.lit(0).alias("_lw_side"), payload.alias("_lw_pay"))
     both = l_tagged.unionByName(r_tagged, allowMissingColumns=True)
-    both = both.withColumn("_lw_b", F.floor(_epoch_seconds("_lw_t") / bucket_seconds).cast("long"))
+    (bounds,) = range_bounds(both.select("_lw_t"), ["_lw_t"], buckets)
+    ranged = with_range(both, "_lw_t", bounds, "_lw_range")
+    dealt = ranged.withColumn("_lw_place", F.struct(*by, "_lw_range")).repartition("_lw_place")
     # right rows sort before left rows at the same instant, so equal times match
-    w = (
-        Window.partitionBy(*by, "_lw_b")
-        .orderBy(F.col("_lw_t"), F.col("_lw_side"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = (
+        Window.partitionBy("_lw_place").orderBy("_lw_t", "_lw_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = both.withColumn("_lw_local", F.last("_lw_pay", ignorenulls=True).over(w))
-    # last right row of each (key, bucket); a left bucket takes the latest one strictly before
-    # it from a window over bucket markers - rows per key = non-empty buckets, not events
-    per_bucket = r_tagged.withColumn("_lw_b", F.floor(_epoch_seconds("_lw_t") / bucket_seconds).cast("long"))
-    per_bucket = per_bucket.groupBy(*by, "_lw_b").agg(F.max_by("_lw_pay", "_lw_t").alias("_lw_last"))
-    lefts = local.where(F.col("_lw_side") == 1)
-    markers = lefts.select(*by, "_lw_b").distinct().withColumn("_lw_last", F.lit(None).cast(per_bucket.schema["_lw_last"].dataType))
-    marks = markers.withColumn("_lw_mark", F.lit(0)).unionByName(per_bucket.withColumn("_lw_mark", F.lit(1)))
-    wb = Window.partitionBy(*by).orderBy("_lw_b", "_lw_mark").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prior = marks.select(*by, "_lw_b", "_lw_mark", F.last("_lw_last", ignorenulls=True).over(wb).alias("_lw_prior"))
-    prior = prior.where(F.col("_lw_mark") == 0).drop("_lw_mark")
-    filled = join_keys(lefts, prior, [*by, "_lw_b"], "left")
-    match = F.coalesce(F.col("_lw_local"), F.col("_lw_prior"))
+    local = dealt.withColumn("_lw_local", F.last("_lw_pay", ignorenulls=True).over(inside)).where("_lw_side = 1")
+    # the last right row of each range goes on to the ranges behind it: rows per key = its ranges, not its events
+    ends = dealt.groupBy("_lw_place").agg(F.max_by("_lw_pay", F.when(F.col("_lw_side") == 0, F.col("_lw_t"))).alias("_lw_last"))
+    before = (
+        Window.partitionBy(*[F.col("_lw_place")[k] for k in by])
+        .orderBy(F.col("_lw_place")["_lw_range"])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    prior = ends.select(F.col("_lw_place").alias("_lw_at"), F.last("_lw_last", ignorenulls=True).over(before).alias("_lw_prior"))
+    filled = local.join(prior, F.col("_lw_place") == F.col("_lw_at"))
+    match = F.when(F.col("_lw_t").isNotNull(), F.coalesce("_lw_local", "_lw_prior"))
     return filled.select(
-        *[F.col(c) for c in lcols],
+        *[F.col("_lw_left")[c].alias(c) for c in lcols],
         *[match[c].alias(prefix + c) for c in right_cols],
     )
 
 
-def payload_type(right: DataFrame, right_on: str, right_cols: Sequence[str]) -> str:
-    fields = {f.name: f.dataType.simpleString() for f in right.schema.fields}
-    inner = ",".join([f"_ts:{fields[right_on]}"] + [f"{c}:{fields[c]}" for c in right_cols])
-    return f"struct<{inner}>"
-
-
 def range_join(
     probe: DataFrame,
     build: DataFrame,
@@ -146,7 +138,8 @@ def range_aggregate(
         *by, F.struct(*rest).alias("_lw_probe"), at(probe_on).alias("_lw_t"), F.floor(at(probe_on) / span).alias("_lw_b"),
         *[none.alias(f"_lw_p_{k}") for k in payload],
     )
-    b = build.select(*by, at(build_on).alias("_lw_t"), *[v.alias(f"_lw_p_{k}") for k, v in payload.items()])
+    # a NULL key matches nothing: probe rows that have one see no build rows
+    b = build.dropna(subset=[*by, build_on]).select(*by, at(build_on).alias("_lw_t"), *[v.alias(f"_lw_p_{k}") for k, v in payload.items()])
     own = F.floor(F.col("_lw_t") / span)
     b = b.withColumn("_lw_b", F.explode(F.array(own, own + 1)))
     both = b.unionByName(p, allowMissingColumns=True)

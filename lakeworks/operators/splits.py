@@ -1,6 +1,6 @@
 """Splits and samples: time split, stratified id sampling, (stratified) group k-fold.
 
-Ids are ranked by a seeded ``xxhash64`` inside their stratum with bucketed running totals, so a
+Ids are ranked by a seeded hash inside their stratum with running totals over ranges of the hash, so a
 stratum holding a third of all ids is still ranked across many tasks. Rows follow their id
 through a semi join or a key join on the small per-id table; nothing is collected.
 """
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeworks.operators.common import (
@@ -19,6 +19,7 @@ from lakeworks.operators.common import (
     running_totals,
     with_group_key,
 )
+from lakeworks.session import stored
 
 
 def time_split_labels(
@@ -60,12 +61,16 @@ def time_split(
     return train, test
 
 
+def id_hash(id_cols: Sequence[str], seed: int) -> Column:
+    """60 bits of the MD5 of ``id|..|seed`` (a NULL as ``null``): an order of ids that any engine can compute again."""
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in id_cols], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def _hash_rank(ids: DataFrame, id_cols: Sequence[str], strata: Sequence[str], seed: int) -> DataFrame:
     """Rank ids inside each stratum by a seeded hash (1-based ``_lw_rank``), plus ``_lw_size``."""
     strata = list(strata)
-    tagged = ids.withColumn("_lw_h", F.xxhash64(*[F.col(c) for c in id_cols], F.lit(seed))).withColumn(
-        "_lw_one", F.lit(1).cast("long")
-    )
+    tagged = ids.withColumn("_lw_h", id_hash(id_cols, seed)).withColumn("_lw_one", F.lit(1).cast("long"))
     run = running_totals(tagged, strata, "_lw_h", ["_lw_one"], totals_prefix="tot_")
     return run.withColumnsRenamed({"cum__lw_one": "_lw_rank", "tot__lw_one": "_lw_size"}).drop("_lw_h", "_lw_one")
 
@@ -96,27 +101,28 @@ def stratified_id_sample(
         first = data.groupBy(id_col).agg(F.min(strat).alias("_lw_stratum"))
     ranked = _hash_rank(first, [id_col], ["_lw_stratum"], seed)
     keep = ranked.where(F.col("_lw_rank") <= F.round(F.col("_lw_size") * F.lit(share))).select(id_col)
-    return data.join(keep, id_col, "left_semi")
+    return join_keys(data, keep, [id_col], "left_semi")  # rows with a NULL id are those of one id
 
 
 def group_kfold(
     data: DataFrame, id_col: str, k: int = 3, seed: int = 42, strata_col: str | None = None, out: str = "fold"
 ) -> DataFrame:
-    """every row with a fold in ``0..k-1``; all rows of an id share a fold.
+    """every row with a fold in ``0..k-1``; all rows of an id share a fold, those of a NULL id too.
 
-    Ids are grouped by size (rows per id) - and by class with ``strata_col`` (the id's most
-    frequent value, ties to the smaller) - and dealt round-robin in hash order inside each
-    group, offset by the size, so folds get equal shares of every size (and class).
+    Ids are put in the order of what they hold, their rows of each class with ``strata_col`` (else their number of rows),
+    and by a seeded hash among equals; then they are dealt back and forth, ``0..k-1, k-1..0, ..``. Neighbours in the
+    order are alike, so every fold gets about the same rows of each class, whatever mix of classes the ids have. The
+    order is not one sort: ids are ranked among equals, behind the number of ids of smaller kinds.
     """
-    per_id = data.groupBy(id_col).agg(F.count(F.lit(1)).alias("_lw_size"))
-    strata = ["_lw_size"]
-    if strata_col is not None:
-        cls = data.groupBy(id_col, strata_col).agg(F.count(F.lit(1)).alias("_lw_c"))
-        cls = cls.groupBy(id_col).agg(
-            F.min_by(F.col(strata_col), F.struct(-F.col("_lw_c"), F.col(strata_col))).alias("_lw_class")
-        )
-        per_id = join_keys(per_id, cls, [id_col])
-        strata = ["_lw_class", "_lw_size"]
-    ranked = _hash_rank(per_id.withColumnRenamed("_lw_size", "_lw_sz"), [id_col], [*(["_lw_class"] if strata_col else []), "_lw_sz"], seed)
-    folds = ranked.select(id_col, F.pmod(F.col("_lw_rank") + F.col("_lw_sz"), F.lit(k)).cast("int").alias(out))
-    return join_keys(data, folds, [id_col])  # a NULL id is an id of its own: its rows share a fold
+    kind = F.coalesce(F.col(strata_col).cast("string"), F.lit("null")) if strata_col is not None else F.lit("")
+    per_class = data.groupBy(F.col(id_col), kind.alias("_lw_c")).agg(F.count(F.lit(1)).alias("_lw_n"))
+    held = F.concat(F.col("_lw_c"), F.lit(":"), F.lpad(F.col("_lw_n").cast("string"), 12, "0"))
+    ids = per_class.groupBy(id_col).agg(F.array_join(F.sort_array(F.collect_list(held)), "|").alias("_lw_held"))
+    ids = stored(ids, "fold-ids")
+    kinds = ids.groupBy("_lw_held").agg(F.count(F.lit(1)).alias("_lw_ids"))
+    behind = running_totals(kinds, [], "_lw_held", ["_lw_ids"])
+    behind = behind.select("_lw_held", (F.col("cum__lw_ids") - F.col("_lw_ids")).alias("_lw_before"))
+    ranked = join_keys(_hash_rank(ids, [id_col], ["_lw_held"], seed), behind, ["_lw_held"])
+    place = F.pmod(F.col("_lw_before") + F.col("_lw_rank") - 1, F.lit(2 * k))
+    fold = F.when(place < k, place).otherwise(2 * k - 1 - place).cast("int")
+    return join_keys(data, ranked.select(id_col, fold.alias(out)), [id_col])

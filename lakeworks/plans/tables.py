@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from lakeworks.functions import types as TY
 from lakeworks.functions.sqltext import resolve_query, returns_rows, split_statements, spark_dialect
-from lakeworks.session import stored
+from lakeworks.operators.common import join_keys, running_totals
+from lakeworks.session import scratch_path, stored
 from lakeworks.sources.files import first_parquet_schema, has_files, list_partition_paths, normalize_path
 
 log = logging.getLogger(__name__)
@@ -73,15 +74,35 @@ def _text(value: str) -> str:
 _OWN_PROPERTIES = ("transient_lastDdlTime", "numFiles", "totalSize", "spark.sql.")
 
 
+def _described(spark: SparkSession, table: str) -> dict[str, str]:
+    """The table's own part of its description (not the columns, which may have any name)."""
+    rows = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
+    begin = next((i for i, (name, _) in enumerate(rows) if name.startswith("# Detailed")), len(rows))
+    return dict(rows[begin + 1 :])
+
+
+def _names(listed: str | None) -> list[str]:
+    """``[`a`, `b`]`` as names."""
+    return [n.strip().strip("`") for n in (listed or "").strip("[]").split(",") if n.strip()]
+
+
 def table_layout(spark: SparkSession, table: str) -> dict:
-    """What a replacing write must carry over: provider, partition columns, comment and properties."""
-    provider = "parquet"
-    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Provider").collect():
-        provider = r["data_type"].lower()
-    partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    """What a replacing write must carry over: provider, partition columns, buckets, comments and properties; and where
+    an external table lies."""
+    known = _described(spark, table)
+    columns = spark.catalog.listColumns(table)
     own = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     properties = {k: v for k, v in own.items() if not k.startswith(_OWN_PROPERTIES) and k != "comment"}
-    return {"provider": provider, "partition_by": partition_by, "comment": table_comment(spark, table), "properties": properties}
+    buckets = int(known.get("Num Buckets") or 0)
+    return {
+        "provider": known.get("Provider", "parquet").lower(),
+        "partition_by": [c.name for c in columns if c.isPartition],
+        "comment": table_comment(spark, table),
+        "properties": properties,
+        "column_comments": {c.name: c.description for c in columns if c.description},
+        "buckets": (buckets, _names(known.get("Bucket Columns")), _names(known.get("Sort Columns"))) if buckets > 0 else None,
+        "location": known.get("Location") if known.get("Type") == "EXTERNAL" else None,
+    }
 
 
 def _follow_rename(spark: SparkSession, table: str) -> None:
@@ -123,16 +144,23 @@ def swap_in(spark: SparkSession, staging: str, table: str) -> None:
 
 
 def replace_table(df: DataFrame, table: str, tag: str = "stage", **layout) -> None:
-    """Write ``df`` to a staging table and swap it in for ``table``, which keeps its provider, partitioning,
-    comment and properties unless ``layout`` says otherwise. A failed write leaves no staging table."""
+    """Write ``df`` to a staging table and swap it in for ``table``, which keeps its provider, partitioning, buckets,
+    comments and properties unless ``layout`` says otherwise. A failed write leaves no staging table. An external table
+    stays where it is: see :func:`overwrite_external`."""
     spark = df.sparkSession
     kept = table_layout(spark, table) if table_exists(spark, table) else {}
+    if kept.get("location"):
+        overwrite_external(df, table)
+        return
     kept = {**kept, **{k: v for k, v in layout.items() if v is not None}}
     have = {c.lower() for c in df.columns}
     partition_by = [c for c in kept.get("partition_by") or [] if c.lower() in have]
+    said = {k.lower(): v for k, v in (kept.get("column_comments") or {}).items()}
+    if said:
+        df = df.select(*[F.col(TY.quote(c)).alias(c, metadata=_with_comment(df, c, said.get(c.lower()))) for c in df.columns])
     staging = _sibling(table, tag)
     try:
-        _write_new(df, staging, partition_by=partition_by, provider=kept.get("provider") or "parquet")
+        _write_new(df, staging, partition_by=partition_by, provider=kept.get("provider") or "parquet", buckets=kept.get("buckets"))
         if kept.get("comment"):
             set_comment(spark, staging, kept["comment"])
         if kept.get("properties"):
@@ -144,6 +172,29 @@ def replace_table(df: DataFrame, table: str, tag: str = "stage", **layout) -> No
         raise
 
 
+def _with_comment(df: DataFrame, column: str, comment: str | None) -> dict:
+    return {**df.schema[column].metadata, **({"comment": comment} if comment else {})}
+
+
+def overwrite_external(df: DataFrame, table: str) -> None:
+    """Replace the rows of an external table in its place: it stays external, its location and files' owner stay theirs.
+
+    The new rows are written in whole to the work folder first, so a query that reads the table itself, or fails, does no
+    harm; then they are copied in. Should that copy fail, the error names the folder that holds all rows. The columns must
+    be those of the table, and values that do not fit raise."""
+    spark = df.sparkSession
+    schema = spark.table(table).schema
+    if {c.lower() for c in df.columns} != {f.name.lower() for f in schema.fields}:
+        raise ValueError(f"{table} is external: its files are shared, so its columns cannot be changed by an overwrite")
+    path = scratch_path(spark, "external")
+    TY.align_to(df, schema, strict=True).write.parquet(path)
+    rows = spark.read.schema(schema).parquet(path)
+    try:
+        rows.write.mode("overwrite").insertInto(table)
+    except Exception as failure:
+        raise RuntimeError(f"{table} could not be overwritten; its new rows are all in {path}") from failure
+
+
 # ------------------------------------------------------------------------------ B2
 
 
@@ -199,10 +250,13 @@ def save_table(
     return spark.table(name)
 
 
-def _write_new(df: DataFrame, name: str, partition_by=None, provider: str = "parquet") -> None:
+def _write_new(df: DataFrame, name: str, partition_by=None, provider: str = "parquet", buckets=None) -> None:
     w = df.write.format(provider).mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if buckets and {c.lower() for c in [*buckets[1], *buckets[2]]} <= {c.lower() for c in df.columns}:
+        w = w.bucketBy(buckets[0], *buckets[1])
+        w = w.sortBy(*buckets[2]) if buckets[2] else w
     w.saveAsTable(name)
 
 
@@ -423,8 +477,6 @@ def with_identity(
         log.warning("identity column %s already exists; skipped", name)
         return df
     if order_by is not None:
-        from lakeworks.operators.common import running_totals
-
         run = running_totals(df.withColumn("_lw_one", F.lit(1).cast("long")), [], order_by, ["_lw_one"])
         ided = run.withColumn(name, (F.col("cum__lw_one") + F.lit(start)).cast("long")).drop("_lw_one", "cum__lw_one")
     else:
@@ -519,16 +571,18 @@ def load_files_to_table(
             cols = [(c, t) for c, t in cols if c in df.columns]
         else:
             raise ValueError("a non-Parquet load cannot create the table without declared types")
-        if exists:
-            into = _sibling(table, "load")
+        into = _sibling(table, "load")  # a new table too is built aside: a failed load leaves none
         create_table_like(spark, into, cols, identity)
+    # a value that does not fit raises, but for declared loads, whose types say what to make of it
+    strict = not column_types
     try:
         target = spark.table(into).schema
         if identity:
             fresh = truncate_before_load or into != table
             start = 0 if fresh else next_identity_start(spark, table, identity)
-            df = with_identity(TY.align_to(df, target, exclude=[identity]), identity, order_by=identity_order_by, start=start)
-        rows = TY.align_to(df, target)
+            aligned = TY.align_to(df, target, exclude=[identity], strict=strict)
+            df = with_identity(aligned, identity, order_by=identity_order_by, start=start)
+        rows = TY.align_to(df, target, strict=strict)
         if truncate_before_load and into == table and exists:
             replace_table(rows, table, tag="load")
         else:
@@ -565,8 +619,8 @@ def create_table_from_frame(
         target = spark.table(table).schema
         if identity:
             start = next_identity_start(spark, table, identity)
-            out = with_identity(TY.align_to(out, target, exclude=[identity]), identity, start=start)
-        TY.align_to(out, target).write.mode("append").insertInto(table)
+            out = with_identity(TY.align_to(out, target, exclude=[identity], strict=not column_types), identity, start=start)
+        TY.align_to(out, target, strict=not column_types).write.mode("append").insertInto(table)
         return spark.table(table)
     if identity:
         out = with_identity(out, identity)
@@ -712,8 +766,9 @@ def upsert(target_df: DataFrame, source: DataFrame, keys: Sequence[str]) -> Data
 
 
 def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """MERGE-like upsert into a Parquet table via the staged swap, which keeps the table's layout. Like
-    MERGE it refuses a source that holds a key twice."""
+    """MERGE-like upsert into a Parquet table. A partitioned table has its touched partitions replaced, and the files of
+    the others are not read or written; another one is rewritten via the staged swap, which keeps its layout. Like MERGE
+    it refuses a source that holds a key twice; a NULL key matches no row."""
     source = stored(source, "upsert-source")  # evaluated once, though it is read for its keys and its rows
     twice = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lw_n")).where("_lw_n > 1")
     if not twice.isEmpty():
@@ -721,8 +776,47 @@ def upsert_table(spark: SparkSession, table: str, source: DataFrame, keys: Seque
     if not table_exists(spark, table):
         return save_table(source, table)
     target = spark.table(table)
-    merged = upsert(target, TY.align_to(source, target.schema, strict=True), keys)
-    return save_table(merged, table, mode="overwrite")
+    source = TY.align_to(source, target.schema, strict=True)
+    parts = table_layout(spark, table)["partition_by"]
+    if parts:
+        return _upsert_partitions(spark, table, target, source, list(keys), parts)
+    return save_table(upsert(target, source, keys), table, mode="overwrite")
+
+
+def touched_partitions(target: DataFrame, source: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """The partitions that an upsert changes: those of the source's rows, and those that hold a key of the source now (none
+    other where the partition columns belong to the key)."""
+    mine = source.select(*parts)
+    if not {p.lower() for p in parts} <= {k.lower() for k in keys}:
+        mine = mine.unionByName(target.select(*{k: None for k in [*keys, *parts]}).join(source.select(*keys), list(keys), "left_semi").select(*parts))
+    return mine.distinct()
+
+
+def _upsert_partitions(
+    spark: SparkSession, table: str, target: DataFrame, source: DataFrame, keys: list[str], parts: list[str]
+) -> DataFrame:
+    """Rewrite the touched partitions only. Their new rows are stored first; then they replace these partitions' files in
+    one commit (dynamic partition overwrite), and partitions left without rows go."""
+    touched = stored(touched_partitions(target, source, keys, parts), "upsert-partitions")
+    # the first partition column prunes the scan (its values are catalog metadata); the join decides
+    values = [r[0] for r in touched.select(parts[0]).distinct().collect()]
+    lead = F.col(TY.quote(parts[0]))
+    near = lead.isin([v for v in values if v is not None])
+    near = near | lead.isNull() if None in values else near
+    old = join_keys(target.where(near), touched, parts, "left_semi")
+    path = scratch_path(spark, "upsert")
+    upsert(old, source, keys).select(*target.columns).write.parquet(path)
+    merged = spark.read.schema(target.schema).parquet(path)
+    # the mode is a setting of the session, which other writes must not see: a session of its own
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.read.schema(target.schema).parquet(path).write.mode("overwrite").insertInto(table)
+    left = merged.select(*parts).distinct()
+    for row in join_keys(touched, left, parts, "left_anti").collect():  # at most the touched partitions
+        spec = ", ".join(f"{TY.quote(p)} = " + ("NULL" if row[p] is None else f"'{_text(row[p])}'") for p in parts)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
 
 
 # ------------------------------------------------------------------------------ B17, B18

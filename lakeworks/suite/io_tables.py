@@ -640,3 +640,34 @@ def q_upsert_table(spark: SparkSession, d: str) -> DataFrame:
     TB.save_table(o.where(F.col("o_orderstatus").isin("F", "O")), t)
     src = o.where(F.col("o_orderstatus").isin("O", "P")).withColumn("o_totalprice", F.col("o_totalprice") * 2)
     return round6(TB.upsert_table(spark, t, src, ["o_orderkey"]))
+
+
+@register(
+    "upsert_partitions",
+    """SELECT o_orderkey, round(o_totalprice * 2, 6) AS o_totalprice, CASE WHEN o_orderstatus = 'P' THEN 'O' ELSE o_orderstatus END AS o_orderstatus
+       FROM orders WHERE o_orderstatus IN ('O', 'P')
+       UNION ALL SELECT o_orderkey, round(o_totalprice, 6), o_orderstatus FROM orders WHERE o_orderstatus = 'F'""",
+)
+def q_upsert_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """Upsert into a partitioned table: one partition gets new rows, one loses all of its rows to it, one is not touched."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    t = scratch_table(spark, "upsp")
+    TB.save_table(o, t, partition_by=["o_orderstatus"])
+    src = o.where(F.col("o_orderstatus").isin("O", "P")).select(
+        "o_orderkey", (F.col("o_totalprice") * 2).alias("o_totalprice"), F.replace("o_orderstatus", F.lit("P"), F.lit("O")).alias("o_orderstatus")
+    )
+    return round6(TB.upsert_table(spark, t, src, ["o_orderkey"]))
+
+
+@register(
+    "overwrite_external",
+    "SELECT o_orderkey, round(o_totalprice / 2, 6) AS o_totalprice FROM orders WHERE o_orderstatus <> 'F'",
+)
+def q_overwrite_external(spark: SparkSession, d: str) -> DataFrame:
+    """An external table overwritten from itself: it stays external and where it is."""
+    path = TB.save_files(table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus"), scratch_path(spark, "ext"))
+    t = scratch_table(spark, "extow")
+    TB.external_table(spark, t, path)
+    half = spark.table(t).where("o_orderstatus <> 'F'").withColumn("o_totalprice", F.col("o_totalprice") / 2)
+    TB.save_table(half, t)
+    return round6(spark.read.parquet(path).select("o_orderkey", "o_totalprice"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeworks.operators import features as FE
@@ -114,17 +114,17 @@ def _vec(col: str):
     return vector_to_array(F.col(col)).alias(col)
 
 
+_CONST = ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "currency"]
+
+
 @register(
     "constant_features",
-    """SELECT 'o_orderkey' AS feature, count(DISTINCT o_orderkey) = 1 AS is_constant FROM orders WHERE o_orderstatus = 'F'
-       UNION ALL SELECT 'o_orderstatus', count(DISTINCT o_orderstatus) = 1 FROM orders WHERE o_orderstatus = 'F'
-       UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority) = 1 FROM orders WHERE o_orderstatus = 'F'
-       UNION ALL SELECT 'o_totalprice', count(DISTINCT o_totalprice) = 1 FROM orders WHERE o_orderstatus = 'F'""",
+    "WITH o AS (SELECT *, 'EUR' AS currency FROM orders) "
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, count(DISTINCT {c}) = 1 AS is_constant FROM o" for c in _CONST),
 )
 def q_constant_features(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").where(F.col("o_orderstatus") == "F")
-    cols = ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice"]
-    return FE.distinct_counts(o, cols).select("feature", "is_constant")
+    o = table(spark, d, "orders").withColumn("currency", F.lit("EUR"))
+    return FE.distinct_counts(o, _CONST).select("feature", "is_constant")
 
 
 @register(
@@ -159,53 +159,64 @@ def q_correlated_pairs(spark: SparkSession, d: str) -> DataFrame:
     return round6(FE.correlation_pairs(table(spark, d, "lineitem"), _NUM, 0.8))
 
 
+_ID_HASH = "('0x' || substr(md5({id} || '|{seed}'), 1, 15))::BIGINT"
+
+
 @register(
     "stratified_id_sample",
-    """WITH i AS (SELECT l_orderkey, arg_min(CAST(l_returnflag = 'R' AS INTEGER),
-  l_linenumber * 10000000000 + l_partkey * 10000 + l_suppkey) AS stratum FROM lineitem GROUP BY 1)
-SELECT stratum, count(*) AS n_ids, CAST(round(count(*) * 0.2) AS BIGINT) AS n_sampled, TRUE AS whole_ids FROM i GROUP BY 1""",
+    f"""WITH i AS (SELECT l_orderkey, arg_min(CAST(l_returnflag = 'R' AS INTEGER),
+  l_linenumber * 10000000000 + l_partkey * 10000 + l_suppkey) AS stratum FROM lineitem GROUP BY 1),
+r AS (SELECT l_orderkey, row_number() OVER (PARTITION BY stratum ORDER BY {_ID_HASH.format(id="l_orderkey", seed=7)}) AS k,
+  count(*) OVER (PARTITION BY stratum) AS n FROM i)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag FROM lineitem JOIN r USING (l_orderkey) WHERE k <= round(n * 0.2)""",
 )
 def q_stratified_id_sample(spark: SparkSession, d: str) -> DataFrame:
-    """Per stratum: ids, sampled ids, and whether every sampled id came with all its rows."""
+    """All rows of a fifth of the orders of each stratum."""
     li = table(spark, d, "lineitem").withColumn("target", (F.col("l_returnflag") == "R").cast("int"))
     # a line number may repeat within an order: break ties, so that the first row is the same everywhere
     li = li.withColumn("seq", F.col("l_linenumber").cast("long") * 10_000_000_000 + F.col("l_partkey") * 10_000 + F.col("l_suppkey"))
     sample = SP.stratified_id_sample(li, "l_orderkey", "target", 0.2, seed=7, order_col="seq")
-    ids = li.groupBy("l_orderkey").agg(F.min_by("target", "seq").alias("stratum"), F.count(F.lit(1)).alias("n"))
-    got = sample.groupBy(F.col("l_orderkey").alias("_id")).agg(F.count(F.lit(1)).alias("m"))
-    both = ids.join(got, F.col("l_orderkey") == F.col("_id"), "left")
-    return both.groupBy("stratum").agg(
-        F.count(F.lit(1)).alias("n_ids"), F.count("m").alias("n_sampled"), F.bool_and(F.coalesce(F.col("m") == F.col("n"), F.lit(True))).alias("whole_ids")
-    )
+    return sample.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
 
 
-_FOLDS_SQL = """SELECT count(*) AS n_rows, count(DISTINCT o_custkey) AS n_ids, CAST(3 AS BIGINT) AS n_folds,
-  TRUE AS one_fold_per_id, TRUE AS balanced FROM orders"""
+def _folds_sql(kind: str) -> str:
+    """Every order with the fold of its customer: customers by their orders of each ``kind``, dealt back and forth."""
+    return f"""WITH c AS (SELECT o_custkey, {kind} AS kind, count(*) AS n FROM orders GROUP BY ALL),
+i AS (SELECT o_custkey, string_agg(kind || ':' || lpad(n::VARCHAR, 12, '0'), '|' ORDER BY kind) AS held FROM c GROUP BY 1),
+r AS (SELECT o_custkey, (row_number() OVER (ORDER BY held, {_ID_HASH.format(id="o_custkey", seed=42)}) - 1) % 6 AS place FROM i)
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CASE WHEN place < 3 THEN place ELSE 5 - place END AS INTEGER) AS fold
+FROM orders JOIN r USING (o_custkey)"""
 
 
-def _fold_summary(folds: DataFrame, id_col: str) -> DataFrame:
-    """Rows, ids and folds, whether each id is in one fold, and whether the folds' rows differ by a tenth at most."""
-    per_id = folds.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"), F.min("fold").alias("fold"), F.max("fold").alias("last"))
-    per_fold = per_id.groupBy("fold").agg(
-        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("ids"), F.bool_and(F.col("fold") == F.col("last")).alias("one")
-    )
-    return per_fold.agg(
-        F.sum("rows").alias("n_rows"),
-        F.sum("ids").alias("n_ids"),
-        F.count(F.lit(1)).alias("n_folds"),
-        F.bool_and("one").alias("one_fold_per_id"),
-        (F.max("rows") <= 1.1 * F.min("rows")).alias("balanced"),
-    )
-
-
-@register("group_kfold", _FOLDS_SQL)
+@register("group_kfold", _folds_sql("''"))
 def q_group_kfold(spark: SparkSession, d: str) -> DataFrame:
-    return _fold_summary(SP.group_kfold(table(spark, d, "orders"), "o_custkey", k=3), "o_custkey")
+    folds = SP.group_kfold(table(spark, d, "orders"), "o_custkey", k=3)
+    return folds.select("o_orderkey", "o_custkey", "o_orderstatus", "fold")
 
 
-@register("stratified_group_kfold", _FOLDS_SQL)
+@register("stratified_group_kfold", _folds_sql("o_orderstatus"))
 def q_stratified_group_kfold(spark: SparkSession, d: str) -> DataFrame:
-    return _fold_summary(SP.group_kfold(table(spark, d, "orders"), "o_custkey", k=3, strata_col="o_orderstatus"), "o_custkey")
+    folds = SP.group_kfold(table(spark, d, "orders"), "o_custkey", k=3, strata_col="o_orderstatus")
+    return folds.select("o_orderkey", "o_custkey", "o_orderstatus", "fold")
+
+
+@register(
+    "stratified_fold_shares",
+    f"""WITH f AS ({_folds_sql("o_orderstatus")}),
+n AS (SELECT fold, o_orderstatus, count(*) AS n_rows, sum(count(*)) OVER (PARTITION BY fold) AS fold_rows FROM f GROUP BY 1, 2),
+w AS (SELECT o_orderstatus, count(*) / (SELECT count(*) FROM orders) AS share FROM orders GROUP BY 1)
+SELECT fold, o_orderstatus, n_rows, round(n_rows / fold_rows, 6) AS class_share, TRUE AS within_two_percent
+FROM n JOIN w USING (o_orderstatus)""",
+)
+def q_stratified_fold_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per class and fold of the stratified folds, and whether a class has the share it has in the whole table, to
+    two hundredths."""
+    orders = table(spark, d, "orders")
+    n = SP.group_kfold(orders, "o_custkey", k=3, strata_col="o_orderstatus").groupBy("fold", "o_orderstatus").agg(F.count(F.lit(1)).alias("n_rows"))
+    share = F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy("fold"))
+    whole = F.sum("n_rows").over(Window.partitionBy("o_orderstatus")) / F.sum("n_rows").over(Window.partitionBy(F.lit(1)))
+    out = n.select("fold", "o_orderstatus", "n_rows", share.alias("class_share"), (F.abs(share - whole) <= 0.02).alias("within_two_percent"))
+    return round6(out)
 
 
 @register("feature_elimination")

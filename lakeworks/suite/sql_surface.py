@@ -136,14 +136,16 @@ def q_sql_join_range(spark: SparkSession, d: str) -> DataFrame:
 
 
 _ASOF_DUCK = """SELECT e.event_id, e.event_type, CAST(p.event_id AS DOUBLE) AS last_purchase_id, round(p.value, 6) AS last_purchase_value
-FROM events e ASOF LEFT JOIN (SELECT user_id, ts, event_id, value FROM events WHERE event_type = 'purchase') p
+FROM (SELECT event_id, event_type, nullif(user_id, 3) AS user_id, ts FROM events) e
+  ASOF LEFT JOIN (SELECT nullif(user_id, 3) AS user_id, ts, event_id, value FROM events WHERE event_type = 'purchase') p
   ON e.user_id = p.user_id AND e.ts >= p.ts"""
 
 
 @register("sql_join_asof", _ASOF_DUCK)
 def q_sql_join_asof(spark: SparkSession, d: str) -> DataFrame:
-    """Each event with the latest purchase of the same user at or before it."""
-    ev = table(spark, d, "events")
+    """Each event with the latest purchase of the same user at or before it; one user's events have no key, so they match
+    nothing."""
+    ev = table(spark, d, "events").withColumn("user_id", F.nullif("user_id", F.lit(3)))
     purchases = ev.where(F.col("event_type") == "purchase").select(
         "user_id", F.col("ts").alias("p_ts"), F.col("event_id").alias("last_purchase_id"),
         F.col("value").alias("last_purchase_value"),

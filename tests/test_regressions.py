@@ -296,3 +296,77 @@ def test_capped_exports_measure_all_rows(spark, tmp_dir):
         path = tables.export_query(spark, f"SELECT * FROM {name}", os.path.join(tmp_dir, fmt), fmt=fmt, max_file_size_mb=cap)
         sizes = [os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.startswith("part-")]
         assert len(sizes) > 2 and max(sizes) <= 1.2 * cap * 1024 * 1024
+
+
+def _located(spark, table):
+    rows = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    return rows["Type"], rows["Location"]
+
+
+def test_values_that_do_not_fit_raise(spark, tmp_dir):
+    name = scratch_table(spark, "fit")
+    spark.sql(f"CREATE TABLE {name} (a INT) USING parquet")
+    wide = spark.createDataFrame([(9_999_999_999,)], "a long")
+    with pytest.raises(Exception, match="(?i)overflow|cast"):
+        tables.create_table_from_frame(wide, name, mode="append")
+    wide.write.parquet(f"{tmp_dir}/wide")
+    with pytest.raises(Exception, match="(?i)overflow|cast"):
+        tables.load_files_to_table(spark, name, f"{tmp_dir}/wide")
+    assert spark.table(name).count() == 0
+
+
+def test_a_failed_first_load_leaves_no_table(spark, tmp_dir):
+    spark.range(5).write.parquet(f"{tmp_dir}/rows")
+    name = scratch_table(spark, "first")
+    with pytest.raises(Exception):
+        tables.load_files_to_table(spark, name, f"{tmp_dir}/rows", identity="rid", identity_order_by="nowhere")
+    assert not spark.catalog.tableExists(name)
+    tables.load_files_to_table(spark, name, f"{tmp_dir}/rows", identity="rid", identity_order_by="id")
+    assert sorted(r["rid"] for r in spark.table(name).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_external_tables_stay_external(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "ext")
+    spark.range(10).withColumn("x", F.col("id") * 2).write.parquet(path)
+    name = scratch_table(spark, "ext")
+    tables.external_table(spark, name, path)
+    before = _located(spark, name)
+    tables.save_table(spark.table(name).where("id < 4"), name)
+    tables.optimize_table(spark, name)
+    tables.upsert_table(spark, name, spark.createDataFrame([(3, -1)], "id long, x long"), ["id"])
+    assert _located(spark, name) == before and before[0] == "EXTERNAL"
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(0, 0), (1, 2), (2, 4), (3, -1)]
+    with pytest.raises(ValueError, match="external"):
+        tables.save_table(spark.range(3), name)
+
+
+def test_overwrites_keep_column_comments_and_buckets(spark):
+    name = scratch_table(spark, "kept")
+    spark.sql(f"CREATE TABLE {name} (a LONG COMMENT 'the key', b LONG) USING parquet CLUSTERED BY (a) SORTED BY (b) INTO 4 BUCKETS COMMENT 'all'")
+    tables.save_table(spark.range(20).select(F.col("id").alias("a"), (F.col("id") * 2).alias("b")), name)
+    layout = tables.table_layout(spark, name)
+    assert layout["buckets"] == (4, ["a"], ["b"]) and layout["column_comments"] == {"a": "the key"} and layout["comment"] == "all"
+    assert spark.table(name).count() == 20
+
+
+def test_upsert_leaves_untouched_partitions_alone(spark):
+    name = scratch_table(spark, "ups")
+    rows = spark.range(60).select("id", F.col("id").alias("v"), F.when(F.col("id") % 4 < 3, (F.col("id") % 4).cast("string")).alias("p"))
+    tables.save_table(rows, name, partition_by=["p"])
+    files = lambda: {f: os.path.getmtime(f.removeprefix("file:")) for f in spark.table(name).inputFiles()}
+    before = files()
+    # new row in p=1; a key that moves from p=0 to p=1; a row of the NULL partition; all else stays
+    source = spark.createDataFrame([(100, 5, "1"), (0, -1, "1"), (3, -3, None)], "id long, v long, p string")
+    tables.upsert_table(spark, name, source, ["id"])
+    got = {r["id"]: (r["v"], r["p"]) for r in spark.table(name).collect()}
+    want = {r["id"]: (r["v"], r["p"]) for r in rows.collect()} | {100: (5, "1"), 0: (-1, "1"), 3: (-3, None)}
+    assert got == want
+    after = files()
+    same = [f for f in before if "p=2" in f]
+    assert same and all(after.get(f) == before[f] for f in same)
+    assert not any(f in after for f in before if "p=1" in f or "p=0" in f)
+    # a partition that loses all of its rows goes
+    move = spark.table(name).where("p = '2'").withColumn("p", F.lit("9"))
+    tables.upsert_table(spark, name, move, ["id"])
+    assert {r["p"] for r in spark.table(name).select("p").distinct().collect()} == {"0", "1", "9", None}
+    assert spark.table(name).count() == 61

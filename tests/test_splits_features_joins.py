@@ -112,10 +112,11 @@ def _events(spark, n=400, seed=3):
     return pdf, df
 
 
-def test_asof_join_against_merge_asof(spark):
+@pytest.mark.parametrize("buckets", [1, 5, None])
+def test_asof_join_against_merge_asof(spark, buckets):
     pdf, df = _events(spark)
     buys = df.where(F.col("kind") == "buy").select("user", F.col("ts").alias("bts"), F.col("eid").alias("buy_id"))
-    got = J.asof_join(df.select("eid", "user", "ts"), buys, ["user"], "ts", "bts", ["buy_id"], bucket_seconds=3600)
+    got = J.asof_join(df.select("eid", "user", "ts"), buys, ["user"], "ts", "bts", ["buy_id"], buckets=buckets)
     got = {r["eid"]: r["buy_id"] for r in got.collect()}
     left = pdf.sort_values("ts")
     right = pdf[pdf.kind == "buy"][["user", "ts", "eid"]].rename(columns={"eid": "buy_id"}).sort_values("ts")
@@ -176,3 +177,69 @@ def test_remote_options_and_read(spark, tmp_dir):
     df = R.read_query(spark, "-- c\nSELECT 1;", "parquet", {"path": path})
     assert df.columns == ["user_id", "score"] and df.first()["user_id"] == 7
     assert dict(df.dtypes) == {"user_id": "bigint", "score": "double"}
+
+
+def test_null_keys_match_nothing(spark):
+    left = spark.createDataFrame([(1, None, 10.0), (2, 7, 10.0), (3, 7, None), (4, 8, 10.0)], "i int, k int, t double")
+    right = spark.createDataFrame([(None, 1.0, "x"), (7, 2.0, "y"), (7, None, "z")], "k int, u double, v string")
+    at = lambda df, c: df.withColumn(c, F.timestamp_seconds(c).cast("timestamp_ntz"))
+    left, right = at(left, "t"), at(right, "u")
+    got = {r["i"]: r["v"] for r in J.asof_join(left, right, ["k"], "t", "u", ["v"]).collect()}
+    assert got == {1: None, 2: "y", 3: None, 4: None}
+    count = {"n": lambda c, w: F.count(c("one")).over(w)}
+    got = J.range_aggregate(left.where("t IS NOT NULL"), right, ["k"], "t", "u", 3600, count, {"one": F.lit(1)})
+    assert {r["i"]: r["n"] for r in got.collect()} == {1: 0, 2: 1, 4: 0}
+
+
+def test_asof_spreads_a_key_with_one_day(spark):
+    """All events of one key within a second: the ranges of time follow the rows, so no task holds them all."""
+    ev = spark.range(20_000).select(F.lit(1).alias("k"), F.timestamp_micros(F.col("id") * 40).cast("timestamp_ntz").alias("t"), "id")
+    buys = ev.where("id % 10 = 0").select("k", F.col("t").alias("u"), F.col("id").alias("buy"))
+    out = J.asof_join(ev, buys, ["k"], "t", "u", ["buy"])
+    assert out.where("buy <> id - id % 10").count() == 0 and out.count() == 20_000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # which would put so few rows together again
+    try:
+        sizes = [r["count"] for r in J.asof_join(ev, buys, ["k"], "t", "u", ["buy"]).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) < 8_000 and sum(sizes) == 20_000
+
+
+def test_sample_keeps_rows_without_an_id(spark):
+    rows = [(i, 1) for i in (None, 1, 2, 3, 4) for _ in range(3)]
+    df = spark.createDataFrame(rows, "id int, y int")
+    assert SP.stratified_id_sample(df, "id", "y", 0.99).count() == 15
+
+
+def test_stratified_folds_balance_classes(spark):
+    """Ids that mix classes: every fold gets each class's share of the rows, to two hundredths."""
+    rng = np.random.default_rng(4)
+    rows = [(i, "abc"[rng.choice(3, p=[0.6, 0.3, 0.1])]) for i in range(600) for _ in range(rng.integers(1, 9))]
+    rows += [(None, "a")] * 3
+    got = SP.group_kfold(spark.createDataFrame(rows, "id int, c string"), "id", k=4, strata_col="c").toPandas()
+    assert len(got) == len(rows) and got.groupby("id", dropna=False).fold.nunique().max() == 1
+    whole = got.c.value_counts(normalize=True)
+    for _, part in got.groupby("fold"):
+        share = part.c.value_counts(normalize=True)
+        assert (share - whole).abs().max() < 0.02 and abs(len(part) / len(got) - 0.25) < 0.02
+
+
+@pytest.mark.parametrize("block", [3, 512])
+def test_correlations_of_wide_frames(spark, block, monkeypatch):
+    from lakeworks.operators import features as FE
+
+    monkeypatch.setattr(FE, "CORRELATION_BLOCK", block)
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame(rng.normal(size=(400, 8)) + 1e6, columns=[f"c{i}" for i in range(8)])
+    pdf["c1"] = pdf.c0 * 2 + rng.normal(size=400) * 0.1
+    pdf.iloc[::7, 2] = np.nan
+    pdf.iloc[1::5, 3] = np.nan
+    pdf["c4"] = 5.0
+    pdf.iloc[0, 5] = np.nan
+    got = FE.correlation_pairs(spark.createDataFrame(pdf), list(pdf.columns)).collect()
+    want = pdf.corr()
+    assert len(got) == 28
+    for r in got:
+        w = want.loc[r["feature_a"], r["feature_b"]]
+        assert (r["corr"] is None) == np.isnan(w) and (np.isnan(w) or abs(r["corr"] - w) < 1e-6)
+        assert bool(r["correlated"]) == ({r["feature_a"], r["feature_b"]} == {"c0", "c1"})
