@@ -2,14 +2,17 @@
 
 For each language the suffix automaton of a bounded amount of labelled text is built. A text is parsed
 greedily against it: the longest match from the current place is one phrase, then parsing goes on behind
-it. A text of the reference's language needs few, long phrases; the language with the fewest phrases per
-character wins. The automata become one table of transitions (failure included: the next phrase starts),
+it. A text of the reference's language needs few, long phrases. A phrase from a long reference says less, as its
+place among n characters costs ln(n) to name, and a character that the reference lacks costs as much as naming one
+of all characters: so phrases are normalised by the length of the reference, and the language with the cheapest
+parse wins, whether it has much labelled text or little. The automata become one table of transitions (failure included: the next phrase starts),
 so that a batch of texts is parsed in lockstep, many places at a time, by a few array operations a
 character. Long texts are parsed in segments of ``SEGMENT`` characters, all of them.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from collections import Counter
@@ -24,8 +27,11 @@ from lakeworks.llm.textops import limit_batches
 
 #: characters of labelled text per language that an automaton is built from at most
 REFERENCE_CHARS = 16_000
-#: labelled rows per language that these characters are taken from (smallest hash of the id), and of each row
+#: labelled texts per language that these characters are taken from (different ones, smallest hashes), and characters of
+#: the piece, at a hashed place of the whole text, that one gives
 REFERENCE_ROWS, ROW_CHARS = 64, 400
+#: cost of a character that a reference lacks
+UNSEEN = math.log(sys.maxunicode)
 #: columns of a language's dense table: its most frequent characters, and 0 for those it has none of; transitions of
 #: its further characters are found by binary search
 DENSE = 64
@@ -117,6 +123,8 @@ class CrossParser:
     def __init__(self, references: dict[str, str]):
         self.languages = sorted(references)
         self.automata = [Automaton(references[language]) for language in self.languages]
+        #: what a phrase costs in each language: the place it is copied from
+        self.prices = np.log(np.array([len(references[language]) + 1 for language in self.languages], float) + 1)
         known = sorted({c for a in self.automata for c in a.alphabet})
         number = {c: k + 1 for k, c in enumerate(known)}
         self.lookup = np.zeros(sys.maxunicode + 1, np.int32)
@@ -125,17 +133,23 @@ class CrossParser:
         for codes, automaton in zip(self.codes, self.automata):
             codes[[number[c] for c in automaton.alphabet]] = np.arange(1, automaton.size)
 
-    def phrases(self, texts: list[str]) -> np.ndarray:
-        """Phrases of each text under each language (texts x languages); 0 for an empty text."""
-        out = np.zeros((len(texts), len(self.languages)), np.int64)
+    def costs(self, texts: list[str]) -> np.ndarray:
+        """Normalised phrases of each text under each language (texts x languages), in nats; 0 for an empty text."""
+        phrases, unseen = self.phrases(texts)
+        return (phrases - unseen) * self.prices[None, :] + unseen * UNSEEN
+
+    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases of each text under each language (texts x languages), and how many of them are a character that the
+        reference lacks; 0 for an empty text."""
+        out = np.zeros((2, len(texts), len(self.languages)), np.int64)
         k = 0
         while k < len(texts):
             first, size = k, 0
             while k < len(texts) and (k == first or size + len(texts[k]) <= BLOCK):
                 size += len(texts[k])
                 k += 1
-            self._parse(texts[first:k], out[first:k])
-        return out
+            self._parse(texts[first:k], out[:, first:k])
+        return out[0], out[1]
 
     def _parse(self, texts: list[str], out: np.ndarray) -> None:
         sizes = np.array([len(t) for t in texts])
@@ -157,30 +171,37 @@ class CrossParser:
         for g, automaton in enumerate(self.automata):
             codes = self.codes[g]
             state = np.zeros(len(order), np.int32)
-            count = np.zeros(len(order), np.int32)
+            count, unseen = np.zeros(len(order), np.int32), np.zeros(len(order), np.int32)
             for step in range(int(length[0])):
                 n = open_at[step]
-                to = automaton.step(state[:n], codes[symbols[step, :n]])
+                code = codes[symbols[step, :n]]
+                to = automaton.step(state[:n], code)
                 count[:n] += to & 1
+                unseen[:n] += code == 0
                 state[:n] = to >> 1
-            out[:, g] = np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)
+            for k, found in enumerate((count, unseen)):
+                out[k, :, g] = np.bincount(owner, weights=found, minlength=len(texts)).astype(np.int64)
 
 
 def references(docs: DataFrame, train: Column) -> dict[str, str]:
     """Language -> labelled text, at most ``REFERENCE_CHARS`` characters each (the bound of what is collected)."""
-    rows = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("lang", "doc_id")
-    # the rank limit is applied in every task before the shuffle, so a language's rows never meet in one task
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    picked = rows.withColumn("_k", rank).where(F.col("_k") <= REFERENCE_ROWS).drop("_k")
+    rows = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.trim("text") != ""))
+    key = F.xxhash64("text", F.length("text"))
+    # one row per different text, combined before the shuffle; the rank limit is applied in every task as well, so
+    # neither the copies of a text nor a language's rows meet in one task
+    one = rows.groupBy("lang", key.alias("_key")).agg(F.min("doc_id").alias("_id"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_key"))
+    picked = one.withColumn("_k", rank).where(F.col("_k") <= REFERENCE_ROWS).drop("_k")
     # REFERENCE_ROWS ids a language
-    ids = F.broadcast(picked.select(F.col("lang").alias("_lang"), F.col("doc_id").alias("_id")))
-    texts = docs.join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))).select(
-        "lang", "doc_id", F.substring("text", 1, ROW_CHARS).alias("text")
-    )
+    picked = F.broadcast(picked.withColumnRenamed("lang", "_lang"))
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")) & (key == F.col("_key"))
+    begin = F.pmod(F.xxhash64(F.col("_key")), F.greatest(F.lit(1), F.length("text") - ROW_CHARS + 1)) + 1
+    piece = F.substring("text", begin.cast("int"), F.lit(ROW_CHARS))
+    texts = docs.join(picked, same).groupBy("_lang", "_key").agg(F.min(piece).alias("text"))
     got: dict[str, str] = {}
-    for r in sorted(texts.distinct().collect(), key=lambda r: (r["lang"], r["doc_id"], r["text"] or "")):
-        if len(got.get(r["lang"], "")) < REFERENCE_CHARS:
-            got[r["lang"]] = (got.get(r["lang"], "") + " " + normalised(r["text"] or ""))[:REFERENCE_CHARS]
+    for r in sorted(texts.collect(), key=lambda r: (r["_lang"], r["_key"])):
+        if len(got.get(r["_lang"], "")) < REFERENCE_CHARS:
+            got[r["_lang"]] = (got.get(r["_lang"], "") + " " + normalised(r["text"]))[:REFERENCE_CHARS]
     return got
 
 
@@ -199,7 +220,7 @@ def identify(docs: DataFrame, parser: CrossParser) -> DataFrame:
         for batch in batches:
             whole = [t or "" for t in batch.column(2).to_pylist()]
             texts = [normalised(t) for t in whole]
-            n = parser.phrases(texts)
+            n = parser.costs(texts)
             names = np.array([*parser.languages, "und"], dtype=object)
             empty = np.array([not any(map(str.isalpha, t)) for t in whole], bool)
             if not parser.languages:
@@ -209,7 +230,7 @@ def identify(docs: DataFrame, parser: CrossParser) -> DataFrame:
                 ranked = np.sort(n, axis=1)
                 second = ranked[:, 1] if n.shape[1] > 1 else ranked[:, 0] * 2
                 low = ranked[:, 0]
-                score = np.where(second > 0, second / np.maximum(1, second + low), 0.0)
+                score = np.where(second > 0, second / np.maximum(1e-9, second + low), 0.0)
             best = np.where(empty, len(names) - 1, best)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -231,7 +252,8 @@ def language_ids(docs: DataFrame) -> DataFrame:
 
     Learns from text and non-null ``lang`` of rows that are not held out. ``lang_pred`` is ``und`` with score 0
     for null texts and texts without a letter (and for all texts when there is nothing to learn from). The
-    score is the runner-up's share of the phrases of the two best languages (0.5: a tie). Ids may be null
+    score is the runner-up's share of the normalised phrases of the two best languages (0.5: a tie; ties go to the first
+    language by name). Copies of a text are learned once; very long texts are parsed whole. Ids may be null
     (never learned from, not held out) or repeat; other columns are ignored; an empty table gives no rows.
     """
     limit_batches(docs.sparkSession)

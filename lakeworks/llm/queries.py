@@ -122,13 +122,20 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "op8_line_dedup",
-    """WITH raw AS (
+    r"""WITH raw AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place FROM documents),
-l AS (SELECT doc_id, place, trim(line) AS line, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS n FROM raw WHERE trim(line) <> ''),
-w AS (SELECT doc_id, n, line AS a, lead(line, 1) OVER o AS b, lead(line, 2) OVER o AS c FROM l WINDOW o AS (PARTITION BY doc_id ORDER BY n)),
-r AS (SELECT doc_id, n, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, n) > 1 AS again FROM w WHERE c IS NOT NULL),
-gone AS (SELECT DISTINCT doc_id, n + k AS n FROM r, (VALUES (0), (1), (2)) AS s(k) WHERE again),
+k AS (SELECT doc_id, place, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line FROM raw),
+l AS (SELECT doc_id, place, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+  row_number() OVER (PARTITION BY doc_id ORDER BY place) AS n FROM k WHERE line <> ''),
+w AS (SELECT doc_id, n, line AS a, lead(line, 1) OVER o AS b, lead(line, 2) OVER o AS c, words AS wa, lead(words, 1) OVER o AS wb
+  FROM l WINDOW o AS (PARTITION BY doc_id ORDER BY n)),
+r AS (SELECT doc_id, n, 3 AS size, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, n) > 1 AS again FROM w WHERE c IS NOT NULL
+  UNION ALL
+  SELECT doc_id, n, 2, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, n) > 1 FROM w WHERE b IS NOT NULL AND wa + wb >= 50
+  UNION ALL
+  SELECT doc_id, n, 1, row_number() OVER (PARTITION BY a ORDER BY doc_id, n) > 1 FROM w WHERE wa >= 50),
+gone AS (SELECT DISTINCT doc_id, n + k AS n FROM r, (VALUES (0), (1), (2)) AS s(k) WHERE again AND k < size),
 t AS (SELECT raw.doc_id, raw.place, raw.line, l.n, gone.n IS NOT NULL AS deleted,
         gone.n IS NOT NULL AND before.n IS NULL AS begins
   FROM raw LEFT JOIN l USING (doc_id, place) LEFT JOIN gone ON gone.doc_id = raw.doc_id AND gone.n = l.n
@@ -139,7 +146,7 @@ SELECT doc_id, count(n)::INT AS n_lines, (count(*) FILTER (WHERE deleted))::INT
 FROM t GROUP BY doc_id""",
 )
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.line_dedup(table(spark, sf_dir, "documents"), run=3)
+    cleaned = line_dedup.line_dedup(table(spark, sf_dir, "documents"), run=3, short_words=50)
     return cleaned.select(
         "doc_id", "n_lines", "n_deleted", "n_runs", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")
     )

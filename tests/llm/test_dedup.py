@@ -172,17 +172,24 @@ def test_components_of_paths_and_stars(spark):
 # --------------------------------------------------------------------------- lines
 
 
-def lines_brute_force(rows, run):
+BLANKS = " \t\x0b\x0c\r\n"
+
+
+def lines_brute_force(rows, run, short_words):
     seen, out = set(), {}
     order = sorted({(i is not None, i, t or "") for i, t, *_ in rows}, key=lambda r: (r[0], r[1] or 0))
     for _, i, text in order:
-        full = [(k, x.strip(" ")) for k, x in enumerate(text.split("\n")) if x.strip(" ")]
+        full = [(k, x.strip(BLANKS)) for k, x in enumerate(text.split("\n")) if x.strip(BLANKS)]
+        n_words = [len(SPACED.findall(x)) for _, x in full]
         gone = set()
-        for a in range(len(full) - run + 1):
-            window = tuple(x for _, x in full[a : a + run])
-            if window in seen:
-                gone |= set(range(a, a + run))
-            seen.add(window)
+        for size in range(1, run + 1) if short_words is not None else [run]:
+            for a in range(len(full) - size + 1):
+                if size < run and sum(n_words[a : a + size]) < short_words:
+                    continue
+                window = tuple(x for _, x in full[a : a + size])
+                if window in seen:
+                    gone |= set(range(a, a + size))
+                seen.add(window)
         drop = {full[g][0] for g in gone}
         left = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in drop)
         out[i, text] = (left, len(full), len(gone), sum(g - 1 not in gone for g in gone))
@@ -190,12 +197,32 @@ def lines_brute_force(rows, run):
 
 
 def test_line_dedup_brute_force(spark):
-    for run in (1, 2, 3):
+    for run, short_words in ((1, None), (2, None), (3, None), (3, 8), (2, 5), (3, 50)):
         rows = corpus(6, 40)
         rows.append((400, "one\ntwo\n\nthree\none\n two \nthree\nthree\nthree\nthree\nthree", "en", "s", 1))
         rows.append((401, "\n".join(f"line {k % 50}" for k in range(2000)), "en", "s", 1))
-        got = line_dedup.line_dedup(with_clashes(spark.createDataFrame(rows, DOCS)), run)
-        assert rows_of(got, "doc_id", "text", "n_lines", "n_deleted", "n_runs") == lines_brute_force(rows, run)
+        got = line_dedup.line_dedup(with_clashes(spark.createDataFrame(rows, DOCS)), run, short_words=short_words)
+        assert rows_of(got, "doc_id", "text", "n_lines", "n_deleted", "n_runs") == lines_brute_force(rows, run, short_words)
+
+
+def test_short_runs_and_line_ends(spark):
+    """Repeated passages of one and two lines go if they are long; copies with other line ends and blanks meet."""
+    rng = random.Random(14)
+    long, a, b = " ".join(words(rng, 60)), " ".join(words(rng, 30)), "\t".join(words(rng, 25))
+    rows = [
+        (1, long, "en", "s", 1),
+        (2, f"own words\r\n{long}\r\nmore\r\n", "en", "s", 1),
+        (3, f"{a}\n{b}", "en", "s", 1),
+        (4, f"x\n\t{a} \r\n\r\n  {b}\x0c\ny", "en", "s", 1),
+        (5, a, "en", "s", 1),
+        (6, long, "en", "s", 1),
+        (7, "\r\n\t\r", "en", "s", 1),
+        (8, long.replace(" ", " " * 3, 1), "en", "s", 1),
+    ]
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, DOCS))
+    assert rows_of(got, "doc_id", "text", "n_lines", "n_deleted", "n_runs") == lines_brute_force(rows, 3, 50)
+    texts = {r["doc_id"]: r["text"] for r in got.collect()}
+    assert texts[1] == long and texts[2] == "own words\r\nmore\r\n" and texts[4] == "x\n\r\ny" and texts[5] == a and texts[6] == ""
 
 
 def test_line_dedup_of_nothing(spark):

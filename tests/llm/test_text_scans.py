@@ -193,10 +193,10 @@ def test_cross_parsing_counts_phrases(monkeypatch):
     parser = langid.CrossParser(references)
     texts = ["", "x", "zzz", " ".join(words(rng, 40)), "".join(rng.choice("abc ") for _ in range(300)), references["a"][20:200]]
     want = [[cross_parse(t, references[g]) for g in parser.languages] for t in texts]
-    assert parser.phrases(texts).tolist() == want
+    assert parser.phrases(texts)[0].tolist() == want
     monkeypatch.setattr(langid, "SEGMENT", 50)
     pieces = lambda t: [t[k : k + 50] for k in range(0, len(t), 50)]
-    assert parser.phrases(texts).tolist() == [[sum(cross_parse(p, references[g]) for p in pieces(t)) for g in parser.languages] for t in texts]
+    assert parser.phrases(texts)[0].tolist() == [[sum(cross_parse(p, references[g]) for p in pieces(t)) for g in parser.languages] for t in texts]
 
 
 def test_language_ids(spark):
@@ -230,7 +230,8 @@ def test_languages_of_many_scripts(spark):
     texts = [text(g) for g in SCRIPTS] + ["mixed " + text("ja") + text("el") + " \U0010ffff"]
     references = {g: text(g) * 2 for g in SCRIPTS}
     parser = langid.CrossParser(references)
-    assert parser.phrases(texts).tolist() == [[cross_parse(t, references[g]) for g in parser.languages] for t in texts]
+    assert parser.phrases(texts)[0].tolist() == [[cross_parse(t, references[g]) for g in parser.languages] for t in texts]
+    assert parser.phrases(texts)[1].tolist() == [[sum(c not in references[g] for c in t) for g in parser.languages] for t in texts]
     rows = [(k, text(g), g, "s", 1) for k, g in enumerate(sorted(SCRIPTS) * 40)]
     got = {r["doc_id"]: r for r in langid.language_ids(spark.createDataFrame(rows, DOCS)).collect()}
     held = [(i, g) for i, _, g, *_ in rows if got[i]["held_out"]]
@@ -238,6 +239,24 @@ def test_languages_of_many_scripts(spark):
     assert all(got[i]["lang_pred"] == g for i, g in held)
 
 
+def test_a_language_of_few_rows_is_found(spark):
+    """Three short labelled rows beside 16,000 characters of another language, and a header that a third of all rows share."""
+    rng = random.Random(11)
+    make = lambda c: ["".join(rng.choice(c) for _ in range(rng.randint(2, 7))) for _ in range(150)]
+    lexicon = {"en": make("etaoinshrdlu"), "fr": make("etaoinsrléèàu")}
+    text = lambda g, n: " ".join(rng.choice(lexicon[g]) for _ in range(n))
+    learned = [k for k in range(2000) if zlib.crc32(str(k).encode()) % 3 != 1]
+    rows = [(k, text("en", 60), "en", "s", 1) for k in learned[:150]] + [(k, text("fr", 20), "fr", "s", 1) for k in learned[150:153]]
+    test = [(5000 + k, text("en" if k % 2 else "fr", 40), None, "s", 1) for k in range(200)]
+    header = " ".join(rng.choice(lexicon["en"]) for _ in range(100))[:500]
+    for shared in ("", header + "\n"):
+        some = [(i, shared + t if i % 3 == 0 else t, *r) for i, t, *r in rows] + [(i, t, *r) for i, t, *r in rows[:1] * 80]
+        got = {r["doc_id"]: r["lang_pred"] for r in langid.language_ids(spark.createDataFrame(some + test, DOCS)).collect()}
+        for k, g in ((0, "fr"), (1, "en")):
+            right = [got[i] == g for i, *_ in test if i % 2 == k]
+            assert sum(right) > 0.9 * len(right), (g, bool(shared))
+
+
 def test_language_never_learns_from_held_out_rows(spark):
     rows = [(k, "abc" if zlib.crc32(str(k).encode()) % 3 == 1 else "xyz", "held" if zlib.crc32(str(k).encode()) % 3 == 1 else "seen", "s", 1) for k in range(60)]
     got = langid.language_ids(spark.createDataFrame(rows, DOCS)).collect()
