@@ -29,7 +29,7 @@ from lakeworks.llm.textops import limit_batches
 REFERENCE_CHARS = 16_000
 #: labelled texts per language that these characters are taken from (different ones, smallest hashes), and characters of
 #: the piece, at a hashed place of the whole text, that one gives
-REFERENCE_ROWS, ROW_CHARS = 64, 400
+REFERENCE_ROWS, ROW_CHARS = 160, 120
 #: cost of a character that a reference lacks
 UNSEEN = math.log(sys.maxunicode)
 #: columns of a language's dense table: its most frequent characters, and 0 for those it has none of; transitions of
@@ -188,8 +188,9 @@ def references(docs: DataFrame, train: Column) -> dict[str, str]:
     rows = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.trim("text") != ""))
     key = F.xxhash64("text", F.length("text"))
     # one row per different text, combined before the shuffle; the rank limit is applied in every task as well, so
-    # neither the copies of a text nor a language's rows meet in one task
-    one = rows.groupBy("lang", key.alias("_key")).agg(F.min("doc_id").alias("_id"))
+    # neither the copies of a text nor a language's rows meet in one task. A text that copies label differently teaches none
+    one = rows.groupBy(key.alias("_key")).agg(F.min("doc_id").alias("_id"), F.min("lang").alias("lang"), F.max("lang").alias("_other"))
+    one = one.where(F.col("lang") == F.col("_other")).drop("_other")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_key"))
     picked = one.withColumn("_k", rank).where(F.col("_k") <= REFERENCE_ROWS).drop("_k")
     # REFERENCE_ROWS ids a language
