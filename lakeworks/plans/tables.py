@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lakeworks.functions import types as TY
 from lakeworks.functions.sqltext import resolve_query, returns_rows, split_statements, spark_dialect
 from lakeworks.operators.common import join_keys, running_totals
-from lakeworks.session import scratch_path, stored
+from lakeworks.session import remove_path, scratch_path, stored
 from lakeworks.sources.files import first_parquet_schema, has_files, list_partition_paths, normalize_path
 
 log = logging.getLogger(__name__)
@@ -384,14 +384,9 @@ def save_files(
 
 def delete_files(spark: SparkSession, paths: Sequence[str], recursive: bool = True) -> int:
     """Delete files/directories; a missing one only logs a warning. Returns deletions."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
     for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        if fs.exists(hp):
-            fs.delete(hp, recursive)
+        if remove_path(spark, p, recursive):
             n += 1
         else:
             log.warning("nothing to delete at %s", p)

@@ -8,11 +8,16 @@ names in ``spark.checkpoint.dir``; a default is set only when the session has no
 from __future__ import annotations
 
 import os
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SCRATCH_DB = "lakeworks_scratch"
+#: per thread, the folders that each open :func:`scratch_scope` has to remove
+_scopes = threading.local()
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "lakeworks") -> SparkSession:
@@ -52,9 +57,50 @@ def work_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def run_folder(spark: SparkSession, run_id: str | None = None) -> str:
+    """The folder in the work dir that holds all scratch output of a run, by default this application's."""
+    return f"{work_dir(spark)}/lakeworks-{run_id or spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never-reused folder under the work dir."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never-reused folder of this run. The innermost open :func:`scratch_scope` removes it; without one it stays
+    until :func:`sweep`."""
+    path = f"{run_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    for paths in getattr(_scopes, "open", [])[-1:]:
+        paths.append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str, recursive: bool = True) -> bool:
+    """Delete a folder or file through the cluster's file system; says whether there was one."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(conf)
+    return bool(fs.exists(at) and fs.delete(at, recursive))
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Remove at its end what was stored on the way: operators keep histograms, signatures, staged rows and the like in
+    scratch folders, which their results read. So build, and read or write, the result inside::
+
+        with scratch_scope(spark):
+            performance_report(...).write.parquet(target)
+
+    Scopes nest; folders of other threads are not touched. Scratch tables are dropped by name, not here."""
+    stack = _scopes.__dict__.setdefault("open", [])
+    stack.append([])
+    try:
+        yield stack[-1]
+    finally:
+        for path in stack.pop():
+            remove_path(spark, path)
+
+
+def sweep(spark: SparkSession, run_id: str | None = None) -> bool:
+    """Remove all scratch folders of a run that has ended (by its application id), or of this one, once its results are
+    read; says whether there were any. A scheduler calls it for runs that were lost."""
+    return remove_path(spark, run_folder(spark, run_id))
 
 
 def scratch_database(spark: SparkSession) -> str:

@@ -11,11 +11,12 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeworks.functions.types import quote, spark_type
+from lakeworks.session import stored
 
 log = logging.getLogger(__name__)
 
@@ -162,6 +163,72 @@ def sql_over_files(spark: SparkSession, query: str, **paths: str) -> DataFrame:
 # ------------------------------------------------------------------------------ A4, A5
 
 
+#: files with broken lines that are named in a filter; with more of them, all lines are put together into records
+_LISTED = 1_000
+#: lines that one record may have at most; more mean a quote that is never closed
+MAX_RECORD_LINES = 10_000
+
+
+def _quoted_rest(escape: str) -> str:
+    """What may stand in a quoted field, up to its closing quote."""
+    return '(?:[^"]|"")*+"' if escape == '"' else rf'(?:[^"{re.escape(escape)}]|""|{re.escape(escape)}.)*+"'
+
+
+def _whole_line(sep: str, escape: str) -> str:
+    """A pattern of lines on which no quoted field is left open: fields are quoted in whole, or do not begin with a quote."""
+    s = re.escape(sep)
+    field = rf'(?:"{_quoted_rest(escape)}[^{s}]*+|(?!")[^{s}]*+)'
+    return rf"^{field}(?:{s}{field})*+$"
+
+
+def _records(lines: DataFrame, sep: str, escape: str) -> DataFrame:
+    """``value``: the records of ``lines(_f, _b, _i, value)``, which may span lines.
+
+    A line maps the state before it (a quoted field is open, or not) to the state behind it, in one of four ways: it
+    leaves it, turns it, or ends open or closed whatever came before. So the state is the end of the last line of the
+    latter kinds, turned once for each turning line since: two running values per block of a file, carried over its
+    blocks by one row each. No file is read by one task."""
+    s, whole = re.escape(sep), _whole_line(sep, escape)
+    closes = rf'^{_quoted_rest(escape)}(?!")[^{s}]*+(?:{s}{whole[1:-1]})?$'
+    from_closed, from_open = ~F.col("value").rlike(whole), ~F.col("value").rlike(closes)
+    kinds = lines.select(
+        "*",
+        F.when(from_closed == from_open, from_closed.cast("int")).alias("_fixed"),
+        (from_closed & ~from_open).cast("int").alias("_turn"),
+    ).repartition("_f", "_b")
+    inside = Window.partitionBy("_f", "_b").orderBy("_i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    turned = kinds.withColumn("_turns", F.sum("_turn").over(inside))
+    fixed = F.when(F.col("_fixed").isNotNull(), F.struct(F.col("_fixed").alias("v"), F.col("_turns").alias("at")))
+    turned = turned.withColumn("_last", F.last(fixed, ignorenulls=True).over(inside))
+    # the state behind a line, if known from its block alone; else turned so often from what the block began with
+    known = F.when(F.col("_last").isNotNull(), F.pmod(F.col("_last.v") + F.col("_turns") - F.col("_last.at"), F.lit(2)))
+    stated = turned.withColumn("_known", known).withColumn("_parity", F.pmod("_turns", F.lit(2)))
+    behind = stated.groupBy("_f", "_b").agg(F.max_by(F.struct("_known", "_parity"), "_i").alias("s"))
+    so_far = Window.partitionBy("_f").orderBy("_b")  # one row per block of a file
+    blocks = behind.select("_f", "_b", F.col("s._known").alias("k"), F.sum("s._parity").over(so_far).alias("p"))
+    end = F.last(F.when(F.col("k").isNotNull(), F.struct("k", "p")), ignorenulls=True).over(so_far)
+    open_after = F.coalesce(F.pmod(end["k"] + F.col("p") - end["p"], F.lit(2)), F.pmod("p", F.lit(2)))
+    begins = blocks.withColumn("_o", open_after).select(
+        F.col("_f").alias("_f2"), F.col("_b").alias("_b2"), F.coalesce(F.lag("_o").over(so_far), F.lit(0)).alias("_begin")
+    )
+    placed = stated.join(begins, (F.col("_f") == F.col("_f2")) & (F.col("_b") == F.col("_b2")))
+    state = F.coalesce("_known", F.pmod(F.col("_parity") + F.col("_begin"), F.lit(2)))
+    before = F.coalesce(F.lag("_state").over(Window.partitionBy("_f", "_b").orderBy("_i")), F.col("_begin"))
+    started = placed.withColumn("_state", state).withColumn("_starts", (before == 0).cast("long"))
+    counted = started.withColumn("_n", F.sum("_starts").over(inside)).select("_f", "_b", "_i", "value", "_n")
+    per_block = counted.groupBy("_f", "_b").agg(F.max("_n").alias("_m"))
+    ahead = per_block.select(
+        F.col("_f").alias("_f3"), F.col("_b").alias("_b3"), (F.sum("_m").over(so_far) - F.col("_m")).alias("_ahead")
+    )
+    numbered = counted.join(ahead, (F.col("_f") == F.col("_f3")) & (F.col("_b") == F.col("_b3")))
+    record = [F.col("_f"), (F.col("_ahead") + F.col("_n")).alias("_r")]
+    numbered = stored(numbered.select(*record, "_b", "_i", "value"), "csv-lines")
+    if not numbered.groupBy("_f", "_r").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_RECORD_LINES).isEmpty():
+        raise ValueError(f"a quoted field spans over {MAX_RECORD_LINES} lines: a quote is not closed")
+    parts = F.sort_array(F.collect_list(F.struct("_b", "_i", "value")))
+    return numbered.groupBy("_f", "_r").agg(F.array_join(F.transform(parts, lambda x: x["value"]), "\n").alias("value")).select("value")
+
+
 def load_csv(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -176,6 +243,7 @@ def load_csv(
     null_as: str | None = None,
     accept_invalid_chars: str | None = None,
     max_error: int | None = 0,
+    escape: str = "\\",
 ) -> DataFrame:
     """A4: delimited text with declared types.
 
@@ -184,7 +252,9 @@ def load_csv(
     columns the caller selects later, as the test reads all of them. ``blanks_as_null``: a field of
     blanks only is NULL (others keep their blanks); ``empty_as_null=False`` keeps empty text as
     ``""``; ``null_as`` is a NULL token. ``ignore_header=n`` skips the first n lines of every file
-    (n > 1 uses line positions within each file's first split).
+    (found within each file's first split). Quoted fields may hold line breaks (read as ``\\n``): files that have such
+    are read line by line and their records put together, block by block; empty lines are skipped. ``escape`` stands
+    before a quote within quotes: a backslash, as Spark writes it, or ``"`` for doubled quotes.
     """
     paths = [path] if isinstance(path, str) else list(path)
     types = {c: spark_type(t) for c, t in (column_types or {}).items()}
@@ -192,8 +262,11 @@ def load_csv(
         raise ValueError("load_csv needs declared column types")
     corrupt = "_lw_corrupt"
     raw = T.StructType([T.StructField(c, T.StringType()) for c in [*types, corrupt]])
-    opts = {"sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-    if ignore_header <= 1:
+    opts = {"sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "escape": escape}
+    # lines that are no whole record in themselves are looked for first: fields may hold line breaks
+    broken = spark.read.text(paths).where(~F.col("value").rlike(_whole_line(delimiter, escape))).select("_metadata.file_path").distinct()
+    broken = [r[0] for r in broken.limit(_LISTED + 1).collect()]
+    if ignore_header <= 1 and not broken:
         df = spark.read.schema(raw).options(**opts).option("header", str(ignore_header == 1).lower()).csv(paths)
     else:
         lines = spark.read.text(paths).select(
@@ -202,11 +275,20 @@ def load_csv(
             F.col("_metadata.file_block_start").alias("_b"),
             F.monotonically_increasing_id().alias("_i"),
         )
-        first = lines.where(F.col("_b") == 0).groupBy("_f").agg(F.min("_i").alias("_i0"))
-        kept = lines.join(first, "_f", "left").where(
-            F.col("_i0").isNull() | (F.col("_b") > 0) | (F.col("_i") >= F.col("_i0") + ignore_header)
-        )
-        df = kept.select(F.from_csv("value", ", ".join(f"`{c}` string" for c in raw.names), opts).alias("r")).select("r.*")
+        if ignore_header:
+            first = lines.where(F.col("_b") == 0).groupBy("_f").agg(F.min("_i").alias("_i0"))
+            lines = lines.join(first, "_f", "left").where(
+                F.col("_i0").isNull() | (F.col("_b") > 0) | (F.col("_i") >= F.col("_i0") + ignore_header)
+            )
+        lines = lines.select("_f", "_b", "_i", "value")
+        if broken:
+            mine = F.col("_f").isin(broken) if len(broken) <= _LISTED else F.lit(True)
+            whole = lines.where(~mine).select("value")
+            records = whole.unionByName(_records(lines.where(mine), delimiter, escape))
+        else:
+            records = lines.select("value")
+        records = records.where("value <> ''")  # an empty line is no record
+        df = records.select(F.from_csv("value", ", ".join(f"`{c}` string" for c in raw.names), opts).alias("r")).select("r.*")
 
     def field(name: str) -> Column:
         value = F.col(quote(name))

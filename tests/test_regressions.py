@@ -370,3 +370,60 @@ def test_upsert_leaves_untouched_partitions_alone(spark):
     tables.upsert_table(spark, name, move, ["id"])
     assert {r["p"] for r in spark.table(name).select("p").distinct().collect()} == {"0", "1", "9", None}
     assert spark.table(name).count() == 61
+
+
+def test_scratch_scopes_remove_what_was_stored(spark, clf_df):
+    from lakeworks.operators import classification
+    from lakeworks.session import run_folder, scratch_path, scratch_scope
+
+    at = run_folder(spark).removeprefix("file:")
+    held = lambda: set(os.listdir(at)) if os.path.isdir(at) else set()
+    outside = stored(spark.range(2), "outside")
+    before = held()
+    with scratch_scope(spark) as paths:
+        rows = classification.performance_report(clf_df, "target", "prediction", "probability", ["group"], 3).collect()
+        inner = scratch_path(spark, "never-written")
+        with scratch_scope(spark):
+            stored(spark.range(2), "inner")
+        assert len(rows) == 2 and held() > before and inner in paths
+    assert held() == before and outside.count() == 2
+    with pytest.raises(ValueError), scratch_scope(spark):
+        stored(spark.range(2), "lost")
+        raise ValueError
+    assert held() == before
+
+
+@pytest.mark.parametrize("header,escape", [(1, '"'), (3, "\\")])
+def test_csv_records_with_line_breaks(spark, tmp_dir, header, escape):
+    """Quoted breaks, blank lines and header lines, in files of one and of many blocks; quotes inside plain fields."""
+    path = os.path.join(tmp_dir, f"csv{header}")
+    os.makedirs(path)
+    want = []
+    for f in range(3):
+        rows = [
+            (f * 1000 + k, ["plain", "a\nb", 'say "x\n\n", y" now', "x, y", 'five " inches', "", "\n", 'end"\n'][k % 8 if f else k % 2 * 4], k / 2)
+            for k in range(300)
+        ]
+        with open(os.path.join(path, f"{f}.csv"), "w", newline="") as out:
+            out.write("id,note,x\n" + "more\n" * (header - 1))
+            for i, note, x in rows:
+                bare = not any(c in note for c in ",\n") and note[:1] != '"'
+                field = note if bare else '"' + note.replace('"', escape + '"') + '"'
+                out.write(f"{i},{field},{x}\n" + ("\n" if i % 7 == 0 else ""))
+        want += [(i, note or None, x) for i, note, x in rows]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("300b", old):  # blocks of about ten lines, and one block a file
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            got = files.load_csv(spark, path, {"id": "INT", "note": "VARCHAR(99)", "x": "DOUBLE"}, ignore_header=header, escape=escape)
+            assert sorted((r["id"], r["note"], r["x"]) for r in got.collect()) == sorted(want)
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_csv_quotes_that_never_close(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(files, "MAX_RECORD_LINES", 20)
+    with open(os.path.join(tmp_dir, "open.csv"), "w") as out:
+        out.write("a,b\n1,\"x\n" + "2,y\n" * 50)
+    with pytest.raises(ValueError, match="not closed"):
+        files.load_csv(spark, os.path.join(tmp_dir, "open.csv"), {"a": "INT", "b": "VARCHAR(9)"})
