@@ -41,6 +41,8 @@ BINS = 256
 MARGIN = 4.5
 #: texts of a bucket that are compared as one group
 GROUP = 512
+#: pairs of sketches compared together
+PAIRS = 4_096
 _rng = np.random.default_rng(20240607)
 _XOR = _rng.integers(0, 1 << 64, HASHES, np.uint64)
 _MUL = _rng.integers(0, 1 << 64, HASHES, np.uint64) | np.uint64(1)
@@ -107,8 +109,9 @@ def _sketches(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _may_reach(one: np.ndarray, many: np.ndarray, n_one: int, n_many: np.ndarray, share: int) -> np.ndarray:
-    """Which of ``many`` sketches may belong to a set whose similarity to ``one`` is ``share`` percent or more.
+def _may_reach(one: np.ndarray, many: np.ndarray, n_one: int | np.ndarray, n_many: np.ndarray, share: int) -> np.ndarray:
+    """Which of ``many`` sketches may belong to a set whose similarity to ``one``, a sketch or as many, is ``share`` percent
+    or more.
 
     Bins sample the union without replacement, so the estimate's variance shrinks as they cover it.
     """
@@ -201,13 +204,9 @@ def _bucket_stars(rows: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
     kind = nodes.schema["node"].dataType.simpleString()
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            n_u, n_v = batch.column(2).to_numpy(), batch.column(4).to_numpy()
-            s_u, s_v = batch.column(3).to_pylist(), batch.column(5).to_pylist()
-            for k in range(batch.num_rows):
-                one, other = np.frombuffer(s_u[k], np.uint8), np.frombuffer(s_v[k], np.uint8)[None]
-                keep[k] = _may_reach(one, other, n_u[k], n_v[k : k + 1], share)[0]
+        for batch in (b.slice(at, PAIRS) for b in batches for at in range(0, b.num_rows, PAIRS)):
+            s_u, s_v = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BINS) for c in (3, 5))
+            keep = _may_reach(s_u, s_v, batch.column(2).to_numpy(), batch.column(4).to_numpy(), share)
             yield batch.select([0, 1]).filter(pa.array(keep))
         release()
 

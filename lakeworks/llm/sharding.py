@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeworks.llm.frames import aside, back
+from lakeworks.llm.frames import aside, back, unused
+from lakeworks.session import stored
 
 #: parts of a shard that are numbered apart, so that no task holds a whole shard
 SLOT_PARTS = 1024
@@ -40,15 +41,18 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     return -F.array_max(F.array(*scored))["shard"]
 
 
-def with_slots(rows: DataFrame, shard_col: str, part_key: Column, order: Sequence[str], out: str = "slot") -> DataFrame:
+def with_slots(rows: DataFrame, shard_col: str, spread: Sequence[Column], order: Sequence[str], out: str = "slot") -> DataFrame:
     """Number the rows of each shard from 0 without gaps.
 
-    A shard is numbered in ``SLOT_PARTS`` hash parts; the parts' offsets are one small table of
-    (shards x parts) rows, the only thing that is broadcast. All columns stay, ``out`` is added; ``part_key`` may
-    use ``order`` columns only.
+    A shard is numbered in ``SLOT_PARTS`` parts by a hash of ``spread``, which should tell rows apart that share an id;
+    the parts' offsets are one small table of (shards x parts) rows, the only thing that is broadcast. All columns stay,
+    ``out`` is added. ``rows`` are read twice, so they should be stored, or come from a scan.
     """
-    keys = (shard_col, *order)
-    packed = aside(rows, keys).withColumn("_part", F.pmod(F.xxhash64(part_key), F.lit(SLOT_PARTS)))
+    part = unused(rows, "_part")
+    rows = rows.withColumn(part, F.pmod(F.xxhash64(*spread), F.lit(SLOT_PARTS)))
+    keys = (shard_col, *order, part)
+    packed = aside(rows, keys).withColumnRenamed(part, "_part")
+    rows = rows.drop(part)
     counts = packed.groupBy(F.col(shard_col).alias("_s"), F.col("_part").alias("_p")).agg(
         F.count(F.lit(1)).cast("long").alias("_n")
     )
@@ -57,7 +61,7 @@ def with_slots(rows: DataFrame, shard_col: str, part_key: Column, order: Sequenc
     inside = Window.partitionBy(shard_col, "_part").orderBy(*order)
     numbered = packed.withColumn("_place", F.row_number().over(inside))
     joined = numbered.join(F.broadcast(offsets), (F.col(shard_col) == F.col("_s")) & (F.col("_part") == F.col("_p")))
-    return back(joined.withColumn(out, F.col("_offset") + F.col("_place") - 1), rows, out, keep=keys)
+    return back(joined.withColumn(out, F.col("_offset") + F.col("_place") - 1), rows, out, keep=keys[:-1])
 
 
 def assign_shards(
@@ -67,8 +71,9 @@ def assign_shards(
 
     The law is ``key``: id and weights alone decide; ``grown_shard`` is the shard once one more shard of
     ``grown_weight`` is added. ``size``: UTF-8 bytes of the text plus 1; null text counts as empty. Rows
-    with a null id share the key ``null``; repeated ids share their shard and get slots of their own.
-    Other columns are ignored; an empty table gives no rows.
+    with a null id share the key ``null``; repeated ids share their shard and get slots of their own, in the order of
+    their texts' checksums, equal rows in any. However many rows share an id, they are numbered in parts: by text, and
+    rows without an id at random. Very long texts pass as any; other columns are ignored; an empty table gives no rows.
     """
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     key = F.col(id_col)
@@ -79,6 +84,9 @@ def assign_shards(
         F.lit("key").alias("law"),
         rendezvous(key, weights).cast("int").alias("shard"),
         rendezvous(key, [*weights, grown_weight]).cast("int").alias("grown_shard"),
+        F.when(key.isNull(), F.floor(F.rand(0) * SLOT_PARTS)).alias("salt"),
     )
-    out = with_slots(rows, "shard", F.col("doc_id"), ["doc_id", "text_crc32"])
+    # stored: a draw must be the same for the counts and for the numbers
+    rows = stored(rows, "shards")
+    out = with_slots(rows, "shard", [F.col("doc_id"), F.col("text_crc32"), F.col("salt")], ["doc_id", "text_crc32"])
     return out.select("doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("long"), "grown_shard")

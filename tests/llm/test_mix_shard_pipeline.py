@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 import corpus_pipeline
 from lakeworks.llm import mixing, queries, sharding
+from lakeworks.session import stored
 from tests.llm.helpers import DOCS, corpus, rows_of, with_clashes, words
 from tests.llm.test_dedup import near_brute_force
 from tests.llm.test_text_scans import contamination_brute_force
@@ -199,6 +200,22 @@ def test_shards_brute_force(spark):
     assert sharding.assign_shards(spark.createDataFrame([], DOCS), weights).collect() == []
 
 
+def test_slots_of_a_hot_id(spark):
+    """Most rows without an id or with one id, texts equal or not, one very long: no part of a shard gets many of them."""
+    rows = [(None if k % 2 else 7, None if k % 3 else f"text {k}", "en", "s", 1) for k in range(3000)]
+    rows += [(8, "long " * 200_000, "en", "s", 1)]
+    got = sharding.assign_shards(spark.createDataFrame(rows, DOCS).repartition(4), (1.0,) * 8).collect()
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert len(got) == len(rows) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    hot = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(0).alias("shard"), F.rand(1).alias("salt"))
+    plan = sharding.with_slots(stored(hot, "hot"), "shard", [F.col("doc_id"), F.col("salt")], ["doc_id"])
+    assert sorted(r["slot"] for r in plan.collect()) == list(range(3000))
+    parts = F.pmod(F.xxhash64(F.col("doc_id"), F.col("salt")), F.lit(sharding.SLOT_PARTS))
+    assert max(r["count"] for r in hot.groupBy(parts).count().collect()) < 30
+
+
 def test_weights_share_rows_and_move_few(spark):
     ids = spark.range(20_000)
     weights = (1.0, 2.0, 0.0, 1.0)
