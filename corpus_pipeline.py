@@ -52,7 +52,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows with ``shard`` and ``slot``, their place in the shard (replacing columns of these names)."""
     rows = docs.drop("shard", "slot").withColumn("shard", sharding.rendezvous(F.col("doc_id"), SHARDS).cast("int"))
-    return sharding.with_slots(rows, "shard", F.col("doc_id"), ["doc_id"])
+    return sharding.with_slots(rows, "shard", [F.col("doc_id"), F.col("text")], ["doc_id"])
 
 
 STAGES = [
