@@ -327,17 +327,67 @@ def _bucket_code(bounds: Sequence, value, bits: int):
     return F.aggregate(steps, F.lit(0), lambda n, step: F.when(below(n + step), n + step).otherwise(n))
 
 
-def optimize_table(spark: SparkSession, table: str, zorder_by: str | Sequence[str] | None = None) -> DataFrame:
-    """Compact a table (fewer, larger files), optionally clustered by columns; content and layout
-    are unchanged. File sizes follow the session's advisory partition size, whatever the table's size."""
+def partition_files(spark: SparkSession, table: str, target_bytes: int) -> DataFrame:
+    """Per partition (one row for a table without): ``files, bytes`` and ``bins``, the files of ``target_bytes`` that would
+    do. Read from the files' footers only."""
+    parts = table_layout(spark, table)["partition_by"]
+    at = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).alias("_lw_file")
+    rows = spark.table(table).select(*parts, at).groupBy(*parts, "_lw_file").agg(F.count(F.lit(1)).alias("_lw_n"))
+    per = rows.groupBy(*parts).agg(F.count(F.lit(1)).alias("files"), F.sum("_lw_file.bytes").alias("bytes"))
+    return per.withColumn("bins", F.greatest(F.lit(1), F.ceil(F.col("bytes") / target_bytes)).cast("int"))
+
+
+def optimize_table(
+    spark: SparkSession, table: str, zorder_by: str | Sequence[str] | None = None, target_mb: float = 128.0
+) -> DataFrame:
+    """Compact a table into files of about ``target_mb``; content and layout are unchanged.
+
+    Only what has more files than it needs is rewritten: of a partitioned table those partitions, in one commit (the
+    others' files are not read or written), another table as a whole, or not at all. With ``zorder_by`` all rows are
+    clustered anew by these columns, and file sizes follow the session's advisory partition size."""
     cols = _zorder_columns(zorder_by)
     df = spark.table(table)
-    by = table_layout(spark, table)["partition_by"]
-    out = clustered(df, cols) if cols else df.hint("rebalance", *by)
-    replace_table(out, table, tag="opt")
+    if cols:
+        replace_table(clustered(df, cols), table, tag="opt")
+        return spark.table(table)
+    parts = table_layout(spark, table)["partition_by"]
+    wasteful = stored(partition_files(spark, table, int(target_mb * 1024 * 1024)).where("files > bins"), "compact")
+    if wasteful.isEmpty():
+        return df
+    if not parts:
+        replace_table(df.repartition(wasteful.first()["bins"]), table, tag="opt")
+        return spark.table(table)
+    rows = join_keys(_near_partitions(df, wasteful, parts), wasteful.select(*parts, F.col("bins").alias("_lw_bins")), parts)
+    dealt = rows.withColumn("_lw_bin", F.floor(F.rand(0) * F.col("_lw_bins"))).repartition(*parts, "_lw_bin")
+    _replace_partitions(spark, table, dealt.select(*df.columns))
     return spark.table(table)
 
 
+def _near_partitions(df: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
+    """``df`` pruned to partitions that share their first value with a touched one (a filter on catalog metadata: as many
+    values as partitions at most); a join with ``touched`` decides."""
+    values = [r[0] for r in touched.select(parts[0]).distinct().collect()]
+    lead = F.col(TY.quote(parts[0]))
+    near = lead.isin([v for v in values if v is not None])
+    return df.where(near | lead.isNull() if None in values else near)
+
+
+def _replace_partitions(spark: SparkSession, table: str, rows: DataFrame) -> DataFrame:
+    """Replace the partitions that ``rows`` fall into by them, in one commit; returns the stored rows. They are stored
+    first, as they may come from the table itself."""
+    schema = spark.table(table).schema
+    path = scratch_path(spark, "partitions")
+    rows.write.parquet(path)
+    # the mode is a setting of the session, which other writes must not see: a session of its own
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    for conf in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        own.conf.set(conf, str(1 << 30))  # a stored file each: as they are dealt, so they are written
+    own.read.schema(schema).parquet(path).write.mode("overwrite").insertInto(table)
+    spark.catalog.refreshTable(table)
+    return spark.read.schema(schema).parquet(path)
+
+
 # ------------------------------------------------------------------------------ B1, B6, B16
 
 
@@ -651,21 +701,28 @@ def external_table(
         for f in own
     ]
     cols += [TY.ddl_of([p]) for p in partitions]
-    ddl = f"CREATE TABLE {table} ({', '.join(cols)}) USING parquet"
+    exists = table_exists(spark, table)
+    into = _sibling(table, "ext") if exists and force and not return_query else table
+    ddl = f"CREATE TABLE {into} ({', '.join(cols)}) USING parquet"
     if partitions:
         ddl += f" PARTITIONED BY ({', '.join(TY.quote(p) for p in part_names)})"
     ddl += f" LOCATION '{_text(location)}'"
     if return_query:
         return ddl
-    if table_exists(spark, table):
-        if not force:
-            return spark.table(table)
+    if exists and not force:
+        return spark.table(table)
+    try:
+        spark.sql(ddl)
+        if partitions and sync_partitions:
+            failed = sync_partitions_from_files(spark, into, location, part_names)["failed"]
+            if failed:
+                raise RuntimeError(f"{len(failed)} partitions of {table} could not be added: {failed[:3]}")
+    except Exception:
+        drop_table(spark, into)  # its files stay, as those of any external table
+        raise
+    if into != table:  # the new table is whole: it takes the name
         drop_table(spark, table)
-    spark.sql(ddl)
-    if partitions and sync_partitions:
-        failed = sync_partitions_from_files(spark, table, location, part_names)["failed"]
-        if failed:
-            raise RuntimeError(f"{len(failed)} partitions of {table} could not be added: {failed[:3]}")
+        spark.sql(f"ALTER TABLE {into} RENAME TO {table}")
     return spark.table(table)
 
 
@@ -793,19 +850,8 @@ def _upsert_partitions(
     """Rewrite the touched partitions only. Their new rows are stored first; then they replace these partitions' files in
     one commit (dynamic partition overwrite), and partitions left without rows go."""
     touched = stored(touched_partitions(target, source, keys, parts), "upsert-partitions")
-    # the first partition column prunes the scan (its values are catalog metadata); the join decides
-    values = [r[0] for r in touched.select(parts[0]).distinct().collect()]
-    lead = F.col(TY.quote(parts[0]))
-    near = lead.isin([v for v in values if v is not None])
-    near = near | lead.isNull() if None in values else near
-    old = join_keys(target.where(near), touched, parts, "left_semi")
-    path = scratch_path(spark, "upsert")
-    upsert(old, source, keys).select(*target.columns).write.parquet(path)
-    merged = spark.read.schema(target.schema).parquet(path)
-    # the mode is a setting of the session, which other writes must not see: a session of its own
-    own = spark.newSession()
-    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    own.read.schema(target.schema).parquet(path).write.mode("overwrite").insertInto(table)
+    old = join_keys(_near_partitions(target, touched, parts), touched, parts, "left_semi")
+    merged = _replace_partitions(spark, table, upsert(old, source, keys).select(*target.columns))
     left = merged.select(*parts).distinct()
     for row in join_keys(touched, left, parts, "left_anti").collect():  # at most the touched partitions
         spec = ", ".join(f"{TY.quote(p)} = " + ("NULL" if row[p] is None else f"'{_text(row[p])}'") for p in parts)

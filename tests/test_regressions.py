@@ -427,3 +427,44 @@ def test_csv_quotes_that_never_close(spark, tmp_dir, monkeypatch):
         out.write("a,b\n1,\"x\n" + "2,y\n" * 50)
     with pytest.raises(ValueError, match="not closed"):
         files.load_csv(spark, os.path.join(tmp_dir, "open.csv"), {"a": "INT", "b": "VARCHAR(9)"})
+
+
+def test_compaction_leaves_good_partitions_alone(spark):
+    name = scratch_table(spark, "small")
+    rows = spark.range(4000).select("id", F.md5(F.col("id").cast("string")).alias("t"), (F.col("id") % 3).cast("int").alias("p"))
+    tables.save_table(rows.where("p = 0").coalesce(1), name, partition_by=["p"])
+    for _ in range(2):
+        tables.save_table(rows.where("p = 1").repartition(20), name, mode="append")
+    tables.save_table(rows.where("p = 2").repartition(2), name, mode="append")
+    files = lambda: {f: os.path.getmtime(f.removeprefix("file:")) for f in spark.table(name).inputFiles()}
+    before = files()
+    size = next(os.path.getsize(f.removeprefix("file:")) for f in before if "p=0" in f)
+    want = sorted(map(tuple, spark.table(name).collect()))
+    target = size / 1024 / 1024 * 0.6  # the files of p=0 (one, as two would be smaller) and p=2 stay
+    assert {r["p"]: r["files"] > r["bins"] for r in tables.partition_files(spark, name, int(target * 1024 * 1024)).collect()}[1]
+    tables.optimize_table(spark, name, target_mb=target)
+    after = files()
+    assert sorted(map(tuple, spark.table(name).collect())) == want
+    assert len([f for f in after if "p=1" in f]) < 8 < len([f for f in before if "p=1" in f])
+    assert all(after.get(f) == before[f] for f in before if "p=1" not in f)
+    tables.optimize_table(spark, name, target_mb=1024.0)
+    assert all(r["files"] == 1 for r in tables.partition_files(spark, name, 1 << 30).collect())
+    again = files()
+    tables.optimize_table(spark, name, target_mb=1024.0)
+    assert files() == again  # nothing left to do
+
+
+def test_forced_external_table_is_built_before_the_old_one_goes(spark, tmp_dir, monkeypatch):
+    for v in (1, 2):
+        spark.range(6).select("id", (F.col("id") % 2).alias("p")).where(f"id < {v * 3}").write.partitionBy("p").parquet(f"{tmp_dir}/{v}")
+    name = scratch_table(spark, "forced")
+    tables.external_table(spark, name, f"{tmp_dir}/1", [("p", "INT")])
+    assert spark.table(name).count() == 3
+    real = tables.sync_partitions_from_files
+    monkeypatch.setattr(tables, "sync_partitions_from_files", lambda *a: {"failed": ["p=0"]})
+    with pytest.raises(RuntimeError):
+        tables.external_table(spark, name, f"{tmp_dir}/2", [("p", "INT")], force=True)
+    assert spark.table(name).count() == 3
+    monkeypatch.setattr(tables, "sync_partitions_from_files", real)
+    assert tables.external_table(spark, name, f"{tmp_dir}/2", [("p", "INT")], force=True).count() == 6
+    assert spark.table(name).where("p = 1").count() == 3
