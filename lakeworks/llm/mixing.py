@@ -35,6 +35,7 @@ WORD_BINS = (0.5, 1.5, 3.5)
 WORDS, MIN_ODDS, MIN_G = 4_000, 2.0, 24.0
 #: characters that count as symbols
 SYMBOLS = "#$%&*+/<=>@[\\]^_`{|}~"
+_SYMBOL = "[" + "".join("\\" + c for c in SYMBOLS) + "]"
 #: weight of staying at rate 1, against the squared relative errors of the domains
 RIDGE = 1e-2
 ITERATIONS = 120
@@ -61,7 +62,7 @@ def features(docs: DataFrame) -> DataFrame:
     rows = _held(rows, "_distinct", F.array_distinct("_words"))
     n, chars = F.size("_words"), F.length(text)
     values = {
-        "symbols": F.try_divide(chars - F.length(F.translate(text, SYMBOLS, "")), chars),
+        "symbols": F.try_divide(F.regexp_count(text, F.lit(_SYMBOL)), chars),
         "distinct": F.try_divide(F.size("_distinct"), n),
         "word_length": F.try_divide(chars - n, n),
         "length": n,
