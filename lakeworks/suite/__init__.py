@@ -3,7 +3,9 @@ independent DuckDB oracle. Every query reads whole tables; nothing is capped or
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +30,19 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def _reach_local_workers(spark: SparkSession) -> None:
+    """Let the Python workers of a local session import this package wherever the session was started from (a cluster has
+    it installed, or shipped with ``--py-files``)."""
+    context = spark.sparkContext
+    root = str(Path(__file__).resolve().parents[2])
+    known = context.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
+    if context.master.startswith("local") and root not in known.split(os.pathsep):
+        context.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, known) if p)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    _reach_local_workers(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
