@@ -245,7 +245,14 @@ def feature_elimination(
         split = group_kfold(df, id_col, 3, seed, strata, out="_lw_fold")
     else:
         split = df.withColumn("_lw_fold", F.pmod(F.xxhash64(*[F.col(quote(c)) for c in full], F.lit(seed)), F.lit(3)))
-    split = stored(split, "elimination")  # every round reads it
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+    # indexed once and stored: a round only assembles the columns that are left
+    filled = stored(fill_categoricals(split, categorical), "elimination")
+    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in categorical]
+    indexed = Pipeline(stages=indexers).fit(filled).transform(filled).withColumn("label", F.col(label_col).cast("double"))
+    indexed = stored(indexed, "elimination-indexed")
     current = list(full)
     if n_features is not None:
         steps = max(1, len(full) - n_features + 1)
@@ -254,13 +261,8 @@ def feature_elimination(
     for _ in range(max(1, steps)):
         cats = [c for c in current if c in categorical]
         nums = [c for c in current if c in numeric]
-        from pyspark.ml import Pipeline
-        from pyspark.ml.feature import StringIndexer, VectorAssembler
-
-        filled = fill_categoricals(split, cats)
-        stages = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in cats]
-        stages.append(VectorAssembler(inputCols=[f"{c}__idx" for c in cats] + nums, outputCol="features", handleInvalid="keep"))
-        prep = Pipeline(stages=stages).fit(filled).transform(filled).withColumn("label", F.col(label_col).cast("double"))
+        assembler = VectorAssembler(inputCols=[f"{c}__idx" for c in cats] + nums, outputCol="features", handleInvalid="keep")
+        prep = assembler.transform(indexed)
         train, valid = prep.where(F.col("_lw_fold") < 2), prep.where(F.col("_lw_fold") == 2)
         order = [c for c in cats] + nums
         if task == "survival":
