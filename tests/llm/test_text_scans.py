@@ -314,3 +314,43 @@ def test_obfuscated_words_are_seen():
     assert toxicity.text_features("what an 1di0t x1d10t", lexicon)[6] >= 0
     assert toxicity.text_features("an id1ot here", lexicon)[6] > 0
     assert toxicity.text_features("losers", toxicity._Lexicon({"loser*": 1}))[2] > 0
+
+
+def brute_features(text, entries, masks):
+    """The features from scratch, given how many masked words the text was built with: (all, those of the lexicon)."""
+    words, word = [], ""
+    for c in text.lower() + " ":
+        if c.isalnum():
+            word += c
+        elif word:
+            words.append(word)
+            word = ""
+    if not words:
+        return [0.0] * 12
+    strength = [max([entries.get(w, 0)] + [entries.get(w[:k] + "*", 0) for k in (4, 5, 6) if k < len(w)]) for w in words]
+    hits = [k for k, x in enumerate(strength) if x]
+    near = 0
+    for k in hits:
+        near += any(abs(k - j) <= 5 and words[j] in ("you", "your", "du", "tu") for j in range(len(words)))
+    n, letters = len(words), sum(map(len, words))
+    return [
+        strength.count(2) / n, math.log(1 + strength.count(2)), strength.count(1) / n, math.log(1 + strength.count(1)),
+        math.log(1 + len({words[k] for k in hits})), near / len(hits) if hits else 0.0, math.log(1 + masks[1]), masks[0] / n,
+        sum("A" <= c <= "Z" for c in text) / max(1, letters), sum(c in "!?" for c in text) / n, 1 - letters / len(text), math.log(1 + n),
+    ]
+
+
+def test_features_brute_force():
+    rng = random.Random(15)
+    entries = {"idiot": 2, "loser*": 1, "grub": 1, "nasty*": 2}
+    pool = ["idiot", "losers", "loser", "grub", "nastyword", "Nasty", "you", "YOUR", "du", "tree", "Éclair", "日本", "a_b", "house", "--", "?!", "x"]
+    for _ in range(300):
+        parts = [rng.choice(pool) for _ in range(rng.randint(0, 40))]
+        masks = [0, 0]
+        for _ in range(rng.randint(0, 2)):
+            mask, known = rng.choice([("id1ot", 1), ("gr*b", 0), ("h0use", 0), ("1dle", None)])
+            parts.insert(rng.randint(0, len(parts)), mask)
+            masks = [masks[0] + (known is not None), masks[1] + (known or 0)]
+        text = " ".join(parts) + rng.choice(["", "\n", "!"])
+        got = toxicity.text_features(text, toxicity._Lexicon(entries))
+        assert got == pytest.approx(brute_features(text, entries, masks)), text
