@@ -112,6 +112,22 @@ def binary_profile(df: DataFrame, columns: Sequence[str], min_count_binary: int
     return stacked.withColumn("rare", F.col("is_binary") & (F.col("n_ones") < min_count_binary))
 
 
+def screened_features(
+    df: DataFrame, categorical: Sequence[str], numeric: Sequence[str], forced: Sequence[str] = (), min_count_binary: int | None = 30
+) -> DataFrame:
+    """``feature, is_constant, rare, kept``: what elimination starts from. Constant features (F6) and rare 0/1 features (F7,
+    among ``numeric``; not with ``min_count_binary=None``) are not kept, unless they are ``forced``."""
+    found = distinct_counts(df, [*categorical, *numeric]).select("feature", "is_constant")
+    if numeric and min_count_binary is not None:
+        rare = binary_profile(df, list(numeric), min_count_binary).select("feature", "rare")
+        found = found.join(rare, "feature", "left")
+    else:
+        found = found.withColumn("rare", F.lit(False))
+    rare = F.coalesce("rare", F.lit(False))
+    must = F.col("feature").isin(list(forced)) if forced else F.lit(False)
+    return found.select("feature", "is_constant", rare.alias("rare"), (must | ~(F.col("is_constant") | rare)).alias("kept"))
+
+
 #: columns whose pair sums one scan holds; wider frames take a scan per pair of blocks, of these columns only
 CORRELATION_BLOCK = 512
 
@@ -232,11 +248,8 @@ def feature_elimination(
             raise ValueError("sample_share needs id_col")
         df = stratified_id_sample(df, id_col, event_col or label_col, sample_share, seed)
     full = list(categorical) + list(numeric)
-    dull = set(constant_features(df, full))
-    if min_count_binary is not None and numeric:
-        rare = binary_profile(df, list(numeric), min_count_binary).where("rare").collect()
-        dull |= {r["feature"] for r in rare}
-    full = [c for c in full if c not in dull or c in forced_set]
+    kept = {r["feature"] for r in screened_features(df, categorical, numeric, forced, min_count_binary).where("kept").collect()}
+    full = [c for c in full if c in kept]
     categorical, numeric = [c for c in full if c in set(categorical)], [c for c in full if c in set(numeric)]
     if not full:
         raise ValueError("no feature is left after screening")

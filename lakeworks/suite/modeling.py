@@ -142,6 +142,28 @@ def q_rare_binary_features(spark: SparkSession, d: str) -> DataFrame:
     return FE.binary_profile(f, ["quality", "toxic", "n_chars", "nothing", "zero"], 30)
 
 
+_SCREEN_CAT, _SCREEN_NUM = ["lang", "source"], ["quality", "toxic", "n_chars", "nothing", "zero"]
+
+
+@register(
+    "feature_screening",
+    "WITH f AS (SELECT *, CAST(NULL AS INTEGER) AS nothing, 0 AS zero FROM (" + _DOC_SQL + ")), c AS ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS feature, count(DISTINCT {c}) = 1 AS is_constant FROM f" for c in [*_SCREEN_CAT, *_SCREEN_NUM])
+    + "), p AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, coalesce(count(DISTINCT {c}) = 2 AND min({c}) = 0 AND max({c}) = 1, FALSE)"
+        f" AND count(*) FILTER (WHERE {c} = 1) < 60 AS rare FROM f"
+        for c in _SCREEN_NUM
+    )
+    + """) SELECT feature, is_constant, coalesce(rare, FALSE) AS rare,
+  feature = 'zero' OR NOT (is_constant OR coalesce(rare, FALSE)) AS kept FROM c LEFT JOIN p USING (feature)""",
+)
+def q_feature_screening(spark: SparkSession, d: str) -> DataFrame:
+    """The features that elimination starts from, one of the constant ones forced."""
+    f = _doc_features(spark, d).withColumns({"nothing": F.lit(None).cast("int"), "zero": F.lit(0)})
+    return FE.screened_features(f, _SCREEN_CAT, _SCREEN_NUM, ["zero"], 60)
+
+
 _NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
