@@ -7,6 +7,8 @@ Screening statistics for all columns come from single aggregates (one pass, one
 from __future__ import annotations
 
 import logging
+import math
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -16,7 +18,7 @@ from pyspark.sql import types as T
 
 from lakeworks.functions.types import quote
 from lakeworks.operators.splits import group_kfold, stratified_id_sample
-from lakeworks.session import stored
+from lakeworks.session import scratch_scope, stored
 
 log = logging.getLogger(__name__)
 
@@ -206,6 +208,67 @@ def feature_matrix(df: DataFrame, label_col: str, categorical: Sequence[str], nu
     return out, list(range(len(cats)))
 
 
+#: thresholds of a numeric feature that trees choose from, one more
+TREE_BINS = 64
+
+
+def tree_splits(df: DataFrame, numeric: Sequence[str], bins: int = TREE_BINS) -> dict[str, list[float]]:
+    """``Bucketizer`` splits of the features with far more values than ``bins``: quantiles over all rows (to a thousandth
+    of them), each the last value of its bin. A value that takes several quantiles has a bin of its own. NULL and NaN do
+    not count; the bins are ``bins`` at most."""
+    cols = list(numeric)
+    known = {r["feature"]: r["n_distinct_approx"] for r in distinct_counts(df, cols).collect()} if cols else {}
+    many = [c for c in cols if known[c] > 2 * bins]
+    if not many:
+        return {}
+    quantiles = df.select(*[F.col(quote(c)).cast("double").alias(f"q{i}") for i, c in enumerate(many)]).approxQuantile(
+        [f"q{i}" for i in range(len(many))], [k / bins for k in range(1, bins)], 0.001
+    )
+    out = {}
+    for c, cuts in zip(many, quantiles):
+        times = Counter(cuts)
+        ends = {math.nextafter(x, math.inf) for x in times} | {x for x, n in times.items() if n > 1}
+        if inner := sorted(x for x in ends if math.isfinite(x)):
+            out[c] = [-math.inf, *inner, math.inf]
+    return out
+
+
+def tree_cells(df: DataFrame, keys: Sequence[str], numeric: Sequence[str], splits: dict[str, list[float]]) -> DataFrame:
+    """Rows that no tree can tell apart as one: ``keys, numeric, _lw_n`` with their number, the features of ``splits`` as
+    numbers of bins (NULL and NaN in the last). Trees of these features with weights are those of the rows."""
+    from pyspark.ml.feature import Bucketizer
+
+    binned = df
+    if splits:
+        names = list(splits)
+        bucketizer = Bucketizer(
+            inputCols=names, outputCols=[f"_lw_bin{i}" for i in range(len(names))], splitsArray=[splits[c] for c in names], handleInvalid="keep"
+        )
+        # the cast takes off the mark of a categorical feature
+        binned = bucketizer.transform(df).withColumns({c: F.col(f"_lw_bin{i}").cast("int") for i, c in enumerate(names)})
+    by = [F.col(quote(c)) for c in [*keys, *numeric]]
+    return _for_all_cores(binned.groupBy(*by).agg(F.count(F.lit(1)).alias("_lw_n")), by)
+
+
+def _for_all_cores(cells: DataFrame, by: list) -> DataFrame:
+    """Few rows, that are gone over dozens of times, in parts for all cores."""
+    spark = cells.sparkSession
+    parts = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return cells.repartition(parts, *by)
+
+
+def weighted_cells(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """:func:`tree_cells` of fewer ``columns``, stored, with a ``_lw_weight``: a cell of many rows as several rows, each of
+    the mean number at most. So the sample of rows in which Spark looks for thresholds meets a value of many rows often."""
+    by = [F.col(quote(c)) for c in columns]
+    fewer = stored(_for_all_cores(cells.groupBy(*by).agg(F.sum("_lw_n").alias("_lw_n")), by), "elimination-round")
+    total = fewer.agg(F.count(F.lit(1)).alias("cells"), F.sum("_lw_n").alias("rows")).first()
+    most = math.ceil((total["rows"] or 1) / max(1, total["cells"]))
+    times = F.ceil(F.col("_lw_n") / most).cast("int")
+    out = fewer.withColumn("_lw_weight", F.col("_lw_n") / times)
+    return out.withColumn("_lw_n", F.explode(F.sequence(F.lit(1), times))).drop("_lw_n")
+
+
 def feature_elimination(
     df: DataFrame,
     label_col: str,
@@ -235,6 +298,9 @@ def feature_elimination(
     feature count, and drops the least important non-forced feature: ``steps`` features at most, or
     until ``n_features`` are left. Returns the chosen features (minimum loss, or the last
     ``n_features``) and the curve ``n_features, removed, loss`` (G3).
+
+    Trees see the features in ``TREE_BINS`` bins, as always, but rows of the same bins and label are counted first
+    (:func:`tree_cells`): every row counts, while a round goes over combinations of bins, however many rows there are.
     """
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -261,11 +327,18 @@ def feature_elimination(
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer, VectorAssembler
 
-    # indexed once and stored: a round only assembles the columns that are left
-    filled = stored(fill_categoricals(split, categorical), "elimination")
+    # what a round assembles its columns from is stored: indexed rows, or for trees their cells
+    others = [c for c in {label_col: 1, event_col: 1} if c is not None and c not in full]
+    filled = stored(fill_categoricals(split, categorical).select(*[F.col(quote(c)) for c in [*others, *full, "_lw_fold"]]), "elimination")
     indexers = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in categorical]
     indexed = Pipeline(stages=indexers).fit(filled).transform(filled).withColumn("label", F.col(label_col).cast("double"))
-    indexed = stored(indexed, "elimination-indexed")
+    if task == "survival":
+        indexed = stored(indexed, "elimination-indexed")
+    else:
+        rows = indexed.withColumn("_lw_fold", F.when(F.col("_lw_fold") < 2, 0).otherwise(2))
+        keys = ["_lw_fold", "label", *[f"{c}__idx" for c in categorical]]
+        splits = tree_splits(filled.where(F.col("_lw_fold") < 2), numeric)
+        indexed = stored(tree_cells(rows, keys, numeric, splits), "elimination-cells")
     current = list(full)
     if n_features is not None:
         steps = max(1, len(full) - n_features + 1)
@@ -274,23 +347,26 @@ def feature_elimination(
     for _ in range(max(1, steps)):
         cats = [c for c in current if c in categorical]
         nums = [c for c in current if c in numeric]
-        assembler = VectorAssembler(inputCols=[f"{c}__idx" for c in cats] + nums, outputCol="features", handleInvalid="keep")
-        prep = assembler.transform(indexed)
-        train, valid = prep.where(F.col("_lw_fold") < 2), prep.where(F.col("_lw_fold") == 2)
-        order = [c for c in cats] + nums
-        if task == "survival":
-            imp, loss = _aft_round(train, valid, order, cats, event_col, max_iter)
-        else:
-            if task == "classification":
-                est = GBTClassifier(maxIter=max_iter, maxDepth=4, seed=seed, maxBins=64)
-                ev = BinaryClassificationEvaluator(metricName="areaUnderROC")
+        with scratch_scope(df.sparkSession):
+            columns = [f"{c}__idx" for c in cats] + nums
+            assembler = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="keep")
+            source = indexed if task == "survival" else weighted_cells(indexed, ["_lw_fold", "label", *columns])
+            prep = assembler.transform(source)
+            train, valid = prep.where(F.col("_lw_fold") < 2), prep.where(F.col("_lw_fold") == 2)
+            order = [c for c in cats] + nums
+            if task == "survival":
+                imp, loss = _aft_round(train, valid, order, cats, event_col, max_iter)
             else:
-                est = GBTRegressor(maxIter=max_iter, maxDepth=4, seed=seed, maxBins=64)
-                ev = RegressionEvaluator(metricName="rmse")
-            model = est.fit(train)
-            metric = ev.evaluate(model.transform(valid))
-            loss = 1.0 - metric if task == "classification" else metric
-            imp = model.featureImportances.toArray().tolist()
+                if task == "classification":
+                    est = GBTClassifier(maxIter=max_iter, maxDepth=4, seed=seed, maxBins=TREE_BINS, weightCol="_lw_weight")
+                    ev = BinaryClassificationEvaluator(metricName="areaUnderROC", weightCol="_lw_weight")
+                else:
+                    est = GBTRegressor(maxIter=max_iter, maxDepth=4, seed=seed, maxBins=TREE_BINS, weightCol="_lw_weight")
+                    ev = RegressionEvaluator(metricName="rmse", weightCol="_lw_weight")
+                model = est.fit(train)
+                metric = ev.evaluate(model.transform(valid))
+                loss = 1.0 - metric if task == "classification" else metric
+                imp = model.featureImportances.toArray().tolist()
         curve.append((len(current), removed[-1], float(loss)))
         candidates = [(imp[i], name) for i, name in enumerate(order) if name not in forced_set]
         if len(current) <= 1 or not candidates:

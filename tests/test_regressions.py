@@ -468,3 +468,50 @@ def test_forced_external_table_is_built_before_the_old_one_goes(spark, tmp_dir,
     monkeypatch.setattr(tables, "sync_partitions_from_files", real)
     assert tables.external_table(spark, name, f"{tmp_dir}/2", [("p", "INT")], force=True).count() == 6
     assert spark.table(name).where("p = 1").count() == 3
+
+
+def test_elimination_counts_rows_that_trees_cannot_tell_apart(spark, monkeypatch):
+    """A round fits combinations of values with their number, and gets what the rows themselves give."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+    rows = [("xyz"[k * 7 % 3], k % 11, float(k * k % 5), int(k % 11 + k * k % 5 + 3 * (k * 7 % 3 == 1) + k * 31 % 7 > 9)) for k in range(6000)]
+    df = spark.createDataFrame(rows, "c string, a int, b double, y int")
+    fitted, fit = [], GBTClassifier._fit
+
+    def spy(self, train):
+        fitted.append(train.count())
+        return fit(self, train)
+
+    monkeypatch.setattr(GBTClassifier, "_fit", spy)
+    _, curve = features.feature_elimination(df, "y", ["c"], ["a", "b"], steps=1, max_iter=4, seed=7)
+    monkeypatch.undo()
+    indexed = StringIndexer(inputCol="c", outputCol="i", handleInvalid="keep").fit(df).transform(df)
+    whole = VectorAssembler(inputCols=["i", "a", "b"], outputCol="features").transform(indexed).withColumn("label", F.col("y").cast("double"))
+    fold = F.pmod(F.xxhash64("c", "a", "b", F.lit(7)), F.lit(3))
+    train, valid = whole.where(fold < 2), whole.where(fold == 2)
+    model = GBTClassifier(maxIter=4, maxDepth=4, seed=7, maxBins=64).fit(train)
+    want = 1 - BinaryClassificationEvaluator().evaluate(model.transform(valid))
+    assert abs(curve.first()["loss"] - want) < 1e-9
+    assert fitted[0] <= 2 * 3 * 11 * 5 * 2 < train.count()
+
+
+def test_tree_cells_hold_every_row(spark):
+    rows = [(0.0 if k % 2 else k / 7, float(k % 3) if k % 50 else None, float("nan") if k % 40 == 1 else float(k), k % 2) for k in range(4000)]
+    df = spark.createDataFrame(rows, "zeros double, few double, gaps double, y int")
+    numeric = ["zeros", "few", "gaps"]
+    splits = features.tree_splits(df, numeric)
+    assert set(splits) == {"zeros", "gaps"} and all(len(s) <= 65 for s in splits.values())
+    cells = features.tree_cells(df, ["y"], numeric, splits)
+    assert cells.agg(F.sum("_lw_n")).first()[0] == 4000
+    assert {r["few"] for r in cells.select("few").distinct().collect()} == {None, 0.0, 1.0, 2.0}
+    # half of the values are zero: alone in their bin; k = 0 is zero as well
+    zero = [r["n"] for r in cells.groupBy("zeros").agg(F.sum("_lw_n").alias("n")).collect() if r["n"] > 1000]
+    assert zero == [2001]
+    last = cells.groupBy("gaps").agg(F.sum("_lw_n").alias("n")).orderBy(F.desc("gaps")).first()
+    assert last["gaps"] == len(splits["gaps"]) - 1 and last["n"] == 100
+    weighted = features.weighted_cells(cells, ["y", "zeros"])
+    total = weighted.agg(F.sum("_lw_weight"), F.max("_lw_weight"), F.count("*")).first()
+    distinct = weighted.select("y", "zeros").distinct().count()
+    assert abs(total[0] - 4000) < 1e-6 and total[2] <= 2 * distinct and total[1] <= 4000 / distinct + 1
