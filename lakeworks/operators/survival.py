@@ -139,22 +139,33 @@ def _grid_counts(gkeys: list[str]):
     return count
 
 
-def _strip_of(x: Column, bounds: Column) -> Column:
-    """Strip of a value: odd for the values of ``bounds`` (sorted, at most ``MAX_STRIPS``), even for what lies between
-    them; 0 without bounds. Binary search."""
-
-    def halve(at: Column, _: Column) -> Column:
-        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
-        up = F.get(bounds, middle) < x
-        going = at["low"] < at["high"]
-        return F.struct(
-            F.when(going & up, middle + 1).otherwise(at["low"]).alias("low"),
-            F.when(going & ~up, middle).otherwise(at["high"]).alias("high"),
-        )
-
-    steps = F.sequence(F.lit(0), F.lit(MAX_STRIPS.bit_length()))
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(bounds).alias("high")), halve, lambda at: at["low"])
-    return F.when(bounds.isNull(), F.lit(0)).otherwise(2 * found + F.coalesce(F.get(bounds, found) == x, F.lit(False)).cast("int"))
+def strip_of(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Strips of values: odd for the values of ``bounds`` (sorted), even for what lies between them; NaN is the largest."""
+    found = np.searchsorted(bounds, x)
+    at = bounds[np.minimum(found, len(bounds) - 1)]
+    return 2 * found + ((at == x) | (np.isnan(at) & np.isnan(x)))
+
+
+def _placed(rows: DataFrame, edges: DataFrame, gkeys: list[str]) -> DataFrame:
+    """``rows`` with the strips ``_a, _b`` of their time and prediction, and ``_cut``: false, and strips 0, for a group
+    without ``edges``. The bounds are in the tasks' closure: two numbers per strip, of about ``STRIP_ROWS`` subjects."""
+    cuts = {r["_g"]: (np.array(r["_qt"]), np.array(r["_qp"])) for r in edges.select("_g", "_qt", "_qp").collect()}
+    known = join_keys(rows, edges.select(*gkeys, "_g"), gkeys, "left").select(*rows.columns, "_g")
+    n = len(rows.columns)
+
+    def place(batches):
+        for batch in batches:
+            group = batch.column(n).fill_null(-1).to_numpy(zero_copy_only=False)
+            t, p = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("_t", "_p"))
+            a, b = np.zeros(len(t), np.int32), np.zeros(len(t), np.int32)
+            for g in np.unique(group[group >= 0]):
+                at = group == g
+                a[at], b[at] = strip_of(t[at], cuts[g][0]), strip_of(p[at], cuts[g][1])
+            more = [pa.array(a), pa.array(b), pa.array(group >= 0)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], *more], names=[*batch.schema.names[:n], "_a", "_b", "_cut"])
+
+    more = [T.StructField("_a", T.IntegerType()), T.StructField("_b", T.IntegerType()), T.StructField("_cut", T.BooleanType())]
+    return known.mapInArrow(place, T.StructType([*(T.StructField(f.name, f.dataType) for f in rows.schema), *more]))
 
 
 def _time_products(rows: DataFrame, gkeys: list[str], bounds: Sequence[float], out: str) -> DataFrame:
@@ -203,11 +214,10 @@ def concordance_counts(comp: DataFrame, gkeys: list[str], buckets: int | None =
                 F.sequence(F.lit(1), F.col("_strips") - 1), lambda i: F.get(q, F.floor(i * MAX_STRIPS / F.col("_strips")).cast("int") - 1)
             )
         )
-        edges = stored(wide.select(*gkeys, thin(F.col("_q_t")).alias("_qt"), thin(F.col("_q_p")).alias("_qp")), "strips")
-        placed = join_keys(rows, edges, gkeys, "left").select(
-            *rows.columns, _strip_of(F.col("_t"), F.col("_qt")).alias("_a"), _strip_of(F.col("_p"), F.col("_qp")).alias("_b"),
-            F.col("_qt").isNotNull().alias("_cut"),
-        )
+        wide = wide.select(*gkeys, thin(F.col("_q_t")).alias("_qt"), thin(F.col("_q_p")).alias("_qp"))
+        edges = stored(wide.withColumn("_g", F.monotonically_increasing_id()), "strips")
+        # searched once per subject, and read by each of the counts
+        placed = stored(_placed(rows, edges, gkeys), "placed")
         cells = placed.where("_cut").groupBy(*gkeys, "_a", "_b").agg(F.sum("_d").alias("_d"), F.sum("_m").alias("_m"))
         parts.append(cells.groupBy(*gkeys).applyInArrow(_grid_counts(gkeys), out_schema))
         # one strip of times, different strips of predictions

@@ -515,3 +515,25 @@ def test_tree_cells_hold_every_row(spark):
     total = weighted.agg(F.sum("_lw_weight"), F.max("_lw_weight"), F.count("*")).first()
     distinct = weighted.select("y", "zeros").distinct().count()
     assert abs(total[0] - 4000) < 1e-6 and total[2] <= 2 * distinct and total[1] <= 4000 / distinct + 1
+
+
+def test_concordance_places_subjects_in_strips_once(spark, monkeypatch):
+    """Strips are searched in one stored step, not anew in the plan of each count; groups, ties and NaN as by brute force."""
+    nan = float("nan")
+    rows = [(g, float(k * 37 % 23), int(k % 3 > 0), nan if k % 29 == 0 else float(k * k % 17) / 2) for g in ("a", "b", None) for k in range(160 if g != "b" else 12)]
+    df = spark.createDataFrame(rows, "g string, t double, e int, p double")
+    steps, keep = [], survival.stored
+
+    def spy(frame, label):
+        steps.append(label)
+        return keep(frame, label)
+
+    monkeypatch.setattr(survival, "stored", spy)
+    out = survival.concordance(df, "t", "e", "p", ["g"], strip_rows=20)
+    assert steps.count("placed") == 1
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+    rank = lambda p: (p != p, 0.0 if p != p else p)
+    for r in out.collect():
+        group = [x[1:] for x in rows if x[0] == r["g"]]
+        pairs = [(rank(p), rank(q)) for t, e, p in group for u, f, q in group if e == 1 and (t < u or (t == u and f == 0))]
+        assert r["pairs"] == len(pairs) and r["concordant"] == sum(p < q for p, q in pairs) and r["tied"] == sum(p == q for p, q in pairs)
