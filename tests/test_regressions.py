@@ -537,3 +537,18 @@ def test_concordance_places_subjects_in_strips_once(spark, monkeypatch):
         group = [x[1:] for x in rows if x[0] == r["g"]]
         pairs = [(rank(p), rank(q)) for t, e, p in group for u, f, q in group if e == 1 and (t < u or (t == u and f == 0))]
         assert r["pairs"] == len(pairs) and r["concordant"] == sum(p < q for p, q in pairs) and r["tied"] == sum(p == q for p, q in pairs)
+
+
+def test_approximate_distinct_keeps_no_sketch_per_value(spark, tmp_dir):
+    """The sketch is kept per flag, not per flag and part beside the exact count; a NULL flag is a group."""
+    import __spark_entry__ as entry
+
+    folder = os.path.join(tmp_dir, "approx")
+    rows = [("ARN"[k % 3] if k % 10 else None, k * 7 % 90 if k % 4 else None) for k in range(900)] + [("Z", None)]
+    spark.createDataFrame(rows, "l_returnflag string, l_partkey long").write.parquet(f"{folder}/lineitem.parquet")
+    out = entry.queries()["sql_approx_distinct"](spark, folder)
+    want = {f: len({p for g, p in rows if g == f and p is not None}) for f in ("A", "R", "N", None, "Z")}
+    assert {r["l_returnflag"]: (r["n_parts"], r["approx_close"]) for r in out.collect()} == {f: (n, True) for f, n in want.items()}
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    steps = [line for line in plan.splitlines() if "approx_count_distinct(" in line]
+    assert steps and not [line for line in steps if "l_partkey" in line.split("functions=")[0]]
